@@ -4,7 +4,7 @@ from tidemark.plans.registry import PLANS, Inputs
 
 # Importing a module registers its plans.
 from tidemark.plans import (  # noqa: F401  isort: skip
-    aggregates, expressions, joins, keyed, queries, scans, writes,
+    aggregates, expressions, joins, keyed, queries, scans, streams, writes,
 )
 
 __all__ = ["PLANS", "Inputs"]

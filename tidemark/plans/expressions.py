@@ -36,15 +36,18 @@ def x_clean_name(t):
     return t.table("customer").select("c_custkey", clean_name(F.expr(COMPANY_SQL.replace("''", "\\'"))).alias("name"))
 
 
+PATH_SQL = "concat('/data/', lang, '.d/', source, '-', CAST(doc_id AS STRING), '.Part.CSV')"
+
+
 @plan(
     "x_file_stem",
-    r"""SELECT page_id, lower(regexp_replace(regexp_extract(url, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')) AS stem,
-               lower(regexp_extract(url, '([^/]*)$', 1)) AS archived FROM pages""",
+    f"""SELECT doc_id, lower(concat(source, '-', doc_id, '.part')) AS stem, lower(source) AS bare
+        FROM documents""",
 )
 def x_file_stem(t):
-    """Stem of the last path part; ``archived`` has one extension more."""
-    return t.table("pages").select(
-        "page_id", file_stem(F.col("url")).alias("stem"), file_stem(F.concat("url", F.lit(".ZIP"))).alias("archived")
+    """Stem of a path with dots in it, and of a name without folder and extension."""
+    return t.table("documents").select(
+        "doc_id", file_stem(F.expr(PATH_SQL)).alias("stem"), file_stem(F.col("source")).alias("bare")
     )
 
 

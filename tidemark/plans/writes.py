@@ -37,9 +37,10 @@ NAMES = ("click", "error", "purchase", "signup", "view")
 
 def stored_group(t, batch=None, names=NAMES, columns=EVENT_COLUMNS, **options):
     """A table group that holds ``batch`` (default: all events), one table per type."""
+    options.setdefault("shard_size", timedelta(days=7))
     group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
     group.create(*[TableSchema(n, columns, **options) for n in names])
-    group.push(by_table(t.series if batch is None else batch, names), now=NOW)
+    group.push(t.series if batch is None else batch, now=NOW)
     return group
 
 
@@ -48,15 +49,15 @@ def stored_group(t, batch=None, names=NAMES, columns=EVENT_COLUMNS, **options):
 
 @plan(
     "ddl_create",
-    """SELECT event_type AS tbl, count(*) AS row_count, count(DISTINCT CAST(floor(epoch(ts) / 3600) AS BIGINT)) AS shards
+    """SELECT event_type AS tbl, count(*) AS row_count, count(DISTINCT CAST(floor(epoch(ts) / 86400) AS BIGINT)) AS shards
        FROM events GROUP BY 1""",
 )
 def ddl_create(t):
-    """Tables with hourly shards; how many shards each one fills."""
-    group = stored_group(t, shard_size=timedelta(hours=1), ttl=timedelta(days=90))
+    """Tables with daily shards; how many shards each one fills."""
+    group = stored_group(t, shard_size=timedelta(days=1), ttl=timedelta(days=90))
     from tidemark.functions.time import shard_of
 
-    shard = shard_of(F.col(quoted(TS)), timedelta(hours=1))
+    shard = shard_of(F.col(quoted(TS)), timedelta(days=1))
     return plain(
         group.read(list(NAMES)).groupBy(quoted(TABLE)).agg(
             F.count("*").alias("row_count"), F.count_distinct(shard).alias("shards")
@@ -122,7 +123,7 @@ def ddl_exists(t):
 @plan("ttl_expire", f"{SERIES_SQL} WHERE ts >= TIMESTAMP '2024-01-20 07:00:00'")
 def ttl_expire(t):
     """Whole shards are retired, the rest of the limit's shard is hidden on reading."""
-    group = stored_group(t, ttl=timedelta(days=10))
+    group = stored_group(t, ttl=timedelta(days=10), shard_size=timedelta(days=1))
     now = datetime(2024, 1, 30, 7)
     group.expire(now)
     return plain(group.read(list(NAMES), now=now))
@@ -144,7 +145,7 @@ def w_append(t):
 @plan("w_append_fast", f"{SERIES_SQL} UNION ALL {LATER_SQL}")
 def w_append_fast(t):
     group = stored_group(t)
-    group.push(by_table(later(t), [n for n in NAMES if n != "error"]), "fast", now=NOW)
+    group.push(later(t), "fast", now=NOW)
     return plain(group.read(list(NAMES)))
 
 
@@ -288,8 +289,11 @@ def w_dedup_upsert_stored(t):
 
 @plan("w_multi_table", f"{SERIES_SQL}")
 def w_multi_table(t):
-    """Five tables in one commit."""
-    return plain(stored_group(t).read(list(NAMES)))
+    """Five tables in one commit, handed over as a frame per table."""
+    group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
+    group.create(*[TableSchema(n, EVENT_COLUMNS, timedelta(days=1 + i)) for i, n in enumerate(NAMES)])
+    group.push(by_table(t.series, NAMES), now=NOW)
+    return plain(group.read(list(NAMES)))
 
 
 @plan(
@@ -374,10 +378,9 @@ def w_flat_columns(t):
 def w_idempotent_retry(t):
     """A batch pushed again under the same id adds nothing."""
     group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
-    group.create(*[TableSchema(n, EVENT_COLUMNS) for n in NAMES])
-    batch = by_table(t.series, NAMES)
-    first = group.push(batch, batch_id="load-1", now=NOW)
-    again = group.push(batch, batch_id="load-1", now=NOW)
+    group.create(*[TableSchema(n, EVENT_COLUMNS, timedelta(days=7)) for n in NAMES])
+    first = group.push(t.series, batch_id="load-1", now=NOW)
+    again = group.push(t.series, batch_id="load-1", now=NOW)
     assert first == again
     return plain(group.read(list(NAMES)))
 
@@ -386,7 +389,8 @@ def w_idempotent_retry(t):
 def maint_compact(t):
     """Rows of two versions per shard end up in one; nothing else changes."""
     group = stored_group(t)
-    group.push(by_table(later(t), [n for n in NAMES if n != "error"]), now=NOW)
+    group.push(later(t), now=NOW)
+    group.compact(["click", "view"])
     group.compact()
     return plain(group.read(list(NAMES)))
 
@@ -400,5 +404,5 @@ def maint_compact(t):
 def w_change_log(t):
     """Every push logs the inclusive extent of each table it wrote."""
     group = stored_group(t)
-    group.push(by_table(later(t), [n for n in NAMES if n != "error"]), now=NOW)
+    group.push(later(t), now=NOW)
     return group.changes()

@@ -2,11 +2,15 @@
 
 Layout below the group's root::
 
-    data/_v=<version>/_table=<name>/_shard=<n>/part-*.parquet
-    parts/_v=<version>/      which (table, shard) a version wrote or made obsolete
+    data/_v=<version>/_shard=<n>/part-*.parquet   rows, sorted by table and time
+    replaced/_v=<version>/   (table, shard) whose rows in older versions are obsolete
     changes/_v=<version>/    change log: time, transaction, table, begin, end
     log/<number>.json        one small file per commit; creating it publishes the version
 
+Shards are directories, so a range predicate prunes them. Tables are not: rows are
+clustered by table inside a shard, which keeps files large for fleets of small tables
+and still lets Parquet statistics skip the others.
+
 Row data, shard lists and the change log are written and read by Spark jobs; the
 driver only sees the commit files. Readers list the published versions, so half-written
 ones are invisible, and no file is overwritten while a plan still reads it.
@@ -37,6 +41,14 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+_NUMBER = "CAST(split_part(_v, '-', 1) AS BIGINT)"
+
+
+def _number(column: str) -> Column:
+    """Commit number of a version name ``<number>-<random>``."""
+    return F.split_part(column, F.lit("-"), F.lit(1)).cast("bigint")
+
+
 def _physical(column: ColumnInfo) -> str:
     """Stored name: tables of one group may use a name with different types."""
     return f"{column.name}__{column.type.value}"
@@ -178,32 +190,26 @@ class TableGroup:
         fields |= {"_v": T.StringType(), "_table": T.StringType(), SHARD: T.LongType()}
         return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
-    def _live_parts(self, commits) -> DataFrame | None:
-        """(version, table, shard) that readers must see; None if nothing was ever replaced."""
-        if not any(c.get("replaces") for c in commits):
+    def _floors(self, commits, names: list[str]) -> DataFrame | None:
+        """(table, shard) -> oldest version number whose rows count; None if all do."""
+        replacing = [c for c in commits if c.get("replaces")]
+        if not replacing:
             return None
-        parts = (
-            self.spark.read.option("basePath", f"{self.root}/parts")
-            .schema("replaces boolean, _v string, _table string, _shard bigint")
-            .parquet(*[f"{self.root}/parts/_v={c['version']}" for c in commits])
-        )
-        number = F.split_part("_v", F.lit("-"), F.lit(1)).cast("bigint")
-        floors = (
-            parts.where("replaces").groupBy("_table", SHARD).agg(F.max(number).alias("_floor"))
-        )
         return (
-            parts.join(floors, ["_table", SHARD], "left")
-            .where(F.col("_floor").isNull() | (number >= F.col("_floor")))
-            .select("_v", "_table", SHARD)
-            .distinct()
+            self.spark.read.option("basePath", f"{self.root}/replaced")
+            .schema("_table string, _shard bigint, _v string")
+            .parquet(*[f"{self.root}/replaced/_v={c['version']}" for c in replacing])
+            .where(F.col("_table").isin(names))
+            .groupBy("_table", SHARD)
+            .agg(F.max(_number("_v")).alias("_floor"))
         )
 
     def _rows(self, names: list[str], catalog, shards: Column | None = None) -> DataFrame:
         """Stored rows of the tables with their ``_shard``, all stored columns."""
         stored = self._stored_schema(catalog)
         commits = [c for c in self._load() if c.get("version")]
-        if not commits:
-            return self.spark.createDataFrame([], stored)
+        bases = [i for i, c in enumerate(commits) if c.get("base")]
+        commits = commits[bases[-1]:] if bases else commits
         filled = [c for c in commits if c["has_rows"]]
         if not filled:
             return self.spark.createDataFrame([], stored)
@@ -213,18 +219,18 @@ class TableGroup:
             .parquet(*[f"{self.root}/data/_v={c['version']}" for c in filled])
             .where(F.col("_table").isin(names))
         )
-        reborn = {n: catalog[n][1] for n in names if catalog[n][1] > commits[0]["number"]}
-        if reborn:  # rows of a dropped table of the same name are older than the table
-            number = F.split_part("_v", F.lit("-"), F.lit(1)).cast("bigint")
-            for name, since in reborn.items():
-                rows = rows.where((F.col("_table") != name) | (number >= since))
+        # Rows of a dropped table of the same name are older than the table.
+        for name in names:
+            if catalog[name][1] > filled[0]["number"]:
+                rows = rows.where((F.col("_table") != name) | (_number("_v") >= catalog[name][1]))
         if shards is not None:
             rows = rows.where(shards)
-        live = self._live_parts(commits)
-        if live is not None:
-            live = live.where(F.col("_table").isin(names))
-            rows = rows.join(F.broadcast(live) if fits(live) else live, ["_v", "_table", SHARD], "left_semi")
-        return rows
+        floors = self._floors(commits, names)
+        if floors is None:
+            return rows
+        side = F.broadcast(floors) if fits(floors) else floors
+        joined = rows.join(side, ["_table", SHARD], "left")
+        return joined.where("_floor IS NULL OR " + _NUMBER + " >= _floor").drop("_floor")
 
     def _shard_filter(self, names, catalog, ranges) -> Column | None:
         """Shards that ranges can touch; tables may differ in shard size."""
@@ -285,12 +291,15 @@ class TableGroup:
     # ------------------------------------------------------------ writing
 
     def _staged(
-        self, batch, infer: bool = True, force: dict[str, str] | None = None, seq: str | None = None
+        self, batch, tables=None, infer: bool = True, force: dict[str, str] | None = None, seq: str | None = None
     ) -> tuple[list[str], DataFrame]:
         """Batch rows in stored form: ``_table``, ``_shard``, physical column names.
 
-        ``batch`` maps table names to frames, or is a list of such pairs.
+        ``batch`` maps table names to frames, is a list of such pairs, or is one frame
+        with a ``$table`` column.
         """
+        if isinstance(batch, DataFrame):
+            return self._staged_rows(batch, tables, infer, force, seq)
         pairs = list(batch.items()) if isinstance(batch, dict) else list(batch)
         frames = dict(pairs)
         if len(frames) != len(pairs):
@@ -298,19 +307,45 @@ class TableGroup:
         catalog = self._known(frames)
         staged = None
         for name, df in frames.items():
-            schema = catalog[name][0]
-            extra = (seq,) if seq else ()
-            clean = W.align(W.cast_to(df.drop(TABLE), schema, force, infer), schema, extra)
-            part = clean.select(
-                quoted(TS),
-                *[F.col(quoted(c)).alias("_seq") for c in extra],
-                *[F.col(quoted(c.name)).alias(_physical(c)) for c in schema.columns],
-                F.lit(name).alias("_table"),
-                floor_div(micros(F.col(quoted(TS))), schema.shard_size // MICROS).alias(SHARD),
-            )
+            named = df.withColumn(TABLE, F.lit(name))
+            part = self._stored_columns(named, catalog[name][0], {name: catalog[name][0]}, infer, force, seq)
             staged = part if staged is None else staged.unionByName(part, allowMissingColumns=True)
+        if staged is None:
+            raise InvalidArgument("nothing to push")
         return list(frames), staged
 
+    def _staged_rows(self, batch, tables, infer, force, seq) -> tuple[list[str], DataFrame]:
+        """One frame for any number of tables with the same columns."""
+        names = list(tables or self.tables())
+        catalog = self._known(names)
+        schemas = {n: catalog[n][0] for n in names}
+        if len({s.columns for s in schemas.values()}) != 1:
+            raise InvalidArgument("tables pushed as one frame need the same columns")
+        # A wrong name fails the write itself: no extra pass, and nothing gets published.
+        table = F.col(quoted(TABLE))
+        wrong = F.raise_error(F.concat(F.lit("no such table in this push: "), F.coalesce(table, F.lit("null"))))
+        batch = batch.withColumn(TABLE, F.when(table.isin(names), table).otherwise(wrong.cast("string")))
+        return names, self._stored_columns(batch, schemas[names[0]], schemas, infer, force, seq)
+
+    @staticmethod
+    def _stored_columns(batch, schema, schemas, infer, force, seq) -> DataFrame:
+        extra = (TABLE, seq) if seq else (TABLE,)
+        clean = W.align(W.cast_to(batch, schema, force, infer), schema, extra)
+        sizes: dict[timedelta, list[str]] = {}
+        for name, one in schemas.items():
+            sizes.setdefault(one.shard_size, []).append(name)
+        us, shard = micros(F.col(quoted(TS))), None
+        for size, names in sizes.items():
+            number = floor_div(us, size // MICROS)
+            shard = number if shard is None else F.when(F.col(quoted(TABLE)).isin(names), number).otherwise(shard)
+        return clean.select(
+            quoted(TS),
+            *([F.col(quoted(seq)).alias("_seq")] if seq else []),
+            *[F.col(quoted(c.name)).alias(_physical(c)) for c in schema.columns],
+            F.col(quoted(TABLE)).alias("_table"),
+            shard.alias(SHARD),
+        )
+
     def _commit(
         self,
         kind: str,
@@ -320,49 +355,48 @@ class TableGroup:
         batch_id: str | None,
         now: datetime | None,
         based_on: int,
+        base: bool = False,
     ) -> int:
-        """Write a version and publish it. ``replaced`` lists obsolete (table, shard)."""
+        """Write a version and publish it. ``replaced`` lists obsolete (table, shard).
+
+        A ``base`` version holds all rows: readers start from it.
+        """
         number = based_on + 1
         version = f"{number}-{uuid.uuid4().hex[:12]}"
         has_rows = False
         if rows is not None:
+            # The hash spreads rows of one table that share a time over several tasks.
             salt = F.pmod(F.xxhash64(*[quoted(c) for c in rows.columns]), F.lit(64))
-            keys = ["_table", SHARD, quoted(TS), "_salt"]
+            keys = [SHARD, "_table", quoted(TS), "_salt"]
             target = f"{self.root}/data/_v={version}"
             (
                 rows.withColumn("_salt", salt)
                 .repartitionByRange(*keys)
                 .sortWithinPartitions(*keys)
                 .drop("_salt")
-                .write.partitionBy("_table", SHARD)
+                .write.partitionBy(SHARD)
                 .parquet(target)
             )
-            status = self._fs.listStatus(self._path(target))
-            has_rows = any(s.isDirectory() for s in status)
-        # Shards written, taken from the written files' partition values.
-        listed = None
-        if has_rows:
-            listed = (
-                self.spark.read.schema("_table string, _shard bigint").parquet(f"{self.root}/data/_v={version}")
-                .select("_table", SHARD).distinct().withColumn("replaces", F.lit(False))
-            )
+            has_rows = any(s.isDirectory() for s in self._fs.listStatus(self._path(target)))
         if replaced is not None:
-            gone = replaced.select("_table", SHARD).distinct().withColumn("replaces", F.lit(True))
-            listed = gone if listed is None else listed.unionByName(gone)
-        if listed is not None:
-            listed.write.parquet(f"{self.root}/parts/_v={version}")
+            replaced.select("_table", SHARD).distinct().write.parquet(f"{self.root}/replaced/_v={version}")
         self._publish(
             number,
             {
                 "kind": kind,
-                "version": version if listed is not None else None,
+                "version": version,
                 "has_rows": has_rows,
                 "replaces": replaced is not None,
+                "base": base,
                 "batch_id": batch_id,
                 "time": (now or utc_now()).isoformat(sep=" "),
             },
         )
         if batch is not None:
+            # A plain push reads the spans back from what it wrote.
+            if batch is rows:
+                stored = T.StructType([f for f in rows.schema.fields if f.name in (TS, "_table")])
+                batch = self.spark.read.schema(stored).parquet(f"{self.root}/data/_v={version}")
             self._log_change(number, version, batch, now or utc_now())
         return number
 
@@ -377,9 +411,10 @@ class TableGroup:
 
     def push(
         self,
-        batch: dict[str, DataFrame] | list[tuple[str, DataFrame]],
+        batch: DataFrame | dict[str, DataFrame] | list[tuple[str, DataFrame]],
         mode: str = "transactional",
         *,
+        tables: list[str] | None = None,
         range=None,
         seq: str | None = None,
         deduplicate=False,
@@ -391,6 +426,9 @@ class TableGroup:
     ) -> int:
         """Write batches of one or more tables as one commit; returns its number.
 
+        ``batch`` is one frame with a ``$table`` column (``tables`` limits the names, all
+        of the same columns), or frames by table name.
+
         ``mode``: transactional, fast, async (all append here) or truncate. A batch id
         that was committed before is not written again. ``seq`` names a batch column
         that orders rows with equal deduplication keys.
@@ -404,7 +442,7 @@ class TableGroup:
             if done is not None:
                 return done
         based_on = self._next() - 1
-        names, ordered = self._staged(batch, infer_types, dtype, seq if deduplicate else None)
+        names, ordered = self._staged(batch, tables, infer_types, dtype, seq if deduplicate else None)
         staged = ordered.drop("_seq")
         order = "_seq" if "_seq" in ordered.columns else None
         catalog = self._catalog()
@@ -461,11 +499,17 @@ class TableGroup:
     # ------------------------------------------------------------ upkeep
 
     def compact(self, tables: list[str] | None = None) -> int | None:
-        """Rewrite shards spread over several versions; rows stay the same."""
+        """Rewrite shards spread over several versions; rows stay the same.
+
+        Without a table list everything is rewritten into one base version, after which
+        readers no longer open older ones.
+        """
         names = list(tables or self.tables())
         catalog = self._known(names)
         based_on = self._next() - 1
         stored = self._rows(names, catalog)
+        if tables is None:
+            return self._commit("compact", stored.drop("_v"), None, None, None, None, based_on, base=True)
         many = (
             stored.groupBy("_table", SHARD).agg(F.count_distinct("_v").alias("_n")).where("_n > 1")
             .select("_table", SHARD)
@@ -496,7 +540,7 @@ class TableGroup:
         """The change log; begin and end of a span are both included."""
         if not self._fs.exists(self._path(f"{self.root}/changes")):
             return self.spark.createDataFrame([], _CHANGE_SCHEMA)
-        return self.spark.read.schema(_CHANGE_SCHEMA).parquet(f"{self.root}/changes")
+        return self.spark.read.schema(_CHANGE_SCHEMA).parquet(f"{self.root}/changes").drop("_v")
 
     def change_stream(self) -> DataFrame:
         """The change log as a stream."""

@@ -17,6 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.errors import InvalidArgument
 
 
+def _epochs(fs, path) -> list[int]:
+    """Published deliveries, oldest first; there are never more than a few."""
+    if not fs.exists(path):
+        return []
+    names = [re.fullmatch(r"epoch=(\d+)", s.getPath().getName()) for s in fs.listStatus(path)]
+    return sorted(int(name.group(1)) for name in names if name)
+
+
 class ContinuousQuery:
     """Handle of a running query: ``probe``, ``results``, ``latest``, ``stop``."""
 
@@ -29,17 +37,6 @@ class ContinuousQuery:
         self._path = path(folder)
         self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _epochs(self) -> list[int]:
-        """Complete deliveries; only the newest ones exist."""
-        if not self._fs.exists(self._path):
-            return []
-        found = []
-        for status in self._fs.listStatus(self._path):
-            match = re.fullmatch(r"epoch=(\d+)", status.getPath().getName())
-            if match and self._fs.exists(status.getPath().suffix("/_SUCCESS")):
-                found.append(int(match.group(1)))
-        return sorted(found)
-
     def _raise_failure(self) -> None:
         error = self.query.exception()
         if error is not None:
@@ -48,7 +45,7 @@ class ContinuousQuery:
     def latest(self) -> DataFrame | None:
         """The newest delivery, whether or not it was read before."""
         self._raise_failure()
-        epochs = self._epochs()
+        epochs = _epochs(self._fs, self._path)
         if not epochs:
             return None
         self._delivered = max(self._delivered, epochs[-1])
@@ -57,7 +54,7 @@ class ContinuousQuery:
     def probe(self) -> DataFrame | None:
         """The newest delivery if it was not read yet."""
         self._raise_failure()
-        epochs = self._epochs()
+        epochs = _epochs(self._fs, self._path)
         return self.latest() if epochs and epochs[-1] > self._delivered else None
 
     def results(self, timeout: float | None = None, poll: float = 0.1) -> DataFrame:
@@ -84,17 +81,28 @@ class ContinuousQuery:
         self.query.stop()
 
 
-def _snapshots(folder: str, fn: Callable[[DataFrame], DataFrame] | None = None):
-    """foreachBatch writer: one folder per epoch, older ones dropped, reruns overwrite."""
+def _snapshots(folder: str, keep_empty: bool):
+    """foreachBatch writer: one folder per epoch, published by rename, older ones dropped.
+
+    Micro-batches that bring nothing new do not replace the last delivery, unless the
+    whole result may be empty (``keep_empty``).
+    """
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        result = batch if fn is None else fn(batch)
-        result.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
-        context = batch.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path
-        fs = path(folder).getFileSystem(context._jsc.hadoopConfiguration())
+    def write(result: DataFrame, epoch: int) -> None:
+        session = result.sparkSession
+        path = session.sparkContext._jvm.org.apache.hadoop.fs.Path
+        staging, final = f"{folder}-staging/epoch={epoch}", path(f"{folder}/epoch={epoch}")
+        fs = final.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
+        result.write.mode("overwrite").parquet(staging)
+        if not keep_empty and session.read.schema(result.schema).parquet(staging).isEmpty():
+            fs.delete(path(staging), True)
+            return
+        fs.mkdirs(path(folder))
+        fs.delete(final, True)
+        fs.rename(path(staging), final)
         # Keep the one before, a reader may be using it.
-        fs.delete(path(f"{folder}/epoch={epoch - 2}"), True)
+        for old in _epochs(fs, path(folder))[:-2]:
+            fs.delete(path(f"{folder}/epoch={old}"), True)
 
     return write
 
@@ -132,12 +140,12 @@ def continuous(
         return writer.start()
 
     if mode == "new":
-        return ContinuousQuery(start(fn(stream), "update", _snapshots(out)), spark, out)
+        return ContinuousQuery(start(fn(stream), "update", _snapshots(out, False)), spark, out)
     try:
-        query = start(fn(stream), "complete", _snapshots(out))
+        query = start(fn(stream), "complete", _snapshots(out, True))
     except AnalysisException:  # no aggregation: the engine cannot give complete output
         rows = f"{folder}/rows"
-        snapshot = _snapshots(out)
+        snapshot = _snapshots(out, True)
 
         def whole(batch: DataFrame, epoch: int) -> None:
             batch.write.mode("overwrite").parquet(f"{rows}/epoch={epoch}")

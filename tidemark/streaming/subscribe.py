@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ranges import replay
-from tidemark.schema import TABLE, quoted
 
 
 def unseen(log: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -35,6 +34,7 @@ def follow(
     table: str | None = None,
     pace: str = "100 milliseconds",
     available_now: bool = False,
+    delay: str = "1 hour",
     **replay_options,
 ) -> StreamingQuery:
     """Stream a change log, look up each new transaction's rows and deliver them.
@@ -48,7 +48,7 @@ def follow(
     def on_batch(batch: DataFrame, epoch: int) -> None:
         deliver(replay(batch, rows(), **replay_options), epoch)
 
-    writer = unseen(source).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = unseen(source, delay).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=pace)
     return writer.foreachBatch(on_batch).start()
 
@@ -68,6 +68,3 @@ def subscribe(group, table: str, deliver, *, checkpoint: str, **options) -> Stre
     current = lambda: group.read([table])
     return follow(group.change_stream(), current, deliver, checkpoint=checkpoint, table=table, **options)
 
-
-def table_rows(df: DataFrame, table: str) -> DataFrame:
-    return df.where(F.col(quoted(TABLE)) == table)
