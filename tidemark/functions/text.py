@@ -43,8 +43,9 @@ def int_or_text(text: Column) -> Column:
 
 def op_split(label: Column) -> Column:
     """Trace label -> struct(is_start, op); both null for labels that are no span edge."""
-    is_start = F.when(label.endswith("_starts"), True).when(label.endswith("_ends"), False)
+    starts, ends = label.endswith("_starts"), label.endswith("_ends")
+    cut = lambda suffix: F.left(label, F.length(label) - len(suffix))
     return F.struct(
-        is_start.alias("is_start"),
-        F.when(is_start.isNotNull(), F.regexp_replace(label, "_(starts|ends)$", "")).alias("op"),
+        F.when(starts, True).when(ends, False).alias("is_start"),
+        F.when(starts, cut("_starts")).when(ends, cut("_ends")).alias("op"),
     )

@@ -34,12 +34,11 @@ def metric_delta(before: DataFrame, after: DataFrame) -> DataFrame:
 def metric_delta_series(snapshots: DataFrame) -> DataFrame:
     """Growth per id from one snapshot to the next; snapshots without growth left out.
 
-    An id may have any number of snapshots: the previous total is carried over chunks
-    of one day, so no id is handled by one task alone.
+    An id may have any number of snapshots.
     """
     ordered = snapshots.groupBy("id", "snapshot_ts").agg(F.max("ns").alias("ns"))
     staged = ordered.withColumn("_us", micros(F.col("snapshot_ts")))
-    scanned = prefix_scan(staged, ["id"], "_us", previous={"_before": F.col("ns")}, chunk=86_400_000_000)
+    scanned = prefix_scan(staged, ["id"], "_us", previous={"_before": F.col("ns")})
     return scanned.where("_before IS NULL OR ns > _before").select(
         "id", "snapshot_ts", (F.col("ns") - F.coalesce("_before", F.lit(0))).alias("ns")
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import InvalidArgument
 from tidemark.functions.time import MICROS, floor_div, micros, timestamp
 from tidemark.schema import SHARD, TABLE, TS, quoted
-from tidemark.session import BROADCAST_ROWS, checked_broadcast, checkpoint, fits
+from tidemark.session import BROADCAST_ROWS, checkpoint, fits
 
 
 def between(ts: Column, begin, end, closed: bool = False) -> Column:
@@ -239,7 +239,3 @@ def aggregate_chunks(
         .agg(*aggregates)
     )
 
-
-def tagged_side(names: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A list of names to semi-join with: broadcast if its checked size allows."""
-    return checked_broadcast(names, max_rows)

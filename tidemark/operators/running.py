@@ -1,12 +1,15 @@
 """Running values and positions that survive one very large group.
 
-A plain window puts a whole group into one task. Here a group is cut into chunks
-of its own integer order column; windows run inside chunks, a second window runs
-over one summary row per chunk, and both are combined by an equi-join.
+A plain window puts a whole group into one task. That is the best plan while all groups
+are moderate, so the largest one is measured first. Beyond the limit, groups are cut
+into chunks of their integer order column; windows run inside chunks, a second window
+runs over one summary row per chunk, and both are combined by an equi-join.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,7 +18,30 @@ from tidemark.functions.time import floor_div
 from tidemark.schema import INDEX, TS, quoted
 from tidemark.session import checked_broadcast, checkpoint
 
-CHUNK = 65_536
+# Rows one task may take for one group.
+GROUP_ROWS = 1_000_000
+
+
+def chunk_width(df: DataFrame, by: list[str], order: str, limit: int = GROUP_ROWS) -> int | None:
+    """Width of ``order`` that holds about ``limit`` rows of the densest group.
+
+    None if no group is larger than ``limit``. Since ``order`` is unique in a group, a
+    chunk can never hold more rows than its width.
+    """
+    at = F.col(quoted(order))
+    groups = df.groupBy(*[quoted(k) for k in by]).agg(F.count("*").alias("_n"), span(at))
+    return width_for(*groups.agg(F.max("_n"), F.max(F.col("_n") / F.col("_span"))).first(), limit)
+
+
+def span(at: Column) -> Column:
+    return (F.max(at) - F.min(at) + 1).cast("double").alias("_span")
+
+
+def width_for(largest: int | None, density: float | None, limit: int = GROUP_ROWS) -> int | None:
+    """Chunk width for a largest group and a highest density (rows per unit of order)."""
+    if largest is None or largest <= limit:
+        return None
+    return max(1, math.ceil(limit / density))
 
 
 def prefix_scan(
@@ -26,38 +52,52 @@ def prefix_scan(
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
     previous: dict[str, Column] | None = None,
-    chunk: int = CHUNK,
+    limit: int = GROUP_ROWS,
+    width: int | None | str = "measure",
 ) -> DataFrame:
     """Add running columns per group ``by`` along the integer column ``order``.
 
     ``sums``: running sum including the row. ``lasts``: last non-null value up to the
     row. ``previous``: last non-null value before the row. ``order`` must be unique
-    within a group, so a chunk never holds more than ``chunk`` rows.
+    within a group. ``width`` is the chunk width if it was measured before.
     """
     sums, lasts, previous = sums or {}, lasts or {}, previous or {}
+    if width == "measure":
+        width = chunk_width(df, by, order, limit)
+    if width is not None:
+        return _chunked_scan(df, by, order, sums, lasts, previous, width)
+    group = W.partitionBy(*[quoted(k) for k in by]).orderBy(quoted(order))
+    upto = group.rowsBetween(W.unboundedPreceding, W.currentRow)
+    ahead = group.rowsBetween(W.unboundedPreceding, -1)
+    return df.withColumns(
+        {n: F.sum(v).over(upto) for n, v in sums.items()}
+        | {n: F.last(v, True).over(upto) for n, v in lasts.items()}
+        | {n: F.last(v, True).over(ahead) for n, v in previous.items()}
+    )
+
+
+def _chunked_scan(df, by, order, sums, lasts, previous, width: int) -> DataFrame:
     names = [*sums, *lasts, *previous]
     values = {**sums, **lasts, **previous}
     staged = df.withColumns(
         {f"_v_{n}": v for n, v in values.items()}
-        | {"_chunk": floor_div(F.col(quoted(order)), chunk)}
+        | {"_chunk": floor_div(F.col(quoted(order)), width)}
     )
     keys = [quoted(k) for k in by]
+    at = F.col(quoted(order))
+    set_at = lambda n: F.when(F.col(f"_v_{n}").isNotNull(), at)
     totals = staged.groupBy(*keys, "_chunk").agg(
         *[
-            F.sum(f"_v_{n}").alias(f"_t_{n}")
-            if n in sums
-            else F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col(quoted(order)))).alias(f"_t_{n}")
+            (F.sum(f"_v_{n}") if n in sums else F.max_by(f"_v_{n}", set_at(n))).alias(f"_t_{n}")
             for n in names
         ]
     )
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    carry = lambda n: F.sum(f"_t_{n}") if n in sums else F.last(f"_t_{n}", True)
     carried = totals.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_chunk").alias("_carry_chunk"),
-        *[
-            (F.sum(f"_t_{n}").over(before) if n in sums else F.last(f"_t_{n}", True).over(before)).alias(f"_c_{n}")
-            for n in names
-        ],
+        *[carry(n).over(before).alias(f"_c_{n}") for n in names],
     )
     same = F.col("_chunk") == F.col("_carry_chunk")
     for i, k in enumerate(keys):
@@ -71,8 +111,12 @@ def prefix_scan(
         | {f"_w_{n}": F.last(f"_v_{n}", True).over(ahead) for n in previous}
     )
     joined = local.join(carried, same, "left")
+    zero = F.lit(0)
     combined = {
-        n: F.coalesce(F.col(f"_w_{n}"), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
+        n: F.when(
+            F.col(f"_w_{n}").isNotNull() | F.col(f"_c_{n}").isNotNull(),
+            F.coalesce(F.col(f"_w_{n}"), zero) + F.coalesce(F.col(f"_c_{n}"), zero),
+        )
         if n in sums
         else F.coalesce(F.col(f"_w_{n}"), F.col(f"_c_{n}"))
         for n in names
@@ -82,9 +126,11 @@ def prefix_scan(
     )
 
 
-def group_position(df: DataFrame, by: list[str], order: str, name: str = "pos", chunk: int = CHUNK) -> DataFrame:
+def group_position(
+    df: DataFrame, by: list[str], order: str, name: str = "pos", limit: int = GROUP_ROWS
+) -> DataFrame:
     """Position 1..n of each row within its group."""
-    return prefix_scan(df, by, order, sums={name: F.lit(1).cast("long")}, chunk=chunk)
+    return prefix_scan(df, by, order, sums={name: F.lit(1).cast("long")}, limit=limit)
 
 
 def row_index(df: DataFrame, order_by: list[str] | None = None, name: str = INDEX) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import AliasNotFound, InvalidArgument
-from tidemark.operators.ranges import in_ranges, tagged_side
+from tidemark.operators.ranges import in_ranges
 from tidemark.operators.running import row_index
 from tidemark.operators.tags import find
 from tidemark.schema import INDEX, TABLE, TS, quoted
+from tidemark.session import small_side
 
 
 def project(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -41,11 +42,13 @@ def scan_tagged(
     df: DataFrame, tags: DataFrame, all_of: list[str], ranges=None, *, alias: str = "alias"
 ) -> DataFrame:
     """Rows of every table that carries all the tags; unknown tags are an error."""
-    names = find(tags, all_of=all_of)
-    if names.isEmpty():
+    names, count = small_side(find(tags, all_of=all_of))
+    if count == 0:
         raise AliasNotFound(f"no entry carries the tags {list(all_of)}")
     rows = in_ranges(df, ranges)
-    return rows.join(tagged_side(names), rows[quoted(TABLE)] == names[alias], "left_semi")
+    side = names.select(F.col(alias).alias("_tagged"))
+    side = side if count is None else F.broadcast(side)
+    return rows.join(side, F.col(quoted(TABLE)) == F.col("_tagged"), "left_semi")
 
 
 def union_tables(frames: dict[str, DataFrame]) -> DataFrame:

@@ -84,6 +84,7 @@ def stat_metadata(parsed: DataFrame) -> DataFrame:
 def _described(parsed: DataFrame) -> DataFrame:
     """Values of metrics that have a type or unit, with both; internal ones left out."""
     values = parsed.where((F.col("suffix") == "value") & ~F.col("metric").startswith("serialized"))
+    # One row per metric, so this side stays far below the values.
     typed = values.join(checked_broadcast(stat_metadata(parsed)), ["node", "metric"], "inner")
     return typed.withColumn("_v", int_or_text(F.col("value")))
 

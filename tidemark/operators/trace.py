@@ -2,7 +2,7 @@
 
 Spans of one profile nest, and an operation never nests in itself, so a stack is
 never deeper than there are operations. Everything is computed by running values
-over chunks of ``seq``; a profile of any length is spread over many tasks.
+along ``seq``; a profile of any length may be spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,13 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import op_split
-from tidemark.operators.running import CHUNK, group_position, prefix_scan
-from tidemark.session import checkpoint
+from tidemark.operators.running import GROUP_ROWS, group_position, prefix_scan, span, width_for
 
 
-def profiles(trace: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def profiles(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     """Ordered measurements per profile: position, label, nanoseconds."""
-    return group_position(trace, ["profile"], "seq", "pos", chunk).select("profile", "pos", "label", "ns")
+    return group_position(trace, ["profile"], "seq", "pos", limit).select("profile", "pos", "label", "ns")
 
 
 def edges(trace: DataFrame) -> DataFrame:
@@ -29,9 +28,9 @@ def edges(trace: DataFrame) -> DataFrame:
     )
 
 
-def span_pairs(trace: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def span_pairs(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     """Each span with its start and end: the n-th start of an operation meets its n-th end."""
-    numbered = group_position(edges(trace), ["profile", "op", "is_start"], "seq", "nth", chunk)
+    numbered = group_position(edges(trace), ["profile", "op", "is_start"], "seq", "nth", limit)
     at = lambda start, c: F.max(F.when(F.col("is_start") == start, F.col(c)))
     return (
         numbered.groupBy("profile", "op", "nth")
@@ -46,19 +45,25 @@ def span_pairs(trace: DataFrame, chunk: int = CHUNK) -> DataFrame:
     )
 
 
-def flamegraph(trace: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def flamegraph(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     """Folded stacks ``profile;op;op <ns>``, one per closed span; ``seq`` is its end.
 
     The nesting depth is a running sum of starts and ends. The operation open at depth
     d is the last start at that depth, so one column per depth gives the whole stack.
     """
+    steps = edges(trace)
+    # One measuring pass: group sizes, and the number of operations as a bound of the depth.
+    groups = steps.groupBy("profile").agg(
+        F.count("*").alias("_n"), span(F.col("seq")), F.size(F.collect_set("op")).alias("_ops")
+    )
+    largest, density, deepest = groups.agg(
+        F.max("_n"), F.max(F.col("_n") / F.col("_span")), F.max("_ops")
+    ).first()
+    width, deepest = width_for(largest, density, limit), deepest or 0
     step = F.when(F.col("is_start"), 1).otherwise(-1).cast("long")
-    depth = prefix_scan(edges(trace), ["profile"], "seq", sums={"_after": step}, chunk=chunk)
+    depth = prefix_scan(steps, ["profile"], "seq", sums={"_after": step}, width=width)
     # Depth of the span an edge belongs to: after its start, before its end.
-    depth = checkpoint(
-        depth.withColumn("depth", F.col("_after") + F.when(F.col("is_start"), 0).otherwise(1))
-    )
-    deepest = depth.agg(F.max("depth")).first()[0] or 0
+    depth = depth.withColumn("depth", F.col("_after") + F.when(F.col("is_start"), 0).otherwise(1))
     opened = lambda d: F.col("is_start") & (F.col("depth") == d)
     stack = prefix_scan(
         depth,
@@ -67,7 +72,7 @@ def flamegraph(trace: DataFrame, chunk: int = CHUNK) -> DataFrame:
         lasts={
             f"_open{d}": F.when(opened(d), F.struct("op", "ns")) for d in range(1, deepest + 1)
         },
-        chunk=chunk,
+        width=width,
     )
     names = [
         F.when(F.col("depth") >= d, F.col(f"_open{d}.op")) for d in range(1, deepest + 1)

@@ -7,6 +7,7 @@ from tidemark.plans.queries import rounded
 from tidemark.plans.registry import plain, plan, with_inputs
 from tidemark.plans.scans import ALIASES_SQL, _aliases
 from tidemark.schema import TABLE, TS
+from tidemark.session import checkpoint
 
 
 @plan("a_count", with_inputs("clean") + 'SELECT count(the_double) AS n_double, count(the_string) AS n_string FROM clean')
@@ -99,19 +100,24 @@ STAT_SQL = with_inputs("stats") + r""", parsed AS (
 """
 
 
+def stats_of(t):
+    """The statistics keys, derived once: the operators read them for types and for values."""
+    return checkpoint(t.derived("stats"))
+
+
 @plan("a_stats_cumulative", STAT_SQL + "SELECT * EXCLUDE (uid) FROM described WHERE uid IS NULL")
 def a_stats_cumulative(t):
-    return stats.stats_cumulative(t.derived("stats"))
+    return stats.stats_cumulative(stats_of(t))
 
 
 @plan("a_stats_by_uid", STAT_SQL + "SELECT * FROM described WHERE uid IS NOT NULL")
 def a_stats_by_uid(t):
-    return stats.stats_by_uid(t.derived("stats"))
+    return stats.stats_by_uid(stats_of(t))
 
 
 @plan("a_stats_by_node", STAT_SQL + "SELECT * FROM described")
 def a_stats_by_node(t):
-    return stats.stats_by_node(t.derived("stats"))
+    return stats.stats_by_node(stats_of(t))
 
 
 @plan(
@@ -121,7 +127,7 @@ def a_stats_by_node(t):
                 AS "type", CASE unit_name WHEN 'none' THEN 0 WHEN 'count' THEN 1 END AS unit FROM meta""",
 )
 def j_stat_meta(t):
-    return stats.stat_metadata(stats.parse_stats(t.derived("stats")))
+    return stats.stat_metadata(stats.parse_stats(stats_of(t)))
 
 
 # ---------------------------------------------------------------- traces
@@ -180,7 +186,7 @@ PAIRS_SQL = TRACE_SQL + """, e AS (
 
 @plan("j_span_pair", PAIRS_SQL + " SELECT * FROM spans")
 def j_span_pair(t):
-    return trace.span_pairs(trace_of(t), chunk=4096)
+    return trace.span_pairs(trace_of(t))
 
 
 @plan(
@@ -194,7 +200,7 @@ def j_span_pair(t):
           GROUP BY i.profile, i.end_seq, i.elapsed_ns""",
 )
 def a_flamegraph(t):
-    return trace.flamegraph(trace_of(t), chunk=4096)
+    return trace.flamegraph(trace_of(t))
 
 
 @plan(
@@ -203,7 +209,7 @@ def a_flamegraph(t):
     + "SELECT profile, row_number() OVER (PARTITION BY profile ORDER BY seq) AS pos, label, ns FROM trace",
 )
 def a_profile_table(t):
-    return trace.profiles(trace_of(t), chunk=4096)
+    return trace.profiles(trace_of(t))
 
 
 @plan(

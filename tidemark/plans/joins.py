@@ -134,6 +134,6 @@ def w_metric_delta(t):
     day = F.date_trunc("day", "snapshot_ts").cast("timestamp_ntz").alias("snapshot_ts")
     daily = t.derived("samples").groupBy("id", day).agg(F.sum("ns").alias("day_ns"))
     staged = daily.withColumn("_us", micros(F.col("snapshot_ts")))
-    snapshots = prefix_scan(staged, ["id"], "_us", sums={"ns": F.col("day_ns")}, chunk=7 * 86_400_000_000)
+    snapshots = prefix_scan(staged, ["id"], "_us", sums={"ns": F.col("day_ns")})
     return metrics.metric_delta_series(snapshots)
 

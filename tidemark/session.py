@@ -64,13 +64,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than needed."""
+    """Whether ``df`` has at most ``max_rows`` rows. For inputs that are cheap to read."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int | None]:
+    """``df`` evaluated once if it has at most ``max_rows`` rows, with its row count.
+
+    A larger ``df`` comes back as it is, with None.
+    """
+    probe = checkpoint(df.limit(max_rows + 1))
+    rows = probe.count()
+    return (probe, rows) if rows <= max_rows else (df, None)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if the size check passes; otherwise leave the choice to AQE."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    side, rows = small_side(df, max_rows)
+    return side if rows is None else F.broadcast(side)
 
 
 def require_utc(spark: SparkSession) -> None:
