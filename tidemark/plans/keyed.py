@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import kv, tags
+from tidemark.operators import kv, oplog, tags
 from tidemark.plans.registry import plan, with_inputs
 
 NOW = datetime(2024, 2, 1)
@@ -197,6 +197,33 @@ def kv_metadata_text(t):
     return kv.metadata(texts, texts.select("key"), "string")
 
 
+def operations(t):
+    """Events as operations on their user's value; which one follows from type and value."""
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    chosen = F.expr(
+        """CASE event_type WHEN 'click' THEN 'add' WHEN 'view' THEN 'get' WHEN 'purchase' THEN 'update'
+           WHEN 'signup' THEN CASE WHEN value < 10 THEN 'get_and_remove' WHEN value < 40 THEN 'put'
+                              ELSE 'get_and_update' END
+           ELSE CASE WHEN value < 20 THEN 'cas' WHEN value < 40 THEN 'remove_if' ELSE 'remove' END END"""
+    )
+    return t.events.select(
+        F.col("user_id").alias("key"), F.col("event_id").alias("seq"), chosen.alias("op"),
+        (cents % 7).alias("value"), (cents % 3).alias("comparand"),
+    )
+
+
+@plan("kv_replay")
+def kv_replay(t):
+    """Result of every operation of the log, in log order per key."""
+    return oplog.replay(t.derived("kv"), operations(t))[1]
+
+
+@plan("kv_replay_state")
+def kv_replay_state(t):
+    """Values after the whole log."""
+    return oplog.replay(t.derived("kv"), operations(t))[0]
+
+
 # ---------------------------------------------------------------- tags
 
 # Every customer asks for a tag on the user of the same number; some users have it.
