@@ -19,7 +19,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4", spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import timestamp
 from tidemark.operators.write import one_per_key
+from tidemark.session import small_side
 
 
 def _never() -> Column:
@@ -29,24 +30,35 @@ def _asked(requests: DataFrame, seq: str | None, keep: str) -> DataFrame:
     return rows.select(*[F.col(c).alias(c if c == "key" else f"_req_{c}") for c in rows.columns])
 
 
-def _joined(kv: DataFrame, asked: DataFrame, how: str) -> DataFrame:
+def _joined(kv: DataFrame, asked: DataFrame) -> DataFrame:
+    """Full join of table and requests with the flags ``_stored`` and ``_asked``.
+
+    Few requests are sent to the table, which is then only scanned; the keys they did
+    not find are added behind. Many requests meet the table in one shuffle.
+    """
     left = kv.withColumn("_stored", F.lit(True))
-    right = asked.withColumn("_asked", F.lit(True))
-    return left.join(right, "key", how).withColumns(
+    side, rows = small_side(asked.withColumn("_asked", F.lit(True)))
+    if rows is None:
+        both = left.join(side, "key", "full")
+    else:
+        found = kv.select("key").join(F.broadcast(side.select("key")), "key", "left_semi")
+        unknown = side.join(found, "key", "left_anti")
+        both = left.join(F.broadcast(side), "key", "left").unionByName(unknown, allowMissingColumns=True)
+    return both.withColumns(
         {"_stored": F.coalesce("_stored", F.lit(False)), "_asked": F.coalesce("_asked", F.lit(False))}
     )
 
 
 def get(kv: DataFrame, requests: DataFrame) -> DataFrame:
     """Values of the asked keys; ``missing`` where there is none."""
-    found = _joined(kv, _asked(requests.select("key"), None, "first"), "right")
+    found = _joined(kv, _asked(requests.select("key"), None, "first")).where("_asked")
     return found.select("key", "value", (~F.col("_stored")).alias("missing"))
 
 
 def put(kv: DataFrame, requests: DataFrame, now, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Insert absent keys; ``created`` is false for keys that exist already."""
     asked = _asked(requests.select("key", "value", *([seq] if seq else [])), seq, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     new = both.select(
         "key",
         F.when(F.col("_stored"), F.col("value")).otherwise(F.col("_req_value")).alias("value"),
@@ -59,7 +71,7 @@ def put(kv: DataFrame, requests: DataFrame, now, seq: str | None = None) -> tupl
 def update(kv: DataFrame, requests: DataFrame, now, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Insert or replace; the expiry goes back to never. ``created`` tells new keys."""
     asked = _asked(requests.select("key", "value", *([seq] if seq else [])), seq, "last")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     new = both.select(
         "key",
         F.when(F.col("_asked"), F.col("_req_value")).otherwise(F.col("value")).alias("value"),
@@ -72,7 +84,7 @@ def update(kv: DataFrame, requests: DataFrame, now, seq: str | None = None) -> t
 def remove(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Delete the asked keys; ``removed`` is false for missing ones."""
     asked = _asked(requests.select("key"), None, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     return both.where("NOT _asked").select(*kv.columns), both.where("_asked").select(
         "key", F.col("_stored").alias("removed")
     )
@@ -81,7 +93,7 @@ def remove(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 def remove_if(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Delete keys whose value equals ``comparand``; others stay."""
     asked = _asked(requests.select("key", "comparand"), None, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     hit = F.col("_stored") & F.col("_asked") & F.col("value").eqNullSafe(F.col("_req_comparand"))
     new = both.where(F.col("_stored") & ~hit).select(*kv.columns)
     return new, both.where("_asked").select("key", hit.alias("removed"))
@@ -90,7 +102,7 @@ def remove_if(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]
 def get_and_update(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
     """Replace the values of existing keys and return the old ones."""
     asked = _asked(requests.select("key", "value"), None, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     new = both.where("_stored").select(
         "key",
         F.when(F.col("_asked"), F.col("_req_value")).otherwise(F.col("value")).alias("value"),
@@ -105,7 +117,7 @@ def get_and_update(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame,
 def get_and_remove(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Delete the asked keys and return their values."""
     asked = _asked(requests.select("key"), None, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     return both.where("NOT _asked").select(*kv.columns), both.where("_asked").select(
         "key", F.col("value").alias("old_value"), (~F.col("_stored")).alias("missing")
     )
@@ -117,7 +129,7 @@ def compare_and_swap(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame
     The result is null after a swap and the kept value otherwise.
     """
     asked = _asked(requests.select("key", "value", "comparand"), None, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     swap = F.col("_stored") & F.col("_asked") & F.col("value").eqNullSafe(F.col("_req_comparand"))
     new = both.where("_stored").select(
         "key",
@@ -140,7 +152,7 @@ def add(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
     Requests are summed before the shuffle. An overflow raises.
     """
     asked = requests.groupBy("key").agg(F.sum("addend").alias("_req_addend"))
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     total = F.col("value") + F.coalesce("_req_addend", F.lit(0))
     new = both.where("_stored").select(
         "key",
@@ -156,7 +168,7 @@ def add(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
 def expire_at(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Set an absolute expiry, kept to the millisecond; missing keys are reported."""
     asked = _asked(requests.select("key", "expires_at"), None, "first")
-    both = _joined(kv, asked, "full")
+    both = _joined(kv, asked)
     when = F.date_trunc("MILLISECOND", F.col("_req_expires_at")).cast("timestamp_ntz")
     new = both.where("_stored").select(
         "key", "value", "modified_at",
@@ -174,7 +186,7 @@ def expire_from_now(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame,
 
 def metadata(kv: DataFrame, requests: DataFrame, entry_type: str) -> DataFrame:
     """Type, size in bytes, modification time (seconds) and expiry of the asked keys."""
-    found = _joined(kv, _asked(requests.select("key"), None, "first"), "right")
+    found = _joined(kv, _asked(requests.select("key"), None, "first")).where("_asked")
     text = F.col("value") if entry_type in ("string", "blob") else None
     size = F.octet_length(text) if text is not None else F.when(F.col("_stored"), F.lit(8))
     return found.select(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import InvalidArgument
-from tidemark.functions.time import MICROS, floor_div, micros, timestamp
+from tidemark.functions.time import MICROS, floor_div, from_micros, micros, timestamp
 from tidemark.schema import SHARD, TABLE, TS, quoted
 from tidemark.session import BROADCAST_ROWS, checkpoint, fits
 
@@ -80,9 +80,15 @@ def _cell(us: str, level: str) -> Column:
     return F.expr(f"shiftright({us}, 4 * ({level} - 1))")
 
 
-def _levels(df: DataFrame) -> list[int]:
-    """Grids in use: at most 16 small integers."""
-    return sorted(row[0] for row in df.select("level").distinct().collect())
+def _grids(df: DataFrame, low: str, high: str) -> tuple[list[int], int, int]:
+    """Grids in use (at most 16 small integers) and the extent of all ranges."""
+    rows = df.groupBy("level").agg(F.min(low), F.max(high)).collect()
+    return sorted(r[0] for r in rows), min((r[1] for r in rows), default=0), max((r[2] for r in rows), default=0)
+
+
+def _within(ts: Column, low: int, high: int) -> Column:
+    """Literal bounds, both included, that reach the scan."""
+    return ts.between(from_micros(F.lit(low)), from_micros(F.lit(high)))
 
 
 def in_range_set(
@@ -126,7 +132,12 @@ def in_range_set(
     small = fits(lookup, broadcast_rows)
     us = micros(F.col(quoted(ts)))
     found, hits, extra = df, [], []
-    for level in _levels(lookup):
+    extents = lookup.withColumns(
+        {"low": F.expr("shiftleft(cell, 4 * (level - 1))"), "high": F.expr("shiftleft(cell + 1, 4 * (level - 1))")}
+    )
+    levels, low, high = _grids(extents, "low", "high")
+    found = found.where(_within(F.col(quoted(ts)), low, high))
+    for level in levels:
         side = lookup.where(F.col("level") == level).select(
             F.col("cell").alias(f"_cell{level}"),
             F.col("prefix_end").alias(f"_end{level}"),
@@ -179,14 +190,14 @@ def replay(
         .withColumn("level", _level(F.col("_e") - F.col("_b") + 1))
     )
     spans = checkpoint(spans)
-    levels = _levels(spans)
-    if not levels:
-        levels = [1]
+    levels, low, high = _grids(spans, "_b", "_e")
+    levels = levels or [1]
     cells = spans.withColumn(
         "cell", F.explode(F.sequence(_cell("_b", "level"), _cell("_e", "level")))
     )
     rows = (
-        df.withColumn("_us", micros(F.col(quoted(ts))))
+        df.where(_within(F.col(quoted(ts)), low, high))
+        .withColumn("_us", micros(F.col(quoted(ts))))
         .withColumn("_row_level", F.explode(F.array(*[F.lit(n) for n in levels])))
         .withColumn("_row_cell", _cell("_us", "_row_level"))
     )

@@ -34,11 +34,16 @@ def intersect(tags: DataFrame, first: str, second: str) -> DataFrame:
     return carry(first).intersect(carry(second))
 
 
+def _judged(tags: DataFrame, asked: DataFrame) -> DataFrame:
+    """Requests with ``_held``. Only tags that are asked for are looked at any further."""
+    pairs = checked_broadcast(asked.select("alias", "tag").distinct())
+    held = tags.join(pairs, ["alias", "tag"], "left_semi").select("alias", "tag").distinct()
+    return asked.join(held.withColumn("_held", F.lit(True)), ["alias", "tag"], "left")
+
+
 def attach(tags: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Add (alias, tag) pairs; returns the new tags and each request with ``changed``."""
-    asked = requests.select("alias", "entry_type", "tag").dropDuplicates(["alias", "tag"])
-    held = tags.select("alias", "tag").distinct().withColumn("_held", F.lit(True))
-    judged = asked.join(held, ["alias", "tag"], "left")
+    judged = _judged(tags, requests.select("alias", "entry_type", "tag").dropDuplicates(["alias", "tag"]))
     added = judged.where("_held IS NULL").select(*tags.columns)
     outcome = judged.select("alias", "tag", F.col("_held").isNull().alias("changed"))
     return tags.unionByName(added), outcome
@@ -46,18 +51,14 @@ def attach(tags: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def detach(tags: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Remove (alias, tag) pairs; returns the new tags and each request with ``changed``."""
-    asked = requests.select("alias", "tag").distinct()
-    held = tags.select("alias", "tag").distinct().withColumn("_held", F.lit(True))
-    outcome = asked.join(held, ["alias", "tag"], "left").select(
-        "alias", "tag", F.col("_held").isNotNull().alias("changed")
-    )
+    asked = checked_broadcast(requests.select("alias", "tag").distinct())
+    outcome = _judged(tags, asked).select("alias", "tag", F.col("_held").isNotNull().alias("changed"))
     return tags.join(asked, ["alias", "tag"], "left_anti").select(*tags.columns), outcome
 
 
 def has_tag(tags: DataFrame, requests: DataFrame) -> DataFrame:
     """Each (alias, tag) request with whether it is set."""
-    held = tags.select("alias", "tag").distinct().withColumn("_held", F.lit(True))
-    return requests.select("alias", "tag").join(held, ["alias", "tag"], "left").select(
+    return _judged(tags, requests.select("alias", "tag")).select(
         "alias", "tag", F.col("_held").isNotNull().alias("has_tag")
     )
 

@@ -16,6 +16,7 @@ from tidemark.errors import IncompatibleTypes, InvalidArgument
 from tidemark.functions.nulls import normalise
 from tidemark.operators.ranges import between
 from tidemark.schema import SHARD, TABLE, TS, TableSchema, quoted
+from tidemark.session import checked_broadcast, small_side
 
 
 # ---------------------------------------------------------------- shaping a batch
@@ -184,12 +185,23 @@ def _key_side(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def dedup_new_rows(existing: DataFrame, batch: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
-    """Batch rows whose key is not stored yet; of equal keys the first one."""
+    """Batch rows whose key is not stored yet; of equal keys the first one.
+
+    The keys of a small batch are sent to the stored rows, so that those are scanned
+    but not shuffled.
+    """
     fresh = one_per_key(batch, keys, seq, "first")
-    stored = _key_side(existing, keys)
+    stored = _stored_keys(existing, batch, keys)
     return fresh.join(stored, same_key(fresh, stored, keys), "left_anti")
 
 
+def _stored_keys(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    asked, rows = small_side(_key_side(batch, keys))
+    if rows is not None:
+        existing = existing.join(F.broadcast(asked), same_key(existing, asked, keys), "left_semi")
+    return _key_side(existing, keys)
+
+
 def dedup_drop(existing: DataFrame, batch: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
     """Stored rows win: new rows with a stored key are dropped."""
     return existing.unionByName(dedup_new_rows(existing, batch, keys, seq))
@@ -197,14 +209,14 @@ def dedup_drop(existing: DataFrame, batch: DataFrame, keys: list[str], seq: str
 
 def dedup_upsert(existing: DataFrame, batch: DataFrame, keys: list[str], seq: str | None = None) -> DataFrame:
     """New rows win: stored rows with a key of the batch are replaced."""
-    replaced = _key_side(batch, keys)
+    replaced = checked_broadcast(_key_side(batch, keys))
     kept = existing.join(replaced, same_key(existing, replaced, keys), "left_anti")
     return kept.unionByName(one_per_key(batch, keys, seq, "last"))
 
 
 def without_stored(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Batch rows not stored with equal values in all columns; repeats in the batch stay."""
-    stored = _key_side(existing, batch.columns)
+    stored = _stored_keys(existing, batch, batch.columns)
     return batch.join(stored, same_key(batch, stored, batch.columns), "left_anti")
 
 

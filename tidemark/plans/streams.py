@@ -110,7 +110,7 @@ def st_subscribe(t):
     log, out = change_log(t), scratch_path(t.spark, "delivered")
     stream = log_folder(t, scratch_path(t.spark, "log"), log.unionByName(log))
     query = follow(
-        stream, lambda: t.series, to_folder(out), checkpoint=scratch_path(t.spark, "follow"), available_now=True,
+        stream, lambda ranges: t.series, to_folder(out), checkpoint=scratch_path(t.spark, "follow"), available_now=True,
         delay="60 days",
     )
     query.awaitTermination()
@@ -126,7 +126,7 @@ def st_checkpoint(t):
     for part in (log.where(F.col("log_ts") < middle), log.where(F.col("log_ts") >= middle)):
         stream = log_folder(t, folder, part)
         query = follow(
-            stream, lambda: t.series, to_folder(out), checkpoint=state, available_now=True, delay="60 days"
+            stream, lambda ranges: t.series, to_folder(out), checkpoint=state, available_now=True, delay="60 days"
         )
         query.awaitTermination()
     return plain(delivered(t, out, t.series))

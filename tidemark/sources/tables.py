@@ -32,7 +32,7 @@ from tidemark.operators import write as W
 from tidemark.operators.ranges import _shards, between, in_ranges
 from tidemark.operators.scan import project
 from tidemark.schema import SHARD, TABLE, TS, ColumnInfo, ColumnType, TableSchema, quoted
-from tidemark.session import fits, require_utc
+from tidemark.session import checked_broadcast, fits, require_utc
 
 _CHANGE_SCHEMA = "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
 
@@ -457,7 +457,7 @@ class TableGroup:
                 begin, end = range
                 gone = between(F.col(quoted(TS)), begin, end)
             stored = self._rows(names, catalog, self._shard_filter(names, catalog, [(begin, end)]))
-            touched = stored.where(gone).select("_table", SHARD).distinct()
+            touched = checked_broadcast(stored.where(gone).select("_table", SHARD).distinct())
             # Partly covered shards keep their other rows; at most two per table.
             kept = stored.join(touched, ["_table", SHARD], "left_semi").where(~gone)
             rows = self._stored_form(kept, staged)
@@ -479,14 +479,16 @@ class TableGroup:
             )
         stored = self._rows(names, catalog)
         if TS in keys:  # only shards the batch touches can hold an equal key
-            shards = staged.select("_table", SHARD).distinct()
-            stored = stored.join(F.broadcast(shards) if fits(shards) else shards, ["_table", SHARD], "left_semi")
+            shards = checked_broadcast(staged.select("_table", SHARD).distinct())
+            stored = stored.join(shards, ["_table", SHARD], "left_semi")
         if deduplication_mode == "drop":
             fresh = W.dedup_new_rows(stored, ordered, physical, order).drop("_seq")
             return self._commit("dedup_drop", fresh, staged, None, batch_id, now, based_on)
-        asked = staged.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in physical]).distinct()
+        asked = checked_broadcast(
+            staged.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in physical]).distinct()
+        )
         match = W.same_key(stored, asked, physical)
-        touched = stored.join(asked, match, "left_semi").select("_table", SHARD).distinct()
+        touched = checked_broadcast(stored.join(asked, match, "left_semi").select("_table", SHARD).distinct())
         kept = stored.join(touched, ["_table", SHARD], "left_semi")
         kept = kept.join(asked, W.same_key(kept, asked, physical), "left_anti")
         rows = self._stored_form(kept, W.one_per_key(ordered, physical, order, "last").drop("_seq"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ranges import replay
+from tidemark.session import checkpoint as save
 
 
 def unseen(log: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -25,9 +26,18 @@ def unseen(log: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def needed_ranges(spans: DataFrame, limit: int = 64) -> list[tuple]:
+    """Time ranges of the spans: one by one if they are few, their extent otherwise."""
+    spans = spans.select("begin", (F.col("end") + F.expr("INTERVAL '1' SECOND")).alias("end"))
+    few = spans.distinct().limit(limit + 1).collect()
+    if len(few) <= limit:
+        return [tuple(row) for row in few]
+    return [tuple(spans.agg(F.min("begin"), F.max("end")).first())]
+
+
 def follow(
     log: DataFrame,
-    rows: Callable[[], DataFrame],
+    rows: Callable[[list], DataFrame],
     deliver: Callable[[DataFrame, int], None],
     *,
     checkpoint: str,
@@ -39,14 +49,17 @@ def follow(
 ) -> StreamingQuery:
     """Stream a change log, look up each new transaction's rows and deliver them.
 
-    ``rows`` is called per micro-batch and gives the current table. ``deliver`` gets the
-    rows with log time and transaction id, and the epoch, which stays the same when a
+    ``rows`` is called per micro-batch with the time ranges it needs, and gives the
+    current table or at least those parts of it. ``deliver`` gets the rows with log time and transaction id, and the epoch, which stays the same when a
     batch is repeated after a failure. The checkpoint is the resume point.
     """
     source = log if table is None else log.where(F.col("table") == table)
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        deliver(replay(batch, rows(), **replay_options), epoch)
+        spans = save(batch)
+        ranges = needed_ranges(spans)
+        if ranges:
+            deliver(replay(spans, rows(ranges), **replay_options), epoch)
 
     writer = unseen(source, delay).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=pace)
@@ -65,6 +78,6 @@ def to_folder(folder: str) -> Callable[[DataFrame, int], None]:
 def subscribe(group, table: str, deliver, *, checkpoint: str, **options) -> StreamingQuery:
     """Follow one table of a ``TableGroup``."""
     group.schema(table)
-    current = lambda: group.read([table])
+    current = lambda ranges: group.read([table], ranges=ranges)
     return follow(group.change_stream(), current, deliver, checkpoint=checkpoint, table=table, **options)
 
