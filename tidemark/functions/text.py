@@ -30,7 +30,7 @@ def file_stem(path: Column) -> Column:
 
 def clean_blob(raw: Column) -> Column:
     """Bytes -> text: broken UTF-8 becomes the replacement character, NULs go."""
-    return F.translate(F.decode(raw, "utf-8"), "\u0000", "")
+    return F.translate(F.make_valid_utf8(raw.cast("string")), "\u0000", "")
 
 
 def int_or_text(text: Column) -> Column:
