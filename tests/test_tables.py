@@ -85,6 +85,9 @@ def test_append_and_ranges(spark, group):
     assert values(group.read("t")) == [(1, 2.0), (2, 3.0), (2, 3.0), (3, 4.0)]
     edge = group.read("t", ranges=[(START + HOUR, START + 2 * HOUR), (START + 3 * HOUR, START + 4 * HOUR)])
     assert values(edge) == [(1, 2.0), (3, 4.0)]
+    many = spark.createDataFrame([(START, START + HOUR), (START + 3 * HOUR, START + 9 * HOUR)], "begin timestamp_ntz, end timestamp_ntz")
+    assert values(group.read("t", ranges=many)) == [(3, 4.0)]
+    assert group.read("t", ranges=many.where("false")).count() == 0
     assert group.read(["t"], columns=["s"]).columns == [TS, TABLE, "s"]
     with pytest.raises(InvalidArgument):
         group.push({"t": frame(spark, [])})
@@ -156,6 +159,18 @@ def test_deduplication_options(spark, group):
     assert group.read("t").count() == 0
 
 
+def test_only_touched_shards_are_opened(spark, group):
+    from tidemark.sources.tables import _of_shards
+
+    group.create(TableSchema("t", COLUMNS, HOUR))
+    group.push({"t": frame(spark, hours(*range(48)))})
+    rows = group._rows(["t"], group._catalog())
+    some = rows.where("v__double < 3").select("_table", "_shard").distinct()
+    got = _of_shards(rows, some)
+    assert got.count() == 2
+    assert "PartitionFilters: [isnotnull(_shard" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_frame_for_many_tables(spark, group):
     names = [f"fleet.{i}" for i in range(300)]
     group.create(*[TableSchema(n, COLUMNS, timedelta(seconds=60) if i % 2 else HOUR) for i, n in enumerate(names)])

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean_blob, clean_name, file_stem, int_or_text, op_split
-from tidemark.functions.time import from_micros, micros, ns_join, ns_split, to_utc, trunc_ms
+from tidemark.functions.time import micros, ns_join, ns_split, to_utc, trunc_ms
 from tidemark.operators import stats, symbols, write
 from tidemark.plans.aggregates import TRACE_SQL, trace_of
 from tidemark.plans.registry import plan, with_inputs
@@ -203,8 +203,3 @@ def x_cast_matrix(t):
     )
     return write.cast_to(raw, schema).withColumnRenamed(TS, "ts")
 
-
-@plan("x_micros", "SELECT event_id, epoch_us(ts) AS us, ts FROM events")
-def x_micros(t):
-    us = micros(F.col("ts"))
-    return t.events.select("event_id", us.alias("us"), from_micros(us).alias("ts"))

@@ -6,10 +6,12 @@ through a table group in the shared folder.
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import ranges, write
+from tidemark.errors import TidemarkError
+from tidemark.operators import ranges, scan, write
 from tidemark.plans.joins import ANTI_SQL, UPSERT_SQL
 from tidemark.plans.queries import EVENT_COLUMNS
 from tidemark.plans.registry import SERIES_SQL, plain, plan, with_inputs
@@ -245,7 +247,7 @@ ORDER_COLUMNS = (
 
 def order_group(t):
     group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
-    group.create(TableSchema("orders", ORDER_COLUMNS, timedelta(weeks=4)))
+    group.create(TableSchema("orders", ORDER_COLUMNS, timedelta(weeks=26)))
     group.push({"orders": t.derived("stored").withColumnRenamed("ts", TS)}, now=NOW)
     return group
 
@@ -406,3 +408,93 @@ def w_change_log(t):
     group = stored_group(t)
     group.push(later(t), now=NOW)
     return group.changes()
+
+
+# ---------------------------------------------------------------- checks
+
+
+def outcomes(t, cases):
+    """Run each case over the given tables: its row count, or the name of its error."""
+    rows = []
+    for name, run in cases:
+        try:
+            rows.append((name, None, run().count()))
+        except (TidemarkError, TypeError, AnalysisException, ParseException) as error:
+            rows.append((name, type(error).__name__, None))
+    return t.spark.createDataFrame(rows, "option string, error string, row_count bigint")
+
+
+@plan(
+    "w_dedup_validate",
+    with_inputs("stored", "batch")
+    + """, n AS (SELECT count(*) AS c FROM stored)
+    SELECT 'mode' AS option, 'InvalidArgument' AS error, CAST(NULL AS BIGINT) AS row_count
+    UNION ALL SELECT 'column', 'InvalidArgument', NULL
+    UNION ALL SELECT 'kind', 'TypeError', NULL
+    UNION ALL SELECT 'time', NULL, c + (SELECT count(DISTINCT ts) FROM batch WHERE ts NOT IN (SELECT ts FROM stored)) FROM n
+    UNION ALL SELECT 'list', NULL, c + (SELECT count(DISTINCT custkey) FROM batch
+                                        WHERE custkey NOT IN (SELECT custkey FROM stored)) FROM n""",
+)
+def w_dedup_validate(t):
+    """Which deduplication options are refused, and what the accepted ones give."""
+    stored = t.derived("stored").withColumnRenamed("ts", TS)
+    batch = t.derived("batch").withColumnRenamed("ts", TS)
+    columns = ["custkey", "orderkey", "price", "priority"]
+
+    def run(deduplicate, mode="drop"):
+        keys = write.dedup_keys(deduplicate, mode, columns)
+        return write.dedup_drop(stored, batch, keys, "orderkey")
+
+    return outcomes(
+        t,
+        [
+            ("mode", lambda: run(True, "merge")), ("column", lambda: run(["no_such_column"])),
+            ("kind", lambda: run("custkey")), ("time", lambda: run(TS)), ("list", lambda: run(["custkey"])),
+        ],
+    )
+
+
+@plan(
+    "w_cardinality_check",
+    """SELECT 'rows' AS option, CAST(NULL AS VARCHAR) AS error, count(*) AS row_count FROM events
+       UNION ALL SELECT 'nothing', 'InvalidArgument', NULL
+       UNION ALL SELECT 'no_index', 'InvalidArgument', NULL""",
+)
+def w_cardinality_check(t):
+    """A push needs rows and a time index."""
+    schema = TableSchema("events", EVENT_COLUMNS)
+
+    def run(df):
+        shaped = write.prepare(df, schema)
+        write.check_batch([shaped])
+        return shaped
+
+    return outcomes(
+        t,
+        [
+            ("rows", lambda: run(t.series)), ("nothing", lambda: run(ranges.in_range(t.series, "2030-01-01", "2031-01-01"))),
+            ("no_index", lambda: run(t.series.drop(TS))),
+        ],
+    )
+
+
+@plan(
+    "q_errors",
+    """SELECT 'good' AS option, CAST(NULL AS VARCHAR) AS error, count(*) AS row_count FROM events
+       UNION ALL SELECT 'empty', 'ParseException', NULL
+       UNION ALL SELECT 'syntax', 'ParseException', NULL
+       UNION ALL SELECT 'table', 'AnalysisException', NULL
+       UNION ALL SELECT 'column', 'AnalysisException', NULL
+       UNION ALL SELECT 'tag', 'AliasNotFound', NULL""",
+)
+def q_errors(t):
+    """Kinds of error that bad queries on a given table end with."""
+    sql = lambda text: lambda: t.spark.sql(text, events=t.events)
+    return outcomes(
+        t,
+        [
+            ("good", sql("SELECT * FROM {events}")), ("empty", sql("")), ("syntax", sql("SELEC * FROM {events}")),
+            ("table", sql("SELECT * FROM no_such_table")), ("column", sql("SELECT no_such_column FROM {events}")),
+            ("tag", lambda: scan.scan_tagged(t.series, t.tags, ["no such tag"])),
+        ],
+    )

@@ -29,10 +29,10 @@ from pyspark.sql import types as T
 from tidemark.errors import AliasAlreadyExists, AliasNotFound, CommitConflict, InvalidArgument
 from tidemark.functions.time import MICROS, floor_div, micros, timestamp
 from tidemark.operators import write as W
-from tidemark.operators.ranges import _shards, between, in_ranges
+from tidemark.operators.ranges import _shards, between, in_range_set, in_ranges
 from tidemark.operators.scan import project
 from tidemark.schema import SHARD, TABLE, TS, ColumnInfo, ColumnType, TableSchema, quoted
-from tidemark.session import checked_broadcast, fits, require_utc
+from tidemark.session import checked_broadcast, checkpoint, fits, require_utc
 
 _CHANGE_SCHEMA = "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
 
@@ -49,6 +49,15 @@ def _number(column: str) -> Column:
     return F.split_part(column, F.lit("-"), F.lit(1)).cast("bigint")
 
 
+def _of_shards(rows: DataFrame, shards: DataFrame, literal: int = 1000) -> DataFrame:
+    """Rows of the given (table, shard) pairs. Few shard numbers become a literal list,
+    so that only their directories are opened."""
+    numbers = [r[0] for r in shards.select(SHARD).distinct().limit(literal + 1).collect()]
+    if len(numbers) <= literal:
+        rows = rows.where(F.col(SHARD).isin(numbers))
+    return rows.join(shards, ["_table", SHARD], "left_semi")
+
+
 def _physical(column: ColumnInfo) -> str:
     """Stored name: tables of one group may use a name with different types."""
     return f"{column.name}__{column.type.value}"
@@ -253,13 +262,19 @@ class TableGroup:
     def read(self, tables: list[str] | str, columns=None, ranges=None, *, now: datetime | None = None) -> DataFrame:
         """Rows of one or more tables, with ``$table`` if a list is given.
 
+        ``ranges`` lists (begin, end) pairs or is a DataFrame of them, which may be large.
         ``now`` hides rows past the tables' retention.
         """
         single = isinstance(tables, str)
         names = [tables] if single else list(dict.fromkeys(tables))
         catalog = self._known(names)
-        ranges = list(ranges or [])
-        rows = in_ranges(self._rows(names, catalog, self._shard_filter(names, catalog, ranges)), ranges)
+        if isinstance(ranges, DataFrame):
+            extent = tuple(ranges.agg(F.min("begin"), F.max("end")).first())
+            shards = None if None in extent else self._shard_filter(names, catalog, [extent])
+            rows = in_range_set(self._rows(names, catalog, shards), ranges)
+        else:
+            ranges = list(ranges or [])
+            rows = in_ranges(self._rows(names, catalog, self._shard_filter(names, catalog, ranges)), ranges)
         if now is not None:
             for name in names:
                 schema = catalog[name][0]
@@ -443,6 +458,9 @@ class TableGroup:
                 return done
         based_on = self._next() - 1
         names, ordered = self._staged(batch, tables, infer_types, dtype, seq if deduplicate else None)
+        if deduplicate or mode == "truncate":
+            # The batch is read several times from here on, and must be the same each time.
+            ordered = checkpoint(ordered)
         staged = ordered.drop("_seq")
         order = "_seq" if "_seq" in ordered.columns else None
         catalog = self._catalog()
@@ -459,7 +477,7 @@ class TableGroup:
             stored = self._rows(names, catalog, self._shard_filter(names, catalog, [(begin, end)]))
             touched = checked_broadcast(stored.where(gone).select("_table", SHARD).distinct())
             # Partly covered shards keep their other rows; at most two per table.
-            kept = stored.join(touched, ["_table", SHARD], "left_semi").where(~gone)
+            kept = _of_shards(stored, touched).where(~gone)
             rows = self._stored_form(kept, staged)
             return self._commit("truncate", rows, staged, touched, batch_id, now, based_on)
         keys = None
@@ -480,7 +498,7 @@ class TableGroup:
         stored = self._rows(names, catalog)
         if TS in keys:  # only shards the batch touches can hold an equal key
             shards = checked_broadcast(staged.select("_table", SHARD).distinct())
-            stored = stored.join(shards, ["_table", SHARD], "left_semi")
+            stored = _of_shards(stored, shards)
         if deduplication_mode == "drop":
             fresh = W.dedup_new_rows(stored, ordered, physical, order).drop("_seq")
             return self._commit("dedup_drop", fresh, staged, None, batch_id, now, based_on)
@@ -489,7 +507,7 @@ class TableGroup:
         )
         match = W.same_key(stored, asked, physical)
         touched = checked_broadcast(stored.join(asked, match, "left_semi").select("_table", SHARD).distinct())
-        kept = stored.join(touched, ["_table", SHARD], "left_semi")
+        kept = _of_shards(stored, touched)
         kept = kept.join(asked, W.same_key(kept, asked, physical), "left_anti")
         rows = self._stored_form(kept, W.one_per_key(ordered, physical, order, "last").drop("_seq"))
         return self._commit("dedup_upsert", rows, staged, touched, batch_id, now, based_on)
@@ -513,12 +531,13 @@ class TableGroup:
         if tables is None:
             return self._commit("compact", stored.drop("_v"), None, None, None, None, based_on, base=True)
         many = (
-            stored.groupBy("_table", SHARD).agg(F.count_distinct("_v").alias("_n")).where("_n > 1")
+            stored.groupBy("_table", SHARD).agg((F.min("_v") != F.max("_v")).alias("_many")).where("_many")
             .select("_table", SHARD)
         )
+        many = checked_broadcast(many)
         if many.isEmpty():
             return None
-        rows = stored.join(many, ["_table", SHARD], "left_semi").drop("_v")
+        rows = _of_shards(stored, many).drop("_v")
         return self._commit("compact", rows, None, many, None, None, based_on)
 
     def expire(self, now: datetime) -> int | None:
