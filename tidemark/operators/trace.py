@@ -29,19 +29,20 @@ def edges(trace: DataFrame) -> DataFrame:
 
 
 def span_pairs(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
-    """Each span with its start and end: the n-th start of an operation meets its n-th end."""
-    numbered = group_position(edges(trace), ["profile", "op", "is_start"], "seq", "nth", limit)
-    at = lambda start, c: F.max(F.when(F.col("is_start") == start, F.col(c)))
-    return (
-        numbered.groupBy("profile", "op", "nth")
-        .agg(
-            at(True, "seq").alias("start_seq"),
-            at(False, "seq").alias("end_seq"),
-            at(True, "ns").alias("start_ns"),
-            at(False, "ns").alias("end_ns"),
-        )
-        .where("end_seq IS NOT NULL")
-        .withColumn("elapsed_ns", F.col("end_ns") - F.col("start_ns"))
+    """Each closed span with its start and end, and its number among spans of the operation.
+
+    An operation does not nest in itself, so an end belongs to the last start before it.
+    """
+    begun = F.when(F.col("is_start"), F.struct("seq", "ns"))
+    scanned = prefix_scan(
+        edges(trace), ["profile", "op"], "seq",
+        sums={"nth": F.col("is_start").cast("long")}, lasts={"_start": begun}, limit=limit,
+    )
+    return scanned.where("NOT is_start").select(
+        "profile", "op", "nth",
+        F.col("_start.seq").alias("start_seq"), F.col("seq").alias("end_seq"),
+        F.col("_start.ns").alias("start_ns"), F.col("ns").alias("end_ns"),
+        (F.col("ns") - F.col("_start.ns")).alias("elapsed_ns"),
     )
 
 
