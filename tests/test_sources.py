@@ -1,15 +1,20 @@
 """CSV minutes and pandas."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.schema import TABLE, TS
-from tidemark.sources.frames import from_pandas, iter_pandas, to_pandas
+from tidemark.errors import InvalidArgument
+from tidemark.schema import INDEX, TABLE, TS
+from tidemark.session import scratch_path
+from tidemark.sources.frames import (
+    from_pandas, iter_pandas, query_frame, read_frame, stream_frames, to_pandas, write_frames,
+)
 from tidemark.sources.minutes_csv import read_minutes, ticker_tags
+from tidemark.sources.tables import TableGroup
 
 
 def test_csv_files_by_ticker(spark, tmp_path):
@@ -55,3 +60,30 @@ def test_times_keep_microseconds(spark):
     frame = pd.DataFrame({"at": [datetime(2024, 1, 1, 0, 0, 0, 7)]}, index=pd.DatetimeIndex(["2024-01-01 00:00:00.000009"]))
     row = from_pandas(spark, frame).select(F.col("at"), F.col(f"`{TS}`").alias("ts")).first()
     assert row.at.microsecond == 7 and row.ts.microsecond == 9
+
+
+def test_frames_into_tables(spark):
+    group = TableGroup(spark, scratch_path(spark, "frames"))
+    index = pd.DatetimeIndex(["2019-02-02", "2019-02-01"])
+    stocks = pd.DataFrame({"open": [3.5, 3.4], "volume": [7500, 10000], "raw": [b"b", b"a"], "note": ["y", None]}, index=index)
+    with pytest.raises(InvalidArgument):
+        write_frames(group, {"stocks": stocks}, shard_size=timedelta(hours=1))
+    write_frames(group, {"stocks": stocks, "copy": stocks[["open"]]}, create=True, shard_size=timedelta(hours=1))
+    frame = read_frame(group, "stocks")
+    assert frame.index.name == TS and list(frame["volume"]) == [10000, 7500]
+    assert list(frame["note"]) == [None, "y"] and bytes(frame["raw"].iloc[0]) == b"a"
+    assert [len(f) for f in stream_frames(group, ["stocks", "copy"], size=3)] == [3, 1]
+    assert read_frame(group, "stocks", ranges=[("2030-01-01", "2031-01-01")]).empty
+    group.register()
+    total = query_frame(spark, "select sum(volume) as total from stocks")
+    assert total.index.name == INDEX and total["total"].iloc[0] == 17500
+    by_time = query_frame(spark, f"select `{TS}`, `{TABLE}`, open from stocks", index=TS)
+    assert by_time.index.name == TS and set(by_time[TABLE]) == {"stocks"}
+
+
+def test_sparse_integers_stay_integers(spark):
+    group = TableGroup(spark, scratch_path(spark, "frames"))
+    index = pd.date_range("2024-01-01", periods=3, freq="s")
+    frame = pd.DataFrame({"n": pd.array([2**60 + 1, None, 3], dtype="Int64")}, index=index)
+    write_frames(group, {"t": frame}, create=True)
+    assert [r.n for r in group.read("t").orderBy(f"`{TS}`").collect()] == [2**60 + 1, None, 3]

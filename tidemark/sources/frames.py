@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.scan import ordered
+from tidemark.errors import InvalidArgument
+from tidemark.operators.scan import ordered, result_index
 from tidemark.schema import INDEX, TS, quoted
 
 READ_BATCH = 65_536
@@ -37,3 +38,37 @@ def iter_pandas(df: DataFrame, size: int = READ_BATCH, *more: str) -> Iterator[p
     while block := list(islice(rows, size)):
         frame = pd.DataFrame([tuple(row) for row in block], columns=names)
         yield frame.set_index(TS) if TS in names else frame
+
+
+def write_frames(
+    group, frames: dict[str, pd.DataFrame], *, create: bool = False, shard_size=None, **push_options
+) -> int:
+    """Push frames into tables of a ``TableGroup`` as one commit.
+
+    With ``create`` missing tables are made to fit their frame. Rows need no order.
+    """
+    if shard_size is not None and not create:
+        raise InvalidArgument("a shard size is only used when tables are created")
+    batch = {name: from_pandas(group.spark, frame) for name, frame in frames.items()}
+    if create:
+        for name, df in batch.items():
+            group.create_from(name, df, shard_size)
+    return group.push(batch, **push_options)
+
+
+def read_frame(group, table: str, columns=None, ranges=None) -> pd.DataFrame:
+    """One table, or ranges of it, as a frame in time order (held by the driver)."""
+    return to_pandas(ordered(group.read(table, columns, ranges)))
+
+
+def stream_frames(group, tables, columns=None, ranges=None, size: int = READ_BATCH) -> Iterator[pd.DataFrame]:
+    """Frames of at most ``size`` rows in time order, for reads of any length."""
+    return iter_pandas(group.read(tables, columns, ranges), size)
+
+
+def query_frame(spark: SparkSession, text: str, index: str | None = None) -> pd.DataFrame:
+    """Result of a query; its index is a column, or 0..n-1 named ``$index``."""
+    result = spark.sql(text)
+    if index is None:
+        return result.toPandas().rename_axis(INDEX)
+    return to_pandas(result_index(result, index), index)

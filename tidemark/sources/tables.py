@@ -303,6 +303,11 @@ class TableGroup:
         shaped = project(shaped, columns)
         return shaped.drop(TABLE) if single else shaped
 
+    def register(self, *tables: str) -> None:
+        """Make tables known to ``spark.sql`` under their names (default: all)."""
+        for name in tables or self.tables():
+            self.read([name]).createOrReplaceTempView(quoted(name))
+
     # ------------------------------------------------------------ writing
 
     def _staged(
