@@ -216,6 +216,26 @@ def test_conflicting_commit(spark, group):
         late._publish(number, {"kind": "test"})
 
 
+def test_a_writer_that_died(spark, group, monkeypatch):
+    from pathlib import Path
+
+    from tidemark.sources import tables
+
+    group.create(TableSchema("t", COLUMNS))
+    broken = Path(group.root.removeprefix("file:")) / "log" / f"{2:020d}.json"
+    broken.write_text('{"number": 2, "kin')
+    monkeypatch.setattr(tables, "ABANDONED_SECONDS", 1)
+    assert group.push({"t": frame(spark, hours(1))}) == 3
+    assert TableGroup(spark, group.root).read("t").count() == 1
+
+
+def test_a_long_history(spark, group):
+    group.create(*[TableSchema(f"t{i}") for i in range(2)])
+    for i in range(120):
+        group.add_columns("t0", [ColumnInfo(f"c{i}", ColumnType.INT64)])
+    assert len(TableGroup(spark, group.root).schema("t0").columns) == 120
+
+
 def test_batch_id(spark, group):
     group.create(TableSchema("t", COLUMNS))
     first = group.push({"t": frame(spark, hours(1))}, batch_id="b1")

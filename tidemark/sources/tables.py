@@ -19,6 +19,7 @@ ones are invisible, and no file is overwritten while a plan still reads it.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -41,6 +42,9 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+# A commit file is written in one go; one that is unreadable for longer is given up.
+ABANDONED_SECONDS = 30
+
 _NUMBER = "CAST(split_part(_v, '-', 1) AS BIGINT)"
 
 
@@ -79,23 +83,36 @@ class TableGroup:
     # ------------------------------------------------------------ commits
 
     def _load(self) -> list[dict]:
-        folder = self._path(f"{self.root}/log")
-        if self._fs.exists(folder):
-            for status in self._fs.listStatus(folder):
-                number = int(status.getPath().getName().split(".")[0])
-                if number in self._commits:
-                    continue
-                stream = self._fs.open(status.getPath())
-                try:
-                    text = self._io.toString(stream, "UTF-8")
-                finally:
-                    stream.close()
-                try:
-                    self._commits[number] = json.loads(text)
-                except ValueError:
-                    continue  # being written right now: not published yet
+        """All published commits in order; only new files are read."""
+        for number, text in self._texts(self._unread()):
+            try:
+                self._commits[number] = json.loads(text)
+            except ValueError:
+                continue  # being written right now, or left behind by a writer that died
         return [self._commits[n] for n in sorted(self._commits)]
 
+    def _unread(self) -> dict:
+        """Commit files not read yet, by number."""
+        folder = self._path(f"{self.root}/log")
+        if not self._fs.exists(folder):
+            return {}
+        files = {int(s.getPath().getName().split(".")[0]): s for s in self._fs.listStatus(folder)}
+        return {n: s for n, s in files.items() if n not in self._commits}
+
+    def _texts(self, files: dict) -> list[tuple[int, str]]:
+        if len(files) > 100:  # a long history is read by tasks
+            paths = [s.getPath().toString() for s in files.values()]
+            rows = self.spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("f"), "value")
+            return [(int(r.f.split(".")[0]), r.value) for r in rows.collect()]
+        texts = []
+        for number, status in files.items():
+            stream = self._fs.open(status.getPath())
+            try:
+                texts.append((number, self._io.toString(stream, "UTF-8")))
+            finally:
+                stream.close()
+        return texts
+
     def _publish(self, number: int, entry: dict) -> int:
         """Create the commit file; exactly one writer can create a number."""
         entry = {"number": number, **entry}
@@ -109,8 +126,20 @@ class TableGroup:
         return number
 
     def _next(self) -> int:
+        """Number for a new commit.
+
+        A commit that is just being written is waited for, since it may change the rows
+        this one builds on. A file that stays unreadable belongs to a writer that died; its
+        number is skipped.
+        """
         commits = self._load()
-        return commits[-1]["number"] + 1 if commits else 1
+        while pending := self._unread():
+            newest = max(s.getModificationTime() for s in pending.values()) / 1000
+            if time.time() - newest > ABANDONED_SECONDS:
+                break
+            time.sleep(0.2)
+            commits = self._load()
+        return max([0, *pending, *[c["number"] for c in commits]]) + 1
 
     def committed(self, batch_id: str) -> int | None:
         """Version that holds a batch, if it was pushed before."""
