@@ -13,9 +13,11 @@ takes a bounded number of its rows and hands its end state to the next.
 from __future__ import annotations
 
 import operator
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,9 @@ from tidemark.functions.time import floor_div
 from tidemark.operators.running import GROUP_ROWS, chunk_width, prefix_scan
 from tidemark.session import checked_broadcast, checkpoint, scratch_path
 
+# The fold travels to the workers with the job; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RESETS = ("update", "remove", "get_and_remove")
 KEPT = ("key", "seg", "seq", "op", "comparand")
 ABSENT = object()
