@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_rules
+from tidemark.llm import exact_dedup, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +33,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return docs.select("doc_id", quality_rules.assess(F.col("text")).alias("q")).select("doc_id", "q.*")
+
+
+@query(
+    r"""
+    WITH n AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+    ), g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM n JOIN g USING (body)
+    """
+)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.mark(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+
+
+@query()
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = documents(spark, sf_dir).select(
+        "doc_id", (F.octet_length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("text_crc32")
+    )
+    return sharding.assign(rows, F.col("doc_id"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
