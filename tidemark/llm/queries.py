@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, quality_rules, sharding
+from tidemark.llm import exact_dedup, packing, quality_rules, sharding
 
+WORD_BPE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -29,6 +30,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where the files of the public tokenizers are; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query()
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -48,6 +56,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
+@query()
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(WORD_BPE))
+
+
 @query()
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
