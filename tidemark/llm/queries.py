@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, quality_rules, sharding
+from tidemark.llm import exact_dedup, line_dedup, packing, quality_rules, sharding
 
 WORD_BPE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,30 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(rows, F.col("doc_id"), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query(
+    r"""
+    WITH l AS (
+        SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {
+            line: x,
+            key: translate(regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')}) AS lines
+        FROM documents
+    ), k AS (
+        SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT doc_id, unnest(lines).key AS key FROM l)
+        WHERE length(key) >= 20 GROUP BY key HAVING count(*) >= 3
+    ), e AS (
+        SELECT doc_id, place, line, keeper IS NOT NULL AND keeper <> doc_id AS gone
+        FROM (SELECT doc_id, unnest(lines).line AS line, unnest(lines).key AS key, unnest(range(len(lines))) AS place FROM l)
+        LEFT JOIN k USING (key)
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM e GROUP BY doc_id
+    """
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated(documents(spark, sf_dir).select("doc_id", "text"))
+    sha = F.sha2(F.col("text").cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
