@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_dedup, packing, quality_rules, sharding
+from tidemark.llm import exact_dedup, line_dedup, near_dedup, packing, quality_rules, sharding
 
 WORD_BPE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated(documents(spark, sf_dir).select("doc_id", "text"))
     sha = F.sha2(F.col("text").cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
+
+
+@query()
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.find(documents(spark, sf_dir).select("doc_id", "text"), words=2, percent=80)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
