@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_dedup, near_dedup, packing, quality_rules, sharding
+from tidemark.llm import byte_bpe, exact_dedup, line_dedup, near_dedup, packing, quality_rules, sharding
 
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,6 +62,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(WORD_BPE))
 
 
+@query()
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = vocabulary(BYTE_RANKS)
+    coded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 @query()
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
