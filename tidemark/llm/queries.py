@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, line_dedup, near_dedup, packing, quality_rules, sharding
+from tidemark.llm import byte_bpe, exact_dedup, line_dedup, near_dedup, packing, quality_model, quality_rules, sharding
+from tidemark.llm.common import id_bucket
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
@@ -62,6 +63,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(WORD_BPE))
 
 
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that may be learned from; every fifth id, by its hash, is held out."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return labels.where(id_bucket(F.col("doc_id"), 5) != 0).select("doc_id", "quality")
+
+
+@query()
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = spark.sparkContext.broadcast(quality_model.fit(docs, quality_labels(spark, sf_dir)))
+    return docs.select("doc_id", quality_model.score(F.col("text"), model).alias("score")).select(
+        "doc_id", (id_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query()
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
