@@ -23,7 +23,6 @@ import base64
 import re
 import sys
 import unicodedata
-import zlib
 from collections.abc import Callable
 from functools import lru_cache
 from typing import Iterator
@@ -31,16 +30,13 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, fresh_name, partitions, stored
+from tidemark.llm.blocks import by_number, numbered, pack_numbers, unpack_numbers, unpack_words
+from tidemark.llm.common import column, fresh_name
 
-BLOCK_CHARS = 32_000_000
 TABLE_WORDS = 2_000_000
-BUCKETS_PER_PARTITION = 4
-SEPARATOR = b"\xff"  # never part of UTF-8
 
 
 @lru_cache(maxsize=1)
@@ -94,100 +90,36 @@ class WordEncoder:
         return found
 
 
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Small numbers, byte plane by byte plane, compressed."""
-    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
-
-
-def unpack_numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
-
-
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with a bounded number of characters (or one row)."""
-    start = chars = 0
-    for row, text in enumerate(batch.column("text")):
-        size = len(text.as_py() or "")
-        if row > start and chars + size > BLOCK_CHARS:
-            yield batch.slice(start, row - start)
-            start, chars = row, 0
-        chars += size
-    yield batch.slice(start)
-
-
-def _number_words(pattern: str, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (row, block, bucket, data): documents as numbers (bucket -1), words by bucket."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = splitter(pattern)
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            if not len(batch):
-                continue
-            for part in _blocks(batch):
-                number: dict[str, int] = {}
-                data = []
-                for text in part.column("text").to_pylist():
-                    words = split(text or "")
-                    data.append(pack_numbers(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))))
-                lists: list[tuple[list[bytes], list[int]]] = [([], []) for _ in range(buckets)]
-                for word, place in number.items():
-                    coded = word.encode()
-                    words, places = lists[zlib.crc32(coded) % buckets]
-                    words.append(coded)
-                    places.append(place)
-                bucket = [-1] * len(part)
-                for k, (words, places) in enumerate(lists):
-                    if words:
-                        bucket.append(k)
-                        steps = pack_numbers(np.diff(np.array(places, np.int64), prepend=0))
-                        data.append(len(steps).to_bytes(4, "little") + steps + zlib.compress(SEPARATOR.join(words), 1))
-                lists_made = len(bucket) - len(part)
-                row = pa.concat_arrays([part.column("row"), pa.nulls(lists_made, part.column("row").type)])
-                yield pa.RecordBatch.from_arrays(
-                    [row, pa.array([block] * len(bucket), pa.int64()), pa.array(bucket, pa.int32()), pa.array(data, pa.binary())],
-                    ["row", "block", "bucket", "data"],
-                )
-                block += 1
-
-    return run
-
-
 def _encode_words(ranks_path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (block, steps, sizes, ids) from lists of words."""
+    """Rows (block, numbers, sizes, ids) from lists of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(ranks_path, pattern)
         for batch in batches:
-            out: list[tuple[bytes, bytes, bytes]] = []
-            for data in batch.column("data").to_pylist():
-                length = int.from_bytes(data[:4], "little")
-                found = [encoder.ids(w) for w in zlib.decompress(data[4 + length :]).split(SEPARATOR)]
-                sizes = np.fromiter(map(len, found), np.int64, len(found))
-                out.append((data[4 : 4 + length], pack_numbers(sizes), pack_numbers(np.concatenate(found))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), *[pa.array([o[i] for o in out], pa.binary()) for i in range(3)]],
-                ["block", "steps", "sizes", "ids"],
-            )
+            sizes, ids = [], []
+            for data in batch.column("words").to_pylist():
+                found = [encoder.ids(w) for w in unpack_words(data)]
+                sizes.append(pack_numbers(np.fromiter(map(len, found), np.int64, len(found))))
+                ids.append(pack_numbers(np.concatenate(found)))
+            columns = [batch.column("block"), batch.column("numbers"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "numbers", "sizes", "ids"])
 
     return run
 
 
 def _reassemble(docs: pa.Table, words: pa.Table) -> pa.Table:
     """The ids of each document of one block."""
-    places = [np.cumsum(unpack_numbers(s), dtype=np.int64) for s in words.column("steps").to_pylist()]
+    places = words.column("numbers").to_pylist()
     sizes = [unpack_numbers(s).astype(np.int64) for s in words.column("sizes").to_pylist()]
     ids = [unpack_numbers(i) for i in words.column("ids").to_pylist()]
-    # Word by number: where its ids start among all ids, and how many there are.
-    count = sum(map(len, places))
-    start, size = np.zeros(count, np.int64), np.zeros(count, np.int64)
     flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
-    if places:
-        order, lengths = np.concatenate(places), np.concatenate(sizes)
-        start[order], size[order] = np.cumsum(lengths) - lengths, lengths
+    # Word by number: how many ids it has, and where they start among all ids.
+    size = by_number(places, sizes).astype(np.int64)
+    ends = np.cumsum(np.concatenate(sizes)) if sizes else np.zeros(0, np.int64)
+    starts = np.split(ends, np.cumsum([len(s) for s in sizes])[:-1]) if sizes else []
+    start = by_number(places, starts).astype(np.int64) - size
     out = []
-    for data in docs.column("data").to_pylist():
+    for data in docs.column("numbers").to_pylist():
         numbers = unpack_numbers(data).astype(np.int64)
         many = size[numbers]
         before = np.cumsum(many) - many
@@ -199,20 +131,16 @@ def encode(
     docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", count_col: str = "n_tokens"
 ) -> DataFrame:
     """``docs`` without their text, with their ids (little-endian 32-bit numbers) and how many."""
-    spark = docs.sparkSession
     others = [column(docs, c).alias(c) for c in docs.columns if c != text_col]
     row = F.struct(*others) if others else F.struct(F.lit(0).alias("_"))
-    source = docs.select(row.alias("row"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"))
-    kind = source.schema["row"].dataType.simpleString()
-    buckets = BUCKETS_PER_PARTITION * partitions(spark)
-    numbered = stored(
-        source.mapInArrow(_number_words(pattern, buckets), f"row {kind}, block long, bucket int, data binary"), "numbered-words"
+    source = docs.select(row.alias("row"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"), F.lit(False).alias("counts"))
+    coded, lists = numbered(source, lambda: splitter(pattern), "numbered-words")
+    words = lists.select("block", "numbers", "words").mapInArrow(
+        _encode_words(ranks_path, pattern), "block long, numbers binary, sizes binary, ids binary"
+    )
+    joined = coded.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
+        _reassemble, f"row {source.schema['row'].dataType.simpleString()}, ids binary"
     )
-    lists = numbered.where("bucket >= 0").select("bucket", "block", "data")
-    dealt = lists.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket").select("block", "data")
-    words = dealt.mapInArrow(_encode_words(ranks_path, pattern), "block long, steps binary, sizes binary, ids binary")
-    coded = numbered.where("bucket < 0").select("block", "row", "data").groupBy("block")
-    joined = coded.cogroup(words.groupBy("block")).applyInArrow(_reassemble, f"row {kind}, ids binary")
     ids, count = fresh_name(docs, ids_col), fresh_name(docs, count_col)
     flat = [F.col("row")[c].alias(c) for c in docs.columns if c != text_col]
     return joined.select(*flat, F.col("ids").alias(ids), F.expr("octet_length(ids) div 4").alias(count))
