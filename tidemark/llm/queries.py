@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, line_dedup, near_dedup, packing, quality_model, quality_rules, sharding
+from tidemark.llm import byte_bpe, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality_model, quality_rules, sharding
 from tidemark.llm.common import id_bucket
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -133,3 +133,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.find(documents(spark, sf_dir).select("doc_id", "text"), words=2, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query()
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_bucket(F.col("doc_id"), 7) == 2
+    docs = documents(spark, sf_dir).select("doc_id", held_out.alias("held_out"), "text")
+    return lm_scoring.score(docs, ~held_out)
