@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality_model, quality_rules, sharding
+from tidemark.llm import byte_bpe, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality_model, quality_rules
+from tidemark.llm import sharding, token_counts
 from tidemark.llm.common import id_bucket
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,6 +93,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.add_counts(documents(spark, sf_dir).select("doc_id", "text"), vocabulary(PIECES)).drop("text")
+
+
 @query()
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
