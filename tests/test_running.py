@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import oplog, trace
-from tidemark.operators.running import batches, group_position, prefix_scan, row_index
+from tidemark.operators.running import batches, chunk_bounds, group_position, in_chunks, prefix_scan, row_index
 from tidemark.plans import aggregates, keyed
 from tidemark.schema import TS
 
@@ -41,6 +41,40 @@ def test_prefix_scan(skewed, limit):
     assert [tuple(x) for x in got] == sorted(want)
 
 
+def uneven(kind):
+    """Rows (g, o): one hot group next to a single row, a far outlier, or a burst."""
+    hot = {
+        "sparse": [i * 1_000_000 for i in range(4000)],
+        "outlier": [*range(4000), 10**15],
+        "burst": [*range(0, 10**9, 10**6), *range(5 * 10**8 + 1, 5 * 10**8 + 3001)],
+    }[kind]
+    return [("hot", o) for o in hot] + [("one", 7)] + [(None, o) for o in range(30)]
+
+
+@pytest.mark.parametrize("kind", ["sparse", "outlier", "burst"])
+def test_chunks_hold_equally_many_rows(spark, kind):
+    limit, rows = 100, uneven(kind)
+    df = spark.createDataFrame(rows, "g string, o bigint")
+    bounds = chunk_bounds(df, ["g"], "o", limit)
+    sizes = in_chunks(df, ["g"], "o", bounds).groupBy("g", "_chunk").count().collect()
+    hot = [r["count"] for r in sizes if r.g == "hot"]
+    assert sum(hot) == sum(g == "hot" for g, _ in rows)
+    assert max(hot) <= 2 * limit and len(hot) <= 1.2 * sum(hot) / limit + 1
+    assert {(r.g, r["count"]) for r in sizes if r.g != "hot"} == {("one", 1), (None, 30)}
+    order = sorted(in_chunks(df, ["g"], "o", bounds).where("g = 'hot'").select("o", "_chunk").collect())
+    assert [r._chunk for r in order] == sorted(r._chunk for r in order)
+    got = {(r.g, r.o): r.pos for r in group_position(df, ["g"], "o", limit=limit).collect()}
+    for group in ("hot", "one", None):
+        own = sorted(o for g, o in rows if g == group)
+        assert [got[group, o] for o in own] == list(range(1, len(own) + 1))
+
+
+def test_no_bounds_for_moderate_groups(spark):
+    df = spark.createDataFrame(uneven("sparse"), "g string, o bigint")
+    assert chunk_bounds(df, ["g"], "o", 5000) is None
+    assert chunk_bounds(df.limit(0), ["g"], "o", 5) is None
+
+
 @pytest.mark.parametrize("limit", [64, 10_000_000])
 def test_group_position(skewed, limit):
     df, rows = skewed

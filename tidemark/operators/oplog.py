@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.time import floor_div
-from tidemark.operators.running import GROUP_ROWS, chunk_width, prefix_scan
+from tidemark.operators.running import GROUP_ROWS, group_position, prefix_scan
 from tidemark.session import checked_broadcast, checkpoint, scratch_path
 
 # The fold travels to the workers with the job; they need not have this package.
@@ -111,12 +111,12 @@ def replay(kv: DataFrame, oplog: DataFrame, limit: int = GROUP_ROWS) -> tuple[Da
         oplog.select("key", "seq", "op", "value", "comparand"),
         ["key"], "seq", sums={"seg": is_reset.cast("long")}, limit=limit,
     )
-    width = chunk_width(staged, ["key", "seg"], "seq", limit)
-    if width is None:
+    longest = staged.groupBy("key", "seg").count().agg(F.max("count")).first()[0] or 0
+    if longest <= limit:
         started = staged.join(known, "key", "left")
         folded = checkpoint(_folded(_begin(started)))
     else:
-        folded = _in_rounds(staged, known, width)
+        folded = _in_rounds(staged, known, limit)
     return _state(kv, folded), _results(known, folded)
 
 
@@ -131,10 +131,12 @@ def _begin(rows: DataFrame) -> DataFrame:
     )
 
 
-def _in_rounds(staged: DataFrame, known: DataFrame, width: int) -> DataFrame:
+def _in_rounds(staged: DataFrame, known: DataFrame, limit: int) -> DataFrame:
+    """Each round takes the next ``limit`` rows of every segment."""
     spark = staged.sparkSession
     source, target = scratch_path(spark, "oplog"), scratch_path(spark, "folded")
-    chunked = staged.withColumn("_chunk", floor_div(F.col("seq"), width))
+    numbered = group_position(staged, ["key", "seg"], "seq", "_pos", limit)
+    chunked = numbered.withColumn("_chunk", floor_div(F.col("_pos") - 1, limit)).drop("_pos")
     chunked.write.partitionBy("_chunk").parquet(source)
     rows = spark.read.parquet(source)
     carried: DataFrame | None = None
@@ -155,13 +157,9 @@ def _in_rounds(staged: DataFrame, known: DataFrame, width: int) -> DataFrame:
             ).drop("_value", "_present")
         _folded(started).write.parquet(f"{target}/round={chunk}")
         done = spark.read.parquet(f"{target}/round={chunk}")
-        # Only the newest segment of a key can go on: one state per key is carried.
-        ends = _last(["key", "seg"], done)
-        newest = ends.groupBy("key").agg(F.max_by(F.struct("seg", "value", "present"), "seg").alias("_n"))
-        newest = newest.select("key", "_n.*")
-        if carried is not None:
-            newest = newest.unionByName(carried.join(newest.select("key"), "key", "left_anti"))
-        carried = checkpoint(newest)
+        # Only segments with a full round can go on.
+        full = part.groupBy("key", "seg").count().where(F.col("count") >= limit).select("key", "seg")
+        carried = checkpoint(_last(["key", "seg"], done).join(full, ["key", "seg"], "left_semi"))
     return spark.read.parquet(target).drop("round")
 
 

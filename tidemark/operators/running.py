@@ -1,9 +1,10 @@
 """Running values and positions that survive one very large group.
 
 A plain window puts a whole group into one task. That is the best plan while all groups
-are moderate, so the largest one is measured first. Beyond the limit, groups are cut
-into chunks of their integer order column; windows run inside chunks, a second window
-runs over one summary row per chunk, and both are combined by an equi-join.
+are moderate, so the largest one is measured first. Groups beyond the limit are cut
+into chunks of about equally many rows, at quantiles of their integer order column;
+windows run inside chunks, a second window runs over one summary row per chunk, and both
+are combined by an equi-join. Groups below the limit stay whole.
 """
 
 from __future__ import annotations
@@ -20,28 +21,52 @@ from tidemark.session import checked_broadcast, checkpoint
 
 # Rows one task may take for one group.
 GROUP_ROWS = 1_000_000
+# Most chunks of one group; a group of more rows than this times the limit gets larger ones.
+MOST_CHUNKS = 4096
+# Bytes of bounds that may be broadcast.
+BOUND_BYTES = 64_000_000
 
 
-def chunk_width(df: DataFrame, by: list[str], order: str, limit: int = GROUP_ROWS) -> int | None:
-    """Width of ``order`` that holds about ``limit`` rows of the densest group.
+def chunk_bounds(df: DataFrame, by: list[str], order: str, limit: int = GROUP_ROWS) -> DataFrame | None:
+    """Bounds of ``order`` that cut each group of over ``limit`` rows; None if there is none.
 
-    None if no group is larger than ``limit``. Since ``order`` is unique in a group, a
-    chunk can never hold more rows than its width.
+    One row per such group: its keys as ``_k0``, ``_k1`` ... and ``_bounds``, the sorted last
+    values of its chunks as a list of lists of about equal length. Quantiles are approximate,
+    by a tenth of a chunk.
     """
-    at = F.col(quoted(order))
-    groups = df.groupBy(*[quoted(k) for k in by]).agg(F.count("*").alias("_n"), span(at))
-    return width_for(*groups.agg(F.max("_n"), F.max(F.col("_n") / F.col("_span"))).first(), limit)
+    keys = [quoted(k) for k in by]
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0]
+    if largest is None or largest <= limit:
+        return None
+    chunks = min(MOST_CHUNKS, math.ceil(largest / limit))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    large = sizes.where(F.col("_n") > limit).select(*named)
+    rows = df.select(*named, F.col(quoted(order)).alias("_at"))
+    names = [f"_k{i}" for i in range(len(by))]
+    large = _small(large, 8 * len(by))
+    same = F.lit(True)
+    for name in names:
+        same = same & rows[name].eqNullSafe(large[name])
+    rows = rows.join(large, same, "left_semi")
+    cuts = F.percentile_approx("_at", [i / chunks for i in range(1, chunks)], 20 * chunks)
+    width = math.ceil(math.sqrt(chunks))
+    parts = F.transform(
+        F.sequence(F.lit(0), F.lit((chunks - 2) // width)), lambda i: F.slice("_cuts", i * width + 1, width)
+    )
+    return checkpoint(rows.groupBy(*names).agg(F.array_sort(cuts).alias("_cuts")).select(*names, parts.alias("_bounds")))
 
 
-def span(at: Column) -> Column:
-    return (F.max(at) - F.min(at) + 1).cast("double").alias("_span")
+def _small(side: DataFrame, row_bytes: int) -> DataFrame:
+    return checked_broadcast(side, max(1, BOUND_BYTES // row_bytes))
 
 
-def width_for(largest: int | None, density: float | None, limit: int = GROUP_ROWS) -> int | None:
-    """Chunk width for a largest group and a highest density (rows per unit of order)."""
-    if largest is None or largest <= limit:
-        return None
-    return max(1, math.ceil(limit / density))
+def chunk_number(at: Column, bounds: Column) -> Column:
+    """Number of bounds before ``at``, found in two steps; 0 without bounds."""
+    width = F.size(bounds[0])
+    full = F.size(F.filter(bounds, lambda part: F.element_at(part, -1) < at))
+    inside = F.coalesce(F.size(F.filter(F.get(bounds, full), lambda b: b < at)), F.lit(0))
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(full * width + F.when(full < F.size(bounds), inside).otherwise(0)).cast("long")
 
 
 def prefix_scan(
@@ -53,19 +78,19 @@ def prefix_scan(
     lasts: dict[str, Column] | None = None,
     previous: dict[str, Column] | None = None,
     limit: int = GROUP_ROWS,
-    width: int | None | str = "measure",
+    bounds: DataFrame | None | str = "measure",
 ) -> DataFrame:
     """Add running columns per group ``by`` along the integer column ``order``.
 
     ``sums``: running sum including the row. ``lasts``: last non-null value up to the
     row. ``previous``: last non-null value before the row. ``order`` must be unique
-    within a group. ``width`` is the chunk width if it was measured before.
+    within a group. ``bounds`` are the ``chunk_bounds`` if they were measured before.
     """
     sums, lasts, previous = sums or {}, lasts or {}, previous or {}
-    if width == "measure":
-        width = chunk_width(df, by, order, limit)
-    if width is not None:
-        return _chunked_scan(df, by, order, sums, lasts, previous, width)
+    if isinstance(bounds, str):
+        bounds = chunk_bounds(df, by, order, limit)
+    if bounds is not None:
+        return _chunked_scan(df, by, order, sums, lasts, previous, bounds)
     group = W.partitionBy(*[quoted(k) for k in by]).orderBy(quoted(order))
     upto = group.rowsBetween(W.unboundedPreceding, W.currentRow)
     ahead = group.rowsBetween(W.unboundedPreceding, -1)
@@ -76,13 +101,20 @@ def prefix_scan(
     )
 
 
-def _chunked_scan(df, by, order, sums, lasts, previous, width: int) -> DataFrame:
+def in_chunks(df: DataFrame, by: list[str], order: str, bounds: DataFrame) -> DataFrame:
+    """``df`` with the number of each row's chunk as ``_chunk``."""
+    side = _small(bounds, 8 * MOST_CHUNKS)
+    same = F.lit(True)
+    for i, key in enumerate(by):
+        same = same & F.col(quoted(key)).eqNullSafe(F.col(f"_k{i}"))
+    chunk = chunk_number(F.col(quoted(order)), F.col("_bounds"))
+    return df.join(side, same, "left").select(*[F.col(quoted(c)) for c in df.columns], chunk.alias("_chunk"))
+
+
+def _chunked_scan(df, by, order, sums, lasts, previous, bounds: DataFrame) -> DataFrame:
     names = [*sums, *lasts, *previous]
     values = {**sums, **lasts, **previous}
-    staged = df.withColumns(
-        {f"_v_{n}": v for n, v in values.items()}
-        | {"_chunk": floor_div(F.col(quoted(order)), width)}
-    )
+    staged = in_chunks(df.withColumns({f"_v_{n}": v for n, v in values.items()}), by, order, bounds)
     keys = [quoted(k) for k in by]
     at = F.col(quoted(order))
     set_at = lambda n: F.when(F.col(f"_v_{n}").isNotNull(), at)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import op_split
-from tidemark.operators.running import GROUP_ROWS, group_position, prefix_scan, span, width_for
+from tidemark.operators.running import GROUP_ROWS, chunk_bounds, group_position, prefix_scan
+from tidemark.session import checkpoint
 
 
 def profiles(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
@@ -53,18 +54,14 @@ def flamegraph(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     d is the last start at that depth, so one column per depth gives the whole stack.
     """
     steps = edges(trace)
-    # One measuring pass: group sizes, and the number of operations as a bound of the depth.
-    groups = steps.groupBy("profile").agg(
-        F.count("*").alias("_n"), span(F.col("seq")), F.size(F.collect_set("op")).alias("_ops")
-    )
-    largest, density, deepest = groups.agg(
-        F.max("_n"), F.max(F.col("_n") / F.col("_span")), F.max("_ops")
-    ).first()
-    width, deepest = width_for(largest, density, limit), deepest or 0
+    bounds = chunk_bounds(steps, ["profile"], "seq", limit)
     step = F.when(F.col("is_start"), 1).otherwise(-1).cast("long")
-    depth = prefix_scan(steps, ["profile"], "seq", sums={"_after": step}, width=width)
+    depth = prefix_scan(steps, ["profile"], "seq", sums={"_after": step}, bounds=bounds)
     # Depth of the span an edge belongs to: after its start, before its end.
-    depth = depth.withColumn("depth", F.col("_after") + F.when(F.col("is_start"), 0).otherwise(1))
+    depth = depth.withColumn("depth", F.col("_after") + F.when(F.col("is_start"), 0).otherwise(1)).drop("_after")
+    # Written once: the greatest depth is needed before the stacks can be planned.
+    depth = checkpoint(depth)
+    deepest = depth.agg(F.max("depth")).first()[0] or 0
     opened = lambda d: F.col("is_start") & (F.col("depth") == d)
     stack = prefix_scan(
         depth,
@@ -73,7 +70,7 @@ def flamegraph(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
         lasts={
             f"_open{d}": F.when(opened(d), F.struct("op", "ns")) for d in range(1, deepest + 1)
         },
-        width=width,
+        bounds=bounds,
     )
     names = [
         F.when(F.col("depth") >= d, F.col(f"_open{d}.op")) for d in range(1, deepest + 1)
