@@ -11,7 +11,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.tables import TableGroup
 from tidemark.streaming.continuous import continuous
 from tidemark.streaming.ingest import ingest
-from tidemark.streaming.subscribe import needed_ranges, subscribe, to_folder
+from tidemark.streaming.subscribe import needed_ranges, remember, subscribe, to_folder, unseen
 
 START = datetime(2024, 1, 1)
 
@@ -82,6 +82,29 @@ def test_subscription_resumes(spark):
     assert got == [(2, 5), (2, 7), (3, 1), (3, 2), (4, 6)]
 
 
+def test_late_log_lines(spark):
+    """Lines hours and days behind the newest are delivered, each once."""
+    group, out, state = TableGroup(spark, scratch_path(spark, "g")), scratch_path(spark, "out"), scratch_path(spark, "c")
+    group.create(TableSchema("t", (ColumnInfo("v", ColumnType.INT64),)))
+    for v, hour in enumerate((5, 6, 1, 7, -240)):
+        row = spark.createDataFrame([(START + timedelta(hours=v), v)], f"`{TS}` timestamp_ntz, v bigint")
+        group.push({"t": row}, now=START + timedelta(hours=hour))
+        subscribe(group, "t", to_folder(out), checkpoint=state, available_now=True).awaitTermination()
+    assert sorted((r.transaction_id, r.v) for r in spark.read.parquet(out).collect()) == [(2 + v, v) for v in range(5)]
+
+
+def test_a_repeated_epoch_finds_the_same_lines(spark):
+    folder = scratch_path(spark, "noted")
+    lines = lambda *ids: spark.createDataFrame(
+        [(START, i, "t", START, START) for i in ids], "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
+    )
+    for _ in range(2):
+        first = unseen(lines(1, 1, 2), folder, 0)
+        assert sorted(r.transaction_id for r in first.collect()) == [1, 2]
+        remember(first, folder, 0)
+    assert [r.transaction_id for r in unseen(lines(2, 3), folder, 1).collect()] == [3]
+
+
 def test_needed_ranges(spark):
     spans = spark.range(100).select(
         F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(CAST(id AS INT))").alias("begin"),

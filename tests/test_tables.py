@@ -6,7 +6,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.errors import AliasAlreadyExists, AliasNotFound, CommitConflict, IncompatibleTypes, InvalidArgument
+from tidemark.errors import (
+    AliasAlreadyExists, AliasNotFound, CommitConflict, DamagedCommit, IncompatibleTypes, InvalidArgument,
+)
 from tidemark.schema import TABLE, TS, ColumnInfo, ColumnType, TableSchema
 from tidemark.session import scratch_path
 from tidemark.sources.tables import TableGroup
@@ -216,17 +218,65 @@ def test_conflicting_commit(spark, group):
         late._publish(number, {"kind": "test"})
 
 
-def test_a_writer_that_died(spark, group, monkeypatch):
+def test_a_damaged_commit_is_not_skipped(spark, group):
     from pathlib import Path
 
-    from tidemark.sources import tables
-
     group.create(TableSchema("t", COLUMNS))
     broken = Path(group.root.removeprefix("file:")) / "log" / f"{2:020d}.json"
     broken.write_text('{"number": 2, "kin')
-    monkeypatch.setattr(tables, "ABANDONED_SECONDS", 1)
-    assert group.push({"t": frame(spark, hours(1))}) == 3
-    assert TableGroup(spark, group.root).read("t").count() == 1
+    with pytest.raises(DamagedCommit):
+        group.push({"t": frame(spark, hours(1))})
+    with pytest.raises(DamagedCommit):
+        TableGroup(spark, group.root).read("t")
+
+
+def test_overlapping_writers(spark, group, monkeypatch):
+    """A writer that was overtaken fails, and its retry keeps both writers' rows."""
+    group.create(TableSchema("t", COLUMNS))
+    group.push({"t": frame(spark, hours(0))})
+    slow, publish = TableGroup(spark, group.root), TableGroup._publish
+
+    def overtaken(self, number, entry):
+        monkeypatch.setattr(TableGroup, "_publish", publish)
+        group.push({"t": frame(spark, hours(3))}, mode="truncate", range=(START, START + HOUR))
+        return publish(self, number, entry)
+
+    monkeypatch.setattr(TableGroup, "_publish", overtaken)
+    with pytest.raises(CommitConflict):
+        slow.push({"t": frame(spark, hours(2))}, batch_id="slow")
+    assert [h for h, *_ in values(group.read("t"))] == [3]
+    slow.push({"t": frame(spark, hours(2))}, batch_id="slow")
+    assert sorted(h for h, *_ in values(group.read("t"))) == [2, 3]
+    assert sorted(r.transaction_id for r in group.changes().collect()) == [2, 3, 4]
+
+
+def test_a_driver_lost_before_the_commit(spark, group, monkeypatch):
+    """The change log has a line for each published push, and for no other."""
+    group.create(TableSchema("t", COLUMNS))
+
+    def lost(self, number, entry):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(TableGroup, "_publish", lost)
+        with pytest.raises(RuntimeError):
+            group.push({"t": frame(spark, hours(1))}, batch_id="b")
+    assert group.read("t").count() == 0 and group.changes().count() == 0
+    group.push({"t": frame(spark, hours(1))}, batch_id="b")
+    assert group.read("t").count() == 1 and group.changes().count() == 1
+
+
+def test_ten_thousand_tables(spark, group):
+    schemas = [TableSchema(f"t{i}", COLUMNS, HOUR, timedelta(hours=1 + i % 50)) for i in range(10_000)]
+    group.create(*schemas)
+    rows = frame(spark, hours(*range(24))).crossJoin(spark.range(3).selectExpr("concat('t', id * 10) AS `$table`"))
+    group.push(rows)
+    names = group.tables()
+    now = START + timedelta(hours=24)
+    young = group.read(names, now=now)
+    assert {tuple(r) for r in young.groupBy("`$table`").count().collect()} == {("t0", 1), ("t10", 11), ("t20", 21)}
+    group.expire(now)
+    assert group.read(names).count() == 33
 
 
 def test_a_long_history(spark, group):

@@ -27,3 +27,7 @@ class IncompatibleTypes(TidemarkError, TypeError):
 
 class CommitConflict(TidemarkError):
     """Another writer committed the same version first."""
+
+
+class DamagedCommit(TidemarkError):
+    """A published commit cannot be read; nothing may be skipped over it."""

@@ -16,7 +16,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.tables import TableGroup
 from tidemark.streaming.continuous import continuous
 from tidemark.streaming.ingest import ingest
-from tidemark.streaming.subscribe import follow, subscribe, to_folder, unseen
+from tidemark.streaming.subscribe import follow, remember, subscribe, to_folder, unseen
 
 NOW = datetime(2024, 2, 1)
 TOTALS_SQL = "SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY event_type"
@@ -110,8 +110,7 @@ def st_subscribe(t):
     log, out = change_log(t), scratch_path(t.spark, "delivered")
     stream = log_folder(t, scratch_path(t.spark, "log"), log.unionByName(log))
     query = follow(
-        stream, lambda ranges: t.series, to_folder(out), checkpoint=scratch_path(t.spark, "follow"), available_now=True,
-        delay="60 days",
+        stream, lambda ranges: t.series, to_folder(out), checkpoint=scratch_path(t.spark, "follow"), available_now=True
     )
     query.awaitTermination()
     return plain(delivered(t, out, t.series))
@@ -125,9 +124,7 @@ def st_checkpoint(t):
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
     for part in (log.where(F.col("log_ts") < middle), log.where(F.col("log_ts") >= middle)):
         stream = log_folder(t, folder, part)
-        query = follow(
-            stream, lambda ranges: t.series, to_folder(out), checkpoint=state, available_now=True, delay="60 days"
-        )
+        query = follow(stream, lambda ranges: t.series, to_folder(out), checkpoint=state, available_now=True)
         query.awaitTermination()
     return plain(delivered(t, out, t.series))
 
@@ -136,9 +133,16 @@ def st_checkpoint(t):
 def st_seen_set(t):
     log, out = change_log(t), scratch_path(t.spark, "seen")
     stream = log_folder(t, scratch_path(t.spark, "log"), log.unionByName(log))
+    noted = scratch_path(t.spark, "noted")
+
+    def on_batch(batch, epoch):
+        lines = unseen(batch, noted, epoch)
+        to_folder(out)(lines, epoch)
+        remember(lines, noted, epoch)
+
     query = (
-        unseen(stream, "60 days").writeStream.option("checkpointLocation", scratch_path(t.spark, "state"))
-        .trigger(availableNow=True).foreachBatch(lambda df, epoch: to_folder(out)(df, epoch)).start()
+        stream.writeStream.option("checkpointLocation", scratch_path(t.spark, "state"))
+        .trigger(availableNow=True).foreachBatch(on_batch).start()
     )
     query.awaitTermination()
     return t.spark.read.parquet(out).select("log_ts", "transaction_id", F.col("table").alias("table_name"))
@@ -146,14 +150,14 @@ def st_seen_set(t):
 
 @plan("st_late_data", "SELECT ts, event_id, user_id, value, props FROM events")
 def st_late_data(t):
-    """Old rows that arrive after newer ones are delivered all the same."""
+    """Old rows that arrive after newer ones, and log lines that are days late, are delivered all the same."""
     group, out = TableGroup(t.spark, scratch_path(t.spark, "tables")), scratch_path(t.spark, "delivered")
     group.create(TableSchema("late", EVENT_COLUMNS, timedelta(days=7)))
     state = scratch_path(t.spark, "follow")
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
     rows = t.series.drop(TABLE)
     for hour, part in enumerate((rows.where(F.col(quoted(TS)) >= middle), rows.where(F.col(quoted(TS)) < middle))):
-        group.push({"late": part}, now=NOW + timedelta(hours=hour))
+        group.push({"late": part}, now=NOW - timedelta(days=9 * hour))
         subscribe(group, "late", to_folder(out), checkpoint=state, available_now=True).awaitTermination()
     return plain(delivered(t, out, group.read("late")).drop("log_ts", "transaction_id"))
 

@@ -5,7 +5,7 @@ Layout below the group's root::
     data/_v=<version>/_shard=<n>/part-*.parquet   rows, sorted by table and time
     replaced/_v=<version>/   (table, shard) whose rows in older versions are obsolete
     changes/_v=<version>/    change log: time, transaction, table, begin, end
-    log/<number>.json        one small file per commit; creating it publishes the version
+    log/<number>.json        one small file per commit; its appearance publishes the version
 
 Shards are directories, so a range predicate prunes them. Tables are not: rows are
 clustered by table inside a shard, which keeps files large for fleets of small tables
@@ -19,7 +19,7 @@ ones are invisible, and no file is overwritten while a plan still reads it.
 from __future__ import annotations
 
 import json
-import time
+import os
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.errors import AliasAlreadyExists, AliasNotFound, CommitConflict, InvalidArgument
+from tidemark.errors import AliasAlreadyExists, AliasNotFound, CommitConflict, DamagedCommit, InvalidArgument
 from tidemark.functions.time import MICROS, floor_div, micros, timestamp
 from tidemark.operators import write as W
 from tidemark.operators.ranges import _shards, between, in_range_set, in_ranges
@@ -42,9 +42,6 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-# A commit file is written in one go; one that is unreadable for longer is given up.
-ABANDONED_SECONDS = 30
-
 _NUMBER = "CAST(split_part(_v, '-', 1) AS BIGINT)"
 
 
@@ -87,8 +84,8 @@ class TableGroup:
         for number, text in self._texts(self._unread()):
             try:
                 self._commits[number] = json.loads(text)
-            except ValueError:
-                continue  # being written right now, or left behind by a writer that died
+            except ValueError as error:  # commits appear whole, so this one was damaged
+                raise DamagedCommit(f"commit {number} of {self.root} cannot be read") from error
         return [self._commits[n] for n in sorted(self._commits)]
 
     def _unread(self) -> dict:
@@ -114,32 +111,35 @@ class TableGroup:
         return texts
 
     def _publish(self, number: int, entry: dict) -> int:
-        """Create the commit file; exactly one writer can create a number."""
+        """Make the commit file appear, whole; exactly one writer can publish a number.
+
+        It is written under another name and moved. A move fails if the target is there; local
+        file systems would replace it, so there the file gets a second name instead.
+        """
         entry = {"number": number, **entry}
-        try:
-            out = self._fs.create(self._path(f"{self.root}/log/{number:020d}.json"), False)
-        except Exception as error:  # the file exists
-            raise CommitConflict(f"version {number} was committed by another writer") from error
+        staged = self._path(f"{self.root}/staging/{uuid.uuid4().hex}.json")
+        final = self._path(f"{self.root}/log/{number:020d}.json")
+        out = self._fs.create(staged, False)
         out.write(bytearray(json.dumps(entry), "utf-8"))
         out.close()
+        self._fs.mkdirs(final.getParent())
+        if self._fs.getUri().getScheme() == "file":
+            try:
+                os.link(staged.toUri().getPath(), final.toUri().getPath())
+                published = True
+            except FileExistsError:
+                published = False
+        else:
+            published = not self._fs.exists(final) and self._fs.rename(staged, final)
+        self._fs.delete(staged, False)
+        if not published:
+            raise CommitConflict(f"version {number} was committed by another writer")
         self._commits[number] = entry
         return number
 
     def _next(self) -> int:
-        """Number for a new commit.
-
-        A commit that is just being written is waited for, since it may change the rows
-        this one builds on. A file that stays unreadable belongs to a writer that died; its
-        number is skipped.
-        """
-        commits = self._load()
-        while pending := self._unread():
-            newest = max(s.getModificationTime() for s in pending.values()) / 1000
-            if time.time() - newest > ABANDONED_SECONDS:
-                break
-            time.sleep(0.2)
-            commits = self._load()
-        return max([0, *pending, *[c["number"] for c in commits]]) + 1
+        """Number for a new commit."""
+        return max([0, *[c["number"] for c in self._load()]]) + 1
 
     def committed(self, batch_id: str) -> int | None:
         """Version that holds a batch, if it was pushed before."""
@@ -189,8 +189,9 @@ class TableGroup:
 
     def create(self, *schemas: TableSchema) -> None:
         """Create tables in one commit."""
+        known = self._catalog()
         for schema in schemas:
-            if self.exists(schema.name):
+            if schema.name in known:
                 raise AliasAlreadyExists(f"table '{schema.name}' exists already")
         self._publish(self._next(), {"kind": "create", "tables": {s.name: self._spec(s) for s in schemas}})
 
@@ -258,9 +259,8 @@ class TableGroup:
             .where(F.col("_table").isin(names))
         )
         # Rows of a dropped table of the same name are older than the table.
-        for name in names:
-            if catalog[name][1] > filled[0]["number"]:
-                rows = rows.where((F.col("_table") != name) | (_number("_v") >= catalog[name][1]))
+        limits = [(n, catalog[n][1]) for n in names if catalog[n][1] > filled[0]["number"]]
+        rows = self._above(rows, limits, _number("_v"), "bigint")
         if shards is not None:
             rows = rows.where(shards)
         floors = self._floors(commits, names)
@@ -270,6 +270,20 @@ class TableGroup:
         joined = rows.join(side, ["_table", SHARD], "left")
         return joined.where("_floor IS NULL OR " + _NUMBER + " >= _floor").drop("_floor")
 
+    def _above(self, rows: DataFrame, limits: list[tuple], value: Column, kind: str) -> DataFrame:
+        """Rows whose ``value`` reaches their table's limit; tables without one stay whole.
+
+        One limit for all becomes a filter; more are joined, so that any number of tables
+        makes one plan of the same size. There is one short row per table.
+        """
+        if not limits:
+            return rows
+        distinct = {limit for _, limit in limits}
+        if len(distinct) == 1:
+            return rows.where(~F.col("_table").isin([n for n, _ in limits]) | (value >= F.lit(distinct.pop()).cast(kind)))
+        side = self.spark.createDataFrame(limits, f"_table string, _limit {kind}")
+        return rows.join(F.broadcast(side), "_table", "left").where(F.col("_limit").isNull() | (value >= F.col("_limit"))).drop("_limit")
+
     def _shard_filter(self, names, catalog, ranges) -> Column | None:
         """Shards that ranges can touch; tables may differ in shard size."""
         if not ranges:
@@ -305,18 +319,15 @@ class TableGroup:
             ranges = list(ranges or [])
             rows = in_ranges(self._rows(names, catalog, self._shard_filter(names, catalog, ranges)), ranges)
         if now is not None:
-            for name in names:
-                schema = catalog[name][0]
-                if schema.has_ttl:
-                    young = F.col(quoted(TS)) >= timestamp(now) - F.lit(schema.ttl)
-                    rows = rows.where((F.col("_table") != name) | young)
-        chosen: dict[str, list[Column]] = {}
+            limits = [(n, now - catalog[n][0].ttl) for n in names if catalog[n][0].has_ttl]
+            rows = self._above(rows, limits, F.col(quoted(TS)), "timestamp_ntz")
+        stored: dict[str, list[str]] = {}
         for name in names:
             for column in catalog[name][0].columns:
-                cells = chosen.setdefault(column.name, [])
-                stored = F.col(quoted(_physical(column)))
-                if not any(str(stored) == str(c) for c in cells):
-                    cells.append(stored)
+                cells = stored.setdefault(column.name, [])
+                if (cell := _physical(column)) not in cells:
+                    cells.append(cell)
+        chosen = {name: [F.col(quoted(cell)) for cell in cells] for name, cells in stored.items()}
         for name, cells in chosen.items():
             if len(cells) > 1:
                 kinds = {catalog[t][0].column(name).type for t in names if name in
@@ -429,6 +440,14 @@ class TableGroup:
             has_rows = any(s.isDirectory() for s in self._fs.listStatus(self._path(target)))
         if replaced is not None:
             replaced.select("_table", SHARD).distinct().write.parquet(f"{self.root}/replaced/_v={version}")
+        if batch is not None:
+            # Before the commit: a published version always has its lines, and lines of a
+            # version that is never published are not read.
+            spans = batch
+            if batch is rows:  # a plain push reads the spans back from what it wrote
+                stored = T.StructType([f for f in rows.schema.fields if f.name in (TS, "_table")])
+                spans = self.spark.read.schema(stored).parquet(f"{self.root}/data/_v={version}")
+            self._log_change(number, version, spans, now or utc_now())
         self._publish(
             number,
             {
@@ -438,15 +457,10 @@ class TableGroup:
                 "replaces": replaced is not None,
                 "base": base,
                 "batch_id": batch_id,
+                "logged": batch is not None,
                 "time": (now or utc_now()).isoformat(sep=" "),
             },
         )
-        if batch is not None:
-            # A plain push reads the spans back from what it wrote.
-            if batch is rows:
-                stored = T.StructType([f for f in rows.schema.fields if f.name in (TS, "_table")])
-                batch = self.spark.read.schema(stored).parquet(f"{self.root}/data/_v={version}")
-            self._log_change(number, version, batch, now or utc_now())
         return number
 
     def _log_change(self, number: int, version: str, batch: DataFrame, now: datetime) -> None:
@@ -578,28 +592,32 @@ class TableGroup:
         """Retire whole shards that lie past their table's retention."""
         catalog = self._catalog()
         based_on = self._next() - 1
-        old = F.lit(False)
         names = [n for n, (s, _) in catalog.items() if s.has_ttl]
         if not names:
             return None
-        for name in names:
-            schema = catalog[name][0]
-            limit = floor_div(micros(timestamp(now) - F.lit(schema.ttl)), schema.shard_size // MICROS)
-            old = old | ((F.col("_table") == name) & (F.col(SHARD) < limit))
-        gone = self._rows(names, catalog, old).select("_table", SHARD).distinct()
+        epoch = datetime(1970, 1, 1)
+        limits = [(n, (now - catalog[n][0].ttl - epoch) // catalog[n][0].shard_size) for n in names]
+        side = self.spark.createDataFrame(limits, "_table string, _limit bigint")
+        stored = self._rows(names, catalog).select("_table", SHARD).distinct()
+        gone = checkpoint(stored.join(F.broadcast(side), "_table").where(F.col(SHARD) < F.col("_limit")).drop("_limit"))
         if gone.isEmpty():
             return None
         return self._commit("expire", None, None, gone, None, now, based_on)
 
-    def changes(self) -> DataFrame:
-        """The change log; begin and end of a span are both included."""
-        if not self._fs.exists(self._path(f"{self.root}/changes")):
+    def _lines(self, versions: list[str]) -> DataFrame:
+        if not versions:
             return self.spark.createDataFrame([], _CHANGE_SCHEMA)
-        return self.spark.read.schema(_CHANGE_SCHEMA).parquet(f"{self.root}/changes").drop("_v")
+        return self.spark.read.schema(_CHANGE_SCHEMA).parquet(*[f"{self.root}/changes/_v={v}" for v in versions])
 
-    def change_stream(self) -> DataFrame:
-        """The change log as a stream."""
-        self._fs.mkdirs(self._path(f"{self.root}/changes"))
-        return (
-            self.spark.readStream.schema(_CHANGE_SCHEMA + ", _v string").parquet(f"{self.root}/changes").drop("_v")
-        )
+    def changes(self) -> DataFrame:
+        """The change log of published versions; begin and end of a span are both included."""
+        return self._lines([c["version"] for c in self._load() if c.get("logged")])
+
+    def commit_stream(self) -> DataFrame:
+        """Published commits as a stream; ``changes_of`` turns its batches into log lines."""
+        self._fs.mkdirs(self._path(f"{self.root}/log"))
+        return self.spark.readStream.schema("number bigint, version string, logged boolean").json(f"{self.root}/log")
+
+    def changes_of(self, commits: DataFrame) -> DataFrame:
+        """The change-log lines of some commits."""
+        return self._lines([r.version for r in commits.where("logged").select("version").distinct().collect()])

@@ -4,26 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ranges import replay
 from tidemark.session import checkpoint as save
+from tidemark.session import checked_broadcast
 
+LINE = ["log_ts", "transaction_id", "table"]
 
-def unseen(log: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """A log stream without repeats of a transaction at the same log time.
 
-    State is dropped once the log time has moved on by ``delay``. The watermark follows
-    the log, not the rows: rows may be as late as they like.
+def unseen(batch: DataFrame, folder: str, epoch: int) -> DataFrame:
+    """The lines of a micro-batch that no earlier epoch has delivered, each once.
+
+    Delivered lines are kept below ``folder`` by log day, so only the days of the batch are
+    read. A line may be as late as it likes. An epoch that is repeated after a failure finds
+    the same lines as before.
     """
-    return (
-        log.withColumn("_log_time", F.col("log_ts").cast("timestamp"))
-        .withWatermark("_log_time", delay)
-        .dropDuplicates(["_log_time", "transaction_id", "table"])
-        .drop("_log_time")
-    )
+    spark = batch.sparkSession
+    lines = save(batch.dropDuplicates(LINE))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    days = [r[0] for r in lines.select(_day().alias("day")).distinct().collect()]
+    paths = [f"{folder}/_day={day}" for day in days]
+    known = [p for p in paths if path(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path(p))]
+    if not known:
+        return lines
+    schema = ", ".join(f"`{n}` {batch.schema[n].dataType.simpleString()}" for n in LINE)
+    seen = spark.read.option("basePath", folder).schema(schema + ", _day string, _epoch bigint").parquet(*known)
+    seen = checked_broadcast(seen.where(F.col("_epoch") < epoch).select(*LINE))
+    same = F.lit(True)
+    for name in LINE:
+        same = same & lines[name].eqNullSafe(seen[name])
+    return save(lines.join(seen, same, "left_anti"))
+
+
+def remember(lines: DataFrame, folder: str, epoch: int) -> None:
+    """Note lines as delivered. Doing it twice for an epoch changes nothing."""
+    noted = lines.select(*LINE, _day().alias("_day"), F.lit(epoch).cast("long").alias("_epoch"))
+    noted.write.mode("append").partitionBy("_day", "_epoch").parquet(folder)
+
+
+def _day() -> Column:
+    return F.coalesce(F.date_format("log_ts", "yyyy-MM-dd"), F.lit("none"))
 
 
 def needed_ranges(spans: DataFrame, limit: int = 64) -> list[tuple]:
@@ -44,24 +67,28 @@ def follow(
     table: str | None = None,
     pace: str = "100 milliseconds",
     available_now: bool = False,
-    delay: str = "1 hour",
+    lines: Callable[[DataFrame], DataFrame] | None = None,
     **replay_options,
 ) -> StreamingQuery:
     """Stream a change log, look up each new transaction's rows and deliver them.
 
     ``rows`` is called per micro-batch with the time ranges it needs, and gives the
-    current table or at least those parts of it. ``deliver`` gets the rows with log time and transaction id, and the epoch, which stays the same when a
-    batch is repeated after a failure. The checkpoint is the resume point.
+    current table or at least those parts of it. ``deliver`` gets the rows with log time and
+    transaction id, and the epoch, which stays the same when a batch is repeated after a
+    failure. The checkpoint is the resume point; delivered lines are noted next to it.
+    ``lines`` turns a micro-batch of ``log`` into log lines if it holds something else.
     """
-    source = log if table is None else log.where(F.col("table") == table)
+    noted = f"{checkpoint.rstrip('/')}-delivered"
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        spans = save(batch)
+        found = batch if lines is None else lines(batch)
+        spans = unseen(found if table is None else found.where(F.col("table") == table), noted, epoch)
         ranges = needed_ranges(spans)
         if ranges:
             deliver(replay(spans, rows(ranges), **replay_options), epoch)
+            remember(spans, noted, epoch)
 
-    writer = unseen(source, delay).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = log.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=pace)
     return writer.foreachBatch(on_batch).start()
 
@@ -79,5 +106,7 @@ def subscribe(group, table: str, deliver, *, checkpoint: str, **options) -> Stre
     """Follow one table of a ``TableGroup``."""
     group.schema(table)
     current = lambda ranges: group.read([table], ranges=ranges)
-    return follow(group.change_stream(), current, deliver, checkpoint=checkpoint, table=table, **options)
+    return follow(
+        group.commit_stream(), current, deliver, checkpoint=checkpoint, table=table, lines=group.changes_of, **options
+    )
 
