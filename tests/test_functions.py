@@ -1,6 +1,6 @@
 """Column functions against plain Python."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +109,28 @@ def test_null_sentinels(spark):
     rows = [(float("nan"), INT64_NULL, datetime(1969, 12, 31), "", b""), (None,) * 5, good]
     got = [tuple(r) for r in normalise_nulls(spark.createDataFrame(rows, kinds)).collect()]
     assert got == [(None,) * 5, (None,) * 5, (*good[:4], bytearray(b"\0"))]
+
+
+def test_time_arithmetic_in_any_zone(spark):
+    from tidemark.functions.time import from_micros, micros
+
+    rows = [(t,) for t in ("1969-12-31 23:59:59.999999", "1970-01-01", "2024-03-10 02:30:00.000001", "2024-03-10 03:30:00", "2290-11-03 01:30:00")]
+    df = spark.createDataFrame(rows, "text string").selectExpr("CAST(text AS timestamp_ntz) AS ts")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        found = df.select("ts", micros(F.col("ts")).alias("us")).select("*", from_micros(F.col("us")).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    for r in found:
+        assert r.us == (r.ts - datetime(1970, 1, 1)) // timedelta(microseconds=1) and r.back == r.ts
+
+
+def test_years_and_calendar_durations(spark):
+    from tidemark.functions.time import Calendar
+    from tidemark.operators.ranges import between
+
+    days = spark.sql("SELECT explode(sequence(DATE'2017-12-30', DATE'2020-03-01')) AS d").selectExpr("CAST(d AS timestamp_ntz) AS ts")
+    count = lambda begin, end: days.where(between(F.col("ts"), begin, end)).count()
+    assert count(2018, 2019) == 365 and count(2018, timedelta(days=100)) == 100
+    assert count(2018, Calendar(years=1)) == 365 and count("2020-01-31", Calendar(months=1)) == 29

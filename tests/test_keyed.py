@@ -46,6 +46,26 @@ def test_several_requests_per_key(spark, stored):
     assert rows(kv.update(stored, asked, NOW, "seq")[0].where("key in (1, 9)"), "value") == [(2,), (4,)]
 
 
+def test_requests_that_differ_are_refused(spark, stored):
+    twice = ask(spark, [(1, 5, 10), (1, 6, 99)])
+    same = ask(spark, [(1, 5, 10), (1, 5, 10)])
+    for call in (lambda r: kv.compare_and_swap(stored, r, NOW), lambda r: kv.remove_if(stored, r),
+                 lambda r: kv.get_and_update(stored, r, NOW), lambda r: kv.update(stored, r, NOW)):
+        with pytest.raises(Exception, match="differ"):
+            call(twice)[1].collect()
+        assert len(call(same)[1].collect()) == 1
+    times = spark.createDataFrame([(1, NOW, 1), (1, LATER, 2)], "key bigint, expires_at timestamp_ntz, seq int")
+    assert rows(kv.expire_at(stored, times, "seq")[0].where("key = 1"), "expires_at") == [(LATER,)]
+
+
+def test_add_to_times(spark, stored):
+    times = stored.select("key", "modified_at").selectExpr("key", "modified_at AS value", "modified_at", "CAST(NULL AS timestamp_ntz) AS expires_at")
+    asked = spark.createDataFrame([(1, timedelta(minutes=40)), (1, timedelta(minutes=20)), (9, timedelta(1))], "key bigint, addend interval day to second")
+    new, result = kv.add(times, asked, LATER)
+    assert rows(new.where("key < 3"), "key", "value") == [(1, LATER), (2, NOW)]
+    assert rows(result, "key", "total", "missing") == [(1, LATER, False), (9, None, True)]
+
+
 def test_conditional_changes(spark, stored):
     asked = ask(spark, [(1, 100, 10), (2, 200, 99), (4, 400, 4)])
     new, result = kv.compare_and_swap(stored, asked, LATER)

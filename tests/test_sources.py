@@ -87,3 +87,19 @@ def test_sparse_integers_stay_integers(spark):
     frame = pd.DataFrame({"n": pd.array([2**60 + 1, None, 3], dtype="Int64")}, index=index)
     write_frames(group, {"t": frame}, create=True)
     assert [r.n for r in group.read("t").orderBy(f"`{TS}`").collect()] == [2**60 + 1, None, 3]
+
+
+def test_times_finer_than_microseconds_are_refused(spark):
+    from tidemark.errors import InvalidArgument
+
+    index = pd.to_datetime(["2024-01-01", "2024-01-01"]) + pd.to_timedelta([0, 1], unit="ns")
+    with pytest.raises(InvalidArgument, match="finer"):
+        from_pandas(spark, pd.DataFrame({"v": [1.0, 2.0]}, index=index))
+    with pytest.raises(InvalidArgument, match="finer"):
+        from_pandas(spark, pd.DataFrame({"t": index}, index=index.floor("us")))
+    assert from_pandas(spark, pd.DataFrame({"v": [1.0]}, index=index[:1])).count() == 1
+
+
+def test_index_by_offset(spark):
+    frame = query_frame(spark, "SELECT 5 AS a, 9 AS b", index=1)
+    assert frame.index.tolist() == [9] and frame.index.name == "b" and list(frame.columns) == ["a"]

@@ -33,12 +33,14 @@ def test_new_and_probe(spark, source):
     try:
         assert [r.n for r in running.results(60).collect()] == [2]
         assert running.probe() is None
-        add(5, 6)
-        assert sorted(r.n for r in running.results(60).collect()) == [5, 6]
+        for more in ((5, 6), (7,)):  # two deliveries before anyone reads
+            add(*more)
+            running.query.processAllAvailable()
+        assert sorted(r.n for r in running.results(60).collect()) == [5, 6, 7]
         add(0)  # brings nothing: the last delivery stays
         running.query.processAllAvailable()
         assert running.probe() is None
-        assert sorted(r.n for r in running.latest().collect()) == [5, 6]
+        assert sorted(r.n for r in running.latest().collect()) == [7]
         with pytest.raises(TimeoutError):
             running.results(0.5)
     finally:

@@ -325,3 +325,43 @@ def test_infer_types_off(spark, group):
         group.push({"t": wrong}, dtype={"nope": "float"})
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         group.push({"t": frame(spark, [(START, "abc", 1.0)], f"`{TS}` timestamp_ntz, v string, n double")})
+
+
+def test_a_row_without_time_is_refused(spark, group):
+    group.create(TableSchema("t", COLUMNS))
+    for time in (None, datetime(1969, 5, 5)):
+        with pytest.raises(Exception, match="has no"):
+            group.push({"t": frame(spark, [(time, 1.0, "x"), *hours(1)])})
+    assert group.read("t").count() == 0
+
+
+def test_equal_keys_without_an_order(spark, group):
+    group.create(TableSchema("t", COLUMNS))
+    twice = hours(1) + hours(1, value=5.0)
+    for mode in ("drop", "upsert"):
+        with pytest.raises(Exception, match="differ"):
+            group.push({"t": frame(spark, twice)}, deduplicate=TS, deduplication_mode=mode)
+    group.push({"t": frame(spark, hours(1) * 2)}, deduplicate=TS)
+    assert values(group.read("t")) == [(1, 2.0)]
+
+
+def test_types_by_position(spark, group):
+    group.create(TableSchema("t", (ColumnInfo("v", ColumnType.DOUBLE), ColumnInfo("n", ColumnType.INT64))))
+    rows = frame(spark, [(START, "1.5", "7")], f"`{TS}` timestamp_ntz, v string, n string")
+    group.push({"t": rows}, dtype=["float", None])
+    group.push({"t": rows}, dtype="double")
+    assert [(r.v, r.n) for r in group.read("t").collect()] == [(1.5, 7)] * 2
+    with pytest.raises(InvalidArgument):
+        group.push({"t": rows}, dtype=["float"] * 3)
+
+
+def test_symbols_keep_their_numbers(spark):
+    from tidemark.operators.symbols import build_dictionary, extend_dictionary
+
+    first = spark.createDataFrame([("b",), ("d",), (None,)], "s string")
+    more = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "s string")
+    known = build_dictionary(first, "s")
+    grown = {r.symbol: r.symbol_id for r in extend_dictionary(known, more, "s").collect()}
+    assert grown == {"b": 0, "d": 1, "a": 2, "c": 3}
+    empty = known.limit(0)
+    assert {r.symbol: r.symbol_id for r in extend_dictionary(empty, more, "s").collect()} == {"a": 0, "b": 1, "c": 2}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
@@ -10,10 +11,35 @@ from pyspark.sql import functions as F
 MICROS = timedelta(microseconds=1)
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+@dataclass(frozen=True)
+class Calendar:
+    """A duration in calendar units, whose length depends on where it begins."""
+
+    years: int = 0
+    months: int = 0
+    days: int = 0
+
+    def after(self, begin: Column) -> Column:
+        whole = F.make_ym_interval(F.lit(self.years), F.lit(self.months))
+        return begin + whole + F.lit(timedelta(days=self.days))
+
+
+def ending(begin: Column, end) -> Column:
+    """The end of a range: a time, or a duration after its begin."""
+    if isinstance(end, timedelta):
+        return begin + F.lit(end)
+    return end.after(begin) if isinstance(end, Calendar) else timestamp(end)
+
+
 def timestamp(value) -> Column:
-    """A timestamp literal from a datetime, a date, ISO text or a column."""
+    """A timestamp literal from a datetime, a date, ISO text, a year number or a column."""
     if isinstance(value, Column):
         return value
+    if isinstance(value, int) and not isinstance(value, bool):
+        value = date(value, 1, 1)
     if isinstance(value, datetime) and value.tzinfo is not None:
         offset = value.utcoffset()
         value = value.replace(tzinfo=None) - offset
@@ -25,12 +51,17 @@ def timestamp(value) -> Column:
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since the epoch (the session must run in UTC)."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds since the epoch, whatever the session's time zone."""
+    since = ts.cast("timestamp_ntz") - F.lit(EPOCH).cast("timestamp_ntz")
+    part = lambda unit: F.extract(F.lit(unit), since)
+    seconds = (part("DAY").cast("long") * 24 + part("HOUR")) * 3600 + part("MINUTE") * 60
+    return seconds * 1_000_000 + (part("SECOND") * 1_000_000).cast("long")
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
+    zero = F.lit(0)
+    seconds = (us.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def floor_div(us: Column, width: int) -> Column:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.nulls import normalise
+from tidemark.functions.time import micros
 from tidemark.schema import TABLE, TS, quoted
 
 
@@ -40,10 +42,16 @@ def ohlc(
 ) -> DataFrame:
     """Open, high, low, close per key and tumbling bar; works on streams too.
 
-    ``seq`` orders prices that share a timestamp.
+    ``seq`` orders prices that share a timestamp. A whole number is packed with the time
+    into one decimal, which is aggregated by hash; other kinds need a sort.
     """
     value = F.col(quoted(price))
-    order = F.col(quoted(ts)) if seq is None else F.struct(quoted(ts), quoted(seq))
+    order = F.col(quoted(ts))
+    if seq is not None and isinstance(df.schema[seq].dataType, T.IntegralType):
+        order = micros(order).cast("decimal(19,0)") * F.lit("20000000000000000000").cast("decimal(20,0)")
+        order = (order + F.col(quoted(seq)).cast("decimal(19,0)")).cast("decimal(38,0)")
+    elif seq is not None:
+        order = F.struct(quoted(ts), quoted(seq))
     measures = [
         F.min_by(value, order).alias("open"),
         F.max(value).alias("high"),

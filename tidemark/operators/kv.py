@@ -2,7 +2,9 @@
 
 Every call applies a set of requests at once and returns ``(new table, result)``.
 ``requests`` holds one row per key; where several may come, ``seq`` orders them and
-the rule of the call decides (the first put, the last update, the sum of adds).
+the rule of the call decides (the first put, the last update or expiry, the sum of adds).
+Without ``seq``, and for conditional calls, requests of a key must not differ: the job
+fails if they do. ``oplog.replay`` applies any sequence of requests in order.
 A null ``expires_at`` means never.
 """
 
@@ -147,13 +149,14 @@ def compare_and_swap(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame
 
 
 def add(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
-    """Add all addends of a key to its numeric value; returns the new totals.
+    """Add all addends of a key to its value, a number or a time; returns the new totals.
 
     Requests are summed before the shuffle. An overflow raises.
     """
     asked = requests.groupBy("key").agg(F.sum("addend").alias("_req_addend"))
     both = _joined(kv, asked)
-    total = F.col("value") + F.coalesce("_req_addend", F.lit(0))
+    changed = F.col("_req_addend").isNotNull()
+    total = F.when(changed, F.col("value") + F.col("_req_addend")).otherwise(F.col("value"))
     new = both.where("_stored").select(
         "key",
         total.cast(kv.schema["value"].dataType).alias("value"),
@@ -165,9 +168,9 @@ def add(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def expire_at(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+def expire_at(kv: DataFrame, requests: DataFrame, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Set an absolute expiry, kept to the millisecond; missing keys are reported."""
-    asked = _asked(requests.select("key", "expires_at"), None, "first")
+    asked = _asked(requests.select("key", "expires_at", *([seq] if seq else [])), seq, "last")
     both = _joined(kv, asked)
     when = F.date_trunc("MILLISECOND", F.col("_req_expires_at")).cast("timestamp_ntz")
     new = both.where("_stored").select(
@@ -177,11 +180,12 @@ def expire_at(kv: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]
     return new, both.where("_asked").select("key", (~F.col("_stored")).alias("missing"))
 
 
-def expire_from_now(kv: DataFrame, requests: DataFrame, now) -> tuple[DataFrame, DataFrame]:
+def expire_from_now(
+    kv: DataFrame, requests: DataFrame, now, seq: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Set the expiry to ``now`` plus the request's ``after`` interval."""
-    return expire_at(
-        kv, requests.select("key", (timestamp(now) + F.col("after")).cast("timestamp_ntz").alias("expires_at"))
-    )
+    when = (timestamp(now) + F.col("after")).cast("timestamp_ntz").alias("expires_at")
+    return expire_at(kv, requests.select("key", when, *([seq] if seq else [])), seq)
 
 
 def metadata(kv: DataFrame, requests: DataFrame, entry_type: str) -> DataFrame:

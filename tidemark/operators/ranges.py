@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import InvalidArgument
-from tidemark.functions.time import MICROS, floor_div, from_micros, micros, timestamp
+from tidemark.functions.time import MICROS, ending, floor_div, from_micros, micros, timestamp
 from tidemark.schema import SHARD, TABLE, TS, quoted
 from tidemark.session import BROADCAST_ROWS, checkpoint, fits
 
@@ -23,7 +23,7 @@ from tidemark.session import BROADCAST_ROWS, checkpoint, fits
 def between(ts: Column, begin, end, closed: bool = False) -> Column:
     """``begin <= ts < end``, or ``<= end`` if ``closed``; ``end`` may be a duration."""
     lower = timestamp(begin)
-    upper = lower + F.lit(end) if isinstance(end, timedelta) else timestamp(end)
+    upper = ending(lower, end)
     return (ts >= lower) & (ts <= upper if closed else ts < upper)
 
 
@@ -65,7 +65,7 @@ def in_ranges(
 
 def _shards(begin, end, shard_size: timedelta) -> Column:
     lower = timestamp(begin)
-    upper = lower + F.lit(end) if isinstance(end, timedelta) else timestamp(end)
+    upper = ending(lower, end)
     width = shard_size // MICROS
     first, last = floor_div(micros(lower), width), floor_div(micros(upper), width)
     return (F.col(SHARD) >= first) & (F.col(SHARD) <= last)

@@ -22,6 +22,16 @@ from tidemark.session import checked_broadcast, small_side
 # ---------------------------------------------------------------- shaping a batch
 
 
+def forced_types(force, schema: TableSchema) -> dict[str, str] | None:
+    """Types by column name; a list goes by position, and one type is a list of one."""
+    if force is None or isinstance(force, dict):
+        return force
+    kinds = [force] if isinstance(force, str) else list(force)
+    if len(kinds) > len(schema.columns):
+        raise InvalidArgument(f"{len(kinds)} types for {len(schema.columns)} columns")
+    return {c.name: kind for c, kind in zip(schema.columns, kinds) if kind is not None}
+
+
 def align(df: DataFrame, schema: TableSchema, extra: tuple[str, ...] = (TABLE,)) -> DataFrame:
     """Table column order; missing columns become null, unknown ones are dropped."""
     if TS not in df.columns:
@@ -101,7 +111,8 @@ def rows_to_columns(
 ) -> DataFrame:
     """Sparse cells (row, column, value) -> full rows; unset cells are null.
 
-    Setting one cell twice is an error. ``value`` holds text; it is cast per column.
+    Setting one cell twice is an error. ``value`` holds text, or bytes for blob columns; it
+    is cast per column before the aggregate, so numbers and times need no sort.
     """
     is_column = lambda name: F.col(quoted(column)) == name
     measures = []
@@ -109,7 +120,7 @@ def rows_to_columns(
         times = F.count(F.when(is_column(name), F.lit(1)))
         measures.append(
             F.when(times > 1, F.raise_error(F.lit(f"cell of column '{name}' set twice")).cast(dtype))
-            .otherwise(F.max(F.when(is_column(name), F.col(quoted(value)))).cast(dtype))
+            .otherwise(F.max(F.when(is_column(name), F.col(quoted(value)).cast(dtype))))
             .alias(name)
         )
     return cells.groupBy(*[quoted(k) for k in by]).agg(*measures)
@@ -166,10 +177,20 @@ def one_per_key(batch: DataFrame, keys: list[str], seq: str | None, keep: str) -
     """First or last row by ``seq`` of each key.
 
     The rank filter is applied per task before the shuffle, so a hot key sends at
-    most one row per task. Without ``seq`` rows of a key must not differ.
+    most one row per task. Without ``seq`` rows of a key must not differ: the job fails
+    if they do.
     """
+    rest = [c for c in batch.columns if c not in keys]
+    if seq is None and not rest:
+        return batch.distinct()
     if seq is None:
-        return batch.dropDuplicates(keys)
+        whole = F.struct(*[F.col(quoted(c)) for c in rest])
+        found = batch.groupBy(*[quoted(k) for k in keys]).agg(F.min(whole).alias("_low"), F.max(whole).alias("_high"))
+        differ = F.raise_error(F.lit(f"rows with equal {', '.join(keys)} differ: their order is needed (seq)"))
+        same = F.col("_low").eqNullSafe(F.col("_high"))
+        # A filter, so that it is checked whatever columns are used later.
+        one = found.where(F.when(same, F.lit(True)).otherwise(differ.cast("boolean")))
+        return one.select(*[F.col(quoted(c)) if c in keys else F.col("_low")[c].alias(c) for c in batch.columns])
     order = F.col(quoted(seq)).asc() if keep == "first" else F.col(quoted(seq)).desc()
     ranked = W.partitionBy(*[quoted(k) for k in keys]).orderBy(order)
     return batch.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")

@@ -84,7 +84,11 @@ def q_agg_tagged_per_table(t):
     return plain(rounded(agg.agg_per_table(tagged, ["value"]), "sum(value)"))
 
 
-@plan("q_validate")
+@plan(
+    "q_validate",
+    """SELECT * FROM (VALUES (0, 'ts', 'timestamp_ntz'), (1, 'event_type', 'string'), (2, 'n', 'bigint'))
+       AS fields(position, name, type)""",
+)
 def q_validate(t):
     """Names and types of a valid query on a given table."""
     t.events.createOrReplaceTempView("validated_events")

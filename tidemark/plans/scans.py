@@ -11,8 +11,9 @@ from tidemark.operators.kv import alive
 from tidemark.plans.registry import SERIES_SQL, plain, plan, with_inputs
 from tidemark.schema import TABLE, TS, quoted
 from tidemark.session import scratch_path
-from tidemark.sources.frames import from_pandas, to_pandas
+from tidemark.sources.frames import from_pandas, to_pandas, write_frames
 from tidemark.sources.minutes_csv import name_map, read_minutes, table_name_of, ticker_tags
+from tidemark.sources.tables import TableGroup
 
 DAY = timedelta(days=1)
 # Adjacent, overlapping and empty ranges.
@@ -109,9 +110,12 @@ def source_pandas(t):
 
 @plan("sink_pandas", DAILY_SQL)
 def sink_pandas(t):
-    """Frames made inside tasks from Arrow batches: nothing passes the driver."""
-    daily = _daily(t)
-    return plain(daily.mapInPandas(lambda frames: (f.copy() for f in frames), daily.schema))
+    """A result per table is written from frames, with the tables made to fit, and read back."""
+    daily = to_pandas(_daily(t))
+    group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
+    frames = {str(name): part.drop(columns=TABLE) for name, part in daily.groupby(TABLE)}
+    write_frames(group, frames, create=True, now=datetime(2024, 2, 1))
+    return plain(group.read(list(frames)))
 
 
 TICKER_SQL = """CASE event_type WHEN 'click' THEN 'aapl' WHEN 'view' THEN 'ibm' WHEN 'error' THEN 'trv'

@@ -96,7 +96,13 @@ def ddl_add_columns(t):
     return plain(group.read("grown"))
 
 
-@plan("ddl_describe")
+@plan(
+    "ddl_describe",
+    """SELECT *, CAST(NULL AS VARCHAR) AS symtable
+       FROM (VALUES (-1, '$timestamp', 'timestamp'), (0, 'event_id', 'int64'), (1, 'user_id', 'int64'),
+                    (2, 'event_type', 'string'), (3, 'value', 'double'), (4, 'props', 'string'))
+            AS fields("index", name, type)""",
+)
 def ddl_describe(t):
     """Columns of a table that was made from a given table."""
     group = TableGroup(t.spark, scratch_path(t.spark, "tables"))

@@ -24,6 +24,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
     }
+    if not (master or "").startswith("local"):
+        # Many small partitions to begin with; adaptive execution merges what is small.
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "20000"
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

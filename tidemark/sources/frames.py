@@ -17,9 +17,17 @@ READ_BATCH = 65_536
 
 
 def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
-    """Index -> ``$timestamp``; Arrow transfer, microsecond precision."""
+    """Index -> ``$timestamp``; Arrow transfer.
+
+    Times are kept to the microsecond; finer ones are refused, since they would become
+    equal. Keep nanoseconds in an integer column instead.
+    """
     data = frame.copy()
-    data.insert(0, TS, pd.to_datetime(frame.index).to_numpy("datetime64[us]"))
+    index = pd.to_datetime(frame.index)
+    for name, times in [(TS, pd.Series(index)), *((c, frame[c]) for c in frame.columns)]:
+        if pd.api.types.is_datetime64_any_dtype(times.dtype) and (times != times.dt.floor("us"))[times.notna()].any():
+            raise InvalidArgument(f"'{name}' has times finer than a microsecond")
+    data.insert(0, TS, index.to_numpy("datetime64[us]"))
     df = spark.createDataFrame(data.reset_index(drop=True))
     stamps = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
     return df.withColumns({n: F.col(quoted(n)).cast("timestamp_ntz") for n in stamps})
@@ -66,9 +74,10 @@ def stream_frames(group, tables, columns=None, ranges=None, size: int = READ_BAT
     return iter_pandas(group.read(tables, columns, ranges), size)
 
 
-def query_frame(spark: SparkSession, text: str, index: str | None = None) -> pd.DataFrame:
-    """Result of a query; its index is a column, or 0..n-1 named ``$index``."""
+def query_frame(spark: SparkSession, text: str, index: str | int | None = None) -> pd.DataFrame:
+    """Result of a query; its index is a column by name or offset, or 0..n-1 named ``$index``."""
     result = spark.sql(text)
     if index is None:
         return result.toPandas().rename_axis(INDEX)
-    return to_pandas(result_index(result, index), index)
+    indexed = result_index(result, index)
+    return to_pandas(indexed, indexed.columns[0])

@@ -390,7 +390,10 @@ class TableGroup:
     @staticmethod
     def _stored_columns(batch, schema, schemas, infer, force, seq) -> DataFrame:
         extra = (TABLE, seq) if seq else (TABLE,)
-        clean = W.align(W.cast_to(batch, schema, force, infer), schema, extra)
+        clean = W.align(W.cast_to(batch, schema, W.forced_types(force, schema), infer), schema, extra)
+        # The index is never null: such a row would lie in no range and no shard.
+        missing = F.raise_error(F.lit(f"a row has no {TS}, or one before 1970")).cast("timestamp_ntz")
+        clean = clean.withColumn(TS, F.coalesce(F.col(quoted(TS)), missing))
         sizes: dict[timedelta, list[str]] = {}
         for name, one in schemas.items():
             sizes.setdefault(one.shard_size, []).append(name)
@@ -484,7 +487,7 @@ class TableGroup:
         deduplication_mode: str = "drop",
         batch_id: str | None = None,
         infer_types: bool = True,
-        dtype: dict[str, str] | None = None,
+        dtype: dict[str, str] | list[str | None] | str | None = None,
         now: datetime | None = None,
     ) -> int:
         """Write batches of one or more tables as one commit; returns its number.

@@ -1,7 +1,8 @@
 """Queries that are evaluated again and again at a pace.
 
-``new`` delivers what changed since the last delivery, ``full`` the whole current
-result. Every delivery replaces the one before: a reader that is slow sees the latest.
+``new`` delivers what changed since the last delivery, and keeps it until it was read.
+``full`` delivers the whole current result, which replaces the one before: a reader that is
+slow sees the latest.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from tidemark.errors import InvalidArgument
 
 
 def _epochs(fs, path) -> list[int]:
-    """Published deliveries, oldest first; there are never more than a few."""
+    """Published deliveries, oldest first."""
     if not fs.exists(path):
         return []
     names = [re.fullmatch(r"epoch=(\d+)", s.getPath().getName()) for s in fs.listStatus(path)]
@@ -28,11 +29,13 @@ def _epochs(fs, path) -> list[int]:
 class ContinuousQuery:
     """Handle of a running query: ``probe``, ``results``, ``latest``, ``stop``."""
 
-    def __init__(self, query: StreamingQuery, spark, folder: str):
+    def __init__(self, query: StreamingQuery, spark, folder: str, every: bool):
         self.query = query
         self._spark = spark
         self._folder = folder
+        self._every = every
         self._delivered = -1
+        self._read: list[int] = []
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._path = path(folder)
         self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -51,11 +54,25 @@ class ContinuousQuery:
         self._delivered = max(self._delivered, epochs[-1])
         return self._spark.read.parquet(f"{self._folder}/epoch={epochs[-1]}")
 
-    def probe(self) -> DataFrame | None:
-        """The newest delivery if it was not read yet."""
+    def probe(self, number: str | None = None) -> DataFrame | None:
+        """What was not read yet: in full mode the newest delivery, else all of them.
+
+        ``number`` names a column for the number of the delivery. A result can be used until
+        the next one is asked for.
+        """
         self._raise_failure()
-        epochs = _epochs(self._fs, self._path)
-        return self.latest() if epochs and epochs[-1] > self._delivered else None
+        new = [e for e in _epochs(self._fs, self._path) if e > self._delivered]
+        if not new:
+            return None
+        if self._every:
+            for epoch in self._read:
+                self._fs.delete(self._path.suffix(f"/epoch={epoch}"), True)
+            self._read = new
+        else:
+            new = new[-1:]
+        self._delivered = new[-1]
+        found = self._spark.read.option("basePath", self._folder).parquet(*[f"{self._folder}/epoch={e}" for e in new])
+        return found.drop("epoch") if number is None else found.withColumnRenamed("epoch", number)
 
     def results(self, timeout: float | None = None, poll: float = 0.1) -> DataFrame:
         """Wait for the next delivery. Ends with StopIteration after ``stop``."""
@@ -82,7 +99,9 @@ class ContinuousQuery:
 
 
 def _snapshots(folder: str, keep_empty: bool):
-    """foreachBatch writer: one folder per epoch, published by rename, older ones dropped.
+    """foreachBatch writer: one folder per epoch, published by rename.
+
+    Whole results replace older ones; parts stay until the reader has had them.
 
     Micro-batches that bring nothing new do not replace the last delivery, unless the
     whole result may be empty (``keep_empty``).
@@ -100,6 +119,8 @@ def _snapshots(folder: str, keep_empty: bool):
         fs.mkdirs(path(folder))
         fs.delete(final, True)
         fs.rename(path(staging), final)
+        if not keep_empty:
+            return
         # Keep the one before, a reader may be using it.
         for old in _epochs(fs, path(folder))[:-2]:
             fs.delete(path(f"{folder}/epoch={old}"), True)
@@ -140,7 +161,7 @@ def continuous(
         return writer.start()
 
     if mode == "new":
-        return ContinuousQuery(start(fn(stream), "update", _snapshots(out, False)), spark, out)
+        return ContinuousQuery(start(fn(stream), "update", _snapshots(out, False)), spark, out, True)
     try:
         query = start(fn(stream), "complete", _snapshots(out, True))
     except AnalysisException:  # no aggregation: the engine cannot give complete output
@@ -154,4 +175,4 @@ def continuous(
             snapshot(fn(so_far), epoch)
 
         query = start(stream, "append", whole)
-    return ContinuousQuery(query, spark, out)
+    return ContinuousQuery(query, spark, out, False)
