@@ -55,7 +55,7 @@ def shingle_set(text: str | None, words: int, known: dict[str, int]) -> np.ndarr
     found = WORD.findall(lower_ascii(text or ""))
     if not found:
         return np.zeros(0, np.uint64)
-    if len(known) > 500_000:
+    if len(known) > 250_000:
         known.clear()
     for word in set(found).difference(known):
         known[word] = xxhash.xxh3_64_intdigest(word)

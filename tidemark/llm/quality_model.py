@@ -38,7 +38,7 @@ HIDDEN, EPOCHS, BATCH, RATE, DECAY, HOLDOUT = 32, 60, 64, 0.003, 1e-4, 0.2
 SAMPLE_PARTS = 8
 THRESHOLD = 0.3
 RUNS = re.compile(r"(.)\1{2,}")
-TABLE_WORDS = 500_000
+TABLE_WORDS = 200_000
 
 
 def shape(word: str) -> str:
