@@ -41,7 +41,55 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query()
+@query(
+    r"""
+    WITH l AS (
+        SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+    ), w AS (
+        SELECT doc_id, place, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words FROM l
+    ), c AS (
+        SELECT doc_id, place, line, words, len(words) AS n, list_sum(list_transform(words, lambda x: length(x))) AS chars,
+               length(line) - length(translate(line, '#*$%&|<>', '')) AS symbols,
+               len(regexp_extract_all(line || ' ', '[!?#*$%&~^=+<>|]{2,}[\x20\x09-\x0D]')) AS marked,
+               len(list_filter(words, lambda x: length(x) <= 2 AND translate(x, '|»«›‹•·>/', '') = '')) AS separators
+        FROM w WHERE len(words) > 0
+    ), f AS (
+        SELECT *, 100 * marked > 30 * n OR 2 * symbols > n OR (separators >= 2 AND 100 * separators >= 15 * n)
+                  OR (n <= 3 AND NOT regexp_matches(words[-1], '[.!?…:;"''”’»)\]}。！？]$'))
+                  OR (n <= 20 AND regexp_matches(line, '(?i){PHRASES}'))
+                  OR (n >= 10 AND 100 * len(list_distinct(words)) < 30 * n) AS fails
+        FROM c
+    ), d AS (
+        SELECT doc_id, sum(n) AS n_words, sum(chars) AS word_chars, sum(symbols) AS n_symbols,
+               count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (fails) AS n_removed_lines,
+               coalesce(sum(chars) FILTER (fails), 0) AS removed_chars, count(*) AS n_lines,
+               flatten(list(words ORDER BY place)) AS words
+        FROM f GROUP BY doc_id
+    ), p AS (
+        SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM d
+    ), q AS (
+        SELECT doc_id, i, word, lead(word) OVER o AS second, lead(word, 2) OVER o AS third
+        FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+    ), t AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, word, second, third) AS times FROM q WHERE third IS NOT NULL
+    ), r AS (
+        SELECT doc_id, count(DISTINCT i + k) AS repeats FROM t, (VALUES (0), (1), (2)) AS o(k) WHERE times > 1 GROUP BY doc_id
+    ), b AS (
+        SELECT docs.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+               coalesce(n_symbols, 0) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+               coalesce(repeats, 0) AS n_repeat_words, coalesce(n_removed_lines, 0) AS n_removed_lines,
+               coalesce(removed_chars, 0) AS removed_chars, coalesce(n_lines, 0) AS n_lines
+        FROM documents AS docs LEFT JOIN d USING (doc_id) LEFT JOIN r USING (doc_id)
+    )
+    SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines,
+           n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lines > n_removed_lines
+               AND 100 * removed_chars <= 30 * word_chars AS kept,
+           n_removed_lines, removed_chars::BIGINT AS removed_chars
+    FROM b
+    """.replace("{PHRASES}", quality_rules.PHRASES.pattern)
+)
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return docs.select("doc_id", quality_rules.assess(F.col("text")).alias("q")).select("doc_id", "q.*")
