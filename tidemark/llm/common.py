@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it.
+
+    Enough where they share a file system with the driver, or have the package installed.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    settings = spark.sparkContext.environment
+    paths = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        settings["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality_model, quality_rules
 from tidemark.llm import sharding, token_counts
-from tidemark.llm.common import id_bucket
+from tidemark.llm.common import id_bucket, reachable
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -31,6 +31,7 @@ def query(sql: str | None = None):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
