@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, near_dedup, packing, quality_model, quality_rules
-from tidemark.llm.common import fresh_name, stored
+from tidemark.llm.common import fresh_name, reachable, stored
 from tidemark.llm.queries import WORD_BPE, quality_labels, vocabulary
 
 # The stages are more than SQL expresses (a trained model, a tokenizer).
@@ -22,6 +22,7 @@ def _texts_changed(docs: DataFrame) -> DataFrame:
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold go."""
+    reachable(spark)
     model = spark.sparkContext.broadcast(quality_model.fit(docs, quality_labels(spark, sf_dir)))
     name = fresh_name(docs, "score")
     scored = docs.withColumn(name, quality_model.score(F.col("text"), model))
@@ -30,22 +31,26 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that fail the quality rules go, and documents that the rules reject."""
+    reachable(spark)
     return _texts_changed(quality_rules.clean(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that several documents hold stay in one of them; every document stays."""
+    reachable(spark)
     columns = docs.columns
     return _texts_changed(line_dedup.drop_repeated(docs).select(*columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    reachable(spark)
     return near_dedup.drop_near(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in the sequences."""
+    reachable(spark)
     return packing.pack(docs, vocabulary(WORD_BPE))
 
 
