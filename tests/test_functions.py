@@ -63,7 +63,7 @@ def test_op_split(spark):
 
 
 def test_parse_key(spark):
-    p = "$qdb.statistics."
+    p = "$statistics."
     keys = [
         p + "requests.out", p + "requests.out.type", p + "requests.out.uid_1", p + "requests.out.uid_12.type",
         p + "requests.out.uid_12.unit", "other.key", p + "a.uid_3.b", p + "uid_4", p + "node.prototype",

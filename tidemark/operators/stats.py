@@ -1,15 +1,18 @@
-"""Server statistics kept as keys ``$qdb.statistics.<metric>[.uid_<n>][.type|.unit]``."""
+"""Server statistics kept as keys ``<prefix><metric>[.uid_<n>][.type|.unit]``."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import int_or_text
 from tidemark.session import checked_broadcast
 
-# Key layout, and the codes of types and units.
-PREFIX = r"^\$qdb.statistics\."
+# What the keys of statistics begin with, unless the caller says otherwise.
+PREFIX = "$statistics."
+# The codes of types and units.
 TYPES = {"accumulator": 1, "gauge": 2, "label": 3}
 UNITS = {
     "none": 0,
@@ -32,13 +35,17 @@ def enum_code(text: Column, codes: dict[str, int], what: str) -> Column:
     )
 
 
-def parse_key(key: Column) -> Column:
+def _is_stat(key: Column, prefix: str) -> Column:
+    return key.startswith(prefix)
+
+
+def parse_key(key: Column, prefix: str = PREFIX) -> Column:
     """Key -> struct(metric, uid, suffix); ``suffix`` is value, type or unit.
 
     The metric has no user part. All null if the key is no statistic.
     """
-    is_stat = key.rlike(PREFIX)
-    body = F.regexp_replace(key, PREFIX, "")
+    is_stat = _is_stat(key, prefix)
+    body = F.regexp_replace(key, "^" + re.escape(prefix), "")
     # Types and units are the same for all users, so the user part goes wherever it is;
     # a value belongs to a user only if the user part comes last.
     shared = F.regexp_replace(body, r"\.uid_[0-9]+", "")
@@ -54,10 +61,10 @@ def parse_key(key: Column) -> Column:
     )
 
 
-def parse_stats(kv: DataFrame) -> DataFrame:
+def parse_stats(kv: DataFrame, prefix: str = PREFIX) -> DataFrame:
     """(node, key, value text) -> node, key, metric, uid, suffix, value."""
     return (
-        kv.withColumn("_p", F.when(F.col("key").rlike(PREFIX), parse_key(F.col("key"))))
+        kv.withColumn("_p", F.when(_is_stat(F.col("key"), prefix), parse_key(F.col("key"), prefix)))
         .where("_p IS NOT NULL")
         .select("node", "key", "_p.metric", "_p.uid", "_p.suffix", "value")
     )

@@ -80,8 +80,8 @@ def a_suffix_count(t):
 # ---------------------------------------------------------------- statistics
 
 STAT_SQL = with_inputs("stats") + r""", parsed AS (
-    SELECT node, key, value, replace(key, '$qdb.statistics.', '') AS body,
-           regexp_replace(replace(key, '$qdb.statistics.', ''), '\.uid_[0-9]+', '', 'g') AS shared FROM stats),
+    SELECT node, key, value, replace(key, '$statistics.', '') AS body,
+           regexp_replace(replace(key, '$statistics.', ''), '\.uid_[0-9]+', '', 'g') AS shared FROM stats),
     meta AS (
     SELECT node, regexp_replace(shared, '\.(type|unit)$', '') AS metric,
            first(value ORDER BY key) FILTER (suffix(shared, '.type')) AS type_name,

@@ -54,8 +54,8 @@ def x_file_stem(t):
 @plan(
     "x_stat_parse",
     with_inputs("stats")
-    + r""", p AS (SELECT node, key, replace(key, '$qdb.statistics.', '') AS body,
-                  regexp_replace(replace(key, '$qdb.statistics.', ''), '\.uid_[0-9]+', '', 'g') AS shared FROM stats)
+    + r""", p AS (SELECT node, key, replace(key, '$statistics.', '') AS body,
+                  regexp_replace(replace(key, '$statistics.', ''), '\.uid_[0-9]+', '', 'g') AS shared FROM stats)
     SELECT node, key, CASE WHEN suffix(shared, '.type') OR suffix(shared, '.unit')
                            THEN regexp_replace(shared, '\.(type|unit)$', '')
                            ELSE regexp_replace(body, '\.uid_[0-9]+$', '') END AS metric,

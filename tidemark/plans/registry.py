@@ -95,38 +95,38 @@ GROUP BY event_type, CAST(ts AS DATE), extract(HOUR FROM ts)
 
 # Server statistics, with types and units, unindexed and internal keys.
 STATS = """
-SELECT node, concat('$qdb.statistics.requests.', event_type, '.uid_', CAST(user_id AS STRING)) AS key,
+SELECT node, concat('$statistics.requests.', event_type, '.uid_', CAST(user_id AS STRING)) AS key,
        CAST(n AS STRING) AS value
 FROM (SELECT concat('node', CAST(user_id % 3 AS STRING)) AS node, event_type, user_id, count(*) AS n
       FROM events GROUP BY 1, 2, 3) AS per_user
 UNION ALL
-SELECT concat('node', CAST(user_id % 3 AS STRING)), concat('$qdb.statistics.requests.', event_type),
+SELECT concat('node', CAST(user_id % 3 AS STRING)), concat('$statistics.requests.', event_type),
        CAST(count(*) AS STRING) FROM events GROUP BY 1, 2
 UNION ALL
 SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)),
-       concat('$qdb.statistics.requests.', event_type, '.type'),
+       concat('$statistics.requests.', event_type, '.type'),
        CASE WHEN event_type = 'error' THEN 'gauge' ELSE 'accumulator' END FROM events
 UNION ALL
 SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)),
-       concat('$qdb.statistics.requests.', event_type, '.uid_', CAST(user_id AS STRING), '.unit'),
+       concat('$statistics.requests.', event_type, '.uid_', CAST(user_id AS STRING), '.unit'),
        'count' FROM events WHERE event_type <> 'view'
 UNION ALL
-SELECT concat('node', CAST(user_id % 3 AS STRING)), concat('$qdb.statistics.serialized.', event_type),
+SELECT concat('node', CAST(user_id % 3 AS STRING)), concat('$statistics.serialized.', event_type),
        CAST(count(*) AS STRING) FROM events GROUP BY 1, 2
 UNION ALL
 SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)),
-       concat('$qdb.statistics.serialized.', event_type, '.type'), 'gauge' FROM events
+       concat('$statistics.serialized.', event_type, '.type'), 'gauge' FROM events
 UNION ALL
-SELECT concat('node', CAST(user_id % 3 AS STRING)), concat('$qdb.statistics.loose.', event_type),
+SELECT concat('node', CAST(user_id % 3 AS STRING)), concat('$statistics.loose.', event_type),
        CAST(count(*) AS STRING) FROM events GROUP BY 1, 2
 UNION ALL
-SELECT concat('node', CAST(user_id % 3 AS STRING)), '$qdb.statistics.engine.last_type', max(event_type)
+SELECT concat('node', CAST(user_id % 3 AS STRING)), '$statistics.engine.last_type', max(event_type)
 FROM events GROUP BY 1
 UNION ALL
-SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)), '$qdb.statistics.engine.last_type.type',
+SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)), '$statistics.engine.last_type.type',
        'label' FROM events
 UNION ALL
-SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)), '$qdb.statistics.engine.last_type.unit',
+SELECT DISTINCT concat('node', CAST(user_id % 3 AS STRING)), '$statistics.engine.last_type.unit',
        'none' FROM events
 """
 
