@@ -22,11 +22,17 @@ COMPANIES = {
     "pg": "procter and gamble", "trv": "travelers companies inc", "utx": "united technologies",
     "unh": "unitedhealth", "vz": "verizon", "v": "visa", "wmt": "walmart",
 }
-NYSE = (
-    "mmm axp ba cat cvx ko dis xom ge gs hd ibm jnj jpm mcd mrk nke pfe pg trv utx unh vz v wmt dd"
-).split()
-NASDAQ = "aapl csco intc msft".split()
-DOW = sorted([*NYSE, *NASDAQ])
+NYSE = [
+    "axp", "ba", "cat", "cvx", "dd", "dis", "ge", "gs", "hd", "ibm", "jnj", "jpm", "ko", "mcd", "mmm", "mrk",
+    "nke", "pfe", "pg", "trv", "unh", "utx", "v", "vz", "wmt", "xom",
+]
+NASDAQ = [
+    "aapl", "csco", "intc", "msft",
+]
+DOW = [
+    "aapl", "axp", "ba", "cat", "csco", "cvx", "dd", "dis", "ge", "gs", "hd", "ibm", "intc", "jnj", "jpm", "ko",
+    "mcd", "mmm", "mrk", "msft", "nke", "pfe", "pg", "trv", "unh", "utx", "v", "vz", "wmt", "xom",
+]
 
 
 def company_of(ticker: Column) -> Column:
