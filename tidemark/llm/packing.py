@@ -9,8 +9,8 @@ gap. Random order leaves only a few dozen bins of a large group open; small grou
 with the longest pieces first, so both orders are tried and the one with fewer bins stays.
 
 Words between white space are tokenized apart, which the vocabulary's normaliser and
-splitter allow, and each distinct word is tokenized once per worker; its memory is bounded
-by starting the table anew when it is full.
+splitter allow, and each distinct word, less its closing marks, is tokenized once per worker;
+memory is bounded by starting the table anew when it is full.
 
 Null and empty texts give the closing id alone, so every row has at least one piece. Rows
 are told apart by a number written with the pieces; repeated ids and other columns (also
@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
@@ -34,12 +35,36 @@ from tidemark.llm.common import WORD, column, crc, fresh_name, stored
 
 SEQUENCE, CLOSING_ID = 2048, 0
 GROUP_ROWS = 50_000
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 700_000
 PIECE = "piece int, start long, length long, ids_crc32 long"
+MARKS = ".,;:!?"
 # Characters on which Python's split() and the vocabulary's white space differ.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
 
 
+def folded(text: str) -> str:
+    """``text`` composed and, where the vocabulary's normaliser agrees, in lower case.
+
+    Lower case is left to the normaliser where it may differ by library: for letters that
+    change their length or depend on their place, and where the result could be composed.
+    """
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFC", text)
+    low = text.lower()
+    safe = len(low) == len(text) and "\u03a3" not in text and unicodedata.is_normalized("NFC", low)
+    return low if safe else text
+
+
+def stem_and_tail(word: str) -> tuple[str, str]:
+    """A word without its closing marks, and these; the splitter always parts them."""
+    if word[-1] in MARKS:
+        stem = word.rstrip(MARKS)
+        if stem and stem[-1].isalpha():
+            return stem, word[len(stem) :]
+    return word, ""
+
+
 class WordIds:
     """Ids of texts by a tokenizer that never looks beyond white space."""
 
@@ -52,35 +77,42 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = {}  # of words
+        self.parts = np.zeros((0, 2), np.int64)  # each word's two pieces
+        self.piece: dict[str, int] = {"": 0}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1, np.int64)
+        self.ends = np.zeros(2, np.int64)  # piece p has flat[ends[p] : ends[p + 1]]
 
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 20_000):
+            part = pieces[at : at + 20_000]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             ends = self.ends[-1] + np.cumsum(sizes)
             if ends[-1] > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), int(ends[-1])), np.uint32)])
-            self.flat[self.ends[-1] : ends[-1]] = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            self.number.update(zip(part, range(len(self.number), len(self.number) + len(part))))
+            self.flat[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+            self.piece.update(zip(part, range(len(self.piece), len(self.piece) + len(part))))
             self.ends = np.concatenate([self.ends, ends])
 
+    def _learn(self, words: list[str]) -> None:
+        pairs = [stem_and_tail(w) for w in words]
+        self._learn_pieces(list({p for pair in pairs for p in pair}.difference(self.piece)))
+        numbers = np.array([(self.piece[a], self.piece[b]) for a, b in pairs], np.int64).reshape(-1, 2)
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.parts = np.concatenate([self.parts, numbers])
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = []
-        for text in texts:
-            if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
+        for text in map(folded, texts):
             split.append(WORD.findall(text) if ODD_SPACES.search(text) else text.split())
         new = set().union(*split).difference(self.number) if split else set()
         if new and len(self.number) + len(new) > TABLE_WORDS:
             self._clear()
             new = set().union(*split)
-        self._learn(sorted(new))
+        self._learn(list(new))
         for words in split:
-            at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+            at = self.parts[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].reshape(-1)
             first, last = self.ends[at], self.ends[at + 1]
             sizes = last - first
             before = np.cumsum(sizes) - sizes
