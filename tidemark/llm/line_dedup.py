@@ -171,7 +171,8 @@ def drop_repeated(
     # are shuffled for the join and Spark can split what is hot.
     identity = [F.coalesce(column(docs, id_col).cast("long"), F.lit(SMALLEST)), F.xxhash64(text), F.length(text)]
     found = repeated_places(docs, identity, text, min_chars, min_docs)
-    rows = docs.select(F.struct(*[column(docs, c) for c in docs.columns]).alias("row"), text.alias("text"), *[
+    others = [column(docs, c) for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*others).alias("row"), text.alias("text"), *[
         c.alias(n) for c, n in zip(identity, ("id", "th", "size"))
     ])
     joined = rows.join(found, ["id", "th", "size"], "left")
