@@ -15,15 +15,17 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, stored
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 16_000_000
 BUCKETS_PER_PARTITION = 4
 SEPARATOR = b"\xff"  # never part of UTF-8
+LIST = ["bucket", "block", "words", "counts", "numbers"]
 
 
 def pack_numbers(numbers: np.ndarray) -> bytes:
@@ -66,9 +68,9 @@ def _number(make_split: Callable[[], Callable[[str], list[str]]], buckets: int):
             for part in _parts(batch):
                 number: dict[str, int] = {}
                 coded = []
-                for text in part.column("text").to_pylist():
-                    words = split(text or "")
-                    coded.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+                for text in part.column("text"):
+                    words = split(text.as_py() or "")
+                    coded.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
                 counted = np.zeros(len(number), np.int64)
                 for numbers, counts in zip(coded, part.column("counts").to_pylist()):
                     if counts:
@@ -95,6 +97,28 @@ def _number(make_split: Callable[[], Callable[[str], list[str]]], buckets: int):
     return run
 
 
+def _schema(rows: DataFrame) -> str:
+    kind = rows.schema["row"].dataType.simpleString()
+    return f"row {kind}, block long, bucket int, numbers binary, counts binary, words binary"
+
+
+def _lists_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pc.greater_equal(batch.column("bucket"), 0)).select(LIST)
+
+
+def numbered_once(rows: DataFrame, make_split: Callable[[], Callable[[str], list[str]]]) -> tuple[DataFrame, DataFrame]:
+    """As ``numbered`` for one query that joins both results: one shuffle by block serves both.
+
+    Nothing is stored. The first result also has the lists' rows (bucket 0 or more), because
+    a filter or a column less would be moved below the shuffle, and there would be two.
+    """
+    count = partitions(rows.sparkSession)
+    shared = rows.mapInArrow(_number(make_split, BUCKETS_PER_PARTITION * count), _schema(rows)).repartition(count, "block")
+    lists = shared.mapInArrow(_lists_only, "bucket int, block long, words binary, counts binary, numbers binary")
+    return shared, lists.repartition(count, "bucket").sortWithinPartitions("bucket")
+
+
 def numbered(rows: DataFrame, make_split: Callable[[], Callable[[str], list[str]]], label: str) -> tuple[DataFrame, DataFrame]:
     """Documents as numbers, and lists of words dealt out by bucket.
 
@@ -103,9 +127,8 @@ def numbered(rows: DataFrame, make_split: Callable[[], Callable[[str], list[str]
     counts and numbers (the words' numbers, as differences).
     """
     count = partitions(rows.sparkSession)
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, block long, bucket int, numbers binary, counts binary, words binary"
-    found = stored(rows.mapInArrow(_number(make_split, BUCKETS_PER_PARTITION * count), schema), label)
-    lists = found.where("bucket >= 0").select("bucket", "block", "words", "counts", "numbers")
+    found = stored(rows.mapInArrow(_number(make_split, BUCKETS_PER_PARTITION * count), _schema(rows)), label)
+    lists = found.where("bucket >= 0").select(*LIST)
     dealt = lists.repartition(count, "bucket").sortWithinPartitions("bucket")
     return found.where(F.col("bucket") < 0).select("block", "row", "numbers"), dealt
 

@@ -30,10 +30,11 @@ from typing import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import by_number, numbered, pack_numbers, unpack_numbers, unpack_words
+from tidemark.llm.blocks import by_number, numbered_once, pack_numbers, unpack_numbers, unpack_words
 from tidemark.llm.common import column, fresh_name
 
 TABLE_WORDS = 2_000_000
@@ -108,7 +109,8 @@ def _encode_words(ranks_path: str, pattern: str) -> Callable[[Iterator[pa.Record
 
 
 def _reassemble(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of each document of one block."""
+    """The ids of each document of one block; the rows of its lists are left out."""
+    docs = docs.filter(pc.less(docs.column("bucket"), 0))
     places = words.column("numbers").to_pylist()
     sizes = [unpack_numbers(s).astype(np.int64) for s in words.column("sizes").to_pylist()]
     ids = [unpack_numbers(i) for i in words.column("ids").to_pylist()]
@@ -134,7 +136,7 @@ def encode(
     others = [column(docs, c).alias(c) for c in docs.columns if c != text_col]
     row = F.struct(*others) if others else F.struct(F.lit(0).alias("_"))
     source = docs.select(row.alias("row"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"), F.lit(False).alias("counts"))
-    coded, lists = numbered(source, lambda: splitter(pattern), "numbered-words")
+    coded, lists = numbered_once(source, lambda: splitter(pattern))
     words = lists.select("block", "numbers", "words").mapInArrow(
         _encode_words(ranks_path, pattern), "block long, numbers binary, sizes binary, ids binary"
     )
