@@ -199,3 +199,46 @@ def test_nothing_to_learn_from(spark):
     assert (out[1].n_tokens, out[1].n_known, out[1].train_tokens, out[1].base_score) == (2, 0, 0, 0.0)
     # Every bit is even: two letters, a blank, a line end, the text's end.
     assert out[1].score == pytest.approx(40 * math.log10(0.5)) and out[2].score == pytest.approx(16 * math.log10(0.5))
+
+
+def one_tree(training):
+    """The tree over whole streams, held in one place."""
+    codes, counts = lm_scoring.distinct_grams([context_tree.stream(t) for t in training])
+    levels = dict(context_tree.all_levels(codes, counts, 1))
+    return context_tree.Tree.build([levels[k] for k in range(context_tree.DEPTH + 1)])
+
+
+def by_one_tree(tree, text):
+    codes, _ = context_tree.windows([context_tree.STREAM_END * context_tree.DEPTH + context_tree.stream(text)])
+    return tree.log10(codes).sum()
+
+
+def test_contexts_cross_words_and_lines(spark):
+    draw = random.Random(5)
+    chain = {"the": ["cat", "dog"], "cat": ["sat", "ran"], "dog": ["ran", "sat"], "sat": ["on"], "ran": ["on"], "on": ["the"]}
+    texts = []
+    for _ in range(80):
+        words = ["the"]
+        while len(words) < 60:
+            words.append(draw.choice(chain[words[-1]]))
+        texts.append("\n".join(" ".join(words[i : i + 12]) for i in range(0, 60, 12)))
+    shuffled = texts[0].split()
+    draw.shuffle(shuffled)
+    texts += [" ".join(shuffled), " ".join(texts[0].split()), "two  blanks\t", "two blanks", "Été\r\n", None]
+    rows = [(i, t, 1 <= i < 80) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
+    found = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("train")).collect()}
+    tree = one_tree([t for _, t, train in rows if train])
+    for i, text, _ in rows:
+        lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+        assert found[i] == pytest.approx(by_one_tree(tree, lower), rel=1e-6)
+    assert found[81] > found[80] + 20 and found[82] != found[83]
+
+
+def test_streams_longer_than_a_step(monkeypatch):
+    text = "ab cé\n\nthe end " * 9
+    whole = context_tree.windows([context_tree.STREAM_END * context_tree.DEPTH + context_tree.stream(text)])[0]
+    monkeypatch.setattr(context_tree, "STEP", 10)
+    parts = list(context_tree.stream_grams([b"x", context_tree.stream(text)]))
+    codes, owner = (np.concatenate(p) for p in zip(*parts))
+    assert len(parts) > 5 and (codes[owner == 1] == whole).all() and (owner == 0).sum() == 1

@@ -46,7 +46,7 @@ def unpack_words(data: bytes) -> list[bytes]:
     return zlib.decompress(data).split(SEPARATOR)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def text_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with a bounded number of characters (or one row)."""
     start = chars = 0
     for row, text in enumerate(batch.column("text")):
@@ -65,7 +65,7 @@ def _number(make_split: Callable[[], Callable[[str], list[str]]], buckets: int):
         for batch in batches:
             if not len(batch):
                 continue
-            for part in _parts(batch):
+            for part in text_parts(batch):
                 number: dict[str, int] = {}
                 coded = []
                 for text in part.column("text"):

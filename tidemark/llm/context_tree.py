@@ -6,12 +6,16 @@ and a 1 followed. The weighted probability of a node is half its own estimate pl
 product over its children, which tell apart one byte further back; so the estimates of all
 depths are mixed, by how well each explained the training bytes.
 
-A node exists if at least the share ``SHARE`` of all bytes passes through it. The rest of a
-parent's bytes is one more child, which has no children. Each depth then has at most
-8 / SHARE nodes, whatever the size of the corpus.
-
-Words are coded one by one, each with a closing blank; contexts end where the word begins
-(blanks stand for what would be before it). Probabilities sum to one over all next bytes.
+A node exists if training bytes pass through it, however few: the tree grows with the corpus
+and is never held in one place. Nodes whose contexts end alike in ``TOP + 1`` bytes form a
+``Branch``, which one task can weigh; the ``Crown`` above the branches has contexts of up to
+``TOP`` bytes and is all that they share. (With ``least`` above 1, what is left out of a
+parent's bytes is one more child, which has no children.)
+
+A text is coded as one stream: its lines in lower case (a line that is not empty is followed
+by a blank), line ends and the end of the text. Contexts run on over blanks and lines; ends of
+texts stand for what would be before the first byte. Probabilities sum to one over all next
+bytes.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ from dataclasses import dataclass
 import numpy as np
 
 DEPTH = 5
-SHARE = 2.0**-18
+TOP = 2
 BLANK = b" "
+STREAM_END = b"\xff"  # never part of UTF-8
+STEP = 1_000_000
 
 
 LINE_END, TEXT_END = b"\n", b"\r"
@@ -36,11 +42,17 @@ def coded(word: bytes) -> bytes:
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each coded byte, it and the ``DEPTH`` before it as one number, and its word's place."""
-    parts = [coded(w) for w in words]
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    pad = BLANK * DEPTH
-    flat = np.frombuffer(pad + pad.join(parts), np.uint8).astype(np.uint64)
+    """``windows`` of words that are coded one by one, with blanks before each."""
+    return windows([BLANK * DEPTH + coded(w) for w in words])
+
+
+def windows(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte, it and the ``DEPTH`` before it as one number, and its part's place.
+
+    The first ``DEPTH`` bytes of each part are context only.
+    """
+    sizes = np.fromiter((len(p) - DEPTH for p in parts), np.int64, len(parts))
+    flat = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
     codes = np.zeros(len(flat), np.uint64)
     for back in range(DEPTH + 1):
         codes[back:] |= flat[: len(flat) - back] << np.uint64(8 * back)
@@ -48,6 +60,37 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes[np.arange(int(sizes.sum())) + (owner + 1) * DEPTH], owner
 
 
+def stream(text: str) -> bytes:
+    """The bytes that are coded for a text in lower case."""
+    return "".join(line + " \n" if line else "\n" for line in text.split("\n")).encode() + STREAM_END
+
+
+def stream_grams(streams: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``windows`` of whole streams, and their places, about ``STEP`` bytes at a time."""
+    parts: list[bytes] = []
+    places: list[int] = []
+    size = 0
+    for place, data in enumerate(streams):
+        data = STREAM_END * DEPTH + data
+        for at in range(DEPTH, len(data), STEP):
+            parts.append(data[at - DEPTH : at + STEP])
+            places.append(place)
+            size += len(parts[-1])
+            if size >= STEP:
+                codes, owner = windows(parts)
+                yield codes, np.array(places)[owner]
+                parts, places, size = [], [], 0
+    if parts:
+        codes, owner = windows(parts)
+        yield codes, np.array(places)[owner]
+
+
+def branch_of(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket for each code; all codes of a branch have the same."""
+    last = (codes >> np.uint64(8)) & np.uint64((1 << (8 * (TOP + 1))) - 1)
+    return ((last * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
+
+
 def cut(codes: np.ndarray, depth: int) -> np.ndarray:
     """Codes with a context of ``depth`` bytes only."""
     return codes & np.uint64((1 << (8 * (depth + 1))) - 1)
@@ -97,6 +140,115 @@ def parent_keys(keys: np.ndarray, depth: int) -> np.ndarray:
     return keys & np.uint64((1 << (8 * depth)) - 1)
 
 
+Level = tuple[np.ndarray, np.ndarray, np.ndarray]
+Below = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def by_parent(above: np.ndarray, keys: np.ndarray, depth: int, weighted: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> Below:
+    """The children's log weighted probability, zeros and ones, and whether there are any, by parent's place."""
+    at, size = np.searchsorted(above, parent_keys(keys, depth)), len(above)
+    return (
+        np.bincount(at, weighted, size), np.bincount(at, zeros, size), np.bincount(at, ones, size),
+        np.bincount(at, minlength=size) > 0,
+    )
+
+
+def rise(levels: list[Level], first: int, below: Below | None = None) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """From the leaves up: the share of a node's weight that its own estimate has, what is in no child, and the first level's weights.
+
+    ``levels`` have sorted keys, zeros and ones for each depth from ``first`` on; ``below`` is known of the last level's children.
+    """
+    own: list[np.ndarray] = [np.zeros(0)] * len(levels)
+    rest: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0))] * len(levels)
+    weighted = np.zeros(0)
+    for level in range(len(levels) - 1, -1, -1):
+        keys, zeros, ones = levels[level]
+        estimate = log_estimate(zeros, ones)
+        if below is None:
+            own[level], weighted = np.ones(len(keys)), estimate
+            rest[level] = np.zeros(len(keys)), np.zeros(len(keys))
+        else:
+            product, child_zeros, child_ones, has = below
+            left_zeros, left_ones = zeros - child_zeros, ones - child_ones
+            split = product + log_estimate(left_zeros, left_ones)
+            mixed = np.logaddexp(estimate, split) - math.log(2)
+            weighted = np.where(has, mixed, estimate)
+            own[level] = np.where(has, np.exp(estimate - math.log(2) - mixed), 1.0)
+            rest[level] = left_zeros, left_ones
+        if level:
+            below = by_parent(levels[level - 1][0], keys, first + level, weighted, zeros, ones)
+    return own, rest, weighted
+
+
+def sink(levels: list[Level], first: int, own: list[np.ndarray], rest: list[tuple[np.ndarray, np.ndarray]], said: np.ndarray, left: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """From the root down: the chance of a 1 where a node is the last on the way; what the last level's nodes say, and the weight that is left.
+
+    ``said`` and ``left`` are for the first level's nodes what those above them say, and leave.
+    """
+    chances = []
+    for level, (keys, zeros, ones) in enumerate(levels):
+        if level:
+            at = np.searchsorted(levels[level - 1][0], parent_keys(keys, first + level))
+            said, left = said[at], left[at]
+        said = said + left * own[level] * (ones + 0.5) / (zeros + ones + 1)
+        left = left * (1 - own[level])
+        other_zeros, other_ones = rest[level]
+        chances.append(said + left * (other_ones + 0.5) / (other_zeros + other_ones + 1))
+    return chances, said, left
+
+
+def in_order(level: Level) -> Level:
+    keys, zeros, ones = level
+    order = np.argsort(keys)
+    return keys[order], zeros[order].astype(float), ones[order].astype(float)
+
+
+@dataclass
+class Crown:
+    """The nodes of depth 0 to ``TOP``, and what the last of them say and leave."""
+
+    keys: list[np.ndarray]
+    chance: list[np.ndarray]
+    said: np.ndarray
+    left: np.ndarray
+
+    @classmethod
+    def build(cls, codes: np.ndarray, counts: np.ndarray, keys: np.ndarray, product: np.ndarray) -> Crown:
+        """From all codes cut to ``TOP``, and the branches' log weights summed by their parents' keys."""
+        levels = [in_order(nodes(*summed(cut(codes, depth), counts), 1)) for depth in range(TOP + 1)]
+        last, zeros, ones = levels[-1]
+        own, rest, _ = rise(levels, 0, (product[np.argsort(keys)], zeros, ones, np.ones(len(last), bool)))
+        chance, said, left = sink(levels, 0, own, rest, np.zeros(len(levels[0][0])), np.ones(len(levels[0][0])))
+        return cls([level[0] for level in levels], chance, said, left)
+
+
+@dataclass
+class Branch:
+    """The nodes of depth ``TOP + 1`` and more that the codes of whole branches make."""
+
+    levels: list[Level]
+    own: list[np.ndarray]
+    rest: list[tuple[np.ndarray, np.ndarray]]
+    weighted: np.ndarray
+
+    @classmethod
+    def build(cls, codes: np.ndarray, counts: np.ndarray) -> Branch:
+        found = dict(all_levels(codes, counts, 1, TOP + 1))
+        levels = [in_order(found[depth]) for depth in range(TOP + 1, DEPTH + 1)]
+        return cls(levels, *rise(levels, TOP + 1))
+
+    def product(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of depth ``TOP`` and the log weights of all nodes right below them."""
+        parents, where = np.unique(parent_keys(self.levels[0][0], TOP + 1), return_inverse=True)
+        return parents, np.bincount(where, self.weighted, len(parents))
+
+    def under(self, crown: Crown) -> Tree:
+        """The tree for codes of these branches."""
+        at = np.searchsorted(crown.keys[-1], parent_keys(self.levels[0][0], TOP + 1))
+        chance, _, _ = sink(self.levels, TOP + 1, self.own, self.rest, crown.said[at], crown.left[at])
+        return Tree(crown.keys + [level[0] for level in self.levels], crown.chance + chance)
+
+
 @dataclass
 class Tree:
     """Per depth the nodes' sorted keys, and the chance of a 1 where a node is the last on the way."""
@@ -105,51 +257,12 @@ class Tree:
     chance: list[np.ndarray]
 
     @classmethod
-    def build(cls, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
+    def build(cls, found: list[Level]) -> Tree:
         """``found`` has keys, zeros and ones for each depth, from 0 on."""
-        levels = []
-        for keys, zeros, ones in found:
-            order = np.argsort(keys)
-            levels.append((keys[order], zeros[order].astype(float), ones[order].astype(float)))
-        depth = len(levels) - 1
-        # From the leaves up: the share of a node's weight that its own estimate has.
-        own: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-        rest: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0))] * (depth + 1)
-        below = None  # log weighted probability, zeros and ones of the children, by parent's place
-        for level in range(depth, -1, -1):
-            keys, zeros, ones = levels[level]
-            estimate = log_estimate(zeros, ones)
-            if below is None:
-                own[level], weighted = np.ones(len(keys)), estimate
-                rest[level] = np.zeros(len(keys)), np.zeros(len(keys))
-            else:
-                product, child_zeros, child_ones, has = below
-                left_zeros, left_ones = zeros - child_zeros, ones - child_ones
-                split = product + log_estimate(left_zeros, left_ones)
-                mixed = np.logaddexp(estimate, split) - math.log(2)
-                weighted = np.where(has, mixed, estimate)
-                own[level] = np.where(has, np.exp(estimate - math.log(2) - mixed), 1.0)
-                rest[level] = left_zeros, left_ones
-            if level:
-                above = levels[level - 1][0]
-                at = np.searchsorted(above, parent_keys(keys, level))
-                size = len(above)
-                below = (
-                    np.bincount(at, weighted, size), np.bincount(at, zeros, size), np.bincount(at, ones, size),
-                    np.bincount(at, minlength=size) > 0,
-                )
-        # From the root down: what the nodes so far say, and the weight that is left.
-        chances, said, left = [], np.zeros(0), np.zeros(0)
-        for level, (keys, zeros, ones) in enumerate(levels):
-            if level:
-                at = np.searchsorted(levels[level - 1][0], parent_keys(keys, level))
-                said_here, left_here = said[at], left[at]
-            else:
-                said_here, left_here = np.zeros(len(keys)), np.ones(len(keys))
-            said = said_here + left_here * own[level] * (ones + 0.5) / (zeros + ones + 1)
-            left = left_here * (1 - own[level])
-            other_zeros, other_ones = rest[level]
-            chances.append(said + left * (other_ones + 0.5) / (other_zeros + other_ones + 1))
+        levels = [in_order(level) for level in found]
+        own, rest, _ = rise(levels, 0)
+        size = len(levels[0][0])
+        chances, _, _ = sink(levels, 0, own, rest, np.zeros(size), np.ones(size))
         return cls([level[0] for level in levels], chances)
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
