@@ -242,3 +242,16 @@ def test_streams_longer_than_a_step(monkeypatch):
     parts = list(context_tree.stream_grams([b"x", context_tree.stream(text)]))
     codes, owner = (np.concatenate(p) for p in zip(*parts))
     assert len(parts) > 5 and (codes[owner == 1] == whole).all() and (owner == 0).sum() == 1
+
+
+def test_rare_contexts_are_kept_at_any_size(spark):
+    # Over 2 ** 20 bytes, so that a node for any fixed share of them would need several.
+    texts = ["the cat sat on the mats " * 2500] * 20 + ["qzxvj wkfyq", "qzxvj wkfyq", "jvxzq qyfkw"]
+    rows = [(i, t, i <= 20) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
+    found = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("train")).collect()}
+    tree = one_tree([t for _, t, train in rows if train])
+    for i in (0, 20, 21, 22):
+        assert found[i] == pytest.approx(by_one_tree(tree, texts[i]), rel=1e-6)
+    # Seen once, it costs less than half of what the same letters cost in another order.
+    assert found[21] > found[22] / 2
