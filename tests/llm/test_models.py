@@ -255,3 +255,17 @@ def test_rare_contexts_are_kept_at_any_size(spark):
         assert found[i] == pytest.approx(by_one_tree(tree, texts[i]), rel=1e-6)
     # Seen once, it costs less than half of what the same letters cost in another order.
     assert found[21] > found[22] / 2
+
+
+def test_code_length(spark):
+    texts = ["The cat sat\non the mats", None, "é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = lm_scoring.score(docs, F.col("doc_id") == 0, code_length=True)
+    assert out.columns[-2:] == ["coded_bytes", "bits_per_byte"]
+    found = {r.doc_id: r for r in out.collect()}
+    # Two lines with blanks and ends, and the text's end; the text's end after an empty line; two bytes of a letter.
+    assert [found[i].coded_bytes for i in range(3)] == [11 + 2 + 11 + 2 + 1, 2, 2 + 2 + 1]
+    for r in found.values():
+        assert r.bits_per_byte == pytest.approx(-r.score * math.log2(10) / r.coded_bytes)
+    nothing = lm_scoring.score(docs, F.lit(False), code_length=True).collect()
+    assert [r.bits_per_byte for r in nothing] == pytest.approx([8] * 3)

@@ -24,6 +24,7 @@ are carried; names of added columns are changed if taken.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Callable
@@ -45,7 +46,9 @@ FIGURES = ["n_tokens", "distinct"]
 LISTS = "words binary, counts binary, grams binary, times binary"
 LINK = "struct<block:bigint,words:binary,grams:binary>"
 ADDED = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+CODE_LENGTH = ["coded_bytes", "bits_per_byte"]
 FINE = 2.0**40
+BITS = math.log2(10)
 
 
 def tokens(text: str) -> list[str]:
@@ -288,16 +291,19 @@ def _add_up(learned: Broadcast, buckets: int) -> Callable[[pa.Table, pa.Table],
             out["train_tokens"].append(model.n_tokens)
             out["base_score"].append(float(np.log10(counts + 1.0).sum() - len(own) * divisor))
         out["score"] = stream_scores(streams, codes, value).tolist()
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table({"row": docs.column("row")} | {c: pa.array(out[c], k) for c, k in zip(ADDED, kinds)})
+        out["coded_bytes"] = [len(data) for data in streams]
+        out["bits_per_byte"] = [-s * BITS / n for s, n in zip(out["score"], out["coded_bytes"])]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64()]
+        return pa.table({"row": docs.column("row")} | {c: pa.array(out[c], k) for c, k in zip(ADDED + CODE_LENGTH, kinds)})
 
     return run
 
 
-def score(docs: DataFrame, training: Column, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, training: Column, text_col: str = "text", code_length: bool = False) -> DataFrame:
     """``docs`` without their text, with n_tokens, n_known, train_tokens, base_score and score.
 
-    Rows where ``training`` holds are learned from.
+    Rows where ``training`` holds are learned from. With ``code_length``, coded_bytes and
+    bits_per_byte follow: the bytes that the tree codes for the text, and the bits for each.
     """
     spark = docs.sparkSession
     others = [c for c in docs.columns if c != text_col]
@@ -317,6 +323,7 @@ def score(docs: DataFrame, training: Column, text_col: str = "text") -> DataFram
     )
     coded = listed.where("bucket < 0").select("block", "row", "text")
     joined = coded.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(
-        _add_up(learned, number), f"row {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        _add_up(learned, number), f"row {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double, coded_bytes long, bits_per_byte double",
     )
-    return joined.select(*[F.col("row")[c].alias(c) for c in others], *[F.col(c).alias(fresh_name(docs, c)) for c in ADDED])
+    added = ADDED + CODE_LENGTH if code_length else ADDED
+    return joined.select(*[F.col("row")[c].alias(c) for c in others], *[F.col(c).alias(fresh_name(docs, c)) for c in added])

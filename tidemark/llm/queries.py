@@ -195,4 +195,4 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_bucket(F.col("doc_id"), 7) == 2
     docs = documents(spark, sf_dir).select("doc_id", held_out.alias("held_out"), "text")
-    return lm_scoring.score(docs, ~held_out)
+    return lm_scoring.score(docs, ~held_out, code_length=True)
