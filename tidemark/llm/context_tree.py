@@ -56,8 +56,10 @@ def windows(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.zeros(len(flat), np.uint64)
     for back in range(DEPTH + 1):
         codes[back:] |= flat[: len(flat) - back] << np.uint64(8 * back)
-    owner = np.repeat(np.arange(len(parts)), sizes)
-    return codes[np.arange(int(sizes.sum())) + (owner + 1) * DEPTH], owner
+    coded_here = np.ones(len(flat), bool)
+    starts = np.cumsum(sizes + DEPTH) - sizes - DEPTH
+    coded_here[(starts[:, None] + np.arange(DEPTH)).reshape(-1)] = False
+    return codes[coded_here], np.repeat(np.arange(len(parts)), sizes)
 
 
 def stream(text: str) -> bytes:

@@ -230,7 +230,7 @@ def learn(buckets: DataFrame) -> Learned:
 
 
 def _score_grams(learned: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (block, bucket, known, value) for each block that uses a bucket's words or grams."""
+    """Rows (block, bucket, known, grams, value) for each block that uses a bucket's words or grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,10 +241,10 @@ def _score_grams(learned: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 for link in links:
                     words = unpack_numbers(link["words"]).astype(np.int64)
                     grams = np.cumsum(unpack_numbers(link["grams"]), dtype=np.int64)
-                    out.append((link["block"], bucket, pack_array(known[words]), pack_array(value[grams])))
-                kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+                    out.append((link["block"], bucket, pack_array(known[words]), pack_sorted(codes[grams]), pack_array(value[grams])))
+                kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["block", "bucket", "known", "value"]
+                    [pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], ["block", "bucket", "known", "grams", "value"]
                 )
 
     return run
@@ -269,11 +269,12 @@ def _add_up(learned: Broadcast, buckets: int) -> Callable[[pa.Table, pa.Table],
         model: Learned = learned.value
         texts = [zlib.decompress(t).decode() for t in docs.column("text").to_pylist()]
         found = found.take(pc.sort_indices(found.column("bucket")))
-        # The block's lists again, in the order in which they were dealt out.
         streams = [stream(t) for t in texts]
-        codes = distinct_grams(streams)[0]
-        value = np.zeros(len(codes), np.float32)
-        value[dealt(branch_of(codes, buckets), buckets)[0]] = np.concatenate([unpack_array(v, np.float32) for v in found.column("value").to_pylist()])
+        codes = np.concatenate([unpack_sorted(g) for g in found.column("grams").to_pylist()])
+        value = np.concatenate([unpack_array(v, np.float32) for v in found.column("value").to_pylist()])
+        by_code = np.argsort(codes)
+        codes, value = codes[by_code], value[by_code]
+        # The block's words again, in the order in which they were dealt out.
         distinct: set[str] = set()
         for text in texts:
             distinct.update(tokens(text))
@@ -319,7 +320,7 @@ def score(docs: DataFrame, training: Column, text_col: str = "text", code_length
     buckets = stored(lists.mapInArrow(_sum_buckets, schema), "counted-grams")
     learned = spark.sparkContext.broadcast(learn(buckets))
     scored = buckets.select("bucket", "known", "codes", "times", "links").mapInArrow(
-        _score_grams(learned), "block long, bucket int, known binary, value binary"
+        _score_grams(learned), "block long, bucket int, known binary, grams binary, value binary"
     )
     coded = listed.where("bucket < 0").select("block", "row", "text")
     joined = coded.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(
