@@ -89,6 +89,17 @@ def test_without_both_labels(spark):
         assert [r[0] for r in docs.select(quality_model.score(F.col("text"), model)).collect()] == [expected] * 2
 
 
+def test_word_vectors_come_from_all_documents(spark):
+    texts = ["good text here", "bad text there", "unlabelled zebra words", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    model = quality_model.fit(docs, labels)
+    expected = quality_model.unit_rows(quality_model.context_sums([t or "" for t in texts]))
+    assert (model.vectors == expected).all()
+    zebra = quality_model.Terms().of("zebra")[0][0]
+    assert model.vectors[zebra].any()
+
+
 def test_probabilities_are_calibrated():
     draw = np.random.default_rng(0)
     x = draw.normal(size=(4000, 6))

@@ -7,9 +7,10 @@ terms around its occurrences. A document is the mean and the spread of its words
 A network with one hidden layer gives a logit, and a temperature, fitted on training rows
 that the network did not see, turns it into a calibrated probability.
 
-The model is fitted on a bounded sample of labelled rows, ``SAMPLE_ROWS`` with the least
-hashed ids; it is 5 MB whatever the input. Word vectors are summed up by tasks as whole
-numbers, so the result does not depend on their order. All rows are scored.
+Word vectors come from all documents, labelled or not. They are summed up by tasks as whole
+numbers, so the result does not depend on their order. The network and the temperature are
+fitted on a bounded sample of labelled rows, ``SAMPLE_ROWS`` with the least hashed ids. The
+model is 5 MB whatever the input. All rows are scored.
 
 Null and empty texts have no words and score 0. Labels other than 0 and 1, and labels
 without an id, are left out; if an id has several labels or rows, each pair is a training
@@ -22,7 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
-from typing import Iterator
+from typing import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ SAMPLE_ROWS = 6_000
 WORD_BUCKETS, SHAPE_BUCKETS, DIM, NONZERO, WINDOW = 1 << 14, 1 << 10, 64, 4, 2
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, HOLDOUT = 32, 60, 64, 0.003, 1e-4, 0.2
 SAMPLE_PARTS = 8
+SLICE = 256
 THRESHOLD = 0.3
 RUNS = re.compile(r"(.)\1{2,}")
 TABLE_WORDS = 200_000
@@ -85,7 +87,7 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, DIM, size), random.choice(np.array([-1, 1]), size)
 
 
-def context_sums(texts: list[str]) -> np.ndarray:
+def context_sums(texts: Iterable[str]) -> np.ndarray:
     """Sums of the index vectors around each term, over all ``texts``."""
     terms, (places, signs) = Terms(), index_vectors()
     total = np.zeros((WORD_BUCKETS + SHAPE_BUCKETS) * DIM, np.int64)
@@ -100,6 +102,34 @@ def context_sums(texts: list[str]) -> np.ndarray:
     return total.reshape(-1, DIM)
 
 
+def _task_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row (slice, data) for each stretch of ``SLICE`` terms, from all of a task's texts."""
+    total = context_sums(text for batch in batches for text in batch["text"])
+    parts = total.reshape(-1, SLICE * DIM)
+    filled = np.flatnonzero(parts.any(1))
+    yield pd.DataFrame({"slice": filled.astype(np.int32), "data": [zlib.compress(parts[k].tobytes(), 1) for k in filled]})
+
+
+def _sum_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sums of the same slices."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, data in zip(batch["slice"], batch["data"]):
+            part = np.frombuffer(zlib.decompress(data), np.int64)
+            total[k] = total[k] + part if k in total else part
+    yield pd.DataFrame({"slice": np.array(list(total), np.int32), "data": [zlib.compress(v.tobytes(), 1) for v in total.values()]})
+
+
+def word_vectors(texts: DataFrame) -> np.ndarray:
+    """Each term's vector, from the ``text`` of all rows."""
+    schema = "slice int, data binary"
+    sums = texts.select("text").mapInPandas(_task_sums, schema).repartition(SAMPLE_PARTS, "slice").mapInPandas(_sum_slices, schema)
+    total = np.zeros(((WORD_BUCKETS + SHAPE_BUCKETS) // SLICE, SLICE * DIM), np.int64)
+    for row in sums.collect():
+        total[row.slice] = np.frombuffer(zlib.decompress(row.data), np.int64)
+    return unit_rows(total.reshape(-1, DIM))
+
+
 def unit_rows(sums: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(sums, axis=1, keepdims=True)
     return (sums / np.maximum(lengths, 1)).astype(np.float32)
@@ -186,7 +216,7 @@ def train(features: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> Mode
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from at most ``sample_rows`` of ``labels`` (id, label)."""
+    """A model from the words of all ``docs`` and at most ``sample_rows`` of ``labels`` (id, label)."""
     spark = docs.sparkSession
     id_, label = (F.col(c) for c in labels.columns)
     sample = labels.select(id_.alias("id"), label.cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
@@ -196,13 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = texts.join(F.broadcast(chosen), "id").select("label", "text").limit(sample_rows)
     rows = stored(rows.repartition(SAMPLE_PARTS), "labelled-sample")
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = sum((context_sums(b["text"].tolist()) for b in batches), np.zeros((WORD_BUCKETS + SHAPE_BUCKETS, DIM), np.int64))
-        yield pd.DataFrame({"data": [zlib.compress(total.astype("<i4").tobytes(), 1)]})
-
-    found = rows.select("text").mapInPandas(sums, "data binary").collect()
-    total = sum(np.frombuffer(zlib.decompress(r.data), "<i4").astype(np.int64) for r in found)
-    vectors = unit_rows(np.asarray(total).reshape(-1, DIM)) if found else np.zeros((WORD_BUCKETS + SHAPE_BUCKETS, DIM), np.float32)
+    vectors = word_vectors(texts)
     shared = spark.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
