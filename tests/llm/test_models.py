@@ -89,6 +89,11 @@ def test_without_both_labels(spark):
         assert [r[0] for r in docs.select(quality_model.score(F.col("text"), model)).collect()] == [expected] * 2
 
 
+def test_shape_of_the_whole_word():
+    assert quality_model.shape("a" * 64 + "9%") == "aa0%" and quality_model.shape("a" * 64) == "aa"
+    assert quality_model.shape("你好" * 40 + "!!!1") == "aa!!0"
+
+
 def test_word_vectors_come_from_all_documents(spark):
     texts = ["good text here", "bad text there", "unlabelled zebra words", None, ""]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)

@@ -44,8 +44,11 @@ TABLE_WORDS = 200_000
 
 
 def shape(word: str) -> str:
-    """Letters as ``a`` or ``A``, digits as ``0``, other marks as they are, in runs of two at most."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    """Letters as ``a`` or ``A``, digits as ``0``, other marks as they are, in runs of two at most.
+
+    The whole word counts, however long it is.
+    """
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return RUNS.sub(r"\1\1", kinds)
 
 
