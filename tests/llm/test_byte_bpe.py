@@ -41,7 +41,7 @@ def test_small_blocks(spark, monkeypatch):
     from tidemark.llm import blocks
 
     monkeypatch.setattr(blocks, "BLOCK_CHARS", 10)
-    part = blocks._parts(__import__("pyarrow").RecordBatch.from_pydict({"text": ["a" * 4, "b" * 7, None, "c" * 30, "d"]}))
+    part = blocks.text_parts(__import__("pyarrow").RecordBatch.from_pydict({"text": ["a" * 4, "b" * 7, None, "c" * 30, "d"]}))
     assert [p.column("text").to_pylist() for p in part] == [["aaaa"], ["b" * 7, None], ["c" * 30], ["d"]]
 
 
