@@ -29,6 +29,13 @@ def test_ids_equal_the_tokenizers():
     assert [list(i) for i in words.encode([t or "" for t in ODD])] == reference(ODD)
 
 
+def test_ids_of_random_strings():
+    draw = np.random.default_rng(9)
+    letters = list("aİIiéß.,:;! \n'Σ中1")
+    texts = ["".join(draw.choice(letters, draw.integers(1, 12))) for _ in range(20_000)]
+    assert [list(i) for i in packing.WordIds(PATH).encode(texts)] == reference(texts)
+
+
 def test_a_full_table_starts_anew(monkeypatch):
     monkeypatch.setattr(packing, "TABLE_WORDS", 5)
     words = packing.WordIds(PATH)

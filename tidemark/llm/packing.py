@@ -57,10 +57,13 @@ def folded(text: str) -> str:
 
 
 def stem_and_tail(word: str) -> tuple[str, str]:
-    """A word without its closing marks, and these; the splitter always parts them."""
+    """A word without its closing marks, and these, where the splitter parts them.
+
+    It parts letters from marks. One capital (U+0130) ends in a combining mark in lower case.
+    """
     if word[-1] in MARKS:
         stem = word.rstrip(MARKS)
-        if stem and stem[-1].isalpha():
+        if stem and stem[-1].lower()[-1].isalpha():
             return stem, word[len(stem) :]
     return word, ""
 
