@@ -15,7 +15,7 @@ def position(text):
 
 def walked(keys, shards, replicas):
     """Shard of each row: own point first, then the queue, twice round the ring."""
-    points = sorted((position(f"point-{i}"), i % shards) for i in range(shards * replicas))
+    points = sorted((position(f"shard-{s}-{r}"), s) for s in range(shards) for r in range(replicas))
     room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
     arcs = [[] for _ in points]
     for row, key in enumerate(keys):
@@ -58,11 +58,17 @@ def test_same_as_a_walk(spark, keys, shards, replicas, monkeypatch):
 def test_most_keys_stay_on_the_plain_ring(spark):
     rows = spark.range(4000)
     out = sharding.assign(rows, F.col("id"), 8, 64)
-    points = sorted((position(f"point-{i}"), i % 8) for i in range(8 * 64))
+    points = sorted((position(f"shard-{s}-{r}"), s) for s in range(8) for r in range(64))
     home = lambda k: points[bisect.bisect_left(points, (position(str(k)), -1)) % len(points)][1]
     assert sum(r.shard == home(r.id) for r in out.collect()) > 0.75 * 4000
 
 
+def test_one_more_shard_moves_few_rows(spark):
+    placed = [{r.id: r.shard for r in sharding.assign(spark.range(4000), F.col("id"), n).collect()} for n in (40, 41)]
+    moved = sum(placed[0][k] != placed[1][k] for k in placed[0])
+    assert 4000 / 41 - 1 <= moved <= 0.08 * 4000
+
+
 def test_empty_and_taken_names(spark):
     rows = spark.createDataFrame([(1, "a", 2), (1, "a", 2)], "doc_id long, shard string, slot int")
     out = sharding.assign(rows, F.col("doc_id"), 3)

@@ -4,11 +4,13 @@ Shards own many points (virtual nodes) on a ring. A key belongs to the first poi
 clockwise of its own position. Every shard has a fixed capacity, n // shards rows or one
 more, and what a full shard cannot take continues clockwise, first come first served, to
 the next points with room. Capacities add up to the number of rows, so counts are at most
-one apart, while most rows stay where the plain ring puts them.
+one apart, while most rows stay where the plain ring puts them, and another shard count moves few rows.
 
 Only DataFrame functions are used. Rows are counted per arc (the stretch before a point);
 the clockwise walk then folds over the arcs, of which there are ``shards * replicas``
-whatever the number of rows, going round twice. Each arc's rows, in ring order, fall into
+whatever the number of rows, going round twice. The fold holds one entry per shard and step
+in one row, so its work grows with the square of the number of shards: seconds for dozens,
+too slow for thousands. Each arc's rows, in ring order, fall into
 a few segments, and a row's rank in its arc picks its segment, hence shard and slot. Ranks
 come from counts per key and per stretch of rows, so neither a key that holds a third of
 all rows nor a shard is ever ordered in one task.
@@ -39,10 +41,13 @@ def position(key: Column) -> Column:
 def ring(spark: SparkSession, shards: int, replicas: int) -> DataFrame:
     """The points in order: arc, shard, lo, hi. An arc holds positions in (lo, hi].
 
-    ``shards * replicas`` rows; the first point also takes what lies beyond the last one.
+    A point's place follows from its shard and replica alone, so one more shard adds points
+    and moves none. ``shards * replicas`` rows; the first point also takes what lies beyond
+    the last one.
     """
+    shard, replica = F.expr(f"id div {replicas}").cast("int"), F.col("id") % replicas
     points = spark.range(shards * replicas, numPartitions=1).select(
-        (F.col("id") % shards).cast("int").alias("shard"), position(F.concat(F.lit("point-"), F.col("id"))).alias("hi")
+        shard.alias("shard"), position(F.concat_ws("-", F.lit("shard"), shard, replica)).alias("hi")
     )
     order = Window.orderBy("hi", "shard")
     return points.select(
