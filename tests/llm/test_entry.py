@@ -14,7 +14,8 @@ ROOT = Path(__file__).resolve().parents[2]
 SMALL = "/root/testdata/sf0.001"
 NAMES = [
     "op1_quality_rules", "op2_packing", "op3_exact_dedup", "op4_quality_model", "op5_byte_bpe", "op6_token_counts",
-    "op7_sharding", "op8_line_dedup", "op9_near_dedup", "op10_lm_scoring",
+    "op7_sharding", "op8_line_dedup", "op9_near_dedup", "op10_lm_scoring", "op11_spelling",
+    "op12_lexical_search", "op13_warc",
 ]
 
 
@@ -29,7 +30,8 @@ def test_same_rows_as_sql(spark, name):
     import duckdb
 
     with duckdb.connect() as con:
-        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+        for table in ("documents", "pages", "benchmark"):
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
         expected = con.sql(SQL[name]).df()
     found = QUERIES[name](spark, SMALL).toPandas()
     columns = sorted(found.columns)

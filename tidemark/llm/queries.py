@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, line_dedup, lm_scoring, near_dedup, packing, quality_model, quality_rules
-from tidemark.llm import sharding, token_counts
-from tidemark.llm.common import id_bucket, reachable
+from tidemark.llm import byte_bpe, exact_dedup, lexical_search, line_dedup, lm_scoring, near_dedup, packing, quality_model
+from tidemark.llm import quality_rules, sharding, spelling, token_counts, warc
+from tidemark.llm.common import id_bucket, reachable, stored
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -196,3 +196,105 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_bucket(F.col("doc_id"), 7) == 2
     docs = documents(spark, sf_dir).select("doc_id", held_out.alias("held_out"), "text")
     return lm_scoring.score(docs, ~held_out, code_length=True)
+
+
+@query(
+    r"""
+    WITH table_rows AS (
+        SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS value
+        FROM (SELECT unnest(range(256)) AS i)
+    ), crc AS (SELECT list(value ORDER BY i) AS steps FROM table_rows
+    ), d AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-zÀ-ÿ]+')) AS run FROM documents
+    ), r AS (
+        SELECT doc_id, run, count(*) AS times FROM d WHERE length(run) >= 6 GROUP BY ALL
+    ), h AS (
+        SELECT run, times, xor(list_reduce(
+            list_concat([4294967295], list_transform(range(1, strlen(bytes) // 2 + 1), lambda k: ('0x' || substr(bytes, 2 * k - 1, 2))::BIGINT)),
+            lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295) AS hash
+        FROM (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes FROM r), crc
+    ), w AS (
+        SELECT word, sum(times)::BIGINT AS n FROM (
+            SELECT times, CASE WHEN hash % 199 <> 0 THEN run
+                               ELSE substr(run, 1, hash % length(run)) || substr(run, hash % length(run) + 2) END AS word FROM h)
+        WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+    ), x AS (
+        SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w
+    ), y AS (
+        SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM x
+    ), near AS (
+        SELECT a.word, b.word AS other, b.n AS other_n FROM y AS a JOIN y AS b
+            ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+        UNION SELECT y.word, w.word, w.n FROM y JOIN w ON y.rest = w.word
+        UNION SELECT w.word, y.word, y.n FROM y JOIN w ON y.rest = w.word
+    ), best AS (
+        SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+    ), f AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+               CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+        FROM w LEFT JOIN best USING (word)
+    ), walk AS (
+        WITH RECURSIVE s(word, root, steps) AS (
+            SELECT word, word, 0 FROM f UNION ALL SELECT s.word, f.form, steps + 1 FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL
+        ) SELECT word, arg_max(root, steps) AS root FROM s GROUP BY word
+    )
+    SELECT word, form, root, n, n_near, form_n FROM f JOIN walk USING (word)
+    """
+)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    words = spelling.count_words(docs, least_length=6, least_count=5, change=spelling.delete_one, every=199)
+    return spelling.variants(words, times=5)
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+    ), i AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ), q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL
+    ), s AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0
+    ), t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL
+    ), w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, s GROUP BY term, n_docs
+    ), c AS (
+        SELECT item_id, doc_id,
+               sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM q JOIN t USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM c WHERE score > 0 QUALIFY rank <= 10
+    """
+)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return lexical_search.search(documents(spark, sf_dir), items, k=10)
+
+
+@query(
+    r"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages
+    ), h AS (
+        SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS hex,
+               max(page_id) OVER (PARTITION BY payload) AS response FROM p
+    )
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+               (('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest,
+           CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> response THEN response END AS refers_to
+    FROM h
+    """
+)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    folder = warc.archive_folder(spark)
+    index = warc.write(pages, folder, least_bytes=0)
+    records = stored(warc.read(index, folder, payloads=False).drop("payload", "url"), "warc-records")
+    return warc.resolve(records).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    )
