@@ -97,6 +97,24 @@ def test_row_index_and_batches(inputs):
     assert batches(inputs.series, 0, [TS, "event_id"]).select("batch_id").distinct().count() == 1
 
 
+@pytest.mark.parametrize("limit", [20, 333])
+def test_positions_in_stretches(spark, inputs, limit, capsys):
+    """One time holds a third of the rows, some have none; values are not written anywhere."""
+    third = F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-01 06:00").cast("timestamp_ntz"))
+    time = third.when(F.col("event_id") % 17 == 1, None).otherwise(F.col(TS))
+    rows = inputs.series.withColumn(TS, time).repartition(7)
+    numbered = row_index(rows, [TS, "event_id"], limit=limit)
+    first, again = (sorted((r["$index"], r.event_id, r.value) for r in numbered.collect()) for _ in range(2))
+    order = rows.orderBy(TS, "event_id").select("event_id", "value").collect()
+    assert first == again == [(i, r.event_id, r.value) for i, r in enumerate(order)]
+    assert batches(rows, 100, [TS, "event_id"], limit).groupBy("batch_id").count().where("count > 100").isEmpty()
+    capsys.readouterr()
+    numbered.explain("formatted")
+    text = capsys.readouterr().out
+    kept = [line for line in text.split("\n\n") if "Scan ExistingRDD" in line]
+    assert kept and not any("value" in part or "props" in part for part in kept)
+
+
 def test_row_index_of_equal_times(spark):
     df = spark.range(500).select(F.lit("2024-01-01").cast("timestamp_ntz").alias(TS), F.col("id").alias("seq"))
     got = sorted((r["$index"], r.seq) for r in row_index(df, [TS, "seq"]).collect())
@@ -118,13 +136,39 @@ def test_flamegraph_does_not_depend_on_the_limit(inputs, limit):
     assert lines == want
 
 
+def test_flamegraph_of_deep_stacks(spark, capsys):
+    """Depth 200, twice; the plan does not widen with it."""
+    rows = []
+    for profile in ("a", "b"):
+        order = [*((f"op{d}", "starts") for d in range(200)), *((f"op{d}", "ends") for d in reversed(range(200)))]
+        rows += [(profile, seq, f"{op}_{edge}", seq * 10) for seq, (op, edge) in enumerate(order)]
+    df = spark.createDataFrame(rows, "profile string, seq bigint, label string, ns bigint")
+    flames = trace.flamegraph(df)
+    got = {(r.profile, r.seq): (r.stack, r.ns) for r in flames.collect()}
+    assert len(got) == 400
+    for d in (0, 1, 57, 199):
+        stack = ";".join(["b", *(f"op{k}" for k in range(d + 1))])
+        assert got["b", 399 - d] == (stack, (399 - 2 * d) * 10)
+    sizes = []
+    for part in (df, df.where("seq IN (0, 1, 398, 399)")):
+        again = trace.flamegraph(part)
+        capsys.readouterr()
+        again.explain("formatted")
+        sizes.append(len(capsys.readouterr().out))
+    assert sizes[0] <= 1.1 * sizes[1]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(12,2)", "string"])
 @pytest.mark.parametrize("limit", [30, 1_000_000])
 @pytest.mark.parametrize("hot", [False, True])
-def test_oplog_replay(inputs, limit, hot):
+def test_oplog_replay(inputs, limit, hot, kind):
     log = keyed.operations(inputs)
     if hot:  # one key takes all, and without resets it is one long segment
         log = log.where(~F.col("op").isin(*oplog.RESETS)).withColumn("key", F.lit(5).cast("bigint"))
-    kv = inputs.derived("kv")
+    if kind == "string":  # nothing to add to; some operations have no value
+        log = log.where("op <> 'add'").withColumn("value", F.when(F.col("value") != 6, F.col("value")))
+    log = log.withColumns({c: F.col(c).cast(kind) for c in ("value", "comparand")})
+    kv = inputs.derived("kv").select("key", F.col("value").cast(kind).alias("value"))
     new, results = oplog.replay(kv, log, limit)
     state = {r.key: r.value for r in kv.collect()}
     want = {}
@@ -165,6 +209,44 @@ def test_oplog_replay(inputs, limit, hot):
     assert {r.key: r.value for r in new.collect()} == state
 
 
+def test_oplog_plan_has_no_python(inputs, capsys):
+    """Segments of any length take as many rounds as their longest chain has digits."""
+    new, results = oplog.replay(inputs.derived("kv"), keyed.operations(inputs))
+    for df in (new, results):
+        df.explain("formatted")
+    assert not {"MapInArrow", "ArrowEvalPython", "FlatMapGroupsInPandas"} & set(capsys.readouterr().out.split())
+
+
+def test_oplog_long_chains_of_writes(spark, monkeypatch):
+    """Each operation lets the next one write: 4,000 writes need a dozen rounds."""
+    from tidemark.session import checkpoint
+
+    rounds = []
+    monkeypatch.setattr(oplog, "checkpoint", lambda df: rounds.append(1) or checkpoint(df))
+    log = spark.range(4000).selectExpr("'k' AS key", "id AS seq", "'cas' AS op", "id + 1 AS value", "id AS comparand")
+    kv = spark.createDataFrame([("k", 0)], "key string, value bigint")
+    new, results = oplog.replay(kv, log)
+    assert new.collect() == [("k", 4000)] and results.where("ok").count() == 4000
+    assert len(rounds) <= 3 + 13
+
+
+def test_oplog_overflow_is_an_error(spark):
+    top = 2**63 - 1
+    log = spark.createDataFrame(
+        [("a", 1, "add", 5, None), ("a", 2, "add", -5, None), ("a", 3, "update", 1, None)],
+        "key string, seq bigint, op string, value bigint, comparand bigint",
+    )
+    with pytest.raises(Exception, match="OUT_OF_RANGE|overflow"):
+        oplog.replay(spark.createDataFrame([("a", top)], "key string, value bigint"), log)
+    # Sums of additions may leave the range while values do not.
+    many = spark.range(6).selectExpr(
+        "'a' AS key", "id AS seq", "IF(id % 2 = 0, 'add', 'update') AS op", f"IF(id % 2 = 0, {top - 5}, 5) AS value",
+        "CAST(NULL AS BIGINT) AS comparand",
+    )
+    new, results = oplog.replay(spark.createDataFrame([("a", 5)], "key string, value bigint"), many)
+    assert [r.result for r in results.orderBy("seq").collect()] == [top, None, top, None, top, None]
+
+
 def test_oplog_refuses_unknown_operations(spark, inputs):
     log = spark.createDataFrame([(1, 1, "pop", 1, 1)], "key bigint, seq bigint, op string, value bigint, comparand bigint")
     with pytest.raises(Exception, match="unknown operation"):

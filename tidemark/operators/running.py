@@ -23,6 +23,8 @@ from tidemark.session import checked_broadcast, checkpoint
 GROUP_ROWS = 1_000_000
 # Most chunks of one group; a group of more rows than this times the limit gets larger ones.
 MOST_CHUNKS = 4096
+# Most stretches that positions are counted in, and sampled keys for each.
+MOST_STRETCHES, SAMPLED_KEYS = 16_384, 32
 # Bytes of bounds that may be broadcast.
 BOUND_BYTES = 64_000_000
 
@@ -165,38 +167,58 @@ def group_position(
     return prefix_scan(df, by, order, sums={name: F.lit(1).cast("long")}, limit=limit)
 
 
-def row_index(df: DataFrame, order_by: list[str] | None = None, name: str = INDEX) -> DataFrame:
+def position_bounds(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """One row ``_bounds`` that cuts ``df`` along ``keys`` into stretches of about ``limit`` rows.
+
+    None if one stretch takes all. Only the key columns are read, and a sample of them kept.
+    """
+    rows = df.count()
+    if rows <= limit:
+        return None
+    stretches = min(MOST_STRETCHES, math.ceil(2 * rows / limit))
+    share = min(1.0, SAMPLED_KEYS * stretches / rows)
+    at = F.struct(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    sample = checkpoint(df.select(at.alias("_at")).sample(share, 11))
+    # A bounded number of keys is ordered in one task, and every 32nd is a bound.
+    numbered = sample.withColumn("_n", F.row_number().over(W.orderBy("_at")))
+    cuts = numbered.where(F.col("_n") % SAMPLED_KEYS == 0).agg(F.sort_array(F.collect_list("_at")).alias("_cuts"))
+    width = math.ceil(math.sqrt(stretches))
+    last = F.expr(f"(size(_cuts) - 1) div {width}")
+    parts = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("_cuts", i * width + 1, width))
+    return checkpoint(cuts.select(F.when(F.size("_cuts") > 0, parts).alias("_bounds")))
+
+
+def row_index(
+    df: DataFrame, order_by: list[str] | None = None, name: str = INDEX, limit: int = GROUP_ROWS
+) -> DataFrame:
     """Global position 0..n-1 along ``order_by``, which must identify rows uniquely.
 
-    Rows are range-partitioned and sorted, so no group can be hot. The sorted rows are
-    written once: positions read back from there cannot change when tasks are rerun,
-    which recomputing the range partitioning could.
+    Fixed bounds cut the rows into stretches, a pass over the key columns counts them, and a
+    row's position is its stretch's offset plus its rank inside. Bounds and offsets are kept,
+    rows are not: a task that is rerun gives its rows the same positions.
     """
-    order_by = order_by or [TS]
-    keys = [quoted(c) for c in order_by]
-    sorted_rows = checkpoint(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_row", F.monotonically_increasing_id())
-    ).withColumns(
-        {"_part": F.shiftright("_row", 33), "_row": F.col("_row").bitwiseAND(F.lit(2**33 - 1))}
-    )
-    # One row per partition of the sort: as many rows as there are tasks.
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sorted_rows.groupBy("_part")
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    keys = [quoted(c) for c in order_by or [TS]]
+    names = [F.col(quoted(c)) for c in df.columns]
+    bounds = position_bounds(df, keys, limit)
+    if bounds is None:
+        rank = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*keys))
+        return df.select((rank - 1).cast("long").alias(name), *names)
+    at = F.struct(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    placed = df.crossJoin(F.broadcast(bounds)).select(*names, chunk_number(at, F.col("_bounds")).alias("_stretch"))
+    before = W.orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)
+    offsets = checkpoint(
+        placed.groupBy("_stretch").agg(F.count("*").alias("_n"))
+        .select(F.col("_stretch").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    return (
-        sorted_rows.join(checked_broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_row"))
-        .select(F.col(quoted(name)), *[F.col(quoted(c)) for c in df.columns])
+    ranked = placed.withColumn("_rank", F.row_number().over(W.partitionBy("_stretch").orderBy(*keys)))
+    # At most MOST_STRETCHES + 1 offsets.
+    return ranked.join(F.broadcast(offsets), F.col("_stretch") == F.col("_of")).select(
+        (F.col("_offset") + F.col("_rank") - 1).alias(name), *names
     )
 
 
-def batches(df: DataFrame, size: int, order_by: list[str] | None = None) -> DataFrame:
+def batches(df: DataFrame, size: int, order_by: list[str] | None = None, limit: int = GROUP_ROWS) -> DataFrame:
     """Number rows into consecutive batches of at most ``size`` rows (0 = one batch)."""
-    numbered = row_index(df, order_by, "_index")
+    numbered = row_index(df, order_by, "_index", limit)
     batch = floor_div(F.col("_index"), size) if size > 0 else F.lit(0).cast("long")
     return numbered.select(batch.alias("batch_id"), *[F.col(quoted(c)) for c in df.columns])

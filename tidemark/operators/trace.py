@@ -1,8 +1,8 @@
 """Performance traces ``(profile, seq, label, ns)``: spans and folded stacks.
 
-Spans of one profile nest, and an operation never nests in itself, so a stack is
-never deeper than there are operations. Everything is computed by running values
-along ``seq``; a profile of any length may be spread over many tasks.
+Spans of one profile nest to any depth; an operation never nests in itself. Everything is
+computed by running values along ``seq`` and joins by position; a profile of any length may
+be spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import op_split
-from tidemark.operators.running import GROUP_ROWS, chunk_bounds, group_position, prefix_scan
+from tidemark.operators.running import GROUP_ROWS, group_position, prefix_scan
 from tidemark.session import checkpoint
 
 
@@ -47,41 +47,54 @@ def span_pairs(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     )
 
 
-def flamegraph(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
-    """Folded stacks ``profile;op;op <ns>``, one per closed span; ``seq`` is its end.
+def _links(trace: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Starts (profile, seq, op, up: the start around it) and ends (profile, seq, ns, start).
 
-    The nesting depth is a running sum of starts and ends. The operation open at depth
-    d is the last start at that depth, so one column per depth gives the whole stack.
+    The depth of an edge is a running sum. The last start of a depth is what an end at that
+    depth closes, and what a start one deeper lies in, so one running pass over (profile,
+    depth) finds both, however deep the stack is.
     """
     steps = edges(trace)
-    bounds = chunk_bounds(steps, ["profile"], "seq", limit)
     step = F.when(F.col("is_start"), 1).otherwise(-1).cast("long")
-    depth = prefix_scan(steps, ["profile"], "seq", sums={"_after": step}, bounds=bounds)
+    depth = prefix_scan(steps, ["profile"], "seq", sums={"_after": step}, limit=limit)
     # Depth of the span an edge belongs to: after its start, before its end.
-    depth = depth.withColumn("depth", F.col("_after") + F.when(F.col("is_start"), 0).otherwise(1)).drop("_after")
-    # Written once: the greatest depth is needed before the stacks can be planned.
-    depth = checkpoint(depth)
-    deepest = depth.agg(F.max("depth")).first()[0] or 0
-    opened = lambda d: F.col("is_start") & (F.col("depth") == d)
-    stack = prefix_scan(
-        depth,
-        ["profile"],
-        "seq",
-        lasts={
-            f"_open{d}": F.when(opened(d), F.struct("op", "ns")) for d in range(1, deepest + 1)
-        },
-        bounds=bounds,
-    )
-    names = [
-        F.when(F.col("depth") >= d, F.col(f"_open{d}.op")) for d in range(1, deepest + 1)
-    ]
-    begun = F.coalesce(
-        *[F.when(F.col("depth") == d, F.col(f"_open{d}.ns")) for d in range(1, deepest + 1)],
-        F.lit(None).cast("long"),
-    )
-    path = F.concat_ws(";", F.col("profile"), *names)
-    elapsed = F.col("ns") - begun
-    return stack.where("NOT is_start").select(
-        "profile", "seq", path.alias("stack"), elapsed.alias("ns"),
-        F.concat_ws(" ", path, elapsed.cast("string")).alias("line"),
+    own = F.col("_after") + F.when(F.col("is_start"), 0).otherwise(1)
+    role = lambda level, asks: F.struct(level.alias("level"), F.lit(asks).alias("asks"))
+    roles = F.when(F.col("is_start"), F.array(role(own, False), role(own - 1, True))).otherwise(F.array(role(own, True)))
+    marks = depth.select("profile", "seq", "is_start", "op", "ns", F.explode(roles).alias("_r")).select("*", "_r.*").drop("_r")
+    opened = F.when(~F.col("asks"), F.struct("seq", "ns"))
+    asked = prefix_scan(marks, ["profile", "level"], "seq", lasts={"_open": opened}, limit=limit).where("asks")
+    starts = asked.where("is_start").select("profile", "seq", "op", F.col("_open.seq").alias("up"))
+    return starts, asked.where("NOT is_start").select("profile", "seq", "ns", F.col("_open").alias("start"))
+
+
+def _paths(starts: DataFrame) -> DataFrame:
+    """(profile, seq, path): the operations from the outermost one down to each start.
+
+    Each round joins every start with the one its path ends below, which doubles the length
+    of all paths: as many rounds as the greatest depth has binary digits.
+    """
+    paths = checkpoint(starts.select("profile", "seq", F.col("op").alias("path"), "up"))
+    while not paths.where("up IS NOT NULL").isEmpty():
+        above = paths.select(
+            F.col("profile").alias("_profile"), F.col("seq").alias("_seq"), F.col("path").alias("_path"), F.col("up").alias("_up")
+        )
+        below = paths.where("up IS NOT NULL")
+        same = below["profile"].eqNullSafe(above["_profile"]) & (below["up"] == above["_seq"])
+        longer = below.join(above, same).select(
+            "profile", "seq", F.concat_ws(";", "_path", "path").alias("path"), F.col("_up").alias("up")
+        )
+        paths = checkpoint(longer.unionByName(paths.where("up IS NULL")))
+    return paths.select("profile", "seq", "path")
+
+
+def flamegraph(trace: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
+    """Folded stacks ``profile;op;op <ns>``, one per closed span; ``seq`` is its end."""
+    starts, ends = _links(trace, limit)
+    paths = _paths(starts).select(F.col("profile").alias("_profile"), F.col("seq").alias("_seq"), "path")
+    same = ends["profile"].eqNullSafe(paths["_profile"]) & (ends["start.seq"] == paths["_seq"])
+    stack, elapsed = F.concat_ws(";", "profile", "path"), F.col("ns") - F.col("start.ns")
+    return ends.join(paths, same).select(
+        "profile", "seq", stack.alias("stack"), elapsed.alias("ns"),
+        F.concat_ws(" ", stack, elapsed.cast("string")).alias("line"),
     )

@@ -178,10 +178,11 @@ PAIRS_SQL = TRACE_SQL + """, e AS (
     SELECT profile, seq, ns, suffix(label, '_starts') AS is_start, regexp_replace(label, '_(starts|ends)$', '') AS op
     FROM trace WHERE suffix(label, '_starts') OR suffix(label, '_ends')),
     n AS (SELECT *, row_number() OVER (PARTITION BY profile, op, is_start ORDER BY seq) AS nth FROM e),
-    spans AS (SELECT s.profile, s.op, s.nth, s.seq AS start_seq, d.seq AS end_seq, s.ns AS start_ns, d.ns AS end_ns,
-                     d.ns - s.ns AS elapsed_ns
-              FROM n AS s JOIN n AS d ON s.profile = d.profile AND s.op = d.op AND s.nth = d.nth
-              WHERE s.is_start AND NOT d.is_start)"""
+    spans AS (SELECT *, end_ns - start_ns AS elapsed_ns FROM (
+        SELECT profile, op, nth, max(seq) FILTER (is_start) AS start_seq, max(seq) FILTER (NOT is_start) AS end_seq,
+               max(ns) FILTER (is_start) AS start_ns, max(ns) FILTER (NOT is_start) AS end_ns
+        FROM n GROUP BY profile, op, nth) AS paired
+        WHERE start_seq IS NOT NULL AND end_seq IS NOT NULL)"""
 
 
 @plan("j_span_pair", PAIRS_SQL + " SELECT * FROM spans")

@@ -212,13 +212,54 @@ def operations(t):
     )
 
 
-@plan("kv_replay")
+# The same log, folded one operation of each key after the other.
+REPLAY_SQL = with_inputs("kv").replace("WITH ", "WITH RECURSIVE ", 1) + """, log AS (
+    SELECT user_id AS key, event_id AS seq, CAST(round(value * 100) AS BIGINT) % 7 AS value,
+           CAST(round(value * 100) AS BIGINT) % 3 AS comparand,
+           CASE event_type WHEN 'click' THEN 'add' WHEN 'view' THEN 'get' WHEN 'purchase' THEN 'update'
+           WHEN 'signup' THEN CASE WHEN value < 10 THEN 'get_and_remove' WHEN value < 40 THEN 'put'
+                              ELSE 'get_and_update' END
+           ELSE CASE WHEN value < 20 THEN 'cas' WHEN value < 40 THEN 'remove_if' ELSE 'remove' END END AS op,
+           row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n
+    FROM events
+), folded(key, n, seq, op, had, before, has, after) AS (
+    SELECT key, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), FALSE, CAST(NULL AS BIGINT), kv.key IS NOT NULL, kv.value
+    FROM (SELECT DISTINCT key FROM log) AS keys LEFT JOIN kv USING (key)
+    UNION ALL
+    SELECT l.key, l.n, l.seq, l.op, f.has, f.after,
+           CASE WHEN l.op IN ('update', 'put') THEN TRUE WHEN l.op IN ('remove', 'get_and_remove') THEN FALSE
+                WHEN l.op = 'remove_if' AND f.after = l.comparand THEN FALSE ELSE f.has END,
+           CASE WHEN l.op = 'update' THEN l.value WHEN l.op IN ('remove', 'get_and_remove') THEN NULL
+                WHEN l.op = 'put' THEN CASE WHEN f.has THEN f.after ELSE l.value END
+                WHEN NOT f.has THEN NULL WHEN l.op = 'add' THEN f.after + l.value WHEN l.op = 'get_and_update' THEN l.value
+                WHEN l.op = 'cas' AND f.after = l.comparand THEN l.value
+                WHEN l.op = 'remove_if' AND f.after = l.comparand THEN NULL ELSE f.after END
+    FROM folded AS f JOIN log AS l ON l.key = f.key AND l.n = f.n + 1
+) """
+
+
+@plan(
+    "kv_replay",
+    REPLAY_SQL
+    + """SELECT l.key, l.seq, l.op,
+              CASE WHEN l.op = 'update' THEN TRUE WHEN l.op = 'put' THEN NOT f.had
+                   WHEN l.op = 'remove_if' THEN f.had AND NOT f.has
+                   WHEN l.op = 'cas' THEN f.had AND f.before = l.comparand ELSE f.had END AS ok,
+              CASE WHEN l.op IN ('get', 'get_and_update', 'get_and_remove') THEN f.before WHEN l.op = 'add' THEN f.after
+                   WHEN l.op = 'cas' AND f.before <> l.comparand THEN f.before END AS result
+       FROM folded AS f JOIN log AS l ON l.key = f.key AND l.n = f.n""",
+)
 def kv_replay(t):
     """Result of every operation of the log, in log order per key."""
     return oplog.replay(t.derived("kv"), operations(t))[1]
 
 
-@plan("kv_replay_state")
+@plan(
+    "kv_replay_state",
+    REPLAY_SQL
+    + """SELECT key, value FROM kv WHERE key NOT IN (SELECT key FROM log)
+       UNION ALL SELECT key, after FROM folded WHERE has AND (key, n) IN (SELECT (key, max(n)) FROM log GROUP BY key)""",
+)
 def kv_replay_state(t):
     """Values after the whole log."""
     return oplog.replay(t.derived("kv"), operations(t))[0]
