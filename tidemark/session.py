@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side with at most this many (narrow) rows may be broadcast.
-BROADCAST_ROWS = 200_000
+# A side with at most so many rows and bytes may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64_000_000
+# A plan that reads so many times those bytes is not tried; from here on the planner does not know.
+HOPELESS, UNKNOWN_BYTES = 32, 1 << 60
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -66,19 +69,62 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. For inputs that are cheap to read."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int | None]:
-    """``df`` evaluated once if it has at most ``max_rows`` rows, with its row count.
-
-    A larger ``df`` comes back as it is, with None.
+def width(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 16
+    if isinstance(kind, T.StructType):
+        return sum((width(value[f.name], f.dataType) for f in kind.fields), F.lit(16).cast("long"))
+    if isinstance(kind, T.ArrayType):
+        add = lambda total, item: total + width(item, kind.elementType)
+        return F.coalesce(F.aggregate(value, F.lit(16).cast("long"), add), F.lit(0).cast("long"))
+    if isinstance(kind, T.MapType):
+        return width(F.map_entries(value), T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])))
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8).cast("long")
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows of ``df`` and about how many bytes they take in memory: one parallel pass."""
+    columns = [width(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in df.schema.fields]
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(columns, F.lit(8).cast("long"))), F.lit(0))).first())
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` may be broadcast. For inputs that are cheap to read."""
+    rows, size = measured(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def _planned(df: DataFrame) -> tuple[str, int]:
+    """The operator that makes the rows of ``df``, and the bytes that the planner expects at most."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    try:
+        size = int(plan.stats().sizeInBytes())
+    except ValueError:  # products of sizes of joins soon have too many digits to be read
+        size = UNKNOWN_BYTES
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.getClass().getSimpleName(), size
+
+
+def small_side(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> tuple[DataFrame, int | None]:
+    """A side of a join, and its number of rows if it may be broadcast, else None.
+
+    A side that the planner knows to read far more than may be broadcast comes back as it
+    is; it is not evaluated here. Any other is evaluated once and kept, so that it is not
+    evaluated again whichever way the join goes, and its rows and bytes are counted.
     """
-    probe = checkpoint(df.limit(max_rows + 1))
-    rows = probe.count()
-    return (probe, rows) if rows <= max_rows else (df, None)
+    made_by, expected = _planned(df)
+    if made_by not in ("Aggregate", "GlobalLimit", "LogicalRDD") and HOPELESS * max_bytes < expected < UNKNOWN_BYTES:
+        return df, None
+    side = df if made_by == "LogicalRDD" else checkpoint(df)
+    rows, size = measured(side)
+    if rows <= max_rows and size <= max_bytes:
+        return side, rows
+    # The planner may think otherwise.
+    return side.hint("merge"), None
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
