@@ -1,17 +1,19 @@
 """Continuous queries, subscription and ingest."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.errors import InvalidArgument
-from tidemark.schema import TS, ColumnInfo, ColumnType, TableSchema
+from tidemark.schema import TABLE, TS, ColumnInfo, ColumnType, TableSchema
 from tidemark.session import scratch_path
 from tidemark.sources.tables import TableGroup
 from tidemark.streaming.continuous import continuous
 from tidemark.streaming.ingest import ingest
-from tidemark.streaming.subscribe import needed_ranges, remember, subscribe, to_folder, unseen
+from tidemark.streaming.subscribe import follow, needed_ranges, subscribe, to_folder
 
 START = datetime(2024, 1, 1)
 
@@ -62,14 +64,65 @@ def test_full(spark, source, grouped):
         assert sorted(r.n for r in running.latest().collect()) == want
 
 
-def test_errors_reach_the_reader(spark, source):
+def test_full_of_rows_writes_new_rows_only(spark, source):
+    """Each delivery of a plain selection writes what its micro-batch brought."""
+    stream, add = source
+    folder = scratch_path(spark, "q")
+    for k in range(4):
+        running = continuous(stream, lambda d: d.where("n <> 2").selectExpr("n * 10 AS m"), mode="full", folder=folder, available_now=True)
+        running.query.awaitTermination()
+        assert sorted(r.m for r in running.probe().collect()) == [10, *range(100, 100 + 10 * k, 10)]
+        add(10 + k)
+    found = spark.read.parquet(f"{folder}/results")
+    assert sorted(r["count"] for r in found.groupBy("epoch").count().collect()) == [1, 1, 1, 1]
+    assert not os.path.exists(f"{folder.removeprefix('file:')}/rows")
+
+
+def test_full_of_anything_else_starts_from_all_rows(spark, source):
+    stream, add = source
+    latest = lambda d: d.orderBy(F.desc("n")).limit(1) if not d.isStreaming else d.join(d.sparkSession.range(9), F.col("n") == F.col("id"))
+    folder = scratch_path(spark, "q")
+    for want in ([2], [7]):
+        running = continuous(stream, latest, mode="full", folder=folder, available_now=True)
+        running.query.awaitTermination()
+        assert [r.n for r in running.latest().collect()] == want
+        add(7)
+
+
+def test_a_misspelt_column_is_an_error_at_once(spark, source):
     stream, _ = source
-    bad = lambda d: d.select(F.raise_error(F.lit("broken on purpose")).cast("int").alias("n"))
-    running = continuous(stream, bad, mode="new", folder=scratch_path(spark, "q"), pace="100 milliseconds")
-    with pytest.raises(Exception, match="broken on purpose"):
-        running.results(60)
+    for mode in ("full", "new"):
+        with pytest.raises(AnalysisException, match="nn"):
+            continuous(stream, lambda d: d.where("nn > 1"), mode=mode, folder=scratch_path(spark, "q"))
+
+
+def test_errors_reach_the_reader_once(spark, source):
+    """A delivery fails; the next call raises that, and the one after it gets the delivery."""
+    stream, add = source
+    switch = scratch_path(spark, "switch").removeprefix("file:")
+
+    @F.udf("bigint")
+    def checked(n):
+        if not os.path.exists(switch):
+            raise ValueError("broken on purpose")
+        return n
+
+    running = continuous(stream, lambda d: d.select(checked("n").alias("n")), mode="new", folder=scratch_path(spark, "q"), pace="100 milliseconds")
+    try:
+        with pytest.raises(Exception, match="broken on purpose"):
+            running.results(60)
+        os.mkdir(switch)
+        while True:  # the restarted query may have failed once more meanwhile
+            try:
+                found = running.results(60)
+                break
+            except Exception as error:  # noqa: BLE001
+                assert "broken on purpose" in str(error)
+        assert sorted(r.n for r in found.collect()) == [1, 2]
+    finally:
+        running.stop()
     with pytest.raises(InvalidArgument):
-        continuous(stream, bad, mode="some", folder="x")
+        continuous(stream, lambda d: d, mode="some", folder="x")
 
 
 def test_subscription_resumes(spark):
@@ -95,26 +148,67 @@ def test_late_log_lines(spark):
     assert sorted((r.transaction_id, r.v) for r in spark.read.parquet(out).collect()) == [(2 + v, v) for v in range(5)]
 
 
-def test_a_repeated_epoch_finds_the_same_lines(spark):
-    folder = scratch_path(spark, "noted")
-    lines = lambda *ids: spark.createDataFrame(
-        [(START, i, "t", START, START) for i in ids], "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
-    )
+LOG = "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
+
+
+@pytest.fixture
+def change_log(spark):
+    folder = scratch_path(spark, "log")
+
+    def add(*lines):
+        rows = [(START + timedelta(days=day), number, "t", START, START + timedelta(days=1)) for day, number in lines]
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(folder)
+
+    add((0, 0))
+    return spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(folder), add
+
+
+def test_a_repeated_epoch_finds_the_same_lines(spark, change_log):
+    """The first run fails while it delivers; nothing is lost, and nothing comes twice later."""
+    log, add = change_log
+    rows = lambda ranges: spark.createDataFrame([(START, "t")], f"`{TS}` timestamp_ntz, `{TABLE}` string")
+    state, seen, broken = scratch_path(spark, "c"), [], [True]
+
+    def deliver(df, epoch):
+        found = [(epoch, r.transaction_id) for r in df.collect()]
+        if broken and epoch == 1:
+            broken.pop()
+            raise RuntimeError("no delivery")
+        seen.extend(found)
+
+    add((0, 0), (0, 1), (-300, 2))
     for _ in range(2):
-        first = unseen(lines(1, 1, 2), folder, 0)
-        assert sorted(r.transaction_id for r in first.collect()) == [1, 2]
-        remember(first, folder, 0)
-    assert [r.transaction_id for r in unseen(lines(2, 3), folder, 1).collect()] == [3]
+        query = follow(log, rows, deliver, checkpoint=state, table="t", available_now=True)
+        try:
+            query.awaitTermination()
+        except Exception as error:  # noqa: BLE001
+            assert "no delivery" in str(error)
+    add((0, 1), (9, 3), (-300, 2))
+    follow(log, rows, deliver, checkpoint=state, table="t", available_now=True).awaitTermination()
+    assert sorted(seen) == [(0, 0), (1, 1), (1, 2), (2, 3)]
+
+
+def test_many_epochs_leave_no_folders(spark, change_log):
+    """Folders next to a subscription do not grow with its epochs: lines are keys of a state store."""
+    log, add = change_log
+    rows = lambda ranges: spark.createDataFrame([(START, "t")], f"`{TS}` timestamp_ntz, `{TABLE}` string")
+    state, seen, counts = scratch_path(spark, "c"), [], []
+    for block in range(3):
+        for k in range(6):
+            add((k % 2, 6 * block + k))
+        deliver = lambda df, epoch: seen.extend(r.transaction_id for r in df.collect())
+        follow(log, rows, deliver, checkpoint=state, table="t", available_now=True).awaitTermination()
+        root = state.removeprefix("file:")
+        counts.append(sum(len(folders) for _, folders, _ in os.walk(root)))
+    assert sorted(seen) == list(range(18)) and counts[0] == counts[1] == counts[2]
+    assert not os.path.exists(f"{root}-delivered")
 
 
 def test_needed_ranges(spark):
-    spans = spark.range(100).select(
-        F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(CAST(id AS INT))").alias("begin"),
-        F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(CAST(id AS INT), 1)").alias("end"),
-    )
-    assert len(needed_ranges(spans.limit(3))) == 3
-    assert needed_ranges(spans) == [(START, START + timedelta(days=99, hours=1, seconds=1))]
-    assert needed_ranges(spans.where("false")) == []
+    spans = spark.createDataFrame([(START, START + timedelta(hours=h)) for h in (1, 1, 2)], "begin timestamp_ntz, end timestamp_ntz")
+    assert sorted(tuple(r) for r in needed_ranges(spans).collect()) == [
+        (START, START + timedelta(hours=1, seconds=1)), (START, START + timedelta(hours=2, seconds=1))
+    ]
 
 
 def test_ingest_repeats_no_batch(spark, source):

@@ -2,7 +2,13 @@
 
 ``new`` delivers what changed since the last delivery, and keeps it until it was read.
 ``full`` delivers the whole current result, which replaces the one before: a reader that is
-slow sees the latest.
+slow sees the latest. How the whole result is kept follows from its plan: an aggregate is
+state of the engine; a selection that looks at one row at a time only ever gains rows, so
+each micro-batch adds its own to those delivered before; anything else is computed again
+from all rows so far.
+
+An error of the query is raised once, by the next call that reads; the call after that finds
+the query running again, from its checkpoint.
 """
 
 from __future__ import annotations
@@ -11,7 +17,6 @@ import re
 import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,11 +34,13 @@ def _epochs(fs, path) -> list[int]:
 class ContinuousQuery:
     """Handle of a running query: ``probe``, ``results``, ``latest``, ``stop``."""
 
-    def __init__(self, query: StreamingQuery, spark, folder: str, every: bool):
-        self.query = query
+    def __init__(self, start: Callable[[], StreamingQuery], spark, folder: str, mode: str):
+        self.query = start()
+        self._start = start
         self._spark = spark
         self._folder = folder
-        self._every = every
+        self._every = mode == "new"
+        self._grows = mode == "grows"
         self._delivered = -1
         self._read: list[int] = []
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -43,8 +50,12 @@ class ContinuousQuery:
     def _raise_failure(self) -> None:
         error = self.query.exception()
         if error is not None:
+            self.query = self._start()
             raise error
 
+    def _deliveries(self, epochs: list[int]) -> DataFrame:
+        return self._spark.read.option("basePath", self._folder).parquet(*[f"{self._folder}/epoch={e}" for e in epochs])
+
     def latest(self) -> DataFrame | None:
         """The newest delivery, whether or not it was read before."""
         self._raise_failure()
@@ -52,7 +63,7 @@ class ContinuousQuery:
         if not epochs:
             return None
         self._delivered = max(self._delivered, epochs[-1])
-        return self._spark.read.parquet(f"{self._folder}/epoch={epochs[-1]}")
+        return self._deliveries(epochs if self._grows else epochs[-1:]).drop("epoch")
 
     def probe(self, number: str | None = None) -> DataFrame | None:
         """What was not read yet: in full mode the newest delivery, else all of them.
@@ -61,7 +72,8 @@ class ContinuousQuery:
         the next one is asked for.
         """
         self._raise_failure()
-        new = [e for e in _epochs(self._fs, self._path) if e > self._delivered]
+        epochs = _epochs(self._fs, self._path)
+        new = [e for e in epochs if e > self._delivered]
         if not new:
             return None
         if self._every:
@@ -69,9 +81,9 @@ class ContinuousQuery:
                 self._fs.delete(self._path.suffix(f"/epoch={epoch}"), True)
             self._read = new
         else:
-            new = new[-1:]
+            new = epochs if self._grows else new[-1:]
         self._delivered = new[-1]
-        found = self._spark.read.option("basePath", self._folder).parquet(*[f"{self._folder}/epoch={e}" for e in new])
+        found = self._deliveries(new)
         return found.drop("epoch") if number is None else found.withColumnRenamed("epoch", number)
 
     def results(self, timeout: float | None = None, poll: float = 0.1) -> DataFrame:
@@ -82,6 +94,7 @@ class ContinuousQuery:
             if found is not None:
                 return found
             if not self.query.isActive:
+                self._raise_failure()
                 raise StopIteration("the query was stopped")
             if limit is not None and time.monotonic() > limit:
                 raise TimeoutError("no new result")
@@ -98,13 +111,12 @@ class ContinuousQuery:
         self.query.stop()
 
 
-def _snapshots(folder: str, keep_empty: bool):
+def _snapshots(folder: str, mode: str):
     """foreachBatch writer: one folder per epoch, published by rename.
 
-    Whole results replace older ones; parts stay until the reader has had them.
-
-    Micro-batches that bring nothing new do not replace the last delivery, unless the
-    whole result may be empty (``keep_empty``).
+    ``whole`` results replace older ones, also empty ones. ``new`` parts stay until the reader
+    has had them, those that ``grow`` for good; empty ones are not delivered, but for a first
+    one that tells that the whole result is empty.
     """
 
     def write(result: DataFrame, epoch: int) -> None:
@@ -113,21 +125,41 @@ def _snapshots(folder: str, keep_empty: bool):
         staging, final = f"{folder}-staging/epoch={epoch}", path(f"{folder}/epoch={epoch}")
         fs = final.getFileSystem(session.sparkContext._jsc.hadoopConfiguration())
         result.write.mode("overwrite").parquet(staging)
-        if not keep_empty and session.read.schema(result.schema).parquet(staging).isEmpty():
+        kept = mode == "whole" or (mode == "grows" and not _epochs(fs, path(folder)))
+        if not kept and session.read.schema(result.schema).parquet(staging).isEmpty():
             fs.delete(path(staging), True)
             return
         fs.mkdirs(path(folder))
         fs.delete(final, True)
         fs.rename(path(staging), final)
-        if not keep_empty:
-            return
-        # Keep the one before, a reader may be using it.
-        for old in _epochs(fs, path(folder))[:-2]:
-            fs.delete(path(f"{folder}/epoch={old}"), True)
+        if mode == "whole":
+            # Keep the one before, a reader may be using it.
+            for old in _epochs(fs, path(folder))[:-2]:
+                fs.delete(path(f"{folder}/epoch={old}"), True)
 
     return write
 
 
+# Plan nodes that make a row of one row, or pass rows on, and those that gather rows.
+_ROW_BY_ROW = {
+    "Project", "Filter", "Union", "SubqueryAlias", "StreamingRelation", "StreamingRelationV2", "StreamingExecutionRelation",
+    "EventTimeWatermark", "Generate",
+}
+
+
+def _kept_as(result: DataFrame) -> str:
+    """How the whole result of a stream is kept: ``aggregate``, ``grows`` or ``again``."""
+    nodes, todo = set(), [result._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        nodes.add(node.getClass().getSimpleName())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    if "Aggregate" in nodes:
+        return "aggregate"
+    return "grows" if nodes <= _ROW_BY_ROW else "again"
+
+
 def continuous(
     stream: DataFrame,
     fn: Callable[[DataFrame], DataFrame],
@@ -139,40 +171,43 @@ def continuous(
 ) -> ContinuousQuery:
     """Start ``fn(stream)`` as a continuous query; state and results live in ``folder``.
 
-    In full mode an aggregation keeps its state in the engine. A result without
-    aggregation is computed again from all rows so far, which are appended to
-    ``folder``: its cost grows with the table.
+    A wrong ``fn`` is an error here and now. A result that is neither an aggregate nor made
+    row by row is computed from all rows so far, which are kept in ``folder``: its cost grows
+    with them.
     """
     if mode not in ("full", "new"):
         raise InvalidArgument(f"the mode is 'full' or 'new', not {mode!r}")
     spark = stream.sparkSession
     out = f"{folder}/results"
-
-    def start(df: DataFrame, output: str, write) -> StreamingQuery:
-        writer = (
-            df.writeStream.outputMode(output)
-            .option("checkpointLocation", f"{folder}/checkpoint-{output}")
-            .foreachBatch(write)
-        )
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        elif pace is not None:
-            writer = writer.trigger(processingTime=pace)
-        return writer.start()
-
-    if mode == "new":
-        return ContinuousQuery(start(fn(stream), "update", _snapshots(out, False)), spark, out, True)
-    try:
-        query = start(fn(stream), "complete", _snapshots(out, True))
-    except AnalysisException:  # no aggregation: the engine cannot give complete output
-        rows = f"{folder}/rows"
-        snapshot = _snapshots(out, True)
-
-        def whole(batch: DataFrame, epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{rows}/epoch={epoch}")
-            session = batch.sparkSession
-            so_far = session.read.schema(batch.schema).parquet(rows)
-            snapshot(fn(so_far), epoch)
-
-        query = start(stream, "append", whole)
-    return ContinuousQuery(query, spark, out, False)
+    result = fn(stream)
+    kept = "new" if mode == "new" else _kept_as(result)
+
+    def start(df: DataFrame, output: str, write) -> Callable[[], StreamingQuery]:
+        def run() -> StreamingQuery:
+            writer = (
+                df.writeStream.outputMode(output)
+                .option("checkpointLocation", f"{folder}/checkpoint-{output}")
+                .foreachBatch(write)
+            )
+            if available_now:
+                writer = writer.trigger(availableNow=True)
+            elif pace is not None:
+                writer = writer.trigger(processingTime=pace)
+            return writer.start()
+
+        return run
+
+    if kept == "new":
+        return ContinuousQuery(start(result, "update", _snapshots(out, "new")), spark, out, "new")
+    if kept == "aggregate":
+        return ContinuousQuery(start(result, "complete", _snapshots(out, "whole")), spark, out, "whole")
+    if kept == "grows":
+        return ContinuousQuery(start(result, "append", _snapshots(out, "grows")), spark, out, "grows")
+    rows, snapshot = f"{folder}/rows", _snapshots(out, "whole")
+
+    def again(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{rows}/epoch={epoch}")
+        so_far = batch.sparkSession.read.schema(batch.schema).parquet(rows)
+        snapshot(fn(so_far), epoch)
+
+    return ContinuousQuery(start(stream, "append", again), spark, out, "whole")

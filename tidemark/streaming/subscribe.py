@@ -1,66 +1,39 @@
-"""Follow a table: every transaction in the change log delivers its rows once."""
+"""Follow a table: every transaction in the change log delivers its rows once.
+
+Which log lines were delivered is state of the stream: a state store keyed by the line (log
+time, transaction, table), dealt over the shuffle partitions and kept with the checkpoint.
+A micro-batch reads and writes the keys of its own lines only, however many epochs there
+were, and a line may be as late as it likes. State and delivery advance together: an epoch
+that is repeated after a failure finds the same lines as before.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ranges import replay
 from tidemark.session import checkpoint as save
-from tidemark.session import checked_broadcast
 
 LINE = ["log_ts", "transaction_id", "table"]
 
 
-def unseen(batch: DataFrame, folder: str, epoch: int) -> DataFrame:
-    """The lines of a micro-batch that no earlier epoch has delivered, each once.
+def unseen(lines: DataFrame) -> DataFrame:
+    """The lines of a streamed change log, each once. There is no watermark, so none is too late."""
+    return lines.dropDuplicates(LINE)
 
-    Delivered lines are kept below ``folder`` by log day, so only the days of the batch are
-    read. A line may be as late as it likes. An epoch that is repeated after a failure finds
-    the same lines as before.
-    """
-    spark = batch.sparkSession
-    lines = save(batch.dropDuplicates(LINE))
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    days = [r[0] for r in lines.select(_day().alias("day")).distinct().collect()]
-    paths = [f"{folder}/_day={day}" for day in days]
-    known = [p for p in paths if path(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path(p))]
-    if not known:
-        return lines
-    schema = ", ".join(f"`{n}` {batch.schema[n].dataType.simpleString()}" for n in LINE)
-    seen = spark.read.option("basePath", folder).schema(schema + ", _day string, _epoch bigint").parquet(*known)
-    seen = checked_broadcast(seen.where(F.col("_epoch") < epoch).select(*LINE))
-    same = F.lit(True)
-    for name in LINE:
-        same = same & lines[name].eqNullSafe(seen[name])
-    return save(lines.join(seen, same, "left_anti"))
-
-
-def remember(lines: DataFrame, folder: str, epoch: int) -> None:
-    """Note lines as delivered. Doing it twice for an epoch changes nothing."""
-    noted = lines.select(*LINE, _day().alias("_day"), F.lit(epoch).cast("long").alias("_epoch"))
-    noted.write.mode("append").partitionBy("_day", "_epoch").parquet(folder)
-
-
-def _day() -> Column:
-    return F.coalesce(F.date_format("log_ts", "yyyy-MM-dd"), F.lit("none"))
-
-
-def needed_ranges(spans: DataFrame, limit: int = 64) -> list[tuple]:
-    """Time ranges of the spans: one by one if they are few, their extent otherwise."""
-    spans = spans.select("begin", (F.col("end") + F.expr("INTERVAL '1' SECOND")).alias("end"))
-    few = spans.distinct().limit(limit + 1).collect()
-    if len(few) <= limit:
-        return [tuple(row) for row in few]
-    return [tuple(spans.agg(F.min("begin"), F.max("end")).first())]
+
+def needed_ranges(spans: DataFrame) -> DataFrame:
+    """Time ranges (begin, end) of the spans, ends excluded and rounded up to a second."""
+    return spans.select("begin", (F.col("end") + F.expr("INTERVAL '1' SECOND")).alias("end")).distinct()
 
 
 def follow(
     log: DataFrame,
-    rows: Callable[[list], DataFrame],
+    rows: Callable[[DataFrame], DataFrame],
     deliver: Callable[[DataFrame, int], None],
     *,
     checkpoint: str,
@@ -72,21 +45,22 @@ def follow(
 ) -> StreamingQuery:
     """Stream a change log, look up each new transaction's rows and deliver them.
 
-    ``rows`` is called per micro-batch with the time ranges it needs, and gives the
-    current table or at least those parts of it. ``deliver`` gets the rows with log time and
-    transaction id, and the epoch, which stays the same when a batch is repeated after a
-    failure. The checkpoint is the resume point; delivered lines are noted next to it.
-    ``lines`` turns a micro-batch of ``log`` into log lines if it holds something else.
+    ``rows`` is called per micro-batch with the time ranges it needs (begin, end), and gives
+    the current table or at least those parts of it. ``deliver`` gets the rows with log time
+    and transaction id, and the epoch, which stays the same when a batch is repeated after a
+    failure. The checkpoint is the resume point and holds the lines delivered so far. If
+    ``log`` holds something else, each row of which stands for lines of its own, ``lines``
+    turns a micro-batch of it into log lines.
     """
-    noted = f"{checkpoint.rstrip('/')}-delivered"
+    if lines is None:
+        log = unseen(log if table is None else log.where(F.col("table") == table))
 
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        found = batch if lines is None else lines(batch)
-        spans = unseen(found if table is None else found.where(F.col("table") == table), noted, epoch)
-        ranges = needed_ranges(spans)
-        if ranges:
-            deliver(replay(spans, rows(ranges), **replay_options), epoch)
-            remember(spans, noted, epoch)
+        spans = save(batch if lines is None else lines(batch))
+        if lines is not None and table is not None:
+            spans = spans.where(F.col("table") == table)
+        if not spans.isEmpty():
+            deliver(replay(spans, rows(needed_ranges(spans)), **replay_options), epoch)
 
     writer = log.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=pace)
@@ -103,10 +77,10 @@ def to_folder(folder: str) -> Callable[[DataFrame, int], None]:
 
 
 def subscribe(group, table: str, deliver, *, checkpoint: str, **options) -> StreamingQuery:
-    """Follow one table of a ``TableGroup``."""
+    """Follow one table of a ``TableGroup``; each of its commits is one row of the stream, and new once."""
     group.schema(table)
     current = lambda ranges: group.read([table], ranges=ranges)
     return follow(
-        group.commit_stream(), current, deliver, checkpoint=checkpoint, table=table, lines=group.changes_of, **options
+        group.commit_stream().dropDuplicates(["number", "version"]), current, deliver, checkpoint=checkpoint, table=table, lines=group.changes_of, **options
     )
 
