@@ -101,8 +101,17 @@ def test_shards_are_pruned(spark, rows, tmp_path):
     assert got.count() == ranges.in_range(rows[0], START, START + timedelta(hours=1)).count()
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
 @pytest.mark.parametrize("delta", [timedelta(hours=1), timedelta(hours=7), timedelta(days=2), timedelta(days=1)])
-def test_split_range(spark, delta):
+def test_split_range(spark, delta, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _split_range(spark, delta)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _split_range(spark, delta):
     end = START + timedelta(days=1)
     want, at = [], START
     while at < end:

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.errors import InvalidArgument
-from tidemark.schema import INDEX, TABLE, TS
+from tidemark.schema import INDEX, TABLE, TS, ColumnInfo, ColumnType, nanos
 from tidemark.session import scratch_path
 from tidemark.sources.frames import (
-    from_pandas, iter_pandas, query_frame, read_frame, stream_frames, to_pandas, write_frames,
+    from_pandas, iter_arrow, iter_pandas, query_frame, read_frame, stream_frames, to_pandas, write_frames,
 )
 from tidemark.sources.minutes_csv import read_minutes, ticker_tags
 from tidemark.sources.tables import TableGroup
@@ -89,15 +89,73 @@ def test_sparse_integers_stay_integers(spark):
     assert [r.n for r in group.read("t").orderBy(f"`{TS}`").collect()] == [2**60 + 1, None, 3]
 
 
-def test_times_finer_than_microseconds_are_refused(spark):
-    from tidemark.errors import InvalidArgument
+@pytest.fixture
+def fine():
+    """8,192 rows one nanosecond apart, in any order, with a time column that is as fine."""
+    steps = np.random.default_rng(3).permutation(8192)
+    index = pd.DatetimeIndex(np.datetime64("2024-01-01T00:00:00.000000000") + steps.astype("timedelta64[ns]"))
+    seen = pd.Series(index + pd.Timedelta(7, "ns"))
+    seen[::5] = pd.NaT
+    return pd.DataFrame({"n": steps, "seen": seen.to_numpy()}, index=index)
 
-    index = pd.to_datetime(["2024-01-01", "2024-01-01"]) + pd.to_timedelta([0, 1], unit="ns")
-    with pytest.raises(InvalidArgument, match="finer"):
-        from_pandas(spark, pd.DataFrame({"v": [1.0, 2.0]}, index=index))
+
+def same_frames(found, expected):
+    expected = expected.sort_index()
+    assert found.index.dtype == "datetime64[ns]" and (found.index == expected.index).all()
+    assert list(found["n"]) == list(expected["n"])
+    assert found["seen"].isna().equals(expected["seen"].isna())
+    assert (found["seen"].dropna().to_numpy() == expected["seen"].dropna().to_numpy()).all()
+
+
+def test_nanoseconds_come_back(spark, fine):
+    group = TableGroup(spark, scratch_path(spark, "frames"))
+    write_frames(group, {"t": fine}, create=True)
+    same_frames(read_frame(group, "t"), fine)
+    same_frames(pd.concat(list(stream_frames(group, "t", size=1000))), fine)
+    assert read_frame(group, "t", columns=["n"]).columns.tolist() == ["n"]
+    low, high = fine.index.min() + pd.Timedelta(1500, "ns"), np.datetime64("2024-01-01T00:00:00.000002003")
+    part = read_frame(group, "t", ranges=[(low, high)])
+    assert list(part["n"]) == list(range(1500, 2003))
+    both = read_frame(group, "t", ranges=[(low, high), (low + pd.Timedelta(9, "ns"), high + pd.Timedelta(9, "ns"))])
+    assert list(both["n"]) == list(range(1500, 2012))
+
+
+def test_nanoseconds_tell_rows_apart(spark, fine):
+    """Deduplication and truncating go by whole times."""
+    group = TableGroup(spark, scratch_path(spark, "frames"))
+    write_frames(group, {"t": fine[fine["n"] < 4000]}, create=True)
+    write_frames(group, {"t": fine}, deduplicate=TS)
+    same_frames(read_frame(group, "t"), fine)
+    newer = fine[fine["n"].between(100, 2999)].assign(n=lambda f: f["n"] + 10_000)
+    write_frames(group, {"t": newer}, deduplicate=[TS], deduplication_mode="upsert")
+    expected = pd.concat([fine[~fine["n"].between(100, 2999)], newer])
+    same_frames(read_frame(group, "t"), expected)
+    few = fine[fine["n"].isin([1001, 7100])]
+    for _ in range(2):
+        write_frames(group, {"t": few}, mode="truncate")
+        same_frames(read_frame(group, "t"), pd.concat([expected[(expected.index < few.index.min()) | (expected.index > few.index.max())], few]))
+    begin = fine.index.min()
+    write_frames(group, {"t": few[:1]}, mode="truncate", range=(begin + pd.Timedelta(10, "ns"), begin + pd.Timedelta(8190, "ns")))
+    assert len(read_frame(group, "t")) == 10 + 2 + 1
+
+
+def test_tables_of_microseconds_refuse_finer_times(spark, fine):
+    group = TableGroup(spark, scratch_path(spark, "frames"))
+    write_frames(group, {"t": fine.set_index(fine.index.floor("s"))[["n"]][:3]}, create=True)
     with pytest.raises(InvalidArgument, match="finer"):
-        from_pandas(spark, pd.DataFrame({"t": index}, index=index.floor("us")))
-    assert from_pandas(spark, pd.DataFrame({"v": [1.0]}, index=index[:1])).count() == 1
+        write_frames(group, {"t": fine[["n"]]})
+    group.add_columns("t", [ColumnInfo(nanos(TS), ColumnType.INT64)])
+    write_frames(group, {"t": fine[["n"]]})
+    assert len(read_frame(group, "t")) == 3 + 8192
+    assert from_pandas(spark, fine[["n"]].set_index(fine.index.floor("us"))).columns == [TS, "n"]
+
+
+def test_arrow_tables_of_a_read(inputs):
+    df = inputs.series.where("event_id < 700")
+    tables = list(iter_arrow(df, 100, "event_id"))
+    assert [t.num_rows for t in tables[:-1]] == [100] * (len(tables) - 1) and 0 < tables[-1].num_rows <= 100
+    order = [tuple(r) for r in df.orderBy(f"`{TS}`", "event_id").collect()]
+    assert [tuple(r.values()) for t in tables for r in t.to_pylist()] == order
 
 
 def test_index_by_offset(spark):

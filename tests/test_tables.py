@@ -11,6 +11,7 @@ from tidemark.errors import (
 )
 from tidemark.schema import TABLE, TS, ColumnInfo, ColumnType, TableSchema
 from tidemark.session import scratch_path
+from tidemark.sources import tables
 from tidemark.sources.tables import TableGroup
 
 START = datetime(2024, 1, 1)
@@ -365,3 +366,125 @@ def test_symbols_keep_their_numbers(spark):
     assert grown == {"b": 0, "d": 1, "a": 2, "c": 3}
     empty = known.limit(0)
     assert {r.symbol: r.symbol_id for r in extend_dictionary(empty, more, "s").collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+# ---------------------------------------------------------------- symbols
+
+
+def numbers(group, table):
+    """Symbol -> numbers as stored."""
+    ids = {r.symbol_id: r.symbol for r in group.symbols("names").collect()}
+    rows = group.read(table, decode=False).collect()
+    assert all(r.s is None or isinstance(r.s, int) for r in rows)
+    return {None if r.s is None else ids[r.s]: r.s for r in rows}
+
+
+def test_symbol_tables_grow(spark, group):
+    """Two tables share numbers, which never change; another symbol table has its own."""
+    other = (ColumnInfo("s", ColumnType.SYMBOL, "others"),)
+    group.create(TableSchema("t", COLUMNS), TableSchema("u", COLUMNS), TableSchema("w", other))
+    row = lambda *names: frame(spark, [(START + n * HOUR, 1.0, name) for n, name in enumerate(names)])
+    group.push({"t": row("b", "d", "b", None, ""), "u": row("d", "a")})
+    assert numbers(group, "t") == {"b": 1, "d": 2, None: None} and numbers(group, "u") == {"d": 2, "a": 0}
+    group.push({"t": row("c", "a"), "w": row("b").drop("v")})
+    assert numbers(group, "t") == {"b": 1, "d": 2, "c": 3, "a": 0, None: None}
+    assert [(r.symbol_id, r.symbol) for r in group.symbols("others").collect()] == [(0, "b")]
+    again = TableGroup(spark, group.root)  # as another process sees it
+    again.push({"u": row("d", "e", "c")})
+    assert numbers(again, "u") == {"d": 2, "a": 0, "e": 4, "c": 3}
+    assert sorted(r.s for r in again.read("u").collect()) == ["a", "c", "d", "d", "e"]
+    assert sorted((r[TABLE], r.s or "") for r in again.read(["t", "w"]).collect()) == [
+        ("t", ""), ("t", ""), ("t", "a"), ("t", "b"), ("t", "b"), ("t", "c"), ("t", "d"), ("w", "b")
+    ]
+    again.push({"t": row("b")}, "truncate", range=(START, START + HOUR))
+    again.push({"t": frame(spark, [(START, 9.0, "d")])}, deduplicate=[TS], deduplication_mode="upsert")
+    again.compact()
+    assert numbers(again, "t") == {"d": 2, "a": 0, "b": 1, None: None}
+    assert again.read("t", columns=["v"]).columns == [TS, "v"]
+
+
+def test_symbol_tables_do_not_grow_twice_at_once(spark, group, monkeypatch):
+    group.create(TableSchema("t", COLUMNS))
+    late = TableGroup(spark, group.root)
+    publish = late._publish
+
+    def behind(number, entry):
+        group.push({"t": frame(spark, hours(1, name="first"))})
+        return publish(number, entry)
+
+    monkeypatch.setattr(late, "_publish", behind)
+    with pytest.raises(CommitConflict):
+        late.push({"t": frame(spark, hours(2, name="second"))})
+    monkeypatch.undo()
+    late.push({"t": frame(spark, hours(2, name="second"))})
+    assert numbers(late, "t") == {"first": 0, "second": 1}
+    assert late.symbols().count() == 2
+
+
+# ---------------------------------------------------------------- pruning
+
+
+def files_read(spark, df):
+    """Files that the scans of a plan open."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = df.select("*")
+        df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size())]
+        return sum(s.metrics().apply("numFiles").value() for s in scans if "Scan parquet" in s.nodeName())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.fixture(scope="module")
+def long_table(spark):
+    """A table of 1,500 shards, each a file or two."""
+    group = TableGroup(spark, scratch_path(spark, "long"))
+    group.create(TableSchema("t", COLUMNS[:1], HOUR))
+    rows = spark.range(1500).select(
+        F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(0, CAST(id AS INT), 30)").alias(TS), F.col("id").cast("double").alias("v")
+    )
+    group.push({"t": rows})
+    return group
+
+
+def test_many_ranges_open_their_shards_only(spark, long_table):
+    far = spark.createDataFrame(
+        [(START + timedelta(hours=15 * k, minutes=10), START + timedelta(hours=15 * k, minutes=50)) for k in range(100)],
+        "begin timestamp_ntz, end timestamp_ntz",
+    )
+    found = long_table.read("t", ranges=far)
+    assert files_read(spark, found) <= 100 and found.count() == 100
+    nearly_all = far.selectExpr("begin", "begin + INTERVAL '14' HOUR AS end")
+    found = long_table.read("t", ranges=nearly_all)
+    assert files_read(spark, found) <= 1500 and found.count() == 1400
+
+
+def test_many_shards_are_a_pruning_set_too(spark, long_table):
+    stored = long_table._rows(["t"], long_table._catalog())
+    odd = stored.where("v__double % 15 = 7 OR v__double > 1400").select("_table", "_shard").distinct()
+    found = tables._of_shards(stored, tables.checkpoint(odd))
+    assert files_read(spark, found) == odd.count() == found.count()
+    most = stored.where("v__double > 2").select("_table", "_shard").distinct()
+    assert files_read(spark, tables._of_shards(stored, tables.checkpoint(most))) == 1497
+
+
+def test_truncate_reads_the_shards_at_its_ends(spark, long_table, monkeypatch):
+    opened = []
+    commit = TableGroup._commit
+    monkeypatch.setattr(TableGroup, "_commit", lambda self, kind, rows, *rest, **more: opened.append(files_read(spark, rows)) or commit(self, kind, rows, *rest, **more))
+    group = long_table
+    span = (START + timedelta(hours=100, minutes=45), START + timedelta(hours=1400, minutes=15))
+    group.push({"t": frame(spark, [(START + timedelta(hours=700), -1.0)], f"`{TS}` timestamp_ntz, v double")}, "truncate", range=span)
+    # The two shards at the ends, and nothing of the 1,299 between them.
+    assert opened[0] <= 2
+    left = sorted(r.v for r in group.read("t").collect())
+    assert left == [-1.0, *map(float, range(101)), *map(float, range(1400, 1500))]
+
+
+def test_intervals():
+    from tidemark.sources import pruning
+
+    assert pruning.joined([(5, 6), (1, 2), (3, 3), (9, 9)]) == [(1, 3), (5, 6), (9, 9)]
+    assert pruning.joined([(1, 9), (2, 3)]) == [(1, 9)]

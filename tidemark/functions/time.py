@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,10 +35,22 @@ def ending(begin: Column, end) -> Column:
     return end.after(begin) if isinstance(end, Calendar) else timestamp(end)
 
 
+def nanosecond(value) -> int:
+    """Nanoseconds, 0 to 999, of a time beyond its microseconds; only pandas and numpy times have any."""
+    if isinstance(value, np.datetime64):
+        return int(value.astype("datetime64[ns]").astype(np.int64) % 1000)
+    return getattr(value, "nanosecond", 0)
+
+
 def timestamp(value) -> Column:
-    """A timestamp literal from a datetime, a date, ISO text, a year number or a column."""
+    """A timestamp literal from a datetime, a date, ISO text, a year number or a column.
+
+    Times finer than a microsecond are cut to it.
+    """
     if isinstance(value, Column):
         return value
+    if isinstance(value, np.datetime64):
+        value = value.astype("datetime64[us]").item()
     if isinstance(value, int) and not isinstance(value, bool):
         value = date(value, 1, 1)
     if isinstance(value, datetime) and value.tzinfo is not None:

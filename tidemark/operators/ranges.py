@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import InvalidArgument
-from tidemark.functions.time import MICROS, ending, floor_div, from_micros, micros, timestamp
-from tidemark.schema import SHARD, TABLE, TS, quoted
+from tidemark.functions.time import MICROS, ending, floor_div, from_micros, micros, nanosecond, timestamp
+from tidemark.schema import SHARD, TABLE, TS, nanos, quoted
 from tidemark.session import BROADCAST_ROWS, checkpoint, fits
 
 
@@ -27,6 +27,17 @@ def between(ts: Column, begin, end, closed: bool = False) -> Column:
     return (ts >= lower) & (ts <= upper if closed else ts < upper)
 
 
+def between_fine(ts: Column, rest: Column, begin, end, closed: bool = False, rests: tuple[int, int] | None = None) -> Column:
+    """``between`` for a time and its nanoseconds; those of the bounds may be given apart."""
+    low, high = rests or (nanosecond(begin), nanosecond(end))
+    lower = timestamp(begin)
+    upper = ending(lower, end)
+    rest = F.coalesce(rest, F.lit(0))
+    inside = rest <= high if closed else rest < high
+    # The first pair of bounds reaches the scan.
+    return (ts >= lower) & (ts <= upper) & ((ts > lower) | (rest >= low)) & ((ts < upper) | inside)
+
+
 def in_range(
     df: DataFrame,
     begin,
@@ -50,6 +61,8 @@ def in_ranges(
 ) -> DataFrame:
     """Rows inside any of the literal ranges, each row once; no ranges = all rows.
 
+    Bounds may have nanoseconds if the rows have (see ``schema.nanos``).
+
     If the data is partitioned by ``_shard``, pass ``shard_size``: the derived
     shard predicate prunes directories, which a timestamp predicate cannot do.
     """
@@ -57,7 +70,11 @@ def in_ranges(
     if not ranges:
         return df
     stamp = F.col(quoted(ts))
-    hit = reduce(Column.__or__, [between(stamp, b, e, closed) for b, e in ranges])
+    if nanos(ts) in df.columns:
+        rest = F.col(quoted(nanos(ts)))
+        hit = reduce(Column.__or__, [between_fine(stamp, rest, b, e, closed) for b, e in ranges])
+    else:
+        hit = reduce(Column.__or__, [between(stamp, b, e, closed) for b, e in ranges])
     if shard_size is not None and SHARD in df.columns:
         hit = hit & reduce(Column.__or__, [_shards(b, e, shard_size) for b, e in ranges])
     return df.where(hit)
@@ -224,11 +241,8 @@ def split_range(spark, begin: datetime, end: datetime, delta: timedelta) -> Data
         spark.range(count)
         .select(
             F.col("id").alias("chunk"),
-            F.timestamp_micros(start + F.col("id") * step).cast("timestamp_ntz").alias("begin"),
-            F.least(
-                F.timestamp_micros(start + (F.col("id") + 1) * step).cast("timestamp_ntz"),
-                timestamp(end),
-            ).alias("end"),
+            from_micros(start + F.col("id") * step).alias("begin"),
+            F.least(from_micros(start + (F.col("id") + 1) * step), timestamp(end)).alias("end"),
         )
     )
 

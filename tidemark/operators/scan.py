@@ -11,17 +11,17 @@ from tidemark.errors import AliasNotFound, InvalidArgument
 from tidemark.operators.ranges import in_ranges
 from tidemark.operators.running import row_index
 from tidemark.operators.tags import find
-from tidemark.schema import INDEX, TABLE, TS, quoted
+from tidemark.schema import INDEX, TABLE, TS, nanos, quoted
 from tidemark.session import small_side
 
 
 def project(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Requested columns in requested order behind the time index and the table name."""
+    """Requested columns in requested order behind the time index (with its nanoseconds) and the table name."""
     if isinstance(columns, str):
         raise TypeError("columns must be a list of names, not one text")
     if not columns:
         return df
-    lead = [c for c in (TS, TABLE) if c in df.columns]
+    lead = [c for c in (TS, nanos(TS), TABLE) if c in df.columns]
     return df.select(*[quoted(c) for c in lead + [c for c in columns if c not in lead]])
 
 
@@ -62,8 +62,9 @@ def union_tables(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def ordered(df: DataFrame, *more: str) -> DataFrame:
-    """Time order; further columns break ties."""
-    return df.orderBy(*[quoted(c) for c in (TS, *more)])
+    """Time order, by nanoseconds too where the rows have them; further columns break ties."""
+    fine = [F.coalesce(F.col(quoted(nanos(TS))), F.lit(0))] if nanos(TS) in df.columns else []
+    return df.orderBy(quoted(TS), *fine, *[quoted(c) for c in more])
 
 
 def first_rows(df: DataFrame, n: int, *more: str) -> DataFrame:

@@ -17,6 +17,14 @@ INDEX = "$index"
 SHARD = "_shard"
 
 
+def nanos(name: str) -> str:
+    """The column that holds the nanoseconds, 0 to 999, beyond the microseconds of a time column.
+
+    A table whose index has one orders, cuts and deduplicates by both together.
+    """
+    return f"{name}$nanos"
+
+
 def quoted(name: str) -> str:
     """A column name that Spark reads literally (``$``, dots)."""
     return "`" + name.replace("`", "``") + "`"
@@ -134,6 +142,11 @@ class TableSchema:
             raise InvalidArgument(f"table '{self.name}' has no column number {index}")
         return self.columns[index]
 
+    @property
+    def fine(self) -> bool:
+        """Whether the time index has nanoseconds."""
+        return any(c.name == nanos(TS) for c in self.columns)
+
     def position(self, name: str) -> int:
         self.column(name)
         return [c.name for c in self.columns].index(name)

@@ -5,6 +5,7 @@ Layout below the group's root::
     data/_v=<version>/_shard=<n>/part-*.parquet   rows, sorted by table and time
     replaced/_v=<version>/   (table, shard) whose rows in older versions are obsolete
     changes/_v=<version>/    change log: time, transaction, table, begin, end
+    symbols/_v=<version>/    numbers that a push gave to new symbols, by symbol table
     log/<number>.json        one small file per commit; its appearance publishes the version
 
 Shards are directories, so a range predicate prunes them. Tables are not: rows are
@@ -22,19 +23,23 @@ import json
 import os
 import uuid
 from datetime import datetime, timedelta, timezone
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import AliasAlreadyExists, AliasNotFound, CommitConflict, DamagedCommit, InvalidArgument
-from tidemark.functions.time import MICROS, floor_div, micros, timestamp
+from tidemark.functions.time import MICROS, floor_div, micros, nanosecond, timestamp
 from tidemark.operators import write as W
-from tidemark.operators.ranges import _shards, between, in_range_set, in_ranges
+from tidemark.operators.ranges import _shards, between, between_fine, ending, in_range_set, in_ranges
+from tidemark.operators.running import row_index
 from tidemark.operators.scan import project
-from tidemark.schema import SHARD, TABLE, TS, ColumnInfo, ColumnType, TableSchema, quoted
+from tidemark.schema import SHARD, TABLE, TS, ColumnInfo, ColumnType, TableSchema, nanos, quoted
 from tidemark.session import checked_broadcast, checkpoint, fits, require_utc
+from tidemark.sources.pruning import Intervals, covered_numbers, covered_times, joined, within
 
+_SYMBOL_SCHEMA = "symtable string, symbol_id bigint, symbol string"
 _CHANGE_SCHEMA = "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
 
 
@@ -50,18 +55,20 @@ def _number(column: str) -> Column:
     return F.split_part(column, F.lit("-"), F.lit(1)).cast("bigint")
 
 
-def _of_shards(rows: DataFrame, shards: DataFrame, literal: int = 1000) -> DataFrame:
-    """Rows of the given (table, shard) pairs. Few shard numbers become a literal list,
-    so that only their directories are opened."""
-    numbers = [r[0] for r in shards.select(SHARD).distinct().limit(literal + 1).collect()]
-    if len(numbers) <= literal:
-        rows = rows.where(F.col(SHARD).isin(numbers))
-    return rows.join(shards, ["_table", SHARD], "left_semi")
+def _of_shards(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """Rows of the given (table, shard) pairs, which are read twice; other directories stay closed."""
+    rows = rows.where(within(F.col(SHARD), covered_numbers(shards, SHARD)))
+    return rows.join(checked_broadcast(shards), ["_table", SHARD], "left_semi")
 
 
 def _physical(column: ColumnInfo) -> str:
-    """Stored name: tables of one group may use a name with different types."""
-    return f"{column.name}__{column.type.value}"
+    """Stored name: tables of one group may use a name with different types or symbol tables."""
+    kind = f"{column.type.value}__{column.symtable}" if column.symtable else column.type.value
+    return f"{column.name}__{kind}"
+
+
+# Stored rows hold numbers in place of symbols, and nanoseconds like any other column.
+REST = _physical(ColumnInfo(nanos(TS), ColumnType.INT64))
 
 
 class TableGroup:
@@ -225,7 +232,7 @@ class TableGroup:
         fields = {TS: T.TimestampNTZType()}
         for schema, _ in catalog.values():
             for column in schema.columns:
-                fields[_physical(column)] = column.type.spark_type
+                fields[_physical(column)] = T.LongType() if column.symtable else column.type.spark_type
         fields |= {"_v": T.StringType(), "_table": T.StringType(), SHARD: T.LongType()}
         return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
@@ -295,6 +302,68 @@ class TableGroup:
                 condition = condition | (F.col("_table").isin(same) & _shards(begin, end, size))
         return condition
 
+    def _by_size(self, names, catalog) -> dict[int, list[str]]:
+        """Tables by the length of their shards in microseconds."""
+        sizes: dict[int, list[str]] = {}
+        for name in names:
+            sizes.setdefault(catalog[name][0].shard_size // MICROS, []).append(name)
+        return sizes
+
+    def _shards_at(self, names, catalog, times: Intervals) -> Column:
+        """Shards that stretches of microseconds can touch."""
+        condition = F.lit(False)
+        for size, same in self._by_size(names, catalog).items():
+            numbers = within(F.col(SHARD), joined([(a // size, b // size) for a, b in times]))
+            condition = condition | (F.col("_table").isin(same) & numbers)
+        return condition
+
+    def _inside(self, names, catalog, begin: Column, end: Column) -> Column:
+        """Shards that lie in [begin, end) as a whole; both in microseconds."""
+        condition = F.lit(False)
+        for size, same in self._by_size(names, catalog).items():
+            whole = (F.col(SHARD) * size >= begin) & ((F.col(SHARD) + 1) * size <= end)
+            condition = condition | (F.col("_table").isin(same) & whole)
+        return condition
+
+    def _listed_shards(self, rows: DataFrame) -> DataFrame:
+        """Shard numbers of the files below ``rows``, from their paths alone."""
+        # The list of paths that planning the read makes anyway; it does not pass through Python.
+        paths = F.filter(F.lit(rows._jdf.inputFiles()), lambda path: path.contains(f"/{SHARD}="))
+        numbers = F.transform(paths, lambda path: F.regexp_extract(path, f"/{SHARD}=(-?[0-9]+)/", 1).cast("bigint"))
+        return self.spark.range(1).select(F.explode(F.array_distinct(numbers)).alias(SHARD))
+
+    @staticmethod
+    def _extent(staged: DataFrame) -> tuple:
+        """First and last time of a batch, and their nanoseconds."""
+        if REST not in staged.columns:
+            return *W.extent(staged), (0, 0)
+        whole = F.struct(F.col(quoted(TS)).alias("at"), F.coalesce(quoted(REST), F.lit(0)).alias("rest"))
+        first, last = staged.agg(F.min(whole), F.max(whole)).first()
+        return first["at"], last["at"], (first["rest"], last["rest"])
+
+    def _truncated(self, names, catalog, begin, end, rests: tuple[int, int], closed: bool) -> tuple[DataFrame, DataFrame]:
+        """What of a time range's shards stays, and the (table, shard) pairs that are replaced.
+
+        Shards inside the range are replaced unread; for a single table they are not even
+        opened. Rows are read from the shards at its two ends.
+        """
+        stored = self._rows(names, catalog, self._shard_filter(names, catalog, [(begin, end)]))
+        if REST in stored.columns:
+            gone = between_fine(F.col(quoted(TS)), F.col(quoted(REST)), begin, end, closed, rests)
+        else:
+            gone = between(F.col(quoted(TS)), begin, end, closed=closed)
+        # Shards are cut at whole microseconds.
+        first = micros(timestamp(begin)) + (1 if rests[0] else 0)
+        last = micros(ending(timestamp(begin), end)) + (1 if closed and (REST not in stored.columns or rests[1] == 999) else 0)
+        inside = self._inside(names, catalog, first, last)
+        edges = stored.where(~inside)
+        if len(names) == 1:
+            pairs = self._listed_shards(stored).select(F.lit(names[0]).alias("_table"), SHARD).where(inside)
+        else:
+            pairs = stored.where(inside).select("_table", SHARD).distinct()
+        partly = checkpoint(edges.where(gone).select("_table", SHARD).distinct())
+        return _of_shards(edges, partly).where(~gone), checkpoint(pairs.unionByName(partly))
+
     def _known(self, names) -> dict:
         catalog = self._catalog()
         for name in names:
@@ -302,22 +371,28 @@ class TableGroup:
                 raise AliasNotFound(f"table '{name}' does not exist")
         return catalog
 
-    def read(self, tables: list[str] | str, columns=None, ranges=None, *, now: datetime | None = None) -> DataFrame:
+    def read(
+        self, tables: list[str] | str, columns=None, ranges=None, *, now: datetime | None = None, decode: bool = True
+    ) -> DataFrame:
         """Rows of one or more tables, with ``$table`` if a list is given.
 
-        ``ranges`` lists (begin, end) pairs or is a DataFrame of them, which may be large.
-        ``now`` hides rows past the tables' retention.
+        ``ranges`` lists (begin, end) pairs or is a DataFrame of them, which may be large, in
+        microseconds. ``now`` hides rows past the tables' retention. Symbols come as text, or
+        without ``decode`` as their numbers.
         """
         single = isinstance(tables, str)
         names = [tables] if single else list(dict.fromkeys(tables))
         catalog = self._known(names)
         if isinstance(ranges, DataFrame):
-            extent = tuple(ranges.agg(F.min("begin"), F.max("end")).first())
-            shards = None if None in extent else self._shard_filter(names, catalog, [extent])
+            shards = self._shards_at(names, catalog, covered_times(ranges))
             rows = in_range_set(self._rows(names, catalog, shards), ranges)
         else:
             ranges = list(ranges or [])
-            rows = in_ranges(self._rows(names, catalog, self._shard_filter(names, catalog, ranges)), ranges)
+            rows = self._rows(names, catalog, self._shard_filter(names, catalog, ranges))
+            if REST in rows.columns:
+                rows = in_ranges(rows.withColumn(nanos(TS), F.col(quoted(REST))), ranges).drop(nanos(TS))
+            else:
+                rows = in_ranges(rows, ranges)
         if now is not None:
             limits = [(n, now - catalog[n][0].ttl) for n in names if catalog[n][0].has_ttl]
             rows = self._above(rows, limits, F.col(quoted(TS)), "timestamp_ntz")
@@ -327,6 +402,10 @@ class TableGroup:
                 cells = stored.setdefault(column.name, [])
                 if (cell := _physical(column)) not in cells:
                     cells.append(cell)
+        if decode:
+            wanted = set(stored) if not columns or isinstance(columns, str) else set(columns)
+            named = {_physical(c): c.symtable for n in names for c in catalog[n][0].columns if c.symtable and c.name in wanted}
+            rows = self._decoded(rows, named)
         chosen = {name: [F.col(quoted(cell)) for cell in cells] for name, cells in stored.items()}
         for name, cells in chosen.items():
             if len(cells) > 1:
@@ -343,6 +422,62 @@ class TableGroup:
         shaped = project(shaped, columns)
         return shaped.drop(TABLE) if single else shaped
 
+    # ------------------------------------------------------------ symbols
+
+    def symbols(self, *symtables: str) -> DataFrame:
+        """(symtable, symbol_id, symbol): every symbol that was ever pushed, with its number."""
+        found = [c["symbols"]["version"] for c in self._load() if c.get("symbols")]
+        if not found:
+            return self.spark.createDataFrame([], _SYMBOL_SCHEMA)
+        known = self.spark.read.schema(_SYMBOL_SCHEMA).parquet(*[f"{self.root}/symbols/_v={v}" for v in found])
+        return known.where(F.col("symtable").isin(list(symtables))) if symtables else known
+
+    def _decoded(self, rows: DataFrame, named: dict[str, str]) -> DataFrame:
+        """Symbols of the given stored columns in place of their numbers."""
+        for cell, symtable in sorted(named.items()):
+            side = self.symbols(symtable).select(F.col("symbol_id").alias("_id"), F.col("symbol").alias("_symbol"))
+            rows = rows.join(side, F.col(quoted(cell)) == F.col("_id"), "left").withColumn(cell, F.col("_symbol")).drop("_id", "_symbol")
+        return rows
+
+    def _encoded(self, staged: DataFrame, named: dict[str, str]) -> tuple[DataFrame, dict | None]:
+        """Numbers in place of symbols, and the growth of the symbol tables to be committed.
+
+        Numbers count up from 0 in each symbol table and never change. New symbols are
+        written aside; they exist once the commit that names them does. Another commit that
+        comes first makes this one fail, so no number is given twice.
+        """
+        if not named:
+            return staged, None
+        used = reduce(DataFrame.unionByName, [
+            staged.select(F.lit(table).alias("symtable"), F.col(quoted(cell)).alias("symbol")) for cell, table in named.items()
+        ])
+        used = used.where("symbol IS NOT NULL").distinct()
+        known = self.symbols(*set(named.values()))
+        fresh = checkpoint(used.join(known, ["symtable", "symbol"], "left_anti"))
+        growth = None
+        if not fresh.isEmpty():
+            following: dict[str, int] = {}
+            for commit in self._load():
+                following |= (commit.get("symbols") or {}).get("next", {})
+            counted = row_index(fresh, ["symtable", "symbol"], "_n")
+            # One row per symbol table of the push.
+            begun = [(r.symtable, r.first, r.n) for r in counted.groupBy("symtable").agg(
+                F.min("_n").alias("first"), F.count("*").alias("n")).collect()]
+            shifts = [(table, following.get(table, 0) - first) for table, first, _ in begun]
+            side = F.broadcast(self.spark.createDataFrame(shifts, "symtable string, _shift bigint"))
+            version = uuid.uuid4().hex
+            counted.join(side, "symtable").select(
+                "symtable", (F.col("_n") + F.col("_shift")).alias("symbol_id"), "symbol"
+            ).write.parquet(f"{self.root}/symbols/_v={version}")
+            growth = {"version": version, "next": {table: following.get(table, 0) + n for table, _, n in begun}}
+            known = known.unionByName(self.spark.read.schema(_SYMBOL_SCHEMA).parquet(f"{self.root}/symbols/_v={version}"))
+        lost = F.raise_error(F.lit("a symbol has no number")).cast("bigint")
+        for cell, symtable in sorted(named.items()):
+            side = known.where(F.col("symtable") == symtable).select(F.col("symbol_id").alias("_id"), F.col("symbol").alias("_symbol"))
+            number = F.when(F.col(quoted(cell)).isNotNull(), F.coalesce("_id", lost))
+            staged = staged.join(side, F.col(quoted(cell)) == F.col("_symbol"), "left").withColumn(cell, number).drop("_id", "_symbol")
+        return staged, growth
+
     def register(self, *tables: str) -> None:
         """Make tables known to ``spark.sql`` under their names (default: all)."""
         for name in tables or self.tables():
@@ -390,10 +525,16 @@ class TableGroup:
     @staticmethod
     def _stored_columns(batch, schema, schemas, infer, force, seq) -> DataFrame:
         extra = (TABLE, seq) if seq else (TABLE,)
+        if nanos(TS) in batch.columns and not all(one.fine for one in schemas.values()):
+            raise InvalidArgument(f"the batch has times finer than a microsecond: add an int64 column '{nanos(TS)}' to the table")
         clean = W.align(W.cast_to(batch, schema, W.forced_types(force, schema), infer), schema, extra)
         # The index is never null: such a row would lie in no range and no shard.
         missing = F.raise_error(F.lit(f"a row has no {TS}, or one before 1970")).cast("timestamp_ntz")
         clean = clean.withColumn(TS, F.coalesce(F.col(quoted(TS)), missing))
+        for column in schema.columns:  # nanoseconds are null only where their time is
+            if schema.fine and column.name.endswith(nanos("")) and column.name.removesuffix(nanos("")) in clean.columns:
+                time = F.col(quoted(column.name.removesuffix(nanos(""))))
+                clean = clean.withColumn(column.name, F.when(time.isNotNull(), F.coalesce(quoted(column.name), F.lit(0))))
         sizes: dict[timedelta, list[str]] = {}
         for name, one in schemas.items():
             sizes.setdefault(one.shard_size, []).append(name)
@@ -419,6 +560,7 @@ class TableGroup:
         now: datetime | None,
         based_on: int,
         base: bool = False,
+        symbols: dict | None = None,
     ) -> int:
         """Write a version and publish it. ``replaced`` lists obsolete (table, shard).
 
@@ -460,6 +602,7 @@ class TableGroup:
                 "replaces": replaced is not None,
                 "base": base,
                 "batch_id": batch_id,
+                "symbols": symbols,
                 "logged": batch is not None,
                 "time": (now or utc_now()).isoformat(sep=" "),
             },
@@ -509,28 +652,27 @@ class TableGroup:
                 return done
         based_on = self._next() - 1
         names, ordered = self._staged(batch, tables, infer_types, dtype, seq if deduplicate else None)
-        if deduplicate or mode == "truncate":
+        catalog = self._catalog()
+        named = {_physical(c): c.symtable for n in names for c in catalog[n][0].columns if c.symtable}
+        if deduplicate or mode == "truncate" or named:
             # The batch is read several times from here on, and must be the same each time.
             ordered = checkpoint(ordered)
+        W.check_batch([ordered])
+        ordered, symbols = self._encoded(ordered, named)
         staged = ordered.drop("_seq")
         order = "_seq" if "_seq" in ordered.columns else None
-        catalog = self._catalog()
-        W.check_batch([staged])
+        commit = partial(self._commit, batch_id=batch_id, now=now, based_on=based_on, symbols=symbols)
         if mode == "truncate":
             if range is None:
                 if len(names) > 1:
                     raise InvalidArgument("truncating several tables needs an explicit range")
-                begin, end = W.extent(staged)
-                gone = between(F.col(quoted(TS)), begin, end, closed=True)
+                begin, end, rests = self._extent(staged)
             else:
                 begin, end = range
-                gone = between(F.col(quoted(TS)), begin, end)
-            stored = self._rows(names, catalog, self._shard_filter(names, catalog, [(begin, end)]))
-            touched = checked_broadcast(stored.where(gone).select("_table", SHARD).distinct())
-            # Partly covered shards keep their other rows; at most two per table.
-            kept = _of_shards(stored, touched).where(~gone)
+                rests = nanosecond(begin), nanosecond(end)
+            kept, touched = self._truncated(names, catalog, begin, end, rests, closed=range is None)
             rows = self._stored_form(kept, staged)
-            return self._commit("truncate", rows, staged, touched, batch_id, now, based_on)
+            return commit("truncate", rows, staged, touched)
         keys = None
         if deduplicate:
             columns = {c.name for n in names for c in catalog[n][0].columns}
@@ -540,28 +682,32 @@ class TableGroup:
         else:
             W.dedup_keys(deduplicate, deduplication_mode, [])
         if keys is None:
-            return self._commit(mode, staged, staged, None, batch_id, now, based_on)
+            return commit(mode, staged, staged, None)
         physical = ["_table"]
+        # A time is equal only if its nanoseconds are.
+        keys = list(dict.fromkeys([*keys, *[nanos(k) for k in keys if nanos(k) in columns]]))
         for key in keys:
             physical += [TS] if key == TS else sorted(
                 {_physical(c) for n in names for c in catalog[n][0].columns if c.name == key}
             )
         stored = self._rows(names, catalog)
+        if REST in physical:  # rows from before the table had nanoseconds
+            stored = stored.withColumn(REST, F.coalesce(quoted(REST), F.lit(0)))
         if TS in keys:  # only shards the batch touches can hold an equal key
-            shards = checked_broadcast(staged.select("_table", SHARD).distinct())
-            stored = _of_shards(stored, shards)
+            stored = _of_shards(stored, checkpoint(staged.select("_table", SHARD).distinct()))
         if deduplication_mode == "drop":
             fresh = W.dedup_new_rows(stored, ordered, physical, order).drop("_seq")
-            return self._commit("dedup_drop", fresh, staged, None, batch_id, now, based_on)
+            return commit("dedup_drop", fresh, staged, None)
         asked = checked_broadcast(
             staged.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in physical]).distinct()
         )
         match = W.same_key(stored, asked, physical)
-        touched = checked_broadcast(stored.join(asked, match, "left_semi").select("_table", SHARD).distinct())
+        # Keys alone are read to find the shards, whole rows from these only.
+        touched = checkpoint(stored.join(asked, match, "left_semi").select("_table", SHARD).distinct())
         kept = _of_shards(stored, touched)
         kept = kept.join(asked, W.same_key(kept, asked, physical), "left_anti")
         rows = self._stored_form(kept, W.one_per_key(ordered, physical, order, "last").drop("_seq"))
-        return self._commit("dedup_upsert", rows, staged, touched, batch_id, now, based_on)
+        return commit("dedup_upsert", rows, staged, touched)
 
     @staticmethod
     def _stored_form(kept: DataFrame, new: DataFrame) -> DataFrame:
@@ -585,7 +731,7 @@ class TableGroup:
             stored.groupBy("_table", SHARD).agg((F.min("_v") != F.max("_v")).alias("_many")).where("_many")
             .select("_table", SHARD)
         )
-        many = checked_broadcast(many)
+        many = checkpoint(many)
         if many.isEmpty():
             return None
         rows = _of_shards(stored, many).drop("_v")
