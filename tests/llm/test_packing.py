@@ -36,6 +36,12 @@ def test_ids_of_random_strings():
     assert [list(i) for i in packing.WordIds(PATH).encode(texts)] == reference(texts)
 
 
+@pytest.mark.parametrize("step", [1, 7, 40])
+def test_ids_of_long_texts(monkeypatch, step):
+    monkeypatch.setattr(packing, "STEP_CHARS", step)
+    assert [list(i) for i in packing.WordIds(PATH).encode([t or "" for t in ODD])] == reference(ODD)
+
+
 def test_a_full_table_starts_anew(monkeypatch):
     monkeypatch.setattr(packing, "TABLE_WORDS", 5)
     words = packing.WordIds(PATH)

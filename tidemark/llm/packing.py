@@ -9,8 +9,9 @@ gap. Random order leaves only a few dozen bins of a large group open; small grou
 with the longest pieces first, so both orders are tried and the one with fewer bins stays.
 
 Words between white space are tokenized apart, which the vocabulary's normaliser and
-splitter allow, and each distinct word, less its closing marks, is tokenized once per worker;
-memory is bounded by starting the table anew when it is full.
+splitter allow, and each distinct word, less its closing marks, is tokenized once per worker.
+Memory is bounded: texts are taken by the million characters, longer ones cut at white space,
+and the table of words starts anew when it is full.
 
 Null and empty texts give the closing id alone, so every row has at least one piece. Rows
 are told apart by a number written with the pieces; repeated ids and other columns (also
@@ -31,15 +32,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, column, crc, fresh_name, stored
+from tidemark.llm.common import SPACE_CLASS, WORD, column, crc, fresh_name, stored
 
 SEQUENCE, CLOSING_ID = 2048, 0
 GROUP_ROWS = 50_000
 TABLE_WORDS = 700_000
+STEP_CHARS = 1_000_000
 PIECE = "piece int, start long, length long, ids_crc32 long"
 MARKS = ".,;:!?"
 # Characters on which Python's split() and the vocabulary's white space differ.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
+SPACE = re.compile(f"[{SPACE_CLASS}]")
 
 
 def folded(text: str) -> str:
@@ -68,6 +71,60 @@ def stem_and_tail(word: str) -> tuple[str, str]:
     return word, ""
 
 
+def words(text: str) -> list[str]:
+    return WORD.findall(text) if ODD_SPACES.search(text) else text.split()
+
+
+def steps(texts: list[str]) -> Iterator[list[str]]:
+    """Lists of texts of a bounded length together, or of one text."""
+    some, chars = [], 0
+    for text in texts:
+        if some and chars + len(text) > STEP_CHARS:
+            yield some
+            some, chars = [], 0
+        some.append(text)
+        chars += len(text)
+    if some:
+        yield some
+
+
+def stretches(text: str) -> Iterator[str]:
+    """Parts of about ``STEP_CHARS`` characters, cut at white space."""
+    at = 0
+    while len(text) - at > STEP_CHARS:
+        space = SPACE.search(text, at + STEP_CHARS)
+        if space is None:
+            break
+        yield text[at : space.start()]
+        at = space.end()
+    yield text[at:]
+
+
+class Pieces:
+    """Distinct texts with their ids, one after the other in one array."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros(1, np.int64)  # piece p has flat[ends[p] : ends[p + 1]]
+
+    def add(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        ends = self.ends[-1] + np.cumsum(sizes)
+        if len(ends) and ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), int(ends[-1])), np.uint32)])
+        self.flat[self.ends[-1] : self.ends[-1] + len(ids)] = ids
+        self.number.update(zip(texts, range(len(self.number), len(self.number) + len(texts))))
+        self.ends = np.concatenate([self.ends, ends])
+
+    def sizes(self, at: np.ndarray) -> np.ndarray:
+        return self.ends[at + 1] - self.ends[at]
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        sizes = self.sizes(at)
+        before = np.cumsum(sizes) - sizes
+        return self.flat[np.repeat(self.ends[at] - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 class WordIds:
     """Ids of texts by a tokenizer that never looks beyond white space."""
 
@@ -80,46 +137,40 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}  # of words
-        self.parts = np.zeros((0, 2), np.int64)  # each word's two pieces
-        self.piece: dict[str, int] = {"": 0}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(2, np.int64)  # piece p has flat[ends[p] : ends[p + 1]]
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            part = pieces[at : at + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ends = self.ends[-1] + np.cumsum(sizes)
-            if ends[-1] > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), int(ends[-1])), np.uint32)])
-            self.flat[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-            self.piece.update(zip(part, range(len(self.piece), len(self.piece) + len(part))))
-            self.ends = np.concatenate([self.ends, ends])
+        self.stems, self.words = Pieces(), Pieces()
 
     def _learn(self, words: list[str]) -> None:
         pairs = [stem_and_tail(w) for w in words]
-        self._learn_pieces(list({p for pair in pairs for p in pair}.difference(self.piece)))
-        numbers = np.array([(self.piece[a], self.piece[b]) for a, b in pairs], np.int64).reshape(-1, 2)
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
-        self.parts = np.concatenate([self.parts, numbers])
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = []
-        for text in map(folded, texts):
-            split.append(WORD.findall(text) if ODD_SPACES.search(text) else text.split())
-        new = set().union(*split).difference(self.number) if split else set()
-        if new and len(self.number) + len(new) > TABLE_WORDS:
+        new = list({p for pair in pairs for p in pair}.difference(self.stems.number))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.stems.add(part, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+        at = np.fromiter(map(self.stems.number.__getitem__, chain.from_iterable(pairs)), np.int64, 2 * len(pairs))
+        sizes = self.stems.sizes(at)
+        self.words.add(words, self.stems.ids(at), sizes.reshape(-1, 2).sum(1))
+
+    def _ids(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lists of words one after the other, and how many each list has."""
+        new = set().union(*split).difference(self.words.number)
+        if new and len(self.words.number) + len(new) > TABLE_WORDS:
             self._clear()
             new = set().union(*split)
         self._learn(list(new))
-        for words in split:
-            at = self.parts[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].reshape(-1)
-            first, last = self.ends[at], self.ends[at + 1]
-            sizes = last - first
-            before = np.cumsum(sizes) - sizes
-            yield self.flat[np.repeat(first - before, sizes) + np.arange(int(sizes.sum()))]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.words.number.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        ends = np.concatenate([[0], np.cumsum(self.words.sizes(at))])
+        return self.words.ids(at), np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. Texts are taken together up to ``STEP_CHARS`` characters, longer ones in stretches."""
+        for some in steps(texts):
+            if len(some) == 1:
+                yield np.concatenate([self._ids([words(part)])[0] for part in stretches(folded(some[0]))])
+            else:
+                ids, sizes = self._ids([words(folded(text)) for text in some])
+                yield from np.split(ids, np.cumsum(sizes)[:-1])
 
 
 _encoders: dict[str, WordIds] = {}
@@ -148,13 +199,11 @@ def tokenized(text: Column, vocabulary: str, size: int = SEQUENCE, closing_id: i
     fields = PIECE + (", ids binary" if with_ids else "")
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = encoder(vocabulary)
+        encode = encoder(vocabulary).encode
         for batch in batches:
             out: list[list[dict]] = []
-            # Small steps keep the word lists of a batch short.
-            for at in range(0, len(batch), 500):
-                part = ["" if t is None else t for t in batch.iloc[at : at + 500]]
-                out += [cut(ids, size, closing_id, with_ids) for ids in words.encode(part)]
+            for ids in encode(["" if t is None else t for t in batch]):
+                out.append(cut(ids, size, closing_id, with_ids))
             yield pd.Series(out)
 
     return F.pandas_udf(run, f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>").asNondeterministic()(text)
