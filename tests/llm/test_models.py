@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -105,6 +106,73 @@ def test_word_vectors_come_from_all_documents(spark):
     assert model.vectors[zebra].any()
 
 
+ODD_TEXTS = ["a a a b", "", "one", "x  y\tz\n\nx y z W W W!", "Ünï 中文 123 $$$ a", "a b " * 50, " ", "b"]
+
+
+def plain_terms(text):
+    """Pairs (word, shape) by the definitions."""
+    words, out = re.findall(r"[^\x20\x09-\x0D]+", text), []
+    for i, word in enumerate(words):
+        kind = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
+        kind = re.sub(r"(.)\1{2,}", r"\1\1", kind) + (" again" if i and words[i - 1] == word else "")
+        out.append((zlib.crc32(word.encode()) % 2**14, 2**14 + zlib.crc32(kind.encode()) % 2**10))
+    return out
+
+
+@pytest.mark.parametrize("step,table", [(1_000_000, 200_000), (5, 200_000), (40, 2)])
+def test_word_vectors_by_nested_loops(monkeypatch, step, table):
+    monkeypatch.setattr(quality_model, "STEP_CHARS", step)
+    monkeypatch.setattr(quality_model, "TABLE_WORDS", table)
+    places, signs = quality_model.index_vectors()
+    expected = np.zeros((2**14 + 2**10, 64), np.int64)
+    for text in ODD_TEXTS:
+        terms = plain_terms(text)
+        for i, own in enumerate(terms):
+            for j in (i - 2, i - 1, i + 1, i + 2):
+                for a in own if 0 <= j < len(terms) else ():
+                    for b in terms[j]:
+                        for place, sign in zip(places[b], signs[b]):
+                            expected[a, place] += sign
+    assert (quality_model.context_sums(iter(ODD_TEXTS)) == expected).all()
+
+
+def test_forward_pass_by_loops():
+    """Scores of a random model, word by word and unit by unit."""
+    draw = np.random.default_rng(8)
+    vectors = draw.normal(size=(2**14 + 2**10, 64)).astype(np.float32)
+    width = 4 * 64 + 1
+    weights = (draw.normal(size=(width, 3)) / 9, draw.normal(size=3), draw.normal(size=3), draw.normal(size=1))
+    model = quality_model.Model(vectors, None, draw.normal(size=width), draw.random(width) + 0.5, weights, 1.7)
+    found = model.scores(ODD_TEXTS, quality_model.Terms())
+    for text, score in zip(ODD_TEXTS, found):
+        terms = plain_terms(text)
+        if not terms:
+            assert score == 0
+            continue
+        features = []
+        for side in (0, 1):
+            rows = [vectors[t[side]].astype(float) for t in terms]
+            mean = sum(rows) / len(rows)
+            features += [*mean, *np.sqrt(np.maximum(sum(r * r for r in rows) / len(rows) - mean * mean, 0))]
+        features.append(math.log1p(len(terms)) / 10)
+        x = [(f - c) / s for f, c, s in zip(features, model.center, model.scale)]
+        hidden = [math.tanh(sum(v * weights[0][i, h] for i, v in enumerate(x)) + weights[1][h]) for h in range(3)]
+        logit = (sum(h * w for h, w in zip(hidden, weights[2])) + weights[3][0]) / 1.7
+        assert abs(score - 1 / (1 + math.exp(-logit))) < 1e-4
+
+
+def test_empty_tables_and_repeated_ids(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, quality int")
+    assert quality_model.fit(empty, labels).constant == 0.5
+    model = spark.sparkContext.broadcast(quality_model.fit(empty, labels.limit(0)))
+    assert empty.select(quality_model.score(F.col("text"), model)).count() == 0
+    # Many rows with one labelled id: the same ones are taken, however they are dealt.
+    docs = spark.createDataFrame([(1, t) for t in texts_of(1, 40, 5)] + [(2, t) for t in texts_of(0, 40, 6)], "doc_id long, text string")
+    models = [quality_model.fit(docs.repartition(n), labels, sample_rows=30) for n in (1, 7)]
+    assert all((a == b).all() for a, b in zip(models[0].weights, models[1].weights))
+
+
 def test_probabilities_are_calibrated():
     draw = np.random.default_rng(0)
     x = draw.normal(size=(4000, 6))

@@ -23,6 +23,8 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, repeat
 from typing import Iterable, Iterator
 
 import numpy as np
@@ -41,6 +43,19 @@ SLICE = 256
 THRESHOLD = 0.3
 RUNS = re.compile(r"(.)\1{2,}")
 TABLE_WORDS = 200_000
+STEP_CHARS = 1_000_000
+
+
+class Kinds(dict):
+    """Code point -> ``A``, ``a``, ``0`` or itself, found out once per code point."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return kind
+
+
+KINDS = Kinds()
 
 
 def shape(word: str) -> str:
@@ -48,39 +63,65 @@ def shape(word: str) -> str:
 
     The whole word counts, however long it is.
     """
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return RUNS.sub(r"\1\1", kinds)
+    return RUNS.sub(r"\1\1", word.translate(KINDS))
+
+
+@lru_cache(maxsize=50_000)
+def shape_buckets(kinds: str) -> tuple[int, int]:
+    """Buckets of a shape, given before runs are cut: as such, and after the same word."""
+    kind = RUNS.sub(r"\1\1", kinds)
+    return tuple(WORD_BUCKETS + zlib.crc32(k.encode()) % SHAPE_BUCKETS for k in (kind, kind + " again"))
 
 
 class Terms:
     """Word and shape numbers of texts. Shapes come after the words."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int, int]] = {}
-
-    def _new(self, word: str) -> tuple[int, int, int]:
-        if len(self.known) >= TABLE_WORDS:
-            self.known.clear()
-        kind = shape(word)
-        found = (
-            zlib.crc32(word.encode()) % WORD_BUCKETS,
-            WORD_BUCKETS + zlib.crc32(kind.encode()) % SHAPE_BUCKETS,
-            WORD_BUCKETS + zlib.crc32((kind + " again").encode()) % SHAPE_BUCKETS,
-        )
-        self.known[word] = found
-        return found
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((0, 3), np.int64)  # word, shape, shape after the same word
+
+    def _learn(self, words: set[str]) -> None:
+        new = words.difference(self.known)
+        if new and len(self.known) + len(new) > TABLE_WORDS:
+            self.known, self.table, new = {}, self.table[:0], words
+        if not new:
+            return
+        fresh = list(new)
+        kinds = list(map(str.translate, fresh, repeat(KINDS)))
+        number = {kind: i for i, kind in enumerate(set(kinds))}
+        shapes = np.array([shape_buckets(kind) for kind in number], np.int64)
+        rows = np.zeros((len(fresh), 3), np.int64)
+        rows[:, 0] = np.fromiter(map(zlib.crc32, map(str.encode, fresh)), np.int64, len(fresh)) % WORD_BUCKETS
+        rows[:, 1:] = shapes[np.fromiter(map(number.__getitem__, kinds), np.int64, len(fresh))]
+        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+        self.table = np.concatenate([self.table, rows])
+
+    def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word and shape numbers of texts one after the other, and how many words each has."""
+        split = [WORD.findall(text) for text in texts]
+        self._learn(set().union(*split))
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        same = np.concatenate([[False], at[1:] == at[:-1]])[: len(at)]
+        first = (np.cumsum(counts) - counts)[counts > 0]
+        same[first] = False
+        return self.table[at, 0], self.table[at, 1 + same], counts
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        words = WORD.findall(text)
-        known = self.known
-        # Each word's entry is taken at once, so clearing the table in between does no harm.
-        rows = [known.get(w) or self._new(w) for w in words]
-        table = np.array(rows, np.int64).reshape(-1, 3)
-        again = np.fromiter((a == b for a, b in zip(words[1:], words)), bool, max(0, len(words) - 1))
-        kinds = table[:, 1]
-        if again.any():
-            kinds = np.concatenate([kinds[:1], np.where(again, table[1:, 2], table[1:, 1])])
-        return table[:, 0], kinds
+        return self.of_all([text])[:2]
+
+
+def steps(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Lists of texts of a bounded length together, or of one text."""
+    some, chars = [], 0
+    for text in texts:
+        if some and chars + len(text) > STEP_CHARS:
+            yield some
+            some, chars = [], 0
+        some.append(text)
+        chars += len(text)
+    if some:
+        yield some
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -90,19 +131,43 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, DIM, size), random.choice(np.array([-1, 1]), size)
 
 
+def summed(columns: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
+    """Sums of the columns of each group, one row per group, as differences of running sums."""
+    order = np.argsort(groups, kind="stable")
+    small = columns.dtype == np.int8 and len(groups) < 1 << 24
+    running = np.zeros((len(columns), len(groups) + 1), np.int32 if small else np.int64)
+    np.cumsum(columns[:, order], axis=1, dtype=running.dtype, out=running[:, 1:])
+    return np.diff(running[:, np.searchsorted(groups[order], np.arange(count + 1))], axis=1).T.astype(np.int64)
+
+
 def context_sums(texts: Iterable[str]) -> np.ndarray:
-    """Sums of the index vectors around each term, over all ``texts``."""
+    """Sums of the index vectors around each term, over all ``texts``.
+
+    A place's two terms see the same neighbours, so the vectors around it are added up once,
+    then over all places with the same two terms, and these sums go to both. Places are
+    columns here, which keeps running sums in line with memory.
+    """
     terms, (places, signs) = Terms(), index_vectors()
-    total = np.zeros((WORD_BUCKETS + SHAPE_BUCKETS) * DIM, np.int64)
-    for text in texts:
-        words, kinds = terms.of(text)
-        for row in (words, kinds):
-            for other in (words, kinds):
-                for step in range(1, WINDOW + 1):
-                    for a, b in ((row[step:], other[:-step]), (row[:-step], other[step:])):
-                        cells = a[:, None] * DIM + places[b]
-                        np.add.at(total, cells.reshape(-1), signs[b].reshape(-1))
-    return total.reshape(-1, DIM)
+    index = np.zeros((DIM, WORD_BUCKETS + SHAPE_BUCKETS), np.int8)
+    np.add.at(index, (places, np.arange(index.shape[1])[:, None]), signs.astype(np.int8))
+    total = np.zeros((index.shape[1], DIM), np.int64)
+    for some in steps(texts):
+        words, kinds, counts = terms.of_all(some)
+        if not len(words):
+            continue
+        pairs, of = np.unique(words * SHAPE_BUCKETS + (kinds - WORD_BUCKETS), return_inverse=True)
+        first, second = pairs // SHAPE_BUCKETS, WORD_BUCKETS + pairs % SHAPE_BUCKETS
+        # Texts are set apart by gaps as wide as the window.
+        at = np.arange(len(words)) + WINDOW * (1 + np.repeat(np.arange(len(counts)), counts))
+        placed = np.zeros((DIM, at[-1] + 1 + WINDOW), np.int8)
+        placed[:, at] = (index[:, first] + index[:, second])[:, of]
+        near = np.zeros((DIM, placed.shape[1] - 2 * WINDOW), np.int8)
+        for step in range(1, WINDOW + 1):
+            near += placed[:, WINDOW - step : -WINDOW - step]
+            near += placed[:, WINDOW + step : placed.shape[1] - WINDOW + step]
+        sums = summed(near[:, at - WINDOW], of, len(pairs))
+        total += summed(sums.T, first, len(total)) + summed(sums.T, second, len(total))
+    return total
 
 
 def _task_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,9 +203,8 @@ def unit_rows(sums: np.ndarray) -> np.ndarray:
     return (sums / np.maximum(lengths, 1)).astype(np.float32)
 
 
-def pooled(text: str, terms: Terms, vectors: np.ndarray) -> np.ndarray | None:
+def pooled(words: np.ndarray, kinds: np.ndarray, vectors: np.ndarray) -> np.ndarray | None:
     """Mean and spread of the vectors of a text's terms; None without words."""
-    words, kinds = terms.of(text)
     if not len(words):
         return None
     parts = []
@@ -153,6 +217,14 @@ def pooled(text: str, terms: Terms, vectors: np.ndarray) -> np.ndarray | None:
     return np.concatenate([*parts, [np.log1p(len(words)) / 10]]).astype(np.float32)
 
 
+def all_pooled(texts: list[str], terms: Terms, vectors: np.ndarray) -> Iterator[np.ndarray | None]:
+    for some in steps(texts):
+        words, kinds, counts = terms.of_all(some)
+        ends = np.cumsum(counts)[:-1]
+        for own, shapes in zip(np.split(words, ends), np.split(kinds, ends)):
+            yield pooled(own, shapes, vectors)
+
+
 @dataclass
 class Model:
     """``constant`` is set if the sample could not teach anything."""
@@ -170,7 +242,7 @@ class Model:
 
     def scores(self, texts: list[str], terms: Terms) -> np.ndarray:
         out = np.zeros(len(texts))
-        found = [pooled(t, terms, self.vectors) for t in texts]
+        found = list(all_pooled(texts, terms, self.vectors))
         filled = [i for i, f in enumerate(found) if f is not None]
         if filled and self.constant is not None:
             out[filled] = self.constant
@@ -223,10 +295,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     id_, label = (F.col(c) for c in labels.columns)
     sample = labels.select(id_.alias("id"), label.cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
-    # Bounded, hence broadcast; the bound holds again for the rows it meets.
+    # Bounded, hence broadcast; the bound holds again for the rows it meets, of which the same are taken every time.
     chosen = sample.orderBy(F.xxhash64("id"), "label").limit(sample_rows)
     texts = docs.select(column(docs, id_col).alias("id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("label", "text").limit(sample_rows)
+    rows = texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "label", F.xxhash64("text"))
+    rows = rows.select("label", "text").limit(sample_rows)
     rows = stored(rows.repartition(SAMPLE_PARTS), "labelled-sample")
 
     vectors = word_vectors(texts)
@@ -235,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
         for batch in batches:
-            pairs = [(pooled(t, terms, shared.value), y) for t, y in zip(batch["text"], batch["label"])]
+            pairs = zip(all_pooled(list(batch["text"]), terms, shared.value), batch["label"])
             yield pd.DataFrame([(f.tolist(), int(y)) for f, y in pairs if f is not None], columns=["features", "label"])
 
     table = rows.mapInPandas(features, "features array<float>, label int").toPandas()
