@@ -30,8 +30,25 @@ def expected(rows, min_chars=20, min_docs=3):
     return sorted(out, key=repr)
 
 
-def test_against_dictionary(spark, monkeypatch):
+def test_salts_follow_the_counts(spark, monkeypatch):
+    """A line that a third of all documents hold is probed in as many tasks as its count asks for."""
+    kept = {}
+    save = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, label: kept.setdefault(label, save(df, label)))
+    monkeypatch.setattr(line_dedup, "SALT_PROBES", 100)
+    hot = "a line that very many documents have"
+    rows = [(i, hot if i % 3 == 0 else f"a line of its own with the number {i}") for i in range(9000)]
+    rows += [(i, "a line that only three documents have") for i in (9001, 9002, 9003)]
+    out = line_dedup.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert {r.doc_id for r in out if r.n_dropped} == {*range(0, 8997, 3), 9001, 9002}
+    salts = sorted(r.salts for r in kept["line-salts"].collect())
+    assert salts in ([8, 30], [30])
+
+
+@pytest.mark.parametrize("probes", [5, 100_000])
+def test_against_dictionary(spark, monkeypatch, probes):
     monkeypatch.setattr(line_dedup, "SHARD_KEYS", 7)
+    monkeypatch.setattr(line_dedup, "SALT_PROBES", probes)
     common, other = "A line that many documents hold.", "Été: another LINE that comes back often"
     rows = [(i, f"own line number {i} is long enough\n  {common}\t\nshort\n{other.lower() if i % 2 else other}") for i in range(60)]
     rows += [(3, f"{common}\n{common}\n{common.upper()}"), (3, f"{common}\n{common}\n{common.upper()}"), (None, common), (100, common)]

@@ -9,9 +9,10 @@ which combines before the shuffle. The hashes of repeated lines are split into s
 bounded size, and each shard becomes one compact table: a minimal perfect hash over the
 first half of the hashes, and behind it arrays of the second halves (the fingerprints),
 the document counts and the largest ids. Documents then send (hash, place) to the shards,
-where the stream of probes passes the arrays. Every table goes to several salts, and a
-document's salt picks one, so a line that a third of all documents hold meets many tasks;
-nothing is gathered there, whatever the number of probes. Places to drop return to their
+where the stream of probes passes the arrays. Every table goes to several salts, as many as
+its lines' known counts ask for, and a document's salt picks one, so a line that a third of
+all documents hold meets ever more tasks as documents grow; nothing is gathered there,
+whatever the number of probes. Places to drop return to their
 document, which is found by its id and a hash of its text, so rows need no stored number.
 
 A null text is empty and has one empty line; a text whose lines all go becomes empty, and
@@ -36,7 +37,8 @@ from tidemark.llm.common import SPACES, column, fresh_name, lower_ascii, partiti
 from tidemark.llm.perfect_hash import PerfectHash
 
 MIN_CHARS, MIN_DOCS = 20, 3
-SHARD_KEYS, LEAST_SHARDS, SALTS = 50_000, 32, 8
+SHARD_KEYS, LEAST_SHARDS = 50_000, 32
+LEAST_SALTS, SALT_PROBES = 8, 100_000
 SMALLEST = -(1 << 63)
 
 
@@ -147,11 +149,21 @@ def repeated_places(docs: DataFrame, identity: list[Column], text: Column, min_c
     shards = max(LEAST_SHARDS, -(-repeated.count() // SHARD_KEYS))
     shard = F.pmod(F.xxhash64("h1"), F.lit(shards)).alias("shard")
     tables = repeated.select("*", shard).groupBy("shard").applyInPandas(_build, "shard long, table binary")
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    # A short row per shard. Repeated lines in one text are one probe here and several later: salts are a little few.
+    least = F.lit(LEAST_SALTS).cast("long")
+    salted = stored(
+        repeated.groupBy(shard).agg(F.greatest(least, F.expr(f"sum(n) div {SALT_PROBES}")).alias("salts")), "line-salts"
+    )
     # Tables are written once: their copies then come from a plain read.
-    sent = stored(tables, "line-tables").select("shard", salts.alias("salt"), F.lit(0).alias("kind"), "table")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    sent = stored(tables, "line-tables").join(F.broadcast(salted), "shard").select(
+        "shard", copies.alias("salt"), F.lit(0).alias("kind"), "table"
+    )
     probes = source.mapInArrow(_lines(min_chars, False), "id long, th long, size int, h1 long, h2 long, place int")
-    probes = probes.select("*", shard, F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("long").alias("salt"), F.lit(1).alias("kind"))
+    salt = F.pmod(F.xxhash64("id", "th"), F.coalesce("salts", least))
+    probes = probes.select("*", shard).join(F.broadcast(salted), "shard", "left").select(
+        *probes.columns, "shard", salt.alias("salt"), F.lit(1).alias("kind")
+    )
     both = sent.unionByName(probes, allowMissingColumns=True)
     streamed = both.repartition(partitions(spark), "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     dropped = streamed.mapInArrow(_stream, "id long, th long, size int, place int")
