@@ -137,31 +137,34 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.stems, self.words = Pieces(), Pieces()
+        self.pieces = Pieces()
 
     def _learn(self, words: list[str]) -> None:
-        pairs = [stem_and_tail(w) for w in words]
-        new = list({p for pair in pairs for p in pair}.difference(self.stems.number))
+        """New words; those with closing marks are put together from their stem and the marks."""
+        pieces = self.pieces
+        pairs = {w: stem_and_tail(w) for w in words if w[-1] in MARKS}
+        pairs = {w: pair for w, pair in pairs.items() if pair[1]}
+        new = list(set(words).difference(pairs).union(chain.from_iterable(pairs.values())).difference(pieces.number))
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.stems.add(part, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
-        at = np.fromiter(map(self.stems.number.__getitem__, chain.from_iterable(pairs)), np.int64, 2 * len(pairs))
-        sizes = self.stems.sizes(at)
-        self.words.add(words, self.stems.ids(at), sizes.reshape(-1, 2).sum(1))
+            pieces.add(part, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+        parts = map(pieces.number.__getitem__, chain.from_iterable(pairs.values()))
+        at = np.fromiter(parts, np.int64, 2 * len(pairs))
+        pieces.add(list(pairs), pieces.ids(at), pieces.sizes(at).reshape(-1, 2).sum(1))
 
     def _ids(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of lists of words one after the other, and how many each list has."""
-        new = set().union(*split).difference(self.words.number)
-        if new and len(self.words.number) + len(new) > TABLE_WORDS:
+        new = set().union(*split).difference(self.pieces.number)
+        if new and len(self.pieces.number) + len(new) > TABLE_WORDS:
             self._clear()
             new = set().union(*split)
         self._learn(list(new))
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.words.number.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        ends = np.concatenate([[0], np.cumsum(self.words.sizes(at))])
-        return self.words.ids(at), np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+        at = np.fromiter(map(self.pieces.number.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        ends = np.concatenate([[0], np.cumsum(self.pieces.sizes(at))])
+        return self.pieces.ids(at), np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text. Texts are taken together up to ``STEP_CHARS`` characters, longer ones in stretches."""
