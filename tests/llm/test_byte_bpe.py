@@ -55,4 +55,4 @@ def test_splits_agree_where_python_knows_the_characters():
             char = chr(point)
             if bool(theirs.encode_ordinary(char)) != bool(ours.match(char)):
                 assert unicodedata.category(char) == "Cn"
-                assert byte_bpe.unknown_points().search(char)
+                assert not byte_bpe.Assigned()(char)

@@ -70,7 +70,9 @@ def _number(make_split: Callable[[], Callable[[str], list[str]]], buckets: int):
                 coded = []
                 for text in part.column("text"):
                     words = split(text.as_py() or "")
-                    coded.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+                    new = set(words).difference(number)
+                    number.update(zip(new, range(len(number), len(number) + len(new))))
+                    coded.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
                 counted = np.zeros(len(number), np.int64)
                 for numbers, counts in zip(coded, part.column("counts").to_pylist()):
                     if counts:

@@ -20,8 +20,6 @@ other columns are carried; names of added columns are changed if taken.
 from __future__ import annotations
 
 import base64
-import re
-import sys
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -40,29 +38,27 @@ from tidemark.llm.common import column, fresh_name
 TABLE_WORDS = 2_000_000
 
 
-@lru_cache(maxsize=1)
-def unknown_points() -> re.Pattern:
-    """Code points that Python's Unicode tables do not assign."""
-    ranges, start = [], None
-    for point in range(sys.maxunicode + 2):
-        known = point > sys.maxunicode or unicodedata.category(chr(point)) != "Cn"
-        if not known and start is None:
-            start = point
-        elif known and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{point - 1:08x}")
-            start = None
-    return re.compile("[" + "".join(ranges) + "]")
+class Assigned:
+    """Whether Python's Unicode tables assign all code points of a text; each is looked up once."""
+
+    def __init__(self) -> None:
+        self.known: set[str] = set()
+        self.unknown: set[str] = set()
+
+    def __call__(self, text: str) -> bool:
+        points = set(text)
+        for point in points.difference(self.known, self.unknown):
+            (self.unknown if unicodedata.category(point) == "Cn" else self.known).add(point)
+        return not self.unknown or points.isdisjoint(self.unknown)
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:
     import regex
 
-    find = regex.compile(pattern).findall
+    find, assigned = regex.compile(pattern).findall, Assigned()
 
     def split(text: str) -> list[str]:
-        if not text.isascii() and unknown_points().search(text):
-            return [text]
-        return find(text)
+        return find(text) if text.isascii() or assigned(text) else [text]
 
     return split
 
