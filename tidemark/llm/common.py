@@ -18,14 +18,10 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{SPACE_CLASS}]+")
 SPACES = " \t\n\x0b\x0c\r"
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = UPPER.lower()
-FOLD = str.maketrans(UPPER, LOWER)
-
 
 def lower_ascii(text: str) -> str:
-    """``text`` with A-Z in lower case and everything else untouched."""
-    return text.lower() if text.isascii() else text.translate(FOLD)
+    """``text`` with A-Z in lower case and everything else untouched, as bytes do it."""
+    return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
