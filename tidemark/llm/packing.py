@@ -36,10 +36,11 @@ from tidemark.llm.common import SPACE_CLASS, WORD, column, crc, fresh_name, stor
 
 SEQUENCE, CLOSING_ID = 2048, 0
 GROUP_ROWS = 50_000
-TABLE_WORDS = 700_000
+TABLE_WORDS = 1_300_000
 STEP_CHARS = 1_000_000
 PIECE = "piece int, start long, length long, ids_crc32 long"
 MARKS = ".,;:!?"
+MARK = "~"
 # Characters on which Python's split() and the vocabulary's white space differ.
 ODD_SPACES = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(f"[{SPACE_CLASS}]")
@@ -134,22 +135,37 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # One id, which no text without the mark can have.
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self._clear()
 
     def _clear(self) -> None:
         self.pieces = Pieces()
 
+    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words and how many each has. Words go in together with a mark between them that none of them holds."""
+        if any(MARK in word for word in words):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+        parts = [" ".join([f"{w} {MARK}" for w in words[at : at + 500]]) for at in range(0, len(words), 500)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *found])
+        ends = ids == self.mark
+        return ids[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+
     def _learn(self, words: list[str]) -> None:
         """New words; those with closing marks are put together from their stem and the marks."""
         pieces = self.pieces
         pairs = {w: stem_and_tail(w) for w in words if w[-1] in MARKS}
         pairs = {w: pair for w, pair in pairs.items() if pair[1]}
         new = list(set(words).difference(pairs).union(chain.from_iterable(pairs.values())).difference(pieces.number))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            pieces.add(part, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+        marked = [w for w in new if MARK in w]
+        new = list(set(new).difference(marked)) if marked else new
+        for some in (new, marked):
+            for at in range(0, len(some), 20_000):
+                part = some[at : at + 20_000]
+                pieces.add(part, *self._tokenized(part))
         parts = map(pieces.number.__getitem__, chain.from_iterable(pairs.values()))
         at = np.fromiter(parts, np.int64, 2 * len(pairs))
         pieces.add(list(pairs), pieces.ids(at), pieces.sizes(at).reshape(-1, 2).sum(1))
