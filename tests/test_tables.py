@@ -61,6 +61,8 @@ def test_definition(spark, group):
     assert [(r["index"], r.name, r.type, r.symtable) for r in group.describe("t").orderBy("index").collect()] == [
         (-1, TS, "timestamp", None), (0, "v", "double", None), (1, "s", "symbol", "names")
     ]
+    group.push({"t": frame(spark, [*hours(1, 2), (START, None, "y")])})
+    assert {r.name: r.points for r in group.describe("t", points=True).collect()} == {TS: 3, "v": 2, "s": 3}
     schema = TableGroup(spark, group.root).schema("t")  # as another process sees it
     assert schema == TableSchema("t", COLUMNS, HOUR, timedelta(days=1)) and schema.has_ttl
     with pytest.raises(AliasAlreadyExists):
@@ -304,7 +306,9 @@ def test_compact_and_expire(spark, group):
     assert group.compact(["t"]) is None
     assert values(group.read("t")) == before
     group.compact()
+    assert group.compact() is None
     assert values(group.read("t")) == before and group.read("u").count() == 2
+    assert len(group._filled()) == 2  # the two pushes are read no more
     now = START + timedelta(hours=20, minutes=30)
     group.expire(now)
     assert min(values(group.read("t")))[0] == 10  # the shard of the limit is kept
@@ -313,6 +317,21 @@ def test_compact_and_expire(spark, group):
     group.expire(now)
 
 
+def test_compaction_in_steps(spark, group):
+    """Only what is spread over versions is rewritten; it tells how far it is and can be ended."""
+    group.create(TableSchema("t", COLUMNS, HOUR))
+    group.push({"t": frame(spark, hours(*range(24)))})
+    group.push({"t": frame(spark, hours(*range(2, 12), value=2.0))})
+    before, seen = values(group.read("t")), []
+    group.compact(step=3, progress=lambda done, total: seen.append((done, total)) or done < 6)
+    assert seen == [(3, 10), (6, 10)] and values(group.read("t")) == before
+    rewritten = spark.read.option("basePath", f"{group.root}/data").parquet(*[f"{group.root}/data/_v={c['version']}" for c in group._filled()[2:]])
+    assert rewritten.count() == 12
+    group.compact(step=100, progress=lambda done, total: seen.append((done, total)))
+    assert seen[2:] == [(4, 4)] and values(group.read("t")) == before
+    assert [c["kind"] for c in group._filled()] == ["transactional", "compact", "compact", "compact"]
+
+
 def test_infer_types_off(spark, group):
     group.create(TableSchema("t", (ColumnInfo("v", ColumnType.DOUBLE), ColumnInfo("n", ColumnType.INT64))))
     wrong = frame(spark, [(START, "1.5", 2.0)], f"`{TS}` timestamp_ntz, v string, n double")
@@ -488,3 +507,5 @@ def test_intervals():
 
     assert pruning.joined([(5, 6), (1, 2), (3, 3), (9, 9)]) == [(1, 3), (5, 6), (9, 9)]
     assert pruning.joined([(1, 9), (2, 3)]) == [(1, 9)]
+    assert pruning.cut([(1, 5), (9, 9), (20, 22)], 4) == [[(1, 4)], [(5, 5), (9, 9), (20, 21)], [(22, 22)]]
+    assert pruning.cut([], 4) == [] and pruning.cut([(1, 5)], None) == [[(1, 5)]]

@@ -22,8 +22,8 @@ from tidemark.session import checked_broadcast, checkpoint
 # Rows one task may take for one group.
 GROUP_ROWS = 1_000_000
 # Most chunks of one group; a group of more rows than this times the limit gets larger ones.
-MOST_CHUNKS = 4096
-# Most stretches that positions are counted in, and sampled keys for each.
+MOST_CHUNKS = 65_536
+# Most stretches that positions are counted in, and sampled keys for each stretch or chunk.
 MOST_STRETCHES, SAMPLED_KEYS = 16_384, 32
 # Bytes of bounds that may be broadcast.
 BOUND_BYTES = 64_000_000
@@ -33,30 +33,32 @@ def chunk_bounds(df: DataFrame, by: list[str], order: str, limit: int = GROUP_RO
     """Bounds of ``order`` that cut each group of over ``limit`` rows; None if there is none.
 
     One row per such group: its keys as ``_k0``, ``_k1`` ... and ``_bounds``, the sorted last
-    values of its chunks as a list of lists of about equal length. Quantiles are approximate,
-    by a tenth of a chunk.
+    values of its chunks as a list of lists of about equal length. Bounds are taken from a
+    sample of each group, a fixed number of rows per chunk, so chunks are of about equal size.
     """
     keys = [quoted(k) for k in by]
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     largest = sizes.agg(F.max("_n")).first()[0]
     if largest is None or largest <= limit:
         return None
-    chunks = min(MOST_CHUNKS, math.ceil(largest / limit))
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    large = sizes.where(F.col("_n") > limit).select(*named)
-    rows = df.select(*named, F.col(quoted(order)).alias("_at"))
     names = [f"_k{i}" for i in range(len(by))]
+    chunks = F.least(F.lit(MOST_CHUNKS), F.ceil(F.col("_n") / limit))
+    large = sizes.where(F.col("_n") > limit).select(*named, (SAMPLED_KEYS * chunks / F.col("_n")).alias("_share"))
     large = _small(large, 8 * len(by))
+    rows = df.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(keys)], F.col(quoted(order)).alias("_at"))
     same = F.lit(True)
-    for name in names:
-        same = same & rows[name].eqNullSafe(large[name])
-    rows = rows.join(large, same, "left_semi")
-    cuts = F.percentile_approx("_at", [i / chunks for i in range(1, chunks)], 20 * chunks)
-    width = math.ceil(math.sqrt(chunks))
+    for i, name in enumerate(names):
+        same = same & rows[f"_of{i}"].eqNullSafe(large[name])
+    sample = rows.join(large, same).where(F.rand(11) < F.col("_share")).select(*names, "_at")
+    numbered = sample.withColumn("_i", F.row_number().over(W.partitionBy(*names).orderBy("_at")))
+    cuts = numbered.where(F.col("_i") % SAMPLED_KEYS == 0).groupBy(*names).agg(F.array_sort(F.collect_list("_at")).alias("_cuts"))
+    width = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
     parts = F.transform(
-        F.sequence(F.lit(0), F.lit((chunks - 2) // width)), lambda i: F.slice("_cuts", i * width + 1, width)
+        F.sequence(F.lit(0), F.expr("(size(_cuts) - 1) div CAST(ceil(sqrt(size(_cuts))) AS INT)")),
+        lambda i: F.slice("_cuts", (i * width + 1).cast("int"), width),
     )
-    return checkpoint(rows.groupBy(*names).agg(F.array_sort(cuts).alias("_cuts")).select(*names, parts.alias("_bounds")))
+    return checkpoint(cuts.select(*names, parts.alias("_bounds")))
 
 
 def _small(side: DataFrame, row_bytes: int) -> DataFrame:
@@ -105,7 +107,7 @@ def prefix_scan(
 
 def in_chunks(df: DataFrame, by: list[str], order: str, bounds: DataFrame) -> DataFrame:
     """``df`` with the number of each row's chunk as ``_chunk``."""
-    side = _small(bounds, 8 * MOST_CHUNKS)
+    side = checked_broadcast(bounds, max_bytes=BOUND_BYTES)
     same = F.lit(True)
     for i, key in enumerate(by):
         same = same & F.col(quoted(key)).eqNullSafe(F.col(f"_k{i}"))

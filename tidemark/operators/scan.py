@@ -91,7 +91,12 @@ def result_index(df: DataFrame, index: str | int | None = None, *, order_by: lis
     return df.select(quoted(name), *[quoted(c) for c in df.columns if c != name])
 
 
-def validate(spark, query: str) -> DataFrame:
-    """Check a query and return its column names and types; it is analysed, not run."""
-    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(spark.sql(query).schema.fields)]
-    return spark.createDataFrame(fields, "position int, name string, type string")
+def validate(spark, query: str, count: bool = False) -> DataFrame:
+    """Check a query and return its column names and types.
+
+    It is analysed, not run, unless ``count`` asks for its number of rows (``n_rows``) too.
+    """
+    result = spark.sql(query)
+    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(result.schema.fields)]
+    described = spark.createDataFrame(fields, "position int, name string, type string")
+    return described.crossJoin(F.broadcast(result.agg(F.count("*").alias("n_rows")))) if count else described

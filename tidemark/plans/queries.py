@@ -86,13 +86,15 @@ def q_agg_tagged_per_table(t):
 
 @plan(
     "q_validate",
-    """SELECT * FROM (VALUES (0, 'ts', 'timestamp_ntz'), (1, 'event_type', 'string'), (2, 'n', 'bigint'))
+    """SELECT *, (SELECT count(*) FROM (SELECT DISTINCT ts, event_type FROM events) AS g) AS n_rows
+       FROM (VALUES (0, 'ts', 'timestamp_ntz'), (1, 'event_type', 'string'), (2, 'n', 'bigint'))
        AS fields(position, name, type)""",
 )
 def q_validate(t):
-    """Names and types of a valid query on a given table."""
+    """Names and types of a valid query on a given table, and how many rows it has."""
     t.events.createOrReplaceTempView("validated_events")
-    return scan.validate(t.spark, "SELECT ts, event_type, count(*) AS n FROM validated_events GROUP BY ts, event_type")
+    query = "SELECT ts, event_type, count(*) AS n FROM validated_events GROUP BY ts, event_type"
+    return scan.validate(t.spark, query, count=True)
 
 
 @plan("q_limit", f"{SERIES_SQL} ORDER BY ts LIMIT 1")

@@ -6,6 +6,7 @@ through a table group in the shared folder.
 
 from datetime import datetime, timedelta
 
+import numpy as np
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from tidemark.operators import ranges, scan, write
 from tidemark.plans.joins import ANTI_SQL, UPSERT_SQL
 from tidemark.plans.queries import EVENT_COLUMNS
 from tidemark.plans.registry import SERIES_SQL, plain, plan, with_inputs
-from tidemark.schema import TABLE, TS, ColumnInfo, ColumnType, TableSchema, quoted
+from tidemark.schema import TABLE, TS, ColumnInfo, ColumnType, TableSchema, nanos, quoted
 from tidemark.session import scratch_path
 from tidemark.sources.tables import TableGroup
 
@@ -96,18 +97,75 @@ def ddl_add_columns(t):
     return plain(group.read("grown"))
 
 
+DESCRIBED = (
+    ("ts", "$timestamp", "timestamp"), ("event_id", "event_id", "int64"), ("user_id", "user_id", "int64"),
+    ("event_type", "event_type", "string"), ("value", "value", "double"), ("props", "props", "string"),
+)
+
+
 @plan(
     "ddl_describe",
-    """SELECT *, CAST(NULL AS VARCHAR) AS symtable
-       FROM (VALUES (-1, '$timestamp', 'timestamp'), (0, 'event_id', 'int64'), (1, 'user_id', 'int64'),
-                    (2, 'event_type', 'string'), (3, 'value', 'double'), (4, 'props', 'string'))
-            AS fields("index", name, type)""",
+    " UNION ALL ".join(
+        f"""SELECT {i - 1} AS "index", '{name}' AS name, '{kind}' AS type, CAST(NULL AS VARCHAR) AS symtable, count({column}) AS points
+            FROM events"""
+        for i, (column, name, kind) in enumerate(DESCRIBED)
+    ),
 )
 def ddl_describe(t):
-    """Columns of a table that was made from a given table."""
+    """Columns of a table that was made from a given table and filled with it, and how many values each holds."""
+    group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
+    rows = t.events.withColumnRenamed("ts", TS)
+    group.create_from("events", rows)
+    group.push({"events": rows}, now=NOW)
+    return group.describe("events", points=True)
+
+
+@plan(
+    "f_range_fine",
+    """SELECT ts, event_id % 1000 AS nanos, event_id, value FROM events
+       WHERE (ts, event_id % 1000) >= (SELECT (min(ts), 300) FROM events WHERE ts >= TIMESTAMP '2024-01-08')
+         AND (ts, event_id % 1000) < (SELECT (min(ts), 700) FROM events WHERE ts >= TIMESTAMP '2024-01-15')""",
+)
+def f_range_fine(t):
+    """A table with nanoseconds, cut at bounds that lie within a microsecond."""
+    group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
+    group.create(TableSchema("fine", (ColumnInfo(nanos(TS), ColumnType.INT64), *EVENT_COLUMNS)))
+    rows = t.events.withColumnRenamed("ts", TS).withColumn(nanos(TS), F.col("event_id") % 1000)
+    group.push({"fine": rows}, now=NOW)
+    first = lambda day: t.events.where(F.col("ts") >= F.lit(day).cast("timestamp_ntz")).agg(F.min("ts")).first()[0]
+    low, high = (np.datetime64(first(day), "ns") + rest for day, rest in (("2024-01-08", 300), ("2024-01-15", 700)))
+    found = group.read("fine", columns=["event_id", "value"], ranges=[(low, high)])
+    return plain(found.withColumnRenamed(nanos(TS), "nanos"))
+
+
+SYMBOLS_SQL = """WITH first_push AS (SELECT DISTINCT props FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type IN ('click', 'view')),
+    second_push AS (SELECT DISTINCT props FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND event_type IN ('click', 'view')
+                    AND props NOT IN (SELECT props FROM first_push WHERE props IS NOT NULL)),
+    numbers AS (SELECT props, row_number() OVER (ORDER BY props) - 1 AS n FROM first_push WHERE props IS NOT NULL AND props <> ''
+                UNION ALL
+                SELECT props, (SELECT count(*) FROM first_push WHERE props IS NOT NULL AND props <> '')
+                       + row_number() OVER (ORDER BY props) - 1 FROM second_push WHERE props IS NOT NULL AND props <> '')"""
+
+
+@plan(
+    "x_symbol_stored",
+    SYMBOLS_SQL
+    + """ SELECT event_type AS tbl, event_id, nullif(e.props, '') AS props, n AS props_id
+          FROM events AS e LEFT JOIN numbers ON numbers.props = e.props WHERE event_type IN ('click', 'view')""",
+)
+def x_symbol_stored(t):
+    """Two tables share a symbol table that grows in two pushes; numbers as stored, and the text they stand for."""
     group = TableGroup(t.spark, scratch_path(t.spark, "tables"))
-    group.create_from("events", t.events.withColumnRenamed("ts", TS))
-    return group.describe("events")
+    columns = (ColumnInfo("event_id", ColumnType.INT64), ColumnInfo("props", ColumnType.SYMBOL, "props"))
+    group.create(TableSchema("click", columns), TableSchema("view", columns))
+    rows = t.series.where(F.col(quoted(TABLE)).isin("click", "view")).select(quoted(TS), quoted(TABLE), "event_id", "props")
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (rows.where(F.col(quoted(TS)) < middle), rows.where(F.col(quoted(TS)) >= middle)):
+        group.push(part, tables=["click", "view"], now=NOW)
+    numbers = group.read(["click", "view"], decode=False).select(F.col("event_id").alias("_event"), F.col("props").alias("props_id"))
+    texts = group.read(["click", "view"])
+    joined = texts.join(numbers, F.col("event_id") == F.col("_event"))
+    return joined.select(F.col(quoted(TABLE)).alias("tbl"), "event_id", "props", "props_id")
 
 
 @plan("ddl_drop", f"{SERIES_SQL} WHERE event_type IN ('click', 'signup', 'view')")

@@ -127,9 +127,9 @@ def small_side(
     return side.hint("merge"), None
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only if the size check passes; otherwise leave the choice to AQE."""
-    side, rows = small_side(df, max_rows)
+    side, rows = small_side(df, max_rows, max_bytes)
     return side if rows is None else F.broadcast(side)
 
 

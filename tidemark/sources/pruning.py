@@ -31,6 +31,24 @@ def joined(intervals: Intervals) -> Intervals:
     return out
 
 
+def cut(intervals: Intervals, step: int | None) -> list[Intervals]:
+    """Sorted intervals in parts of at most ``step`` numbers (None: one part)."""
+    if not intervals or step is None:
+        return [intervals] if intervals else []
+    parts: list[Intervals] = []
+    room = 0
+    for low, high in intervals:
+        while low <= high:
+            if not room:
+                parts.append([])
+                room = step
+            end = min(high, low + room - 1)
+            parts[-1].append((low, end))
+            room -= end - low + 1
+            low = end + 1
+    return parts
+
+
 def covered_times(ranges: DataFrame) -> Intervals:
     """Microseconds that ranges (begin, end; ends excluded) cover, widened to whole cells."""
     bounds = ranges.select(micros(F.col("begin")).alias("b"), (micros(F.col("end")) - 1).alias("e")).where("b <= e")

@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import partial, reduce
 
@@ -37,7 +38,7 @@ from tidemark.operators.running import row_index
 from tidemark.operators.scan import project
 from tidemark.schema import SHARD, TABLE, TS, ColumnInfo, ColumnType, TableSchema, nanos, quoted
 from tidemark.session import checked_broadcast, checkpoint, fits, require_utc
-from tidemark.sources.pruning import Intervals, covered_numbers, covered_times, joined, within
+from tidemark.sources.pruning import Intervals, covered_numbers, covered_times, cut, joined, within
 
 _SYMBOL_SCHEMA = "symtable string, symbol_id bigint, symbol string"
 _CHANGE_SCHEMA = "log_ts timestamp_ntz, transaction_id bigint, table string, begin timestamp_ntz, end timestamp_ntz"
@@ -221,10 +222,20 @@ class TableGroup:
             raise AliasNotFound(f"table '{name}' does not exist")
         self._publish(self._next(), {"kind": "drop", "tables": {name: None}})
 
-    def describe(self, name: str) -> DataFrame:
-        """Columns as rows: index (the time index is -1), name, type, symbol table."""
-        rows = [(i - 1, c.name, c.type.value, c.symtable) for i, c in enumerate(self.schema(name).with_index())]
-        return self.spark.createDataFrame(rows, "index int, name string, type string, symtable string")
+    def describe(self, name: str, points: bool = False) -> DataFrame:
+        """Columns as rows: index (the time index is -1), name, type, symbol table.
+
+        With ``points`` also how many rows have a value in the column.
+        """
+        columns = list(enumerate(self.schema(name).with_index()))
+        rows = [(i - 1, c.name, c.type.value, c.symtable) for i, c in columns]
+        described = self.spark.createDataFrame(rows, "index int, name string, type string, symtable string")
+        if not points:
+            return described
+        counts = self.read(name, decode=False).agg(*[F.count(quoted(c.name)).alias(f"_{i}") for i, c in columns])
+        pairs = F.array(*[F.struct(F.lit(i - 1).alias("_of"), F.col(f"_{i}").alias("points")) for i, _ in columns])
+        counted = counts.select(F.explode(pairs).alias("p")).select("p.*")
+        return described.join(F.broadcast(counted), F.col("index") == F.col("_of")).drop("_of")
 
     # ------------------------------------------------------------ reading
 
@@ -254,9 +265,7 @@ class TableGroup:
         """Stored rows of the tables with their ``_shard``, all stored columns."""
         stored = self._stored_schema(catalog)
         commits = [c for c in self._load() if c.get("version")]
-        bases = [i for i, c in enumerate(commits) if c.get("base")]
-        commits = commits[bases[-1]:] if bases else commits
-        filled = [c for c in commits if c["has_rows"]]
+        filled = self._filled()
         if not filled:
             return self.spark.createDataFrame([], stored)
         rows = (
@@ -559,13 +568,9 @@ class TableGroup:
         batch_id: str | None,
         now: datetime | None,
         based_on: int,
-        base: bool = False,
         symbols: dict | None = None,
     ) -> int:
-        """Write a version and publish it. ``replaced`` lists obsolete (table, shard).
-
-        A ``base`` version holds all rows: readers start from it.
-        """
+        """Write a version and publish it. ``replaced`` lists obsolete (table, shard)."""
         number = based_on + 1
         version = f"{number}-{uuid.uuid4().hex[:12]}"
         has_rows = False
@@ -600,7 +605,6 @@ class TableGroup:
                 "version": version,
                 "has_rows": has_rows,
                 "replaces": replaced is not None,
-                "base": base,
                 "batch_id": batch_id,
                 "symbols": symbols,
                 "logged": batch is not None,
@@ -715,27 +719,51 @@ class TableGroup:
 
     # ------------------------------------------------------------ upkeep
 
-    def compact(self, tables: list[str] | None = None) -> int | None:
-        """Rewrite shards spread over several versions; rows stay the same.
+    def compact(
+        self, tables: list[str] | None = None, *, step: int | None = None, progress: Callable[[int, int], bool | None] | None = None
+    ) -> int | None:
+        """Rewrite the shards that are spread over several versions; rows stay the same.
 
-        Without a table list everything is rewritten into one base version, after which
-        readers no longer open older ones.
+        ``step`` limits the shard numbers that one commit takes; the default is one commit for
+        all. After each commit ``progress`` is told how many shard numbers are done, and of how
+        many; if it returns False, compaction ends there, and what is done stays. Versions that
+        no row counts of any more are named in the last commit, and readers leave them alone.
         """
         names = list(tables or self.tables())
         catalog = self._known(names)
-        based_on = self._next() - 1
-        stored = self._rows(names, catalog)
-        if tables is None:
-            return self._commit("compact", stored.drop("_v"), None, None, None, None, based_on, base=True)
-        many = (
-            stored.groupBy("_table", SHARD).agg((F.min("_v") != F.max("_v")).alias("_many")).where("_many")
+        spread = checkpoint(
+            self._rows(names, catalog).groupBy("_table", SHARD).agg((F.min("_v") != F.max("_v")).alias("_many")).where("_many")
             .select("_table", SHARD)
         )
-        many = checkpoint(many)
-        if many.isEmpty():
-            return None
-        rows = _of_shards(stored, many).drop("_v")
-        return self._commit("compact", rows, None, many, None, None, based_on)
+        parts = cut(covered_numbers(spread, SHARD), step)
+        total, done, last = sum(b - a + 1 for part in parts for a, b in part), 0, None
+        for part in parts:
+            based_on = self._next() - 1
+            own = spread.where(within(F.col(SHARD), part))
+            rows = _of_shards(self._rows(names, catalog), own).drop("_v")
+            last = self._commit("compact", rows, None, own, None, None, based_on)
+            done += sum(b - a + 1 for a, b in part)
+            if progress is not None and progress(done, total) is False:
+                return last
+        if last is not None:
+            self._retire()
+        return last
+
+    def _retire(self) -> None:
+        """Name the versions of which no row counts any more."""
+        based_on = self._next() - 1
+        filled = {c["version"] for c in self._filled()}
+        everything = sorted(self._catalog())
+        # One short row per version that is read.
+        live = {r["_v"] for r in self._rows(everything, self._catalog()).select("_v").distinct().collect()}
+        if filled - live:
+            self._publish(based_on + 1, {"kind": "retire", "dead": sorted(filled - live)})
+
+    def _filled(self) -> list[dict]:
+        """Commits whose rows may count."""
+        commits = self._load()
+        dead = {v for c in commits for v in c.get("dead") or ()}
+        return [c for c in commits if c.get("version") and c["has_rows"] and c["version"] not in dead]
 
     def expire(self, now: datetime) -> int | None:
         """Retire whole shards that lie past their table's retention."""
