@@ -45,6 +45,29 @@ def test_small_blocks(spark, monkeypatch):
     assert [p.column("text").to_pylist() for p in part] == [["aaaa"], ["b" * 7, None], ["c" * 30], ["d"]]
 
 
+def test_blocks_span_batches(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK_CHARS", 10)
+    batch = lambda *texts: pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    found = blocks.text_blocks(iter([batch("a" * 4), batch(), batch("é" * 5, None), batch("c" * 30), batch("d", "e" * 9, "f")]))
+    assert [b.column("text").to_pylist() for b in found] == [["aaaa", "é" * 5, None], ["c" * 30], ["d", "e" * 9], ["f"]]
+    assert list(blocks.text_blocks(iter([batch()]))) == []
+
+
+def test_partitions_follow_the_input(spark, monkeypatch):
+    from tidemark.llm import common
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert common.partitions(spark, docs) == common.partitions(spark) == 4
+    monkeypatch.setattr(common, "PARTITION_BYTES", 100_000)
+    assert 10 <= common.partitions(spark, docs) <= 20
+    monkeypatch.setattr(common, "MOST_PARTITIONS", 6)
+    assert common.partitions(spark, docs) == 6
+
+
 def test_splits_agree_where_python_knows_the_characters():
     """Sampled code points; where the libraries differ, Python does not know the character."""
     ranks = {bytes([i]): i for i in range(256)}

@@ -18,9 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, stored
+from tidemark.llm.common import partitions
 
 BLOCK_CHARS = 16_000_000
 BUCKETS_PER_PARTITION = 4
@@ -58,43 +57,56 @@ def text_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     yield batch.slice(start)
 
 
+def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents with a bounded number of characters (or one row), across batches."""
+    held: list[pa.RecordBatch] = []
+    chars = 0
+    for batch in batches:
+        for part in text_parts(batch) if len(batch) else ():
+            size = pc.sum(pc.utf8_length(part.column("text"))).as_py() or 0
+            if held and chars + size > BLOCK_CHARS:
+                yield pa.concat_batches(held)
+                held, chars = [], 0
+            held.append(part)
+            chars += size
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _number(make_split: Callable[[], Callable[[str], list[str]]], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = make_split()
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            if not len(batch):
-                continue
-            for part in text_parts(batch):
-                number: dict[str, int] = {}
-                coded = []
-                for text in part.column("text"):
-                    words = split(text.as_py() or "")
-                    new = set(words).difference(number)
-                    number.update(zip(new, range(len(number), len(number) + len(new))))
-                    coded.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-                counted = np.zeros(len(number), np.int64)
-                for numbers, counts in zip(coded, part.column("counts").to_pylist()):
-                    if counts:
-                        np.add.at(counted, numbers, 1)
-                lists: list[tuple[list[bytes], list[int]]] = [([], []) for _ in range(buckets)]
-                for word, place in number.items():
-                    data = word.encode()
-                    words, places = lists[zlib.crc32(data) % buckets]
-                    words.append(data)
-                    places.append(place)
-                filled = [k for k, (words, _) in enumerate(lists) if words]
-                places = [np.array(lists[k][1], np.int64) for k in filled]
-                none, rest = pa.nulls(len(part), pa.binary()), pa.nulls(len(filled), part.column("row").type)
-                yield pa.RecordBatch.from_pydict({
-                    "row": pa.concat_arrays([part.column("row"), rest]),
-                    "block": pa.array([block] * (len(part) + len(filled)), pa.int64()),
-                    "bucket": pa.array([-1] * len(part) + filled, pa.int32()),
-                    "numbers": pa.array([pack_numbers(c) for c in coded] + [pack_numbers(np.diff(p, prepend=0)) for p in places], pa.binary()),
-                    "counts": pa.concat_arrays([none, pa.array([pack_numbers(counted[p]) for p in places], pa.binary())]),
-                    "words": pa.concat_arrays([none, pa.array([pack_words(lists[k][0]) for k in filled], pa.binary())]),
-                })
-                block += 1
+        for part in text_blocks(batches):
+            number: dict[str, int] = {}
+            coded = []
+            for text in part.column("text"):
+                words = split(text.as_py() or "")
+                for word in dict.fromkeys(words):  # in their order: a repeated task numbers alike
+                    number.setdefault(word, len(number))
+                coded.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+            counted = np.zeros(len(number), np.int64)
+            for numbers, counts in zip(coded, part.column("counts").to_pylist()):
+                if counts:
+                    np.add.at(counted, numbers, 1)
+            lists: list[tuple[list[bytes], list[int]]] = [([], []) for _ in range(buckets)]
+            for word, place in number.items():
+                data = word.encode()
+                words, places = lists[zlib.crc32(data) % buckets]
+                words.append(data)
+                places.append(place)
+            filled = [k for k, (words, _) in enumerate(lists) if words]
+            places = [np.array(lists[k][1], np.int64) for k in filled]
+            none, rest = pa.nulls(len(part), pa.binary()), pa.nulls(len(filled), part.column("row").type)
+            yield pa.RecordBatch.from_pydict({
+                "row": pa.concat_arrays([part.column("row"), rest]),
+                "block": pa.array([block] * (len(part) + len(filled)), pa.int64()),
+                "bucket": pa.array([-1] * len(part) + filled, pa.int32()),
+                "numbers": pa.array([pack_numbers(c) for c in coded] + [pack_numbers(np.diff(p, prepend=0)) for p in places], pa.binary()),
+                "counts": pa.concat_arrays([none, pa.array([pack_numbers(counted[p]) for p in places], pa.binary())]),
+                "words": pa.concat_arrays([none, pa.array([pack_words(lists[k][0]) for k in filled], pa.binary())]),
+            })
+            block += 1
 
     return run
 
@@ -110,29 +122,20 @@ def _lists_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def numbered_once(rows: DataFrame, make_split: Callable[[], Callable[[str], list[str]]]) -> tuple[DataFrame, DataFrame]:
-    """As ``numbered`` for one query that joins both results: one shuffle by block serves both.
-
-    Nothing is stored. The first result also has the lists' rows (bucket 0 or more), because
-    a filter or a column less would be moved below the shuffle, and there would be two.
-    """
-    count = partitions(rows.sparkSession)
-    shared = rows.mapInArrow(_number(make_split, BUCKETS_PER_PARTITION * count), _schema(rows)).repartition(count, "block")
-    lists = shared.mapInArrow(_lists_only, "bucket int, block long, words binary, counts binary, numbers binary")
-    return shared, lists.repartition(count, "bucket").sortWithinPartitions("bucket")
-
-
-def numbered(rows: DataFrame, make_split: Callable[[], Callable[[str], list[str]]], label: str) -> tuple[DataFrame, DataFrame]:
-    """Documents as numbers, and lists of words dealt out by bucket.
+    """Documents as numbers, and lists of words dealt out by bucket, for a query that joins both.
 
     ``rows`` has row, text and counts (whether the text's words are counted). The first
     result has block, row and numbers; the second, in bucket order, bucket, block, words,
     counts and numbers (the words' numbers, as differences).
+
+    One shuffle by block serves both, and nothing is stored. The first result also has the
+    lists' rows (bucket 0 or more), because a filter or a column less would be moved below
+    the shuffle, and there would be two.
     """
-    count = partitions(rows.sparkSession)
-    found = stored(rows.mapInArrow(_number(make_split, BUCKETS_PER_PARTITION * count), _schema(rows)), label)
-    lists = found.where("bucket >= 0").select(*LIST)
-    dealt = lists.repartition(count, "bucket").sortWithinPartitions("bucket")
-    return found.where(F.col("bucket") < 0).select("block", "row", "numbers"), dealt
+    count = partitions(rows.sparkSession, rows)
+    shared = rows.mapInArrow(_number(make_split, BUCKETS_PER_PARTITION * count), _schema(rows)).repartition(count, "block")
+    lists = shared.mapInArrow(_lists_only, "bucket int, block long, words binary, counts binary, numbers binary")
+    return shared, lists.repartition(count, "bucket").sortWithinPartitions("bucket")
 
 
 def by_number(places: list[bytes], values: list[np.ndarray]) -> np.ndarray:

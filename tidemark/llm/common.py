@@ -17,6 +17,8 @@ from tidemark.session import scratch_path
 SPACE_CLASS = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{SPACE_CLASS}]+")
 SPACES = " \t\n\x0b\x0c\r"
+# Input bytes for each partition of a shuffle that no one merges or splits later, and most of them.
+PARTITION_BYTES, MOST_PARTITIONS = 64_000_000, 8_192
 
 
 def lower_ascii(text: str) -> str:
@@ -60,8 +62,16 @@ def reachable(spark: SparkSession) -> None:
         settings["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions(spark: SparkSession, source: DataFrame | None = None) -> int:
+    """How many partitions to shuffle to: as many as the session says, or more if ``source`` is large."""
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if source is None:
+        return count
+    try:
+        expected = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except ValueError:  # a product of sizes with too many digits: the planner does not know
+        return count
+    return count if expected >= 1 << 60 else max(count, min(MOST_PARTITIONS, -(-expected // PARTITION_BYTES)))
 
 
 def id_bucket(doc_id: Column, modulus: int) -> Column:

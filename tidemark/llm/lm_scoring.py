@@ -38,7 +38,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import BUCKETS_PER_PARTITION, pack_numbers, pack_words, text_parts, unpack_numbers, unpack_words
+from tidemark.llm.blocks import BUCKETS_PER_PARTITION, pack_numbers, pack_words, text_blocks, unpack_numbers, unpack_words
 from tidemark.llm.common import WORD, column, fresh_name, lower_ascii, partitions, stored
 from tidemark.llm.context_tree import TOP, TEXT_END, Branch, Crown, branch_of, cut, stream, stream_grams, summed
 
@@ -98,43 +98,40 @@ def _list_blocks(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            if not len(batch):
-                continue
-            for part in text_parts(batch):
-                texts = [lower_ascii(t) for t in part.column("text").to_pylist()]
-                counted = part.column("counts").to_pylist()
-                seen: tuple[Counter, Counter] = (Counter(), Counter())
-                for text, counts in zip(texts, counted):
-                    seen[counts].update(tokens(text))
-                known = {w.encode(): seen[True][w] for w in seen[False].keys() | seen[True].keys()}
-                words = sorted(known)
-                trained, many = distinct_grams([stream(t) for t, c in zip(texts, counted) if c])
-                others, none = distinct_grams([stream(t) for t, c in zip(texts, counted) if not c])
-                codes, times = summed(np.concatenate([trained, others]), np.concatenate([many, none * 0]))
-                by_word, word_at = dealt(word_bucket(words, buckets), buckets)
-                by_gram, gram_at = dealt(branch_of(codes, buckets), buckets)
-                filled, lists = [], []
-                for k in range(buckets):
-                    own, grams = by_word[word_at[k] : word_at[k + 1]], by_gram[gram_at[k] : gram_at[k + 1]]
-                    if len(own) or len(grams):
-                        filled.append(k)
-                        mine = [words[i] for i in own]
-                        counts = np.array([known[w] for w in mine], np.int64)
-                        lists.append((pack_words(mine) if mine else None, pack_array(counts), pack_sorted(codes[grams]), pack_array(times[grams])))
-                nulls = pa.nulls(len(part), pa.binary())
-                rest, empty = pa.nulls(len(filled), part.column("row").type), pa.nulls(len(filled), pa.binary())
-                yield pa.RecordBatch.from_pydict({
-                    "row": pa.concat_arrays([part.column("row"), rest]),
-                    "block": pa.array([block] * (len(part) + len(filled)), pa.int64()),
-                    "bucket": pa.array([-1] * len(part) + filled, pa.int32()),
-                    "text": pa.concat_arrays([pa.array([zlib.compress(t.encode(), 1) for t in texts], pa.binary()), empty]),
-                    **{
-                        name: pa.concat_arrays([nulls, pa.array([row[i] for row in lists], pa.binary())])
-                        for i, name in enumerate(["words", "counts", "grams", "times"])
-                    },
-                })
-                block += 1
+        for part in text_blocks(batches):
+            texts = [lower_ascii(t) for t in part.column("text").to_pylist()]
+            counted = part.column("counts").to_pylist()
+            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, counts in zip(texts, counted):
+                seen[counts].update(tokens(text))
+            known = {w.encode(): seen[True][w] for w in seen[False].keys() | seen[True].keys()}
+            words = sorted(known)
+            trained, many = distinct_grams([stream(t) for t, c in zip(texts, counted) if c])
+            others, none = distinct_grams([stream(t) for t, c in zip(texts, counted) if not c])
+            codes, times = summed(np.concatenate([trained, others]), np.concatenate([many, none * 0]))
+            by_word, word_at = dealt(word_bucket(words, buckets), buckets)
+            by_gram, gram_at = dealt(branch_of(codes, buckets), buckets)
+            filled, lists = [], []
+            for k in range(buckets):
+                own, grams = by_word[word_at[k] : word_at[k + 1]], by_gram[gram_at[k] : gram_at[k + 1]]
+                if len(own) or len(grams):
+                    filled.append(k)
+                    mine = [words[i] for i in own]
+                    counts = np.array([known[w] for w in mine], np.int64)
+                    lists.append((pack_words(mine) if mine else None, pack_array(counts), pack_sorted(codes[grams]), pack_array(times[grams])))
+            nulls = pa.nulls(len(part), pa.binary())
+            rest, empty = pa.nulls(len(filled), part.column("row").type), pa.nulls(len(filled), pa.binary())
+            yield pa.RecordBatch.from_pydict({
+                "row": pa.concat_arrays([part.column("row"), rest]),
+                "block": pa.array([block] * (len(part) + len(filled)), pa.int64()),
+                "bucket": pa.array([-1] * len(part) + filled, pa.int32()),
+                "text": pa.concat_arrays([pa.array([zlib.compress(t.encode(), 1) for t in texts], pa.binary()), empty]),
+                **{
+                    name: pa.concat_arrays([nulls, pa.array([row[i] for row in lists], pa.binary())])
+                    for i, name in enumerate(["words", "counts", "grams", "times"])
+                },
+            })
+            block += 1
 
     return run
 
@@ -311,7 +308,7 @@ def score(docs: DataFrame, training: Column, text_col: str = "text", code_length
     row = F.struct(*[column(docs, c).alias(c) for c in others]) if others else F.struct(F.lit(0).alias("_"))
     source = docs.select(row.alias("row"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"), F.coalesce(training, F.lit(False)).alias("counts"))
     kind = source.schema["row"].dataType.simpleString()
-    count = partitions(spark)
+    count = partitions(spark, source)
     number = BUCKETS_PER_PARTITION * count
     listed = stored(source.mapInArrow(_list_blocks(number), f"row {kind}, block long, bucket int, text binary, {LISTS}"), "listed-texts")
     lists = listed.where("bucket >= 0").select("bucket", "block", "words", "counts", "grams", "times")
