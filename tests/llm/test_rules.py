@@ -41,7 +41,10 @@ def test_counts():
 
 @pytest.mark.parametrize("line", [
     "WORDS!! THAT!! ARE!! ALL!! SHOUTED!!", "of%%% the&&& and*** those$$$", "home | news | sport | weather | more words",
-    "Read more", "All rights reserved.", " ".join(["again"] * 12) + ".",
+    "Read more", "All rights reserved.", " ".join(["again"] * 12) + ".", "Home Products About Contact",
+    "Accueil Nos Produits Écrivez Plan", "Released under the MIT License.", "This work is licensed under CC-BY 4.0.",
+    "Tous droits réservés.", "© 2024 Beispiel GmbH. Alle Rechte vorbehalten.", "Haga clic aquí para leer el resto.",
+    "Conditions d'utilisation et mentions.", "Datenschutzerklärung und mehr dazu.",
 ])
 def test_lines_that_fail(line):
     assert judge(CLEAN + "\n" + line)[7] == 1
@@ -49,6 +52,13 @@ def test_lines_that_fail(line):
     assert judge(CLEAN + "\n" + line)[6]
 
 
+@pytest.mark.parametrize("line", [
+    "He came to the house and left", "One Two three Four five", "The End Is Near And We Know It.", "Berlin, London, Paris and Rome are far.",
+])
+def test_lines_that_stay(line):
+    assert judge(CLEAN + "\n" + line)[7] == 0
+
+
 def test_documents_that_lose_too_much():
     bad = "\n".join(["home | news | sport | weather | more | words | of | this | kind"] * 8)
     assert not judge(CLEAN + "\n" + bad)[6]

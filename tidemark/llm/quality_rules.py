@@ -5,8 +5,10 @@ A line fails by one of these rules:
 * punctuation: more than 30 % of its words end in a run of marks (``!!``, ``%%%``), or it
   holds more symbols than half its words;
 * navigation: at least two words, 15 % or more of all, are separators such as ``|``; or it
-  has at most three words and no closing mark (a menu entry);
-* boilerplate: it has at most 20 words and holds a stock phrase;
+  has at most three words and no closing mark (a menu entry), or up to ten, all of them
+  capitalised (a menu);
+* boilerplate: it has at most 20 words and holds a stock phrase of sites and licences in
+  English, French, German or Spanish;
 * repetition: it has ten words or more, and fewer than 30 % of them differ.
 
 Failing lines are removed. The document is rejected if more than 30 % of its word
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import re
 from typing import Iterator
+from unicodedata import category
 
 import numpy as np
 import pandas as pd
@@ -33,15 +36,23 @@ SYMBOLS = "#*$%&|<>"
 MARKED = re.compile(r"[!?#*$%&~^=+<>|]{2,}(?=[\x20\x09-\x0D]|$)")
 SEPARATOR = re.compile(r"(?:^|(?<=[\x20\x09-\x0D]))[|»«›‹•·>/]{1,2}(?=[\x20\x09-\x0D]|$)")
 CLOSING = tuple(".!?…:;\"'”’»)]}。！？")
+# Stock phrases by language, as parts of one pattern.
 PHRASES = re.compile(
-    r"all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|use of cookies|accept cookies"
-    r"|click here|read more|sign up|log ?in\b|subscribe|skip to content|enable javascript|lorem ipsum|powered by",
+    r"all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|use of cookies|accept (?:all )?cookies"
+    r"|click here|read more|sign up|log ?in\b|subscribe|skip to content|enable javascript|lorem ipsum|powered by"
+    r"|licensed under|under the [a-z0-9. -]* ?licen[sc]e|creative commons"
+    r"|tous droits réservés|mentions légales|conditions d[’']utilisation|politique de confidentialité|cliquez ici"
+    r"|lire la suite|accepter (?:tous )?les cookies|abonnez-vous|plan du site"
+    r"|alle rechte vorbehalten|nutzungsbedingungen|datenschutzerklärung|hier klicken|weiterlesen"
+    r"|(?:alle )?cookies akzeptieren|jetzt abonnieren|impressum"
+    r"|todos los derechos reservados|aviso legal|condiciones de uso|política de privacidad|haga clic aquí"
+    r"|leer más|aceptar (?:todas )?las cookies|suscríbete|mapa del sitio",
     re.IGNORECASE,
 )
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 MARKED_PERCENT, SEPARATOR_PERCENT, DISTINCT_PERCENT, LOST_PERCENT = 30, 15, 30, 30
-MENU_WORDS, PHRASE_WORDS, REPEAT_WORDS = 3, 20, 10
+ENTRY_WORDS, MENU_WORDS, PHRASE_WORDS, REPEAT_WORDS = 3, 10, 20, 10
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SCHEMA = (
@@ -59,7 +70,8 @@ def line_fails(line: str, words: list[str]) -> bool:
     if separators >= 2 and 100 * separators >= SEPARATOR_PERCENT * n:
         return True
     if n <= MENU_WORDS and not line.rstrip(SPACES).endswith(CLOSING):
-        return True
+        if n <= ENTRY_WORDS or all(category(word[0]) == "Lu" for word in words):
+            return True
     if n <= PHRASE_WORDS and PHRASES.search(line):
         return True
     return n >= REPEAT_WORDS and 100 * len(set(words)) < DISTINCT_PERCENT * n

@@ -57,7 +57,8 @@ def vocabulary(name: str) -> str:
         FROM w WHERE len(words) > 0
     ), f AS (
         SELECT *, 100 * marked > 30 * n OR 2 * symbols > n OR (separators >= 2 AND 100 * separators >= 15 * n)
-                  OR (n <= 3 AND NOT regexp_matches(words[-1], '[.!?…:;"''”’»)\]}。！？]$'))
+                  OR (n <= 10 AND NOT regexp_matches(words[-1], '[.!?…:;"''”’»)\]}。！？]$')
+                      AND (n <= 3 OR len(list_filter(words, lambda x: NOT regexp_matches(x, '^\p{Lu}'))) = 0))
                   OR (n <= 20 AND regexp_matches(line, '(?i){PHRASES}'))
                   OR (n >= 10 AND 100 * len(list_distinct(words)) < 30 * n) AS fails
         FROM c
@@ -89,7 +90,7 @@ def vocabulary(name: str) -> str:
                AND 100 * removed_chars <= 30 * word_chars AS kept,
            n_removed_lines, removed_chars::BIGINT AS removed_chars
     FROM b
-    """.replace("{PHRASES}", quality_rules.PHRASES.pattern)
+    """.replace("{PHRASES}", quality_rules.PHRASES.pattern.replace("'", "''"))
 )
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
