@@ -46,6 +46,7 @@ from tidemark.llm.components import components
 WORDS, PERCENT = 5, 80
 BANDS, PER_BAND = 80, 4
 CELL, PIVOTS = 512, 64
+SEEN_NODES = 1_000_000
 SMALLEST = -(1 << 63)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -117,9 +118,11 @@ def _describe(words: int, bands: int, per_band: int) -> Callable[[Iterator[pa.Re
 def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        seen: set[int] = set()  # repeated rows stand for the same class
+        seen: set[int] = set()  # repeated rows stand for the same class, and may come twice
         for batch in batches:
             rows = []
+            if len(seen) > SEEN_NODES:
+                seen.clear()
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
                 if node not in seen:
                     seen.add(node)

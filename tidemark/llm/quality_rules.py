@@ -13,7 +13,7 @@ A line fails by one of these rules:
 
 Failing lines are removed. The document is rejected if more than 30 % of its word
 characters went with them, if no word is left, or if it fails the base rules: fewer than
-50 words, or more than half of the words in repeated windows of three.
+50 words (``min_words``), or more than half of the words in repeated windows of three.
 
 Null and empty texts have no words, fail the base rules and are rejected. Documents are
 judged alone, so repeated rows and any other columns have no influence.
@@ -101,7 +101,7 @@ def repeated_words(words: list[str]) -> int:
     return int(covered.sum())
 
 
-def judge(text: str | None) -> tuple:
+def judge(text: str | None, min_words: int = MIN_WORDS) -> tuple:
     """All figures of one document, and its text without the lines that fail."""
     text = text or ""
     words: list[str] = []
@@ -127,33 +127,35 @@ def judge(text: str | None) -> tuple:
             kept_lines.append(line)
     n = len(words)
     repeats = repeated_words(words)
-    base_failed = n < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * n
+    base_failed = n < min_words or 100 * repeats > REPEAT_PERCENT * n
     kept = not base_failed and left > 0 and 100 * lost <= LOST_PERCENT * word_chars
     symbols = sum(map(text.count, SYMBOLS))
     return n, word_chars, symbols, dup_lines, repeats, base_failed, kept, removed, lost, "\n".join(kept_lines)
 
 
-def assess(text: Column, with_text: bool = False) -> Column:
+def assess(text: Column, with_text: bool = False, min_words: int = MIN_WORDS) -> Column:
     """A struct of the counts, ``base_failed``, ``kept`` and, if asked for, ``clean_text``."""
     fields = SCHEMA + (", clean_text string" if with_text else "")
     names = [f.split()[0] for f in fields.split(", ")]
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([judge(t)[: len(names)] for t in batch], columns=names)
+            yield pd.DataFrame([judge(t, min_words)[: len(names)] for t in batch], columns=names)
 
     # Marked so, because the optimizer would run it again for a filter on its result.
     return F.pandas_udf(run, fields).asNondeterministic()(text)
 
 
-def clean(docs: DataFrame, text_col: str = "text", verdict: str = "quality", keep_all: bool = False) -> DataFrame:
+def clean(
+    docs: DataFrame, text_col: str = "text", verdict: str = "quality", keep_all: bool = False, min_words: int = MIN_WORDS
+) -> DataFrame:
     """``docs`` with failing lines removed; rejected documents go unless ``keep_all``.
 
     With ``keep_all`` the figures stand in a struct column called ``verdict`` (renamed if
     taken) and rejected documents keep their rows.
     """
     name = fresh_name(docs, verdict)
-    out = docs.withColumn(name, assess(column(docs, text_col), with_text=True))
+    out = docs.withColumn(name, assess(column(docs, text_col), True, min_words))
     if not keep_all:
         out = out.where(F.col(name).kept)
     out = out.withColumn(text_col, F.col(name).clean_text)
