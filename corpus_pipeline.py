@@ -11,6 +11,7 @@ from tidemark.llm.queries import WORD_BPE, quality_labels, vocabulary
 
 # The stages are more than SQL expresses (a trained model, a tokenizer).
 ORACLE_SQL = None
+RULES_MIN_WORDS = 5
 
 
 def _texts_changed(docs: DataFrame) -> DataFrame:
@@ -30,9 +31,12 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that fail the quality rules go, and documents that the rules reject."""
+    """Lines that fail the quality rules go, and documents that the rules reject.
+
+    The classifier has read the documents before, so short ones are not rejected for their length.
+    """
     reachable(spark)
-    return _texts_changed(quality_rules.clean(docs))
+    return _texts_changed(quality_rules.clean(docs, min_words=RULES_MIN_WORDS))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
