@@ -79,3 +79,14 @@ def test_whole_rows_that_are_too_large(spark, wide):
     kept = write.without_stored(wide.where("id < 10"), wide)
     assert "LeftSemi" not in plan_of(kept) and kept.count() == 1990
     assert "LeftSemi" in plan_of(write.without_stored(wide, wide.where("id < 10")))
+
+
+def test_scratch_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", [])
+    paths = [session.scratch_path(spark, "mine") for _ in range(3)]
+    for path in paths[:2]:
+        spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) == 2 and session._scratch == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(paths[0])
+    assert session.clear_scratch(spark) == 0

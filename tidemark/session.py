@@ -50,9 +50,27 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this session's operators wrote below the shared folder; how many paths that were.
+
+    For long sessions, once results were delivered: frames that were not written elsewhere
+    cannot be read any more.
+    """
+    gone = 0
+    while _scratch:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        gone += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
