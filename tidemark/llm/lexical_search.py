@@ -46,7 +46,6 @@ SCORED_CELLS = 4_000_000  # scores held at once: classes times items
 TERM_BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in bytes(range(256)).lower())
 
 
-
 def term_lists(text: str | None) -> Iterator[list[bytes]]:
     """The terms of a text, in lists of a few megabytes."""
     data = (text or "").encode().translate(TERM_BYTES)
