@@ -32,12 +32,16 @@ def test_same_rows_as_sql(spark, name):
     with duckdb.connect() as con:
         for table in ("documents", "pages", "benchmark"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
-        expected = con.sql(SQL[name]).df()
-    found = QUERIES[name](spark, SMALL).toPandas()
-    columns = sorted(found.columns)
-    assert columns == sorted(expected.columns)
-    rows = lambda df: sorted(map(repr, df[columns].astype(object).values.tolist()))
-    assert rows(found) == rows(expected)
+        cursor = con.execute(SQL[name])
+        names, expected = [d[0] for d in cursor.description], cursor.fetchall()
+    found = QUERIES[name](spark, SMALL)
+    assert sorted(found.columns) == sorted(names)
+
+    def rows(columns, values):
+        order = [columns.index(c) for c in sorted(columns)]
+        return sorted(repr([row[i] for i in order]) for row in values)
+
+    assert rows(found.columns, found.collect()) == rows(names, expected)
 
 
 def test_pipeline(spark):
