@@ -45,14 +45,14 @@ def test_small_blocks(spark, monkeypatch):
     assert [p.column("text").to_pylist() for p in part] == [["aaaa"], ["b" * 7, None], ["c" * 30], ["d"]]
 
 
-def test_blocks_span_batches(monkeypatch):
+def test_blocks_of_batches(monkeypatch):
     import pyarrow as pa
 
     from tidemark.llm import blocks
 
     monkeypatch.setattr(blocks, "BLOCK_CHARS", 10)
     batch = lambda *texts: pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
-    found = blocks.text_blocks(iter([batch("a" * 4), batch(), batch("é" * 5, None), batch("c" * 30), batch("d", "e" * 9, "f")]))
+    found = blocks.text_blocks(iter([batch("a" * 4, "é" * 5, None), batch(), batch("c" * 30), batch("d", "e" * 9, "f")]))
     assert [b.column("text").to_pylist() for b in found] == [["aaaa", "é" * 5, None], ["c" * 30], ["d", "e" * 9], ["f"]]
     assert list(blocks.text_blocks(iter([batch()]))) == []
 

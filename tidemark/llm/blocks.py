@@ -58,19 +58,14 @@ def text_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of documents with a bounded number of characters (or one row), across batches."""
-    held: list[pa.RecordBatch] = []
-    chars = 0
+    """Blocks of documents with a bounded number of characters (or one row).
+
+    A block never spans Arrow batches: holding several of them took an executor's memory
+    beyond its limit.
+    """
     for batch in batches:
-        for part in text_parts(batch) if len(batch) else ():
-            size = pc.sum(pc.utf8_length(part.column("text"))).as_py() or 0
-            if held and chars + size > BLOCK_CHARS:
-                yield pa.concat_batches(held)
-                held, chars = [], 0
-            held.append(part)
-            chars += size
-    if held:
-        yield pa.concat_batches(held)
+        if len(batch):
+            yield from text_parts(batch)
 
 
 def _number(make_split: Callable[[], Callable[[str], list[str]]], buckets: int):
