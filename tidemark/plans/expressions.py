@@ -1,5 +1,9 @@
 """Plans for the column functions."""
 
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean_blob, clean_name, file_stem, int_or_text, op_split
@@ -179,6 +183,20 @@ def x_symbol_decode(t):
     return symbols.symbol_decode(symbols.symbol_encode(rows, "props", dictionary), "props", dictionary)
 
 
+def narrow_digits(value: Column, name: str, kind: str, bits: int) -> dict[str, Column]:
+    """A 64-bit number as digits of so many bits, lowest first, each in a column of the narrow type."""
+    last = 63 // bits
+    digits = [F.shiftright(value, bits * n) for n in range(last + 1)]
+    # The last digit has the sign, the others have none.
+    digits[:last] = [digit.bitwiseAND(F.lit((1 << bits) - 1).cast("long")) for digit in digits[:last]]
+    return {f"{name}_{n}": digit.cast(kind) for n, digit in enumerate(digits)}
+
+
+def from_digits(names: Iterable[str], bits: int) -> Column:
+    """The number whose digits came out of a cast as 64-bit numbers."""
+    return reduce(Column.bitwiseOR, [F.shiftleft(F.col(name), bits * n) for n, name in enumerate(names)])
+
+
 @plan(
     "x_cast_matrix",
     """SELECT ts, CAST(user_id AS BIGINT) AS from_short, CAST(user_id AS BIGINT) AS from_int,
@@ -187,19 +205,26 @@ def x_symbol_decode(t):
               event_type AS as_text, CAST(NULL AS DOUBLE) AS nothing FROM events""",
 )
 def x_cast_matrix(t):
-    """Narrow and foreign types come out in the table's types."""
+    """Narrow and foreign types come out in the table's types.
+
+    A user number of any size travels in as many short, or int, columns as it needs.
+    """
+    user, seconds = F.col("user_id"), F.date_trunc("second", "ts")
+    shorts, ints = narrow_digits(user, "from_short", "short", 15), narrow_digits(user, "from_int", "int", 31)
     kinds = {
-        "from_short": ColumnType.INT64, "from_int": ColumnType.INT64, "from_float": ColumnType.DOUBLE,
+        **dict.fromkeys([*shorts, *ints], ColumnType.INT64), "from_float": ColumnType.DOUBLE,
         "int_to_double": ColumnType.DOUBLE, "from_seconds": ColumnType.TIMESTAMP, "from_text": ColumnType.INT64,
         "as_text": ColumnType.STRING, "nothing": ColumnType.DOUBLE,
     }
     schema = TableSchema("cast", tuple(ColumnInfo(n, k) for n, k in kinds.items()))
-    user, seconds = F.col("user_id"), F.date_trunc("second", "ts")
     raw = t.events.select(
-        F.col("ts").alias(TS), user.cast("short").alias("from_short"), user.cast("int").alias("from_int"),
+        F.col("ts").alias(TS), *[digit.alias(n) for n, digit in {**shorts, **ints}.items()],
         F.col("value").cast("float").alias("from_float"), user.alias("int_to_double"),
         seconds.alias("from_seconds"), user.cast("string").alias("from_text"),
         F.col("event_type").alias("as_text"), F.lit(None).alias("nothing"),
     )
-    return write.cast_to(raw, schema).withColumnRenamed(TS, "ts")
-
+    cast = write.cast_to(raw, schema)
+    return cast.select(
+        F.col(TS).alias("ts"), from_digits(shorts, 15).alias("from_short"), from_digits(ints, 31).alias("from_int"),
+        "from_float", "int_to_double", "from_seconds", "from_text", "as_text", "nothing",
+    )
