@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.operators import kv, write
+from tidemark.operators import kv, tags, write
 from tidemark.session import measured, small_side
 
 NOW = "2024-01-01"
@@ -90,3 +90,32 @@ def test_scratch_can_be_cleared(spark, monkeypatch):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(paths[0])
     assert session.clear_scratch(spark) == 0
+
+
+def test_rows_behind_tags_are_combined_before_they_meet_many_keys(spark):
+    """A frequent alias is made of many rows, which must not all go to one task of the join."""
+    rows = spark.range(20_000).select(F.when(F.col("id") % 4 == 0, None).otherwise("hot").alias("alias"), (F.col("id") % 3).alias("n"))
+    made = rows.select("alias", F.lit("t").alias("entry_type"), F.concat(F.lit("a"), "n").alias("tag")).union(
+        rows.select(F.concat("alias", "n"), F.lit("t"), F.lit("b"))
+    ).distinct()
+    asked = spark.range(210_000).select(F.concat(F.lit("x"), "id").alias("alias"), F.lit("b").alias("tag")).union(
+        spark.sql("SELECT a, t FROM VALUES ('hot'), ('hot'), ('hot1'), (NULL) AS n(a), VALUES ('a0'), ('b'), (NULL) AS m(t)")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")  # the planner underestimates the keys
+    try:
+        got, had = tags.tags_of(made, asked), tags.has_tag(made, asked)
+        left, gone = tags.detach(made, asked)
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (got, had, left)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        assert plan.rindex("Join") < plan.rindex("Aggregate") < plan.rindex("Union")
+    assert sorted(map(tuple, got.collect())) == [("hot", "a0"), ("hot", "a1"), ("hot", "a2"), ("hot1", "b")]
+    true = [("hot", "a0")] * 2 + [("hot1", "b")]
+    assert sorted((r.alias, r.tag) for r in had.where("has_tag").collect()) == true and had.count() == asked.count()
+    assert sorted((r.alias, r.tag) for r in gone.where("changed").collect()) == sorted(set(true))
+    none = [(r.alias, r.tag) for r in left.where("alias IS NULL").collect()]
+    assert sorted(none) == [(None, "a0"), (None, "a1"), (None, "a2"), (None, "b")]
+    assert sorted((r.alias, r.tag) for r in left.where("alias IS NOT NULL").collect()) == [
+        ("hot", "a1"), ("hot", "a2"), ("hot0", "b"), ("hot2", "b"),
+    ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import InvalidArgument
-from tidemark.session import checked_broadcast
+from tidemark.session import small_side
 
 
 def find(tags: DataFrame, all_of: list[str] | None = None, entry_type: str | None = None) -> DataFrame:
@@ -34,10 +34,28 @@ def intersect(tags: DataFrame, first: str, second: str) -> DataFrame:
     return carry(first).intersect(carry(second))
 
 
+def _held(tags: DataFrame, keys: DataFrame) -> DataFrame:
+    """Distinct (alias, tag) of the tags that agree with a row of ``keys`` in all its columns."""
+    side, rows = small_side(keys.distinct())
+    if rows is not None:
+        return tags.join(F.broadcast(side), keys.columns, "left_semi").select("alias", "tag").distinct()
+    # A semi join would be moved below the unions and group-bys that make the tags, and all
+    # rows behind a frequent alias would meet in one task before they are combined.
+    return tags.select("alias", "tag").distinct().join(side, keys.columns).select("alias", "tag")
+
+
+def _without(tags: DataFrame, keys: DataFrame) -> DataFrame:
+    """The tags that agree with no row of ``keys``."""
+    side, rows = small_side(keys.distinct())
+    if rows is not None:
+        return tags.join(F.broadcast(side), keys.columns, "left_anti").select(*tags.columns)
+    marked = tags.join(side.withColumn("_held", F.lit(True)), keys.columns, "left")  # as above, not an anti join
+    return marked.where("_held IS NULL").select(*tags.columns)
+
+
 def _judged(tags: DataFrame, asked: DataFrame) -> DataFrame:
     """Requests with ``_held``. Only tags that are asked for are looked at any further."""
-    pairs = checked_broadcast(asked.select("alias", "tag").distinct())
-    held = tags.join(pairs, ["alias", "tag"], "left_semi").select("alias", "tag").distinct()
+    held = _held(tags, asked.select("alias", "tag"))
     return asked.join(held.withColumn("_held", F.lit(True)), ["alias", "tag"], "left")
 
 
@@ -51,9 +69,9 @@ def attach(tags: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def detach(tags: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Remove (alias, tag) pairs; returns the new tags and each request with ``changed``."""
-    asked = checked_broadcast(requests.select("alias", "tag").distinct())
+    asked = small_side(requests.select("alias", "tag").distinct())[0]  # evaluated once
     outcome = _judged(tags, asked).select("alias", "tag", F.col("_held").isNotNull().alias("changed"))
-    return tags.join(asked, ["alias", "tag"], "left_anti").select(*tags.columns), outcome
+    return _without(tags, asked), outcome
 
 
 def has_tag(tags: DataFrame, requests: DataFrame) -> DataFrame:
@@ -65,11 +83,7 @@ def has_tag(tags: DataFrame, requests: DataFrame) -> DataFrame:
 
 def tags_of(tags: DataFrame, aliases: DataFrame) -> DataFrame:
     """Tags of the given aliases, one row each (an entry may carry very many)."""
-    return (
-        tags.join(checked_broadcast(aliases.select("alias").distinct()), "alias", "left_semi")
-        .select("alias", "tag")
-        .distinct()
-    )
+    return _held(tags, aliases.select("alias"))
 
 
 def entries_of(tags: DataFrame, tag: str) -> DataFrame:
