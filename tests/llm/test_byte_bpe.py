@@ -8,6 +8,7 @@ import regex
 import tiktoken
 
 from tidemark.llm import byte_bpe
+from tidemark.llm.common import reachable
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = [
@@ -79,3 +80,23 @@ def test_splits_agree_where_python_knows_the_characters():
             if bool(theirs.encode_ordinary(char)) != bool(ours.match(char)):
                 assert unicodedata.category(char) == "Cn"
                 assert not byte_bpe.Assigned()(char)
+
+
+def test_workers_give_back_the_memory_of_a_batch(spark):
+    reachable(spark)
+
+    def kept(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+        for _ in batches:
+            large = np.ones(30_000_000, np.uint8)
+            del large
+            before = resident()
+            again = np.ones(25_000_000, np.uint8)
+            small = [bytes(100_000) for _ in range(3)]
+            del again
+            yield pa.RecordBatch.from_pydict({"kept": pa.array([resident() - before - len(small)], pa.int64())})
+
+    assert spark.range(1).repartition(1).mapInArrow(kept, "kept long").first().kept < 5_000_000

@@ -19,6 +19,11 @@ WORD = re.compile(rf"[^{SPACE_CLASS}]+")
 SPACES = " \t\n\x0b\x0c\r"
 # Input bytes for each partition of a shuffle that no one merges or splits later, and most of them.
 PARTITION_BYTES, MOST_PARTITIONS = 64_000_000, 8_192
+# Python workers live on from task to task; with these they give back what a batch took.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "4194304",
+    "MALLOC_TRIM_THRESHOLD_": "8388608",
+}
 
 
 def lower_ascii(text: str) -> str:
@@ -54,12 +59,15 @@ def reachable(spark: SparkSession) -> None:
     """Let Python workers look for this package where the driver found it.
 
     Enough where they share a file system with the driver, or have the package installed.
+    Workers also get memory settings, unless the session has its own.
     """
     root = str(Path(__file__).resolve().parents[2])
     settings = spark.sparkContext.environment
     paths = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         settings["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for name, value in WORKER_MEMORY.items():
+        settings.setdefault(name, value)
 
 
 def partitions(spark: SparkSession, source: DataFrame | None = None) -> int:
