@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import near_dedup
@@ -112,3 +113,18 @@ def test_min_max_values_estimate_similarity():
     pairs = [near_dedup.band_keys(s, factors, 2000) for s in (one, two)]
     # A band of one permutation agrees where both its least and its greatest value do.
     assert abs((pairs[0] == pairs[1]).mean() - (1 / 3) ** 2) < 0.03
+
+
+def test_a_task_has_a_bounded_number_of_texts_as_strings():
+    texts = [f"a b c d e f {i % 700}" if i % 5 else None for i in range(2 * near_dedup.PART_ROWS + 300)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    found = list(near_dedup._describe(5, 4, 2)(iter([batch])))
+    assert max(map(len, found)) <= near_dedup.PART_ROWS
+    rows = pa.Table.from_batches(found).to_pylist()
+    assert [r["id"] for r in rows] == list(range(len(texts)))
+    assert [r["n"] for r in rows] == [0 if t is None else 3 for t in texts]
+    assert rows[1]["d1"] == rows[701]["d1"] and rows[1]["bands"] == rows[701]["bands"] and rows[1]["d1"] != rows[2]["d1"]
+    nodes = pa.RecordBatch.from_pydict({"node": [i // 2 for i in range(len(texts))], "text": texts})
+    sets = list(near_dedup._sets(5)(iter([nodes])))
+    assert max(map(len, sets)) <= near_dedup.PART_ROWS
+    assert [r["node"] for r in pa.Table.from_batches(sets).to_pylist()] == list(range(len(texts) // 2))

@@ -47,6 +47,7 @@ WORDS, PERCENT = 5, 80
 BANDS, PER_BAND = 80, 4
 CELL, PIVOTS = 512, 64
 SEEN_NODES = 1_000_000
+PART_ROWS = 1_000  # texts that a task has as strings at once
 SMALLEST = -(1 << 63)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,10 +93,16 @@ def band_keys(shingles: np.ndarray, factors: np.ndarray, bands: int) -> np.ndarr
     return (key ^ (key >> np.uint64(32))).view(np.int64)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
 def _describe(words: int, bands: int, per_band: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, known = multipliers(bands * per_band), {}
-        for batch in batches:
+        for batch in _parts(batches):
             sizes, digests, keys = [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingle_set(text, words, known)
@@ -119,7 +126,7 @@ def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         seen: set[int] = set()  # repeated rows stand for the same class, and may come twice
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             if len(seen) > SEEN_NODES:
                 seen.clear()
