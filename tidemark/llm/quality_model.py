@@ -21,19 +21,19 @@ row. If the sample does not hold both labels, every score is the share of label
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
-from itertools import chain, repeat
 from typing import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, column, stored
+from tidemark.llm.common import column, stored
 
 SAMPLE_ROWS = 6_000
 WORD_BUCKETS, SHAPE_BUCKETS, DIM, NONZERO, WINDOW = 1 << 14, 1 << 10, 64, 4, 2
@@ -44,6 +44,8 @@ THRESHOLD = 0.3
 RUNS = re.compile(r"(.)\1{2,}")
 TABLE_WORDS = 200_000
 STEP_CHARS = 1_000_000
+# Places taken at a time, and most of them whose sums stay below half a lane: each adds at most 2 * 2 * WINDOW * NONZERO.
+PLACES, MOST_PLACES, LANE = 1 << 17, 1 << 19, float(1 << 26)
 
 
 class Kinds(dict):
@@ -66,46 +68,84 @@ def shape(word: str) -> str:
     return RUNS.sub(r"\1\1", word.translate(KINDS))
 
 
-@lru_cache(maxsize=50_000)
-def shape_buckets(kinds: str) -> tuple[int, int]:
-    """Buckets of a shape, given before runs are cut: as such, and after the same word."""
-    kind = RUNS.sub(r"\1\1", kinds)
-    return tuple(WORD_BUCKETS + zlib.crc32(k.encode()) % SHAPE_BUCKETS for k in (kind, kind + " again"))
+def binaries(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Stretches of ``data``, one after the other, as an Arrow array."""
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def split_words(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of texts one after the other, and how many words each text has.
+
+    White space is found among bytes: no byte of a longer character looks like it.
+    """
+    coded = [text.encode() for text in texts]
+    data = np.frombuffer(b"\n".join([b"", *coded, b""]), np.uint8)
+    inside = (data != 0x20) & (data - np.uint8(0x09) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1  # where a word begins, where it has ended, in turn
+    starts = edges[::2]
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(edges[1::2] - starts, out=offsets[1:])
+    bounds = np.cumsum([1, *(len(c) + 1 for c in coded)])
+    return binaries(offsets, data[inside]).dictionary_encode(), np.diff(np.searchsorted(starts, bounds))
 
 
 class Terms:
-    """Word and shape numbers of texts. Shapes come after the words."""
+    """Word and shape numbers of texts. Shapes come after the words.
 
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-        self.table = np.zeros((0, 3), np.int64)  # word, shape, shape after the same word
+    Each distinct word of some texts is looked at once: all of them together, as arrays of
+    code points, of which only the distinct shapes become Python strings.
+    """
 
-    def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.known)
+    def __init__(self) -> None:
+        # Shape in UTF-32 -> its number, its number after the same word; TABLE_WORDS, or what some texts hold.
+        self.known: dict[bytes, tuple[int, int]] = {}
+        self.kinds = np.zeros(sys.maxunicode + 1, np.uint32)  # one more than a code point's kind, 0 until found out
+
+    def _kinds(self, points: np.ndarray) -> np.ndarray:
+        found = self.kinds[points]
+        if not found.all():
+            for point in np.unique(points[found == 0]).tolist():
+                self.kinds[point] = ord(KINDS[point]) + 1
+            found = self.kinds[points]
+        return found - np.uint32(1)
+
+    def _numbers(self, shapes: list[bytes]) -> np.ndarray:
+        new = set(shapes).difference(self.known)
         if new and len(self.known) + len(new) > TABLE_WORDS:
-            self.known, self.table, new = {}, self.table[:0], words
-        if not new:
-            return
-        fresh = list(new)
-        kinds = list(map(str.translate, fresh, repeat(KINDS)))
-        number = {kind: i for i, kind in enumerate(set(kinds))}
-        shapes = np.array([shape_buckets(kind) for kind in number], np.int64)
-        rows = np.zeros((len(fresh), 3), np.int64)
-        rows[:, 0] = np.fromiter(map(zlib.crc32, map(str.encode, fresh)), np.int64, len(fresh)) % WORD_BUCKETS
-        rows[:, 1:] = shapes[np.fromiter(map(number.__getitem__, kinds), np.int64, len(fresh))]
-        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-        self.table = np.concatenate([self.table, rows])
+            self.known, new = {}, set(shapes)
+        for coded in new:
+            kind = coded.decode("utf-32-le")
+            self.known[coded] = tuple(WORD_BUCKETS + zlib.crc32(k.encode()) % SHAPE_BUCKETS for k in (kind, kind + " again"))
+        return np.array(list(map(self.known.__getitem__, shapes)), np.int64).reshape(-1, 2)
+
+    def _shapes(self, words: pa.Array) -> np.ndarray:
+        """Numbers of the shapes of distinct words, as such and after the same word; see ``shape``."""
+        if not len(words):
+            return np.zeros((0, 2), np.int64)
+        offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        kinds = self._kinds(np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32))
+        # Where words begin in code points instead of bytes. No word is empty.
+        lengths = np.add.reduceat((data & 0xC0) != 0x80, offsets[:-1] - offsets[0], dtype=np.int64)
+        at = np.cumsum(lengths) - lengths
+        # What equals both places before it goes, unless one of these belongs to another word.
+        kept = np.ones(len(kinds), bool)
+        kept[2:] = (kinds[2:] != kinds[1:-1]) | (kinds[2:] != kinds[:-2])
+        kept[at] = True
+        kept[np.minimum(at + 1, len(kinds) - 1)] = True
+        bytes_kept = 4 * np.cumsum(np.add.reduceat(kept, at, dtype=np.int64))
+        shapes = binaries(np.concatenate([[0], bytes_kept]), kinds[kept]).dictionary_encode()
+        return self._numbers(shapes.dictionary.to_numpy(zero_copy_only=False).tolist())[shapes.indices.to_numpy()]
 
     def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word and shape numbers of texts one after the other, and how many words each has."""
-        split = [WORD.findall(text) for text in texts]
-        self._learn(set().union(*split))
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        words, counts = split_words(texts)
+        at, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(zlib.crc32, distinct), np.int64, len(distinct)) % WORD_BUCKETS
         same = np.concatenate([[False], at[1:] == at[:-1]])[: len(at)]
         first = (np.cumsum(counts) - counts)[counts > 0]
         same[first] = False
-        return self.table[at, 0], self.table[at, 1 + same], counts
+        return numbers[at], self._shapes(words.dictionary)[at, same.astype(np.int64)], counts
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         return self.of_all([text])[:2]
@@ -131,42 +171,49 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, DIM, size), random.choice(np.array([-1, 1]), size)
 
 
-def summed(columns: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
-    """Sums of the columns of each group, one row per group, as differences of running sums."""
-    order = np.argsort(groups, kind="stable")
-    small = columns.dtype == np.int8 and len(groups) < 1 << 24
-    running = np.zeros((len(columns), len(groups) + 1), np.int32 if small else np.int64)
-    np.cumsum(columns[:, order], axis=1, dtype=running.dtype, out=running[:, 1:])
-    return np.diff(running[:, np.searchsorted(groups[order], np.arange(count + 1))], axis=1).T.astype(np.int64)
-
-
 def context_sums(texts: Iterable[str]) -> np.ndarray:
     """Sums of the index vectors around each term, over all ``texts``.
 
-    A place's two terms see the same neighbours, so the vectors around it are added up once,
-    then over all places with the same two terms, and these sums go to both. Places are
-    columns here, which keeps running sums in line with memory.
+    A place's two terms see the same neighbours, so the vectors around it are added up once
+    and the sum goes to both. Entries go two by two, the second ``LANE`` times as large as
+    the first: a whole number that a float holds exactly for ``MOST_PLACES`` places.
     """
     terms, (places, signs) = Terms(), index_vectors()
-    index = np.zeros((DIM, WORD_BUCKETS + SHAPE_BUCKETS), np.int8)
-    np.add.at(index, (places, np.arange(index.shape[1])[:, None]), signs.astype(np.int8))
-    total = np.zeros((index.shape[1], DIM), np.int64)
+    gap = len(places)  # a term without a vector
+    index = np.zeros((DIM, gap + 1))
+    np.add.at(index, (places, np.arange(gap)[:, None]), signs)
+    lanes = index[::2] + LANE * index[1::2]
+    total, sums, held = np.zeros((gap, DIM), np.int64), np.zeros(lanes.shape), 0
+
+    def unpack() -> None:
+        second = np.rint(sums[:, :gap] / LANE)
+        total[:, ::2] += (sums[:, :gap] - LANE * second).T.astype(np.int64)
+        total[:, 1::2] += second.T.astype(np.int64)
+        sums[:] = 0
+
     for some in steps(texts):
         words, kinds, counts = terms.of_all(some)
         if not len(words):
             continue
-        pairs, of = np.unique(words * SHAPE_BUCKETS + (kinds - WORD_BUCKETS), return_inverse=True)
-        first, second = pairs // SHAPE_BUCKETS, WORD_BUCKETS + pairs % SHAPE_BUCKETS
         # Texts are set apart by gaps as wide as the window.
         at = np.arange(len(words)) + WINDOW * (1 + np.repeat(np.arange(len(counts)), counts))
-        placed = np.zeros((DIM, at[-1] + 1 + WINDOW), np.int8)
-        placed[:, at] = (index[:, first] + index[:, second])[:, of]
-        near = np.zeros((DIM, placed.shape[1] - 2 * WINDOW), np.int8)
-        for step in range(1, WINDOW + 1):
-            near += placed[:, WINDOW - step : -WINDOW - step]
-            near += placed[:, WINDOW + step : placed.shape[1] - WINDOW + step]
-        sums = summed(near[:, at - WINDOW], of, len(pairs))
-        total += summed(sums.T, first, len(total)) + summed(sums.T, second, len(total))
+        placed = np.full((2, at[-1] + 1 + WINDOW), gap)
+        placed[:, at] = words, kinds
+        for start in range(0, placed.shape[1] - 2 * WINDOW, PLACES):
+            first, second = placed[:, start : start + PLACES + 2 * WINDOW]
+            count = len(first) - 2 * WINDOW
+            if held + count > MOST_PLACES:
+                unpack()
+                held = 0
+            held += count
+            for lane, own in zip(lanes, sums):
+                both, near = lane[first] + lane[second], np.zeros(count)
+                for step in range(1, WINDOW + 1):
+                    near += both[WINDOW - step : WINDOW - step + count]
+                    near += both[WINDOW + step : WINDOW + step + count]
+                for of in (first, second):
+                    own += np.bincount(of[WINDOW:-WINDOW], near, gap + 1)
+    unpack()
     return total
 
 
